@@ -167,3 +167,32 @@ fact AS (
 
 def with_ctes(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
+
+
+MEASURES = (
+    "revenue", "gross_profit", "net_income", "total_assets", "total_equity", "total_debt",
+    "operating_cash_flow", "capex", "eps",
+)
+FIN_COLS = "ticker, period, " + ", ".join(MEASURES) + ", run_date"
+
+
+def bronze_fin_cte(ticker_sql: str, duplicates: bool) -> str:
+    """bfin: bronze financial rows with the given ticker expression over k."""
+    cols = ", ".join(MEASURES)
+    plain = f"SELECT {ticker_sql} AS ticker, k, period, {cols}, run_date FROM fin"
+    if not duplicates:
+        return f"bfin AS ({plain})"
+    again_cols = ", ".join("revenue + 1 AS revenue" if m == "revenue" else m for m in MEASURES)
+    again = (
+        f"SELECT {ticker_sql} AS ticker, k, period, {again_cols}, run_date FROM fin "
+        f"WHERE k % {fx.DUPLICATE_EVERY} = 0"
+    )
+    return f"bfin AS ({plain} UNION ALL {again})"
+
+
+def dedup_sql(source: str, ticker_expr: str) -> str:
+    order = ", ".join(f"{m} DESC NULLS LAST" for m in MEASURES)
+    return f"""SELECT {FIN_COLS} FROM (
+  SELECT {ticker_expr} AS ticker, period, {", ".join(MEASURES)}, run_date,
+         ROW_NUMBER() OVER (PARTITION BY run_date, {ticker_expr}, period ORDER BY {order}) AS rn
+  FROM {source}) WHERE rn = 1"""

@@ -11,14 +11,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens import oracle as o
-from ledgerlens.config import RUN_DATE
+from ledgerlens import schemas
+from ledgerlens.config import DAILY_PRICES, FINANCIALS, PREVIOUS_RUN_DATE, RUN_DATE
+from ledgerlens.functions import expressions as E
+from ledgerlens.operators import clean, flatten, metrics, prices, quality, scoring
+from ledgerlens.plans import calendar_dim, ingest, warehouse
 from ledgerlens.plans import screening as scr
+from ledgerlens.session import scratch_path
+from ledgerlens.sources import fixtures as fx
+from ledgerlens.sources import lake, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+TWO_RUNS = (PREVIOUS_RUN_DATE, RUN_DATE)
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -31,6 +40,214 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return deco
 
 
+def _silver(spark: SparkSession, sf_dir: str, run_dates=(RUN_DATE,)):
+    return scr.silver_inputs(spark, sf_dir, run_dates)
+
+
+M = ", ".join(o.MEASURES)
+L = o.letters("k")
+
+# ------------------------------------------------------- expressions (E) --
+@register(
+    "normalize_ticker",
+    f"SELECT raw_ticker, {o.norm('raw_ticker')} AS ticker FROM "
+    f"(SELECT {o.dirty('c_custkey')} AS raw_ticker FROM customer)",
+)
+def q_normalize_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_t = fx.dirty_ticker("c_custkey")
+    return fx.table(spark, sf_dir, "customer").select(
+        raw_t.alias("raw_ticker"), E.normalize_ticker(raw_t).alias("ticker")
+    )
+
+
+def _order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
+
+
+@register(
+    "cutoff_year",
+    "SELECT DISTINCT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS run_date, "
+    "CAST(year(o_orderdate) - 1 AS INTEGER) AS cutoff_year FROM orders",
+)
+def q_cutoff_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _order_dates(spark, sf_dir)
+    return d.select(
+        F.date_format("d", "yyyy-MM-dd").alias("run_date"),
+        E.cutoff_year(F.date_format("d", "yyyy-MM-dd")).alias("cutoff_year"),
+    )
+
+
+@register(
+    "run_dates",
+    "SELECT d AS run_date, CAST(n AS INTEGER) AS years_back, CAST(d - to_years(n) AS DATE) AS past_run_date "
+    "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), (VALUES (0), (1)) t(n)",
+)
+def q_run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _order_dates(spark, sf_dir)
+    n = d.select("d", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("years_back"))
+    return n.select(
+        F.col("d").alias("run_date"),
+        F.col("years_back").cast("int").alias("years_back"),
+        E.past_run_date(F.col("d"), F.col("years_back")).alias("past_run_date"),
+    )
+
+
+# ------------------------------------------------------------ silver (C) --
+@register(
+    "dedup_financials",
+    o.with_ctes(o.base_ctes() + ",\n" + o.bronze_fin_cte(L, True), o.dedup_sql("bfin", "ticker")),
+)
+def q_dedup_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bronze_financials(spark, sf_dir, duplicates=True)
+    return clean.dedup_financials(b)
+
+
+@register(
+    "clean_financials",
+    o.with_ctes(
+        o.base_ctes() + ",\n" + o.bronze_fin_cte(o.dirty("k"), True),
+        o.dedup_sql("bfin", o.norm("ticker")),
+    ),
+)
+def q_clean_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_financials(fx.bronze_financials(spark, sf_dir, dirty=True, duplicates=True))
+
+
+@register(
+    "clean_profile",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {o.norm(o.dirty('k'))} AS ticker, company_name, sector, sub_sector, market_cap, "
+        "listing_date, run_date FROM prof",
+    ),
+)
+def q_clean_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_profile(fx.bronze_profile(spark, sf_dir, dirty=True))
+
+
+@register(
+    "clean_valuation",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {o.norm(o.dirty('k'))} AS ticker, period, per, pbv, price, ev_ebitda, run_date "
+        "FROM val WHERE per > 0 AND pbv > 0",
+    ),
+)
+def q_clean_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_valuation(fx.bronze_valuation(spark, sf_dir, dirty=True))
+
+
+# ----------------------------------------------------------- metrics (M) --
+@register(
+    "roe",
+    o.with_ctes(o.silver_ctes(), "SELECT ticker, period, net_income / NULLIF(total_equity, 0) AS roe "
+                f"FROM sfin WHERE run_date = '{RUN_DATE}'"),
+)
+def q_roe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return metrics.roe(fin, RUN_DATE)
+
+
+@register(
+    "der",
+    o.with_ctes(o.silver_ctes(), "SELECT ticker, period, total_debt / NULLIF(total_equity, 0) AS der "
+                f"FROM sfin WHERE run_date = '{RUN_DATE}'"),
+)
+def q_der(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return metrics.der(fin, RUN_DATE)
+
+
+@register(
+    "fcf",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT ticker, period, operating_cash_flow - capex AS fcf, "
+        "(operating_cash_flow - capex) / NULLIF(revenue, 0) AS fcf_margin "
+        f"FROM sfin WHERE run_date = '{RUN_DATE}'",
+    ),
+)
+def q_fcf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return metrics.fcf(fin, RUN_DATE)
+
+
+@register(
+    "eps_growth",
+    o.with_ctes(o.metric_ctes(), f"SELECT ticker, period, eps_growth_yoy, eps_cagr_5y FROM gm "
+                f"WHERE run_date = '{RUN_DATE}'"),
+)
+def q_eps_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return metrics.eps_growth(fin, RUN_DATE)
+
+
+@register(
+    "valuation_metrics",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT ticker, period, per, pbv, per * pbv AS graham_combined, price, ev_ebitda "
+        f"FROM sval WHERE run_date = '{RUN_DATE}'",
+    ),
+)
+def q_valuation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, val = _silver(spark, sf_dir)
+    return metrics.valuation_metrics(val, RUN_DATE)
+
+
+@register(
+    "latest_period",
+    o.with_ctes(o.metric_ctes(), f"SELECT ticker, period FROM latest WHERE run_date = '{RUN_DATE}'"),
+)
+def q_latest_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return metrics.latest_period(fin, RUN_DATE)
+
+
+CAND = ", ".join(metrics.CANDIDATE_COLUMNS)
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, prof, val = _silver(spark, sf_dir)
+    return metrics.screening_candidates(
+        fin, clean.unique_profile(prof), clean.unique_valuation(val), RUN_DATE
+    ).drop("run_date")
+
+
+@register("screening_candidates", o.with_ctes(o.metric_ctes(), f"SELECT {CAND} FROM cand"))
+def q_screening_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _candidates(spark, sf_dir)
+
+
+_FLAG_SQL = {
+    "roe": "roe >= 0.15", "der": "der <= 0.5", "fcf": "fcf > 0",
+    "eps_growth_yoy": "eps_growth_yoy >= 0.1", "per": "per <= 15", "pbv": "pbv <= 1.5",
+    "graham_combined": "per * pbv <= 22.5",
+}
+
+
+@register(
+    "criteria_flags",
+    o.with_ctes(
+        o.metric_ctes(),
+        "SELECT ticker, "
+        + ", ".join(f"COALESCE(CAST(({e}) AS INTEGER), 0) AS pass_{n}" for n, e in _FLAG_SQL.items())
+        + " FROM cand",
+    ),
+)
+def q_criteria_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = scoring.criteria_flags(_candidates(spark, sf_dir))
+    return flags.select("ticker", *[f"pass_{n}" for n in _FLAG_SQL])
+
+
+@register(
+    "score",
+    o.with_ctes(o.metric_ctes(), f"SELECT {CAND}, criteria_passed, status FROM scored"),
+)
+def q_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(_candidates(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- K4 -----
 @register("screening", o.with_ctes(o.metric_ctes(), "SELECT * FROM fact"))
 def q_screening(spark: SparkSession, sf_dir: str) -> DataFrame:

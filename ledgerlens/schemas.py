@@ -59,7 +59,7 @@ COMPANY_PAGE = _struct(
         _struct(("has_next", B), ("next_offset", I), ("total_count", I), ("showing", I)),
     ),
 )
-PRICE_RECORD = _struct(("date", S), ("close", S))
+PRICE_RECORD = _struct(("date", S), ("close", D))
 PRICE_PAGE = T.ArrayType(PRICE_RECORD)
 
 # ---- lake tables (bronze and silver carry run_date as a string partition)
