@@ -196,3 +196,68 @@ def dedup_sql(source: str, ticker_expr: str) -> str:
   SELECT {ticker_expr} AS ticker, period, {", ".join(MEASURES)}, run_date,
          ROW_NUMBER() OVER (PARTITION BY run_date, {ticker_expr}, period ORDER BY {order}) AS rn
   FROM {source}) WHERE rn = 1"""
+
+
+def suite_sql(suite, source: str, columns: Sequence[str]) -> str:
+    """One SELECT per rule, UNION ALL, over the relation ``source``."""
+    parts = []
+    for i, r in enumerate(suite):
+        kind = r["rule"]
+        col = r.get("column")
+        col_sql = f"'{col}'" if col else "CAST(NULL AS VARCHAR)"
+        head = f"SELECT CAST({i} AS INTEGER) AS rule_id, '{kind}' AS rule, "
+        if kind == "columns_present":
+            missing = sum(1 for c in r["columns"] if c not in columns)
+            parts.append(
+                head + f"CAST(NULL AS VARCHAR) AS \"column\", CAST({len(r['columns'])} AS BIGINT) AS checked, "
+                f"CAST({missing} AS BIGINT) AS failed, {str(missing == 0).lower()} AS success"
+            )
+            continue
+        if kind == "unique_combination":
+            keys = ", ".join(r["columns"])
+            parts.append(
+                head + f"'{','.join(r['columns'])}' AS \"column\", CAST(COUNT(*) AS BIGINT) AS checked, "
+                "CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS failed, "
+                "COUNT(*) FILTER (WHERE n > 1) = 0 AS success "
+                f"FROM (SELECT {keys}, COUNT(*) AS n FROM {source} GROUP BY {keys})"
+            )
+            continue
+        if kind == "row_count_between":
+            conds = []
+            if r.get("min") is not None:
+                conds.append(f"COUNT(*) >= {r['min']}")
+            if r.get("max") is not None:
+                conds.append(f"COUNT(*) <= {r['max']}")
+            parts.append(
+                head + f"{col_sql} AS \"column\", CAST(COUNT(*) AS BIGINT) AS checked, "
+                f"CAST(0 AS BIGINT) AS failed, {' AND '.join(conds) or 'true'} AS success FROM {source}"
+            )
+            continue
+        if kind == "not_null":
+            checked, bad = "COUNT(*)", f"COUNT(*) FILTER (WHERE {col} IS NULL)"
+        else:
+            if kind == "matches_regex":
+                ok = f"regexp_full_match({col}, '{r['regex']}')"
+            elif kind == "in_set":
+                ok = f"{col} IN ({', '.join(repr(v) for v in r['values'])})"
+            else:
+                bounds = []
+                if r.get("min") is not None:
+                    bounds.append(f"{col} >= {r['min']}")
+                if r.get("max") is not None:
+                    bounds.append(f"{col} <= {r['max']}")
+                ok = " AND ".join(bounds)
+            checked = f"COUNT({col})"
+            bad = f"COUNT(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({ok}))"
+        if r.get("mostly") is None:
+            success = f"{bad} = 0"
+        else:
+            success = (
+                f"({checked} = 0 OR CAST({checked} - {bad} AS DOUBLE) / CAST({checked} AS DOUBLE) "
+                f">= {float(r['mostly'])})"
+            )
+        parts.append(
+            head + f"{col_sql} AS \"column\", CAST({checked} AS BIGINT) AS checked, "
+            f"CAST({bad} AS BIGINT) AS failed, {success} AS success FROM {source}"
+        )
+    return "\nUNION ALL\n".join(parts)

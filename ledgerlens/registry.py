@@ -252,3 +252,250 @@ def q_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("screening", o.with_ctes(o.metric_ctes(), "SELECT * FROM fact"))
 def q_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scr.screening_from_tables(spark, sf_dir, RUN_DATE)
+
+
+# ------------------------------------------------------- flatten (F, S5) --
+def _landed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    path = raw.land(docs, scratch_path(spark, "landing", name))
+    return raw.read_landed(spark, path)
+
+
+def _landed_keyed(spark: SparkSession, docs: DataFrame, name: str, schema: str) -> DataFrame:
+    path = raw.land_keyed(docs, scratch_path(spark, "landing", name))
+    return raw.read_landed_keyed(spark, path, schema)
+
+
+@register(
+    "flatten_overview",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {L} AS ticker, CASE WHEN k % {fx.NO_COMPANY_NAME_EVERY} = 0 THEN '' ELSE company_name END "
+        "AS company_name, "
+        + ", ".join(
+            f"CASE WHEN k % {fx.NO_SECTION_EVERY} = 0 THEN NULL ELSE {c} END AS {c}"
+            for c in ("sector", "sub_sector", "market_cap", "listing_date")
+        )
+        + " FROM prof",
+    ),
+)
+def q_flatten_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _landed(spark, fx.overview_documents(spark, sf_dir), "overview")
+    return flatten.flatten_overview(docs)
+
+
+_CUT = int(RUN_DATE[:4]) - 1
+
+
+@register(
+    "flatten_financials",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {L} AS ticker, period, revenue, gross_profit, net_income, total_assets, "
+        "total_equity, total_debt, operating_cash_flow, "
+        "operating_cash_flow - (operating_cash_flow - capex) AS capex, "
+        "CASE (k + CAST(period AS INTEGER)) % 3 WHEN 0 THEN eps WHEN 1 THEN gross_profit / "
+        f"{fx.EPS_PER_SHARE_DIVISOR} ELSE NULL END AS eps "
+        f"FROM fin WHERE k % {fx.NO_SECTION_EVERY} <> 0 AND CAST(period AS INTEGER) >= {_CUT}",
+    ),
+)
+def q_flatten_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _landed(spark, fx.financial_documents(spark, sf_dir), "financials")
+    return flatten.flatten_financials(docs, RUN_DATE)
+
+
+@register(
+    "flatten_valuation",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {L} AS ticker, period, per, pbv, price, ev_ebitda FROM val "
+        f"WHERE k % {fx.NO_SECTION_EVERY} <> 0 AND CAST(period AS INTEGER) >= {_CUT}",
+    ),
+)
+def q_flatten_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _landed(spark, fx.valuation_documents(spark, sf_dir), "valuation")
+    return flatten.flatten_valuation(docs, RUN_DATE)
+
+
+_KC = "c_custkey"
+_OBJ = f"{_KC} % {fx.NON_OBJECT_SECTION_EVERY} <> 0"
+
+
+@register(
+    "flatten_section",
+    f"SELECT {o.letters(_KC)} AS ticker, "
+    f"CASE WHEN {_OBJ} AND {_KC} % 2 = 0 THEN 'Board of ' || c_name "
+    f"WHEN {_KC} % {fx.NO_COMPANY_NAME_EVERY} = 0 THEN '' ELSE c_name END AS company_name, "
+    f"CASE WHEN {_OBJ} THEN c_name END AS ceo_name, "
+    f"CASE WHEN {_OBJ} THEN c_acctbal / 100.0 END AS insider_ownership_pct, "
+    f"CASE WHEN {_OBJ} THEN CAST(c_nationkey AS DOUBLE) END AS institutional_ownership_pct "
+    "FROM customer",
+)
+def q_flatten_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    docs = _landed(spark, fx.management_documents(spark, sf_dir), "management")
+    section = T.StructType(
+        [T.StructField("company_name", T.StringType())] + list(schemas.MANAGEMENT_SECTION.fields)
+    )
+    return flatten.flatten_section(docs, "management", section)
+
+
+_PRICE_ROWS = (
+    f"SELECT {o.letters('o_custkey')} AS ticker, "
+    f"CASE WHEN o_orderkey % {fx.BAD_PRICE_DATE_EVERY} = 0 THEN 'n/a' "
+    "ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, o_totalprice AS close, "
+    "CAST(o_orderdate AS DATE) AS d, o_orderpriority AS priority FROM orders"
+)
+
+
+@register("flatten_prices", f"SELECT ticker, date, close FROM ({_PRICE_ROWS})")
+def q_flatten_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _landed_keyed(spark, fx.price_pages(spark, sf_dir), "prices", "ticker string, value string")
+    return flatten.flatten_prices(pages)
+
+
+@register(
+    "company_universe",
+    f"SELECT position, {o.letters('k')} AS ticker FROM ("
+    "SELECT c_custkey AS k, CAST(ROW_NUMBER() OVER (ORDER BY c_acctbal * 1000.0 DESC, "
+    f"{o.letters('c_custkey')} ASC) - 1 AS BIGINT) AS position FROM customer "
+    f"WHERE c_mktsegment = '{fx.UNIVERSE_SUB_SECTOR}') WHERE k % {fx.JUNK_SYMBOL_EVERY} <> 0",
+)
+def q_company_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _landed_keyed(
+        spark, fx.company_list_pages(spark, sf_dir), "companies", "offset int, value string"
+    )
+    return flatten.company_universe(pages)
+
+
+@register(
+    "company_page",
+    o.with_ctes(
+        o.silver_ctes(),
+        f"SELECT ticker, market_cap FROM sprof WHERE sub_sector = '{fx.UNIVERSE_SUB_SECTOR}' "
+        f"ORDER BY market_cap DESC, ticker LIMIT {fx.PAGE_SIZE} OFFSET {fx.PAGE_SIZE}",
+    ),
+)
+def q_company_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, prof, _ = _silver(spark, sf_dir)
+    page = flatten.company_page(prof, fx.UNIVERSE_SUB_SECTOR, fx.PAGE_SIZE, fx.PAGE_SIZE)
+    return page.select("ticker", "market_cap")
+
+
+_OLD_API_BEFORE = "1998-01-01"
+
+
+@register(
+    "union_pages",
+    f"SELECT ticker, date, close, CASE WHEN d < DATE '{_OLD_API_BEFORE}' THEN priority END AS priority "
+    f"FROM ({_PRICE_ROWS})",
+)
+def q_union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.daily_price_rows(spark, sf_dir)
+    old = F.coalesce(F.col("o_date") < F.lit(_OLD_API_BEFORE).cast("date"), F.lit(False))
+    old_api = rows.where(old).select("ticker", "date", "close", "priority")
+    new_api = rows.where(~old).select("ticker", "date", "close")
+    return flatten.union_pages([old_api, new_api])
+
+
+# ------------------------------------------------------------ prices (P) --
+def _last_friday_sql(start: str, end: str) -> str:
+    return (
+        f"SELECT ticker, date, close FROM ({_PRICE_ROWS}) WHERE date <> 'n/a' AND dayofweek(d) = 5 "
+        f"AND month(d + INTERVAL 7 DAY) <> month(d) AND d BETWEEN DATE '{start}' AND DATE '{end}'"
+    )
+
+
+def _price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.daily_price_rows(spark, sf_dir).select("ticker", "date", "close")
+
+
+_PRICE_START = f"{int(RUN_DATE[:4]) - 1}-01-01"
+
+
+@register("last_friday_prices", _last_friday_sql(_PRICE_START, RUN_DATE))
+def q_last_friday_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prices.last_friday_prices(_price_rows(spark, sf_dir), RUN_DATE)
+
+
+@register(
+    "price_partitions",
+    f"SELECT date AS run_date, COUNT(*) AS n_rows FROM ({_last_friday_sql(_PRICE_START, RUN_DATE)}) "
+    "GROUP BY date",
+)
+def q_price_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    rows = prices.last_friday_prices(_price_rows(spark, sf_dir), RUN_DATE)
+    lake.write_partitioned(rows.withColumn("run_date", F.col("date")), root, "bronze", DAILY_PRICES,
+                           spread_by="ticker")
+    return ingest.price_partitions(spark, root)
+
+
+# Full load on a first run at the previous run date, then an incremental
+# run on the next last Friday, then a Friday that is not a last Friday.
+LOAD_SEQUENCE = (PREVIOUS_RUN_DATE, "2001-01-26", "2001-02-02")
+
+
+@register(
+    "load_dates",
+    "SELECT date AS run_date, COUNT(*) AS n_rows FROM ("
+    + _last_friday_sql(f"{int(LOAD_SEQUENCE[0][:4]) - 1}-01-01", LOAD_SEQUENCE[0])
+    + f" UNION ALL SELECT ticker, date, close FROM ({_PRICE_ROWS}) WHERE date = '{LOAD_SEQUENCE[1]}'"
+    + ") GROUP BY date",
+)
+def q_load_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    rows = _price_rows(spark, sf_dir)
+    for d in LOAD_SEQUENCE:
+        ingest.load_prices(spark, rows, root, d)
+    return ingest.price_partitions(spark, root)
+
+
+# -------------------------------------------------------------- lake (S) --
+FIN2 = o.base_ctes(TWO_RUNS) + ",\n" + o.bronze_fin_cte(L, False)
+
+
+@register("read_partition", o.with_ctes(FIN2, f"SELECT {o.FIN_COLS} FROM bfin WHERE run_date = '{RUN_DATE}'"))
+def q_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    lake.write_partitioned(fx.bronze_financials(spark, sf_dir, TWO_RUNS), root, "bronze", FINANCIALS,
+                           spread_by="ticker")
+    return lake.read_partition(spark, root, "bronze", FINANCIALS, RUN_DATE, schemas.BRONZE_FINANCIALS)
+
+
+@register("write_partition_roundtrip", o.with_ctes(FIN2, f"SELECT {o.FIN_COLS} FROM bfin"))
+def q_write_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    for d in (*TWO_RUNS, RUN_DATE):  # the last write is a rerun of the same run date
+        lake.write_partition(fx.bronze_financials(spark, sf_dir, (d,)), root, "bronze", FINANCIALS, d)
+    return lake.read_domain(spark, root, "bronze", FINANCIALS, schemas.BRONZE_FINANCIALS)
+
+
+@register(
+    "has_data",
+    "SELECT 'before' AS stage, false AS has_data UNION ALL "
+    "SELECT 'after' AS stage, true AS has_data",
+)
+def q_has_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    before = lake.has_data(spark, root, "bronze", FINANCIALS)
+    lake.write_partition(fx.bronze_financials(spark, sf_dir), root, "bronze", FINANCIALS, RUN_DATE)
+    after = lake.has_data(spark, root, "bronze", FINANCIALS)
+    return spark.createDataFrame([("before", before), ("after", after)], "stage string, has_data boolean")
+
+
+BACKFILL_RUNS = lake.backfill_run_dates(RUN_DATE, 2)
+
+
+@register(
+    "backfill",
+    o.with_ctes(
+        o.base_ctes(BACKFILL_RUNS) + ",\n" + o.bronze_fin_cte(L, False),
+        f"SELECT {o.FIN_COLS} FROM bfin WHERE CAST(period AS INTEGER) >= year(CAST(run_date AS DATE)) - 1",
+    ),
+)
+def q_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "lake")
+    rows = fx.bronze_financials(spark, sf_dir, BACKFILL_RUNS)
+    lake.backfill(rows, root, "bronze", FINANCIALS)
+    return lake.read_domain(spark, root, "bronze", FINANCIALS, schemas.BRONZE_FINANCIALS)

@@ -88,3 +88,33 @@ def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
         return len(spark.read.parquet(domain_path(root, layer, domain)).inputFiles()) > 0
     except AnalysisException:
         return False
+
+
+def backfill_run_dates(run_date: str, years: int) -> tuple[str, ...]:
+    """One run date per past year: the same day, 29 February -> 28."""
+    import datetime as dt
+
+    d = dt.date.fromisoformat(run_date)
+    out = []
+    for n in range(years):
+        y = d.year - n
+        day = min(d.day, 28) if (d.month == 2 and d.day == 29) and not _leap(y) else d.day
+        out.append(dt.date(y, d.month, day).isoformat())
+    return tuple(sorted(out))
+
+
+def _leap(y: int) -> bool:
+    return y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)
+
+
+def backfill(rows: DataFrame, root: str, layer: str, domain: str, years_back: int = 1) -> str:
+    """Many run dates of one domain in one job.
+
+    ``rows`` carries run_date; each run date keeps the periods from its
+    own cutoff year (year(run_date) - years_back) on. Partitions present
+    in ``rows`` are replaced, others kept.
+    """
+    kept = rows.where(
+        F.col("period").try_cast("int") >= F.year(F.to_date("run_date")) - F.lit(years_back)
+    )
+    return write_partitioned(kept, root, layer, domain, spread_by="ticker")
