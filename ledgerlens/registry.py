@@ -499,3 +499,215 @@ def q_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.bronze_financials(spark, sf_dir, BACKFILL_RUNS)
     lake.backfill(rows, root, "bronze", FINANCIALS)
     return lake.read_domain(spark, root, "bronze", FINANCIALS, schemas.BRONZE_FINANCIALS)
+
+
+# -------------------------------------------------- warehouse (S7-S14) --
+_CAL = (
+    "SELECT CAST(d AS DATE) AS run_date, CAST(year(d) AS INTEGER) AS year, "
+    "CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, "
+    "CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(dayofweek(d) AS INTEGER) AS day_of_week, "
+    "dayofweek(d) = 5 AS is_friday FROM generate_series("
+    "(SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders), (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders), "
+    "INTERVAL 1 DAY) t(d)"
+)
+
+
+def _order_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.to_date("o_orderdate")
+    return fx.table(spark, sf_dir, "orders").agg(F.min(d).alias("start"), F.max(d).alias("end"))
+
+
+@register("dim_date", _CAL)
+def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar_dim.calendar(_order_span(spark, sf_dir))
+
+
+@register("insert_ignore", _CAL)
+def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    span = _order_span(spark, sf_dir)
+    existing = calendar_dim.calendar(span.select("start", F.lit(PREVIOUS_RUN_DATE).cast("date").alias("end")))
+    return calendar_dim.insert_ignore(existing, calendar_dim.calendar(span), ["run_date"])
+
+
+_PROFILE_ATTRS = ("company_name", "sector", "sub_sector", "market_cap", "listing_date")
+_UPSERT_SQL = o.with_ctes(
+    o.base_ctes(TWO_RUNS)
+    + f""",
+act AS (SELECT DISTINCT k FROM fin WHERE run_date = '{RUN_DATE}' AND period = '{RUN_DATE[:4]}'),
+p1 AS (SELECT * FROM prof WHERE run_date = '{PREVIOUS_RUN_DATE}'),
+p2 AS (SELECT * FROM prof WHERE run_date = '{RUN_DATE}')""",
+    f"SELECT {o.letters('p1.k')} AS ticker, "
+    f"CASE WHEN act.k IS NOT NULL THEN p2.company_name WHEN p1.k % {fx.NO_COMPANY_NAME_EVERY} = 0 THEN '' "
+    "ELSE p1.company_name END AS company_name, "
+    + ", ".join(
+        f"{'CAST(' if c == 'listing_date' else ''}CASE WHEN act.k IS NOT NULL THEN p2.{c} "
+        f"WHEN p1.k % {fx.NO_SECTION_EVERY} = 0 THEN NULL ELSE p1.{c} END"
+        f"{' AS DATE)' if c == 'listing_date' else ''} AS {c}"
+        for c in _PROFILE_ATTRS[1:]
+    )
+    + " FROM p1 JOIN p2 ON p1.k = p2.k LEFT JOIN act ON act.k = p1.k",
+)
+
+
+@register("upsert_company", _UPSERT_SQL)
+def q_upsert_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_company after two loads: first from the landed overview reports
+    of the previous run date, then from the clean profile of the run date
+    for the companies that reported financials in the run year."""
+    root = scratch_path(spark, "warehouse")
+    docs = _landed(spark, fx.overview_documents(spark, sf_dir, PREVIOUS_RUN_DATE), "overview")
+    warehouse.write_dim_company(spark, root, flatten.flatten_overview(docs))
+    fin, prof, _ = _silver(spark, sf_dir)
+    reported = fin.where(F.col("period") == RUN_DATE[:4]).select("run_date", "ticker")
+    incoming = clean.unique_profile(prof).join(reported, ["run_date", "ticker"], "left_semi")
+    warehouse.write_dim_company(spark, root, incoming)
+    return warehouse.read_dim_company(spark, root).select("ticker", *_PROFILE_ATTRS)
+
+
+FACT2 = o.metric_ctes(TWO_RUNS)
+FACT_COLS = ", ".join(schemas.SCREENING_COLUMNS)
+
+
+def _loaded_warehouse(spark: SparkSession, sf_dir: str, with_dim: bool = False) -> str:
+    """Fact reloaded for both run dates (the second one twice), and
+    optionally dim_company upserted from both profiles."""
+    root = scratch_path(spark, "warehouse")
+    fin, prof, val = _silver(spark, sf_dir, TWO_RUNS)
+    fact = scr.screening(fin, prof, val, run_date=None)
+    for d in (*TWO_RUNS, RUN_DATE):
+        warehouse.reload_fact(fact, root, d)
+    if with_dim:
+        uprof = clean.unique_profile(prof)
+        for d in TWO_RUNS:
+            warehouse.write_dim_company(spark, root, uprof.where(F.col("run_date") == d))
+    return root
+
+
+@register("reload_fact", o.with_ctes(FACT2, f"SELECT {FACT_COLS} FROM fact"))
+def q_reload_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _loaded_warehouse(spark, sf_dir)
+    return warehouse.read_fact(spark, root).select(*schemas.SCREENING_COLUMNS)
+
+
+@register(
+    "fact_for_run",
+    o.with_ctes(FACT2, f"SELECT {FACT_COLS} FROM fact WHERE run_date = DATE '{PREVIOUS_RUN_DATE}'"),
+)
+def q_fact_for_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _loaded_warehouse(spark, sf_dir)
+    return warehouse.fact_for_run(spark, root, PREVIOUS_RUN_DATE).select(*schemas.SCREENING_COLUMNS)
+
+
+@register(
+    "latest_screening",
+    o.with_ctes(
+        FACT2,
+        f"SELECT {', '.join('s.' + c for c in schemas.SCREENING_COLUMNS)}, CAST(p.listing_date AS DATE) "
+        f"AS listing_date FROM fact s JOIN sprof p ON p.ticker = s.ticker AND p.run_date = '{RUN_DATE}' "
+        "WHERE s.run_date = (SELECT MAX(run_date) FROM fact)",
+    ),
+)
+def q_latest_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _loaded_warehouse(spark, sf_dir, with_dim=True)
+    v = warehouse.latest_screening(warehouse.read_fact(spark, root), warehouse.read_dim_company(spark, root))
+    return v.select(*schemas.SCREENING_COLUMNS, "listing_date")
+
+
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scr.screening_from_tables(spark, sf_dir, RUN_DATE)
+
+
+@register(
+    "run_summary",
+    o.with_ctes(
+        o.metric_ctes(),
+        "SELECT COUNT(*) AS total, CAST(COALESCE(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END), 0) AS BIGINT) "
+        "AS passed, COUNT(*) - CAST(COALESCE(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END), 0) AS BIGINT) "
+        f"AS not_passed FROM fact WHERE run_date = DATE '{RUN_DATE}'",
+    ),
+)
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.run_summary(_fact(spark, sf_dir), RUN_DATE)
+
+
+@register(
+    "sector_summary",
+    o.with_ctes(
+        o.metric_ctes(),
+        "SELECT sector, COUNT(*) AS total, CAST(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END) AS BIGINT) "
+        "AS passed, COUNT(*) - CAST(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END) AS BIGINT) AS not_passed "
+        f"FROM fact WHERE run_date = DATE '{RUN_DATE}' GROUP BY sector",
+    ),
+)
+def q_sector_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.sector_summary(_fact(spark, sf_dir), RUN_DATE)
+
+
+@register(
+    "metric_counts",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT m AS metric, (SELECT COUNT(*) FROM sfin) AS n_rows FROM (VALUES ('roe'), ('der'), ('fcf'), "
+        "('growth')) t(m) UNION ALL SELECT 'valuation' AS metric, (SELECT COUNT(*) FROM sval) AS n_rows",
+    ),
+)
+def q_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, val = _silver(spark, sf_dir)
+    return warehouse.metric_counts(fin, val, RUN_DATE)
+
+
+@register(
+    "dim_fiscal_period",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT DISTINCT period AS period_key, CAST(period AS INTEGER) AS fiscal_year, 12 AS fiscal_month, "
+        "'annual' AS period_type FROM sfin",
+    ),
+)
+def q_dim_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return warehouse.dim_fiscal_period(fin)
+
+
+@register("fundamentals_annual", o.with_ctes(o.silver_ctes(), f"SELECT ticker, period, {M} FROM sfin"))
+def q_fundamentals_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fin, _, _ = _silver(spark, sf_dir)
+    return warehouse.fundamentals_annual(fin, RUN_DATE)
+
+
+@register(
+    "valuation_snapshot",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT ticker, CAST(run_date AS DATE) AS run_date, period, per, pbv, price, ev_ebitda FROM sval v "
+        "WHERE period = (SELECT MAX(period) FROM sval w WHERE w.ticker = v.ticker AND w.run_date = v.run_date)",
+    ),
+)
+def q_valuation_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, val = _silver(spark, sf_dir)
+    return warehouse.valuation_snapshot(val, RUN_DATE)
+
+
+# ----------------------------------------------------------- quality (Q) --
+_BRONZE_COLS = [c for c in o.FIN_COLS.split(", ")]
+
+
+@register(
+    "quality_bronze",
+    o.with_ctes(
+        o.base_ctes() + ",\n" + o.bronze_fin_cte(L, False),
+        o.suite_sql(quality.BRONZE_SUITE, "bfin", _BRONZE_COLS),
+    ),
+)
+def q_quality_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(fx.bronze_financials(spark, sf_dir), quality.BRONZE_SUITE)
+
+
+@register(
+    "quality_gold",
+    o.with_ctes(
+        o.metric_ctes(), o.suite_sql(quality.GOLD_SUITE, "fact", list(schemas.SCREENING_COLUMNS))
+    ),
+)
+def q_quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(_fact(spark, sf_dir), quality.GOLD_SUITE)
