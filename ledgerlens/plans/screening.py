@@ -31,12 +31,26 @@ def silver_inputs(
     dirty: bool = False,
     duplicates: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Silver financials, profile and valuation from the fixture tables."""
+    """Silver financials, profile and valuation from the fixture tables.
+
+    The three bronze domains come from one pass over lineitem and orders.
+    That pass is checkpointed to the shared checkpoint folder (it stands
+    for the stored bronze layer): the three silver jobs then read it
+    instead of each re-aggregating the line items, and a lost executor
+    recomputes from the checkpoint, not from the raw tables.
+    """
+    totals = fixtures.customer_year_totals(spark, sf_dir, run_dates).checkpoint(eager=True)
     fin = clean.clean_financials(
-        fixtures.bronze_financials(spark, sf_dir, run_dates, dirty=dirty, duplicates=duplicates)
+        fixtures.bronze_financials(
+            spark, sf_dir, run_dates, dirty=dirty, duplicates=duplicates, totals=totals
+        )
+    )
+    prof = clean.clean_profile(
+        fixtures.bronze_profile(spark, sf_dir, run_dates, dirty=dirty, totals=totals)
+    )
+    val = clean.clean_valuation(
+        fixtures.bronze_valuation(spark, sf_dir, run_dates, dirty=dirty, totals=totals)
     )
-    prof = clean.clean_profile(fixtures.bronze_profile(spark, sf_dir, run_dates, dirty=dirty))
-    val = clean.clean_valuation(fixtures.bronze_valuation(spark, sf_dir, run_dates, dirty=dirty))
     return fin, prof, val
 
 

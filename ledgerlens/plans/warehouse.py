@@ -15,6 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ledgerlens.config import STATUS_PASS
 from ledgerlens.schemas import SCREENING_COLUMNS, WAREHOUSE_TABLES
@@ -34,7 +35,7 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
     for name, schema in WAREHOUSE_TABLES.items():
         path = table_path(root, name)
         created = False
-        if not _exists(spark, path):
+        if not _exists(spark, path, schema):
             empty = spark.createDataFrame([], schema)
             writer = empty.write.mode("overwrite")
             if name == FACT:
@@ -45,11 +46,13 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "table string, n_columns int, created boolean")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _exists(spark: SparkSession, path: str, schema) -> bool:
+    """The folder exists (it may hold no data file yet). With the schema
+    given no file is opened; a missing path raises at resolution."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
+        spark.read.schema(schema).parquet(path).inputFiles()
         return True
-    except Exception:  # noqa: BLE001 - a missing folder
+    except AnalysisException:
         return False
 
 

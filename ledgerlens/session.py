@@ -24,6 +24,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     for key, value in extra.items():

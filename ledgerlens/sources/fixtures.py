@@ -62,12 +62,17 @@ def dirty_ticker(k: Column | str) -> Column:
     )
 
 
-def _money(c: Column) -> Column:
-    return c.cast(MONEY)
+def _cents(c: Column) -> Column:
+    """Exact cents of CAST(c AS DECIMAL(12,2)) as a long.
+
+    Sums of these longs equal the DECIMAL sums exactly, but stay on the
+    fast fixed-width aggregation path (a DECIMAL(12,2) sum is 22 digits
+    wide and would aggregate through BigDecimal buffers)."""
+    return (c.cast(MONEY) * F.lit(100)).cast("long")
 
 
 def _zero() -> Column:
-    return F.lit(0).cast(MONEY)
+    return F.lit(0).cast("long")
 
 
 def _run_dates(run_dates: Sequence[str]) -> Column:
@@ -77,14 +82,14 @@ def _run_dates(run_dates: Sequence[str]) -> Column:
 def customer_year_totals(
     spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
 ) -> DataFrame:
-    """Exact (DECIMAL) sums per (run_date, customer, order year).
+    """Exact sums per (run_date, customer, order year), in cents.
 
     A run date sees the orders up to that day. Columns: run_date, k, year,
-    rev, gp, ni, ta, td, ocf, capex (decimals) plus k and year.
+    first_date, rev, gp, ni, ta, td, ocf, capex (long cents).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
-        _money(F.col("l_extendedprice")).alias("amt"),
+        _cents(F.col("l_extendedprice")).alias("amt"),
         "l_returnflag",
         "l_linestatus",
     )
@@ -101,8 +106,8 @@ def customer_year_totals(
         "o_orderkey",
         F.col("o_custkey").alias("k"),
         F.to_date("o_orderdate").alias("o_date"),
-        _money(F.col("o_totalprice")).alias("o_ta"),
-        F.when(F.col("o_orderstatus") == "O", _money(F.col("o_totalprice")))
+        _cents(F.col("o_totalprice")).alias("o_ta"),
+        F.when(F.col("o_orderstatus") == "O", _cents(F.col("o_totalprice")))
         .otherwise(_zero())
         .alias("o_td"),
     )
@@ -111,6 +116,7 @@ def customer_year_totals(
     )
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
     return joined.groupBy("run_date", "k", F.year("o_date").alias("year")).agg(
+        F.min("o_date").alias("first_date"),
         F.sum("o_rev").alias("rev"),
         F.sum("o_gp").alias("gp"),
         (F.sum("o_n") - F.sum("o_r")).alias("ni"),
@@ -122,7 +128,8 @@ def customer_year_totals(
 
 
 def _d(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
+    """Cents -> DOUBLE, the same value as CAST(decimal sum AS DOUBLE)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("double") / F.lit(100.0)
 
 
 def financial_rows(totals: DataFrame) -> DataFrame:
@@ -179,9 +186,10 @@ def bronze_financials(
     run_dates: Sequence[str] = (RUN_DATE,),
     dirty: bool = False,
     duplicates: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze financial_statements rows (FIXTURES.md A7 shape + run_date)."""
-    fin = financial_rows(customer_year_totals(spark, sf_dir, run_dates))
+    fin = financial_rows(_totals(spark, sf_dir, run_dates, totals))
     out = fin.select(_ticker(dirty).alias("ticker"), "k", *FIN_OUT[1:])
     if duplicates:
         again = out.where(F.col("k") % DUPLICATE_EVERY == 0).withColumn(
@@ -192,26 +200,31 @@ def bronze_financials(
 
 
 def bronze_valuation(
-    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze valuation_ratios rows (FIXTURES.md A8 shape + run_date)."""
-    fin = financial_rows(customer_year_totals(spark, sf_dir, run_dates))
+    fin = financial_rows(_totals(spark, sf_dir, run_dates, totals))
     val = valuation_rows(fin, spark, sf_dir)
     return val.select(
         _ticker(dirty).alias("ticker"), "period", "per", "pbv", "price", "ev_ebitda", "run_date"
     )
 
 
+def _totals(
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str], totals: DataFrame | None
+) -> DataFrame:
+    return totals if totals is not None else customer_year_totals(spark, sf_dir, run_dates)
+
+
 def first_order_dates(
-    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,),
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("o_date")
-    )
-    orders = orders.select("*", _run_dates(run_dates).alias("run_date")).where(
-        F.col("o_date") <= F.to_date("run_date")
-    )
-    return orders.groupBy("run_date", "k").agg(F.min("o_date").alias("first_date"))
+    """First order date per (run_date, customer), from the yearly totals
+    (a customer has one row per year, so this aggregate is small)."""
+    t = _totals(spark, sf_dir, run_dates, totals)
+    return t.groupBy("run_date", "k").agg(F.min("first_date").alias("first_date"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,11 +242,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_profile(
-    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze company_profile rows (FIXTURES.md A6 shape + run_date)."""
     cust = customers(spark, sf_dir).select("*", _run_dates(run_dates).alias("run_date"))
-    first = first_order_dates(spark, sf_dir, run_dates)
+    first = first_order_dates(spark, sf_dir, run_dates, totals)
     return cust.join(first, ["run_date", "k"], "left").select(
         _ticker(dirty).alias("ticker"),
         F.col("c_name").alias("company_name"),
