@@ -110,51 +110,76 @@ def _success(rule: Rule, checked: Column, failed: Column) -> Column:
 
 
 def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
-    """Q8: evaluate every rule; one row per rule, in suite order."""
+    """Q8: evaluate every rule; one row per rule.
+
+    One pass over the data: when the suite has a uniqueness rule, the
+    row-level counts are first summed per key combination (the grouping a
+    uniqueness check needs anyway, with a map-side partial step, so a hot
+    key collapses before the shuffle) and a second, tiny aggregate adds
+    the groups up and counts the keys seen more than once.
+    """
     spark: SparkSession = df.sparkSession
-    parts: list[DataFrame] = []
-    aggs: list[Column] = []
-    row_rules: list[tuple[int, Rule]] = []
     static: list[tuple] = []
+    row_rules: list[tuple[int, Rule, Column, Column]] = []
+    unique: list[tuple[int, Rule]] = []
     for i, rule in enumerate(suite):
         kind = rule["rule"]
         if kind == "columns_present":
             missing = [c for c in rule["columns"] if c not in df.columns]
             static.append((i, kind, None, len(rule["columns"]), len(missing), not missing))
         elif kind == "unique_combination":
-            keys = list(rule["columns"])
-            dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-                F.count(F.lit(1)).cast("long").alias("checked"),
-                F.coalesce(_count_if(F.col("_n") > 1), F.lit(0).cast("long")).alias("failed"),
-            )
-            parts.append(dup.select(
-                F.lit(i).alias("rule_id"), F.lit(kind).alias("rule"),
-                F.lit(",".join(keys)).alias("column"), "checked", "failed",
-                (F.col("failed") == 0).alias("success"),
-            ))
+            unique.append((i, rule))
         else:
             pair = _bad_in_checked(rule)
             if pair is None:  # an unknown rule is a failure, like a missing method
                 static.append((i, kind, rule.get("column"), 0, 1, False))
-                continue
-            checked, failed = pair
-            aggs += [
-                F.coalesce(checked, F.lit(0).cast("long")).alias(f"c{i}"),
-                F.coalesce(failed, F.lit(0).cast("long")).alias(f"f{i}"),
-            ]
-            row_rules.append((i, rule))
-    if aggs:
-        one = df.agg(*aggs)
-        rows = [
-            F.struct(
+            else:
+                row_rules.append((i, rule, *pair))
+
+    zero = F.lit(0).cast("long")
+    parts: list[DataFrame] = []
+    keyed, *other_unique = unique or [None]
+    inner = [c.alias(f"c{i}") for i, _, c, _ in row_rules] + [f.alias(f"f{i}") for i, _, _, f in row_rules]
+    outer = [F.coalesce(F.sum(f"c{i}"), zero).alias(f"c{i}") for i, *_ in row_rules] + [
+        F.coalesce(F.sum(f"f{i}"), zero).alias(f"f{i}") for i, *_ in row_rules
+    ]
+    if keyed is not None:
+        ki, krule = keyed
+        grouped = df.groupBy(*krule["columns"]).agg(F.count(F.lit(1)).alias("_n"), *inner)
+        one = grouped.agg(
+            *outer,
+            F.count(F.lit(1)).cast("long").alias(f"c{ki}"),
+            F.coalesce(_count_if(F.col("_n") > 1), zero).alias(f"f{ki}"),
+        )
+        row_rules.append((ki, krule, None, None))
+    elif row_rules:
+        one = df.agg(*[F.coalesce(c, zero).alias(f"c{i}") for i, _, c, _ in row_rules],
+                     *[F.coalesce(f, zero).alias(f"f{i}") for i, _, _, f in row_rules])
+    else:
+        one = None
+    if one is not None:
+        rows = []
+        for i, r, *_ in row_rules:
+            c, f = F.col(f"c{i}"), F.col(f"f{i}")
+            is_unique = r["rule"] == "unique_combination"
+            rows.append(F.struct(
                 F.lit(i).alias("rule_id"), F.lit(r["rule"]).alias("rule"),
-                F.lit(r.get("column")).cast("string").alias("column"),
-                F.col(f"c{i}").alias("checked"), F.col(f"f{i}").alias("failed"),
-                _success(r, F.col(f"c{i}"), F.col(f"f{i}")).alias("success"),
-            )
-            for i, r in row_rules
-        ]
+                (F.lit(",".join(r["columns"])) if is_unique else F.lit(r.get("column")).cast("string")).alias("column"),
+                c.alias("checked"), f.alias("failed"),
+                ((f == F.lit(0)) if is_unique else _success(r, c, f)).alias("success"),
+            ))
         parts.append(one.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
+    for i, rule in other_unique:
+        keys = list(rule["columns"])
+        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.count(F.lit(1)).cast("long").alias("checked"),
+            F.coalesce(_count_if(F.col("_n") > 1), zero).alias("failed"),
+        )
+        parts.append(dup.select(
+            F.lit(i).alias("rule_id"), F.lit(rule["rule"]).alias("rule"),
+            F.lit(",".join(keys)).alias("column"), "checked", "failed",
+            (F.col("failed") == 0).alias("success"),
+        ))
     if static:
         parts.append(spark.createDataFrame(static, REPORT_SCHEMA))
     out = parts[0]

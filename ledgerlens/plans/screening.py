@@ -16,6 +16,7 @@ from ledgerlens.config import RUN_DATE
 from ledgerlens.functions.expressions import nan_to_null
 from ledgerlens.operators import clean, metrics, scoring
 from ledgerlens.schemas import SCREENING_COLUMNS
+from ledgerlens.session import materialize
 from ledgerlens.sources import fixtures
 
 DOUBLE_FACT_COLUMNS = (
@@ -34,12 +35,12 @@ def silver_inputs(
     """Silver financials, profile and valuation from the fixture tables.
 
     The three bronze domains come from one pass over lineitem and orders.
-    That pass is checkpointed to the shared checkpoint folder (it stands
+    That pass is written once to the shared checkpoint folder (it stands
     for the stored bronze layer): the three silver jobs then read it
     instead of each re-aggregating the line items, and a lost executor
-    recomputes from the checkpoint, not from the raw tables.
+    recomputes from the written table, not from the raw tables.
     """
-    totals = fixtures.customer_year_totals(spark, sf_dir, run_dates).checkpoint(eager=True)
+    totals = materialize(fixtures.customer_year_totals(spark, sf_dir, run_dates), "bronze_totals")
     fin = clean.clean_financials(
         fixtures.bronze_financials(
             spark, sf_dir, run_dates, dirty=dirty, duplicates=duplicates, totals=totals

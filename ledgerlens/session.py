@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -61,3 +61,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "ledgerlens", uuid.uuid4().hex, *parts])
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: a lineage cut that computes the plan exactly once (an
+    RDD checkpoint of an unpersisted Dataset computes it twice) and
+    survives a lost executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

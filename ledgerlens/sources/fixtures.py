@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.config import RUN_DATE
+from ledgerlens.session import materialize
 
 # --- fixed values: fixture rules of FIXTURES.md part B and part C ---
 MONEY = T.DecimalType(12, 2)
@@ -439,15 +440,15 @@ def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_inde
     """A dense 0-based position in a total order, computed without one task.
 
     The rows are range-partitioned and sorted; each row gets its partition
-    id and in-partition position, the result is checkpointed so both passes
-    see the same partitions, and a table of per-partition counts (one row
+    id and in-partition position, the result is written once (so both
+    passes see the same ids), and a table of per-partition counts (one row
     per partition, so its size is bounded) gives the offsets.
     """
-    tagged = (
+    tagged = materialize(
         df.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_mid", F.monotonically_increasing_id()),
+        "row_index",
     )
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
