@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -219,10 +219,18 @@ def fundamentals_annual(fin: DataFrame, run_date: str) -> DataFrame:
 
 
 def valuation_snapshot(val: DataFrame, run_date: str) -> DataFrame:
-    """Valuation per (ticker, run_date): the row of the latest period."""
-    v = val.where(F.col("run_date") == run_date)
-    w = Window.partitionBy("run_date", "ticker")
-    latest = v.withColumn("_max", F.max("period").over(w)).where(F.col("period") == F.col("_max"))
+    """Valuation per (ticker, run_date): the row of the latest period.
+
+    A grouped "greatest row" (period first, then the ratios for ties), so
+    one row per key even with duplicated input, and no window that would
+    put a hot ticker's rows in one task.
+    """
+    from ledgerlens.operators.clean import keep_greatest
+
+    v = val.where(F.col("run_date") == run_date).select(
+        "run_date", "ticker", "period", "per", "pbv", "price", "ev_ebitda"
+    )
+    latest = keep_greatest(v, ("run_date", "ticker"), ("period", "per", "pbv", "price", "ev_ebitda"))
     return latest.select(
         "ticker", F.to_date("run_date").alias("run_date"), "period", "per", "pbv", "price", "ev_ebitda"
     )

@@ -421,12 +421,24 @@ def daily_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def price_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed price page per company: a JSON list, or one bare record
-    when the company has a single order. Columns: ticker, value."""
+def price_pages(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Landed price pages: a JSON list of at most ``page_size`` records
+    of one company, or one bare record when a page holds a single one.
+    Columns: ticker, value.
+
+    Pages are cut from a global row index over (ticker, order key), so
+    a company with a huge share of all orders still gives bounded pages.
+    """
     rows = daily_price_rows(spark, sf_dir)
-    rec = F.struct("o_orderkey", F.struct("date", "close").alias("r"))
-    pages = rows.groupBy("ticker").agg(F.sort_array(F.collect_list(rec)).alias("recs"))
+    ranked = with_row_index(
+        rows.select("ticker", "o_orderkey", "date", "close"),
+        [F.col("ticker").asc(), F.col("o_orderkey").asc()],
+    )
+    rec = F.struct("row_index", F.struct("date", "close").alias("r"))
+    block = F.floor(F.col("row_index") / F.lit(page_size))
+    pages = ranked.groupBy("ticker", block.alias("block")).agg(
+        F.sort_array(F.collect_list(rec)).alias("recs")
+    )
     records = F.transform("recs", lambda x: x["r"])
     return pages.select(
         "ticker",

@@ -82,12 +82,22 @@ def write_partitioned(
 
 
 def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
-    """S3: does the domain hold any data file yet? A missing folder is
-    'no'. Lists files, never scans them."""
-    try:
-        return len(spark.read.parquet(domain_path(root, layer, domain)).inputFiles()) > 0
-    except AnalysisException:
+    """S3: does the domain hold any file yet? A missing folder is 'no'.
+
+    Asks the file system for the first file under the folder and stops
+    there: the driver never holds the listing of a large domain.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(domain_path(root, layer, domain))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return False
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
 
 
 def backfill_run_dates(run_date: str, years: int) -> tuple[str, ...]:
