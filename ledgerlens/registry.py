@@ -712,3 +712,30 @@ def q_quality_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(_fact(spark, sf_dir), quality.GOLD_SUITE)
+
+
+# --------------------------------------------------------- streaming -----
+@register(
+    "stream_financials",
+    o.with_ctes(
+        o.base_ctes(),
+        f"SELECT {L} AS ticker, period, revenue, gross_profit, net_income, total_assets, "
+        "total_equity, total_debt, operating_cash_flow, "
+        "operating_cash_flow - (operating_cash_flow - capex) AS capex, "
+        "CASE (k + CAST(period AS INTEGER)) % 3 WHEN 0 THEN eps WHEN 1 THEN gross_profit / "
+        f"{fx.EPS_PER_SHARE_DIVISOR} ELSE NULL END AS eps, run_date "
+        f"FROM fin WHERE k % {fx.NO_SECTION_EVERY} <> 0 AND CAST(period AS INTEGER) >= {_CUT}",
+    ),
+)
+def q_stream_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed financials reports -> bronze through the incremental stream;
+    a second run with nothing new landed adds nothing."""
+    from ledgerlens.streaming import landing
+
+    root = scratch_path(spark, "lake")
+    landing_dir = raw.land(fx.financial_documents(spark, sf_dir), scratch_path(spark, "landing"))
+    ckpt = scratch_path(spark, "stream-checkpoint")
+    landing.ingest_financial_reports(spark, landing_dir, root, RUN_DATE, ckpt)
+    landing.ingest_financial_reports(spark, landing_dir, root, RUN_DATE, ckpt)
+    out = landing.read_ingested(spark, root)
+    return out.select(*[c for c in o.FIN_COLS.split(", ")])
