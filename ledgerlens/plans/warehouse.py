@@ -4,13 +4,14 @@
 Tables are Parquet folders under one warehouse root. The fact is
 partitioned by run_date, so reloading a run date replaces one partition
 folder and nothing else, and a rerun gives the same rows. The company
-dimension is rewritten as a whole: merged into a new version folder, and
-a small pointer file names the current version, so a plan never
-overwrites the folder it reads from.
+dimension is rewritten as a whole: merged into a new version folder
+whose commit marker publishes it, so a plan never overwrites the folder
+it reads from.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,11 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
     for name, schema in WAREHOUSE_TABLES.items():
         path = table_path(root, name)
         created = False
-        if not _exists(spark, path, schema):
+        if name == "dim_company":
+            if current_dim_company_path(spark, root) is None:
+                spark.createDataFrame([], schema).write.parquet(dim_company_version(root))
+                created = True
+        elif not _exists(spark, path, schema):
             empty = spark.createDataFrame([], schema)
             writer = empty.write.mode("overwrite")
             if name == FACT:
@@ -93,13 +98,40 @@ def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def dim_company_version(root: str) -> str:
-    return f"{table_path(root, 'dim_company')}_v{uuid.uuid4().hex}"
+    """A new version folder; names sort by creation time."""
+    return f"{table_path(root, 'dim_company')}/v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+
+
+def current_dim_company_path(spark: SparkSession, root: str) -> str | None:
+    """The newest committed version (a folder holding _SUCCESS).
+
+    A version is published by the commit of its own write, so a failed or
+    half-written merge is never read; one small listing, no Spark job.
+    """
+    base, fs = _fs(spark, table_path(root, "dim_company"))
+    if not fs.exists(base):
+        return None
+    names = sorted(
+        (st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()), reverse=True
+    )
+    for name in names:
+        path = f"{table_path(root, 'dim_company')}/{name}"
+        marker, _ = _fs(spark, f"{path}/_SUCCESS")
+        if fs.exists(marker):
+            return path
+    return None
 
 
 def write_dim_company(spark: SparkSession, root: str, incoming: DataFrame) -> str:
-    """Merge ``incoming`` into the current dim_company into a new folder,
-    then point the table at it (never overwrite what the plan reads)."""
+    """Merge ``incoming`` into the current dim_company as a new version
+    (never overwrite what the plan reads); returns the version path."""
     current = current_dim_company_path(spark, root)
     existing = (
         spark.read.schema(WAREHOUSE_TABLES["dim_company"]).parquet(current)
@@ -108,20 +140,9 @@ def write_dim_company(spark: SparkSession, root: str, incoming: DataFrame) -> st
     )
     target = dim_company_version(root)
     upsert_company(existing, incoming).write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(
-        table_path(root, "dim_company_current")
-    )
     return target
 
 
-def current_dim_company_path(spark: SparkSession, root: str) -> str | None:
-    try:
-        rows = spark.read.text(table_path(root, "dim_company_current")).collect()
-    except Exception:  # noqa: BLE001 - no version yet
-        return None
-    return rows[0][0] if rows else None
-
-
 def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
     path = current_dim_company_path(spark, root)
     if path is None:

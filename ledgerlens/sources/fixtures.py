@@ -222,10 +222,20 @@ def first_order_dates(
     spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,),
     totals: DataFrame | None = None,
 ) -> DataFrame:
-    """First order date per (run_date, customer), from the yearly totals
-    (a customer has one row per year, so this aggregate is small)."""
-    t = _totals(spark, sf_dir, run_dates, totals)
-    return t.groupBy("run_date", "k").agg(F.min("first_date").alias("first_date"))
+    """First order date per (run_date, customer).
+
+    From the yearly totals when they are already at hand (one row per
+    customer and year, so the aggregate is small); otherwise straight
+    from orders, without touching lineitem."""
+    if totals is not None:
+        return totals.groupBy("run_date", "k").agg(F.min("first_date").alias("first_date"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("o_date")
+    )
+    orders = orders.select("*", _run_dates(run_dates).alias("run_date")).where(
+        F.col("o_date") <= F.to_date("run_date")
+    )
+    return orders.groupBy("run_date", "k").agg(F.min("o_date").alias("first_date"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
