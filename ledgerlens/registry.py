@@ -739,3 +739,12 @@ def q_stream_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing.ingest_financial_reports(spark, landing_dir, root, RUN_DATE, ckpt)
     out = landing.read_ingested(spark, root)
     return out.select(*[c for c in o.FIN_COLS.split(", ")])
+
+
+@register("eps_growth_sql", ORACLE["eps_growth"])
+def q_eps_growth_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 through the SQL form with a bound :run_date parameter (F8)."""
+    from ledgerlens.plans.metric_sql import metric_sql
+
+    fin, _, val = _silver(spark, sf_dir)
+    return metric_sql(spark, "growth", fin, val, RUN_DATE)
