@@ -748,3 +748,27 @@ def q_eps_growth_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     fin, _, val = _silver(spark, sf_dir)
     return metric_sql(spark, "growth", fin, val, RUN_DATE)
+
+
+# ------------------------------------------------- K4 through the lake ---
+@register(
+    "weekly_run",
+    o.with_ctes(FACT2, f"SELECT {FACT_COLS} FROM fact"),
+)
+def q_weekly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of two run dates landed in one job, then one weekly run per
+    run date (gates reported, not enforced: the bronze row-count bound is
+    sized for a 89-company universe), the last one rerun."""
+    from ledgerlens.plans import weekly_run
+
+    root, wh = scratch_path(spark, "lake"), scratch_path(spark, "warehouse")
+    totals = materialize(fx.customer_year_totals(spark, sf_dir, TWO_RUNS), "bronze_totals")
+    for domain, frame in (
+        (FINANCIALS, fx.bronze_financials(spark, sf_dir, TWO_RUNS, totals=totals)),
+        ("company_profile", fx.bronze_profile(spark, sf_dir, TWO_RUNS, totals=totals)),
+        ("valuation_ratios", fx.bronze_valuation(spark, sf_dir, TWO_RUNS, totals=totals)),
+    ):
+        lake.write_partitioned(frame, root, "bronze", domain, spread_by="ticker")
+    for d in (*TWO_RUNS, RUN_DATE):
+        weekly_run.run_week(spark, root, wh, d, enforce_gates=False)
+    return warehouse.read_fact(spark, wh).select(*schemas.SCREENING_COLUMNS)
