@@ -154,15 +154,15 @@ def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
 def reload_fact(fact: DataFrame, root: str, run_date: str) -> str:
     """Replace the fact rows of one run date (delete + insert).
 
-    The partition folder is overwritten even when ``fact`` is empty (N6);
-    loaded_at is stamped here. Rows of ``fact`` must all carry run_date.
+    The new rows are staged and then swapped in for the partition folder,
+    also when ``fact`` is empty (N6): like the original delete + insert in
+    one transaction, a failed load leaves the previous rows. loaded_at is
+    stamped here.
     """
     body = fact.where(F.col("run_date") == F.to_date(F.lit(run_date))).select(
         *[c for c in SCREENING_COLUMNS if c != "run_date"], F.current_timestamp().alias("loaded_at")
     )
-    path = f"{table_path(root, FACT)}/run_date={run_date}"
-    body.write.mode("overwrite").parquet(path)
-    return path
+    return lake.replace_folder(body, f"{table_path(root, FACT)}/run_date={run_date}")
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:

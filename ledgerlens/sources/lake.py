@@ -8,6 +8,8 @@ inference pass runs; a run_date filter becomes a partition filter.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,17 +46,36 @@ def read_partition(
     return read_domain(spark, root, layer, domain, schema).where(F.col("run_date") == F.lit(run_date))
 
 
-def write_partition(df: DataFrame, root: str, layer: str, domain: str, run_date: str) -> str:
-    """Replace exactly one run_date partition.
+def replace_folder(df: DataFrame, target: str) -> str:
+    """Write ``df`` as Parquet so that it replaces the folder ``target``.
 
-    Writing to the partition's own path clears it even when ``df`` is
-    empty (a dynamic partition overwrite of an empty frame would leave the
-    old rows in place, N6). Other partitions are not touched.
+    The job writes into a hidden sibling staging folder (a leading '_'
+    keeps it out of partition discovery); only after the job committed is
+    the old folder removed and the staging folder renamed into place. A
+    lost executor only retries tasks of the staging write, and a job that
+    fails leaves the published folder as it was. An empty frame still
+    replaces the folder (one empty file), so old rows never survive (N6).
     """
+    spark = df.sparkSession
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    staging = f"{parent}/_staging_{name}_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst):
+        raise OSError(f"could not publish {staging} as {target}")
+    return target
+
+
+def write_partition(df: DataFrame, root: str, layer: str, domain: str, run_date: str) -> str:
+    """Replace exactly one run_date partition (other partitions are
+    not touched), through a staged write (``replace_folder``)."""
     path = partition_path(root, layer, domain, run_date)
     body = df.drop("run_date") if "run_date" in df.columns else df
-    body.write.mode("overwrite").parquet(path)
-    return path
+    return replace_folder(body, path)
 
 
 def write_partitioned(

@@ -102,3 +102,15 @@ def test_ensure_warehouse_is_idempotent(spark, scratch):
     again = {r.table: r.created for r in warehouse.ensure_warehouse(spark, scratch).collect()}
     assert all(first.values()) and not any(again.values())
     assert warehouse.read_fact(spark, scratch).count() == 0
+
+
+def test_failed_write_keeps_the_published_partition(spark, scratch):
+    import pytest
+
+    lake.write_partition(fin_rows(spark, 3, "2024-01-05"), scratch, "bronze", "fs", "2024-01-05")
+    bad = fin_rows(spark, 4, "2024-01-05").withColumn("revenue", F.col("ticker").cast("double"))  # ANSI error
+    with pytest.raises(Exception):
+        lake.write_partition(bad, scratch, "bronze", "fs", "2024-01-05")
+    df = lake.read_domain(spark, scratch, "bronze", "fs")
+    assert df.count() == 3
+    assert df.select("run_date").distinct().collect()[0][0] == "2024-01-05"
