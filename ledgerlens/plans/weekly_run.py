@@ -10,9 +10,10 @@ its own and a rerun of the whole week rewrites the same partitions.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ledgerlens import schemas
 from ledgerlens.config import FINANCIALS, PROFILE, VALUATION
@@ -27,11 +28,16 @@ SILVER_SCHEMAS = {
 }
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass
 class WeekResult:
-    bronze_gate: DataFrame
-    gold_gate: DataFrame
-    summary: DataFrame
+    """Rule-sized results of one week (a few rows each)."""
+
+    bronze_gate: list[Row]
+    gold_gate: list[Row]
+    summary: Row
 
 
 def bronze_gate(spark: SparkSession, root: str, run_date: str) -> DataFrame:
@@ -66,13 +72,22 @@ def run_week(
 ) -> WeekResult:
     """The week after bronze has landed. With ``enforce_gates`` a failed
     suite stops the run with one error listing every failed rule."""
-    gate_b = bronze_gate(spark, root, run_date)
-    if enforce_gates:
-        quality.enforce(gate_b, f"bronze/{FINANCIALS}/{run_date}")
+    gate_b = _gate(bronze_gate(spark, root, run_date), f"bronze/{FINANCIALS}/{run_date}", enforce_gates)
     silver_step(spark, root, run_date)
     gold_step(spark, root, wh_root, run_date)
     fact = warehouse.fact_for_run(spark, wh_root, run_date)
-    gate_g = quality.run_suite(fact, quality.GOLD_SUITE)
-    if enforce_gates:
-        quality.enforce(gate_g, f"gold/{warehouse.FACT}/{run_date}")
-    return WeekResult(gate_b, gate_g, warehouse.run_summary(fact, run_date))
+    gate_g = _gate(
+        quality.run_suite(fact, quality.GOLD_SUITE), f"gold/{warehouse.FACT}/{run_date}", enforce_gates
+    )
+    summary = warehouse.run_summary(fact, run_date).first()
+    log.info("run %s: total=%s passed=%s not_passed=%s", run_date, *summary)
+    return WeekResult(gate_b, gate_g, summary)
+
+
+def _gate(report: DataFrame, label: str, enforce: bool) -> list[Row]:
+    rows = report.orderBy("rule_id").collect()  # one row per rule
+    failed = [r for r in rows if not r.success]
+    log.info("[%s] %d/%d rules passed", label, len(rows) - len(failed), len(rows))
+    if enforce and failed:
+        quality.enforce(report, label)
+    return rows

@@ -70,3 +70,28 @@ def test_read_partition_prunes_and_growth_filter_reaches_the_scan(spark, scratch
     plan = metrics.eps_growth(fin, "2024-01-12")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_date" in plan and "2024-01-12" in plan
     assert metrics.eps_growth(fin, "2024-01-12").count() == 1
+
+
+def test_weekly_run_gates(spark, scratch):
+    import pytest
+
+    from ledgerlens.config import RUN_DATE
+    from ledgerlens.operators.quality import QualityError
+    from ledgerlens.plans import weekly_run
+    from ledgerlens.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    root, wh = f"{scratch}/lake", f"{scratch}/wh"
+    for domain, frame in (
+        ("financial_statements", fx.bronze_financials(spark, sf)),
+        ("company_profile", fx.bronze_profile(spark, sf)),
+        ("valuation_ratios", fx.bronze_valuation(spark, sf)),
+    ):
+        lake.write_partitioned(frame, root, "bronze", domain)
+    res = weekly_run.run_week(spark, root, wh, RUN_DATE, enforce_gates=False)
+    assert res.summary.total == 150 and res.summary.total == res.summary.passed + res.summary.not_passed
+    assert [r.success for r in res.gold_gate if r.rule == "unique_combination"] == [True]
+    # 796 bronze rows exceed the 50..500 bound of the bronze suite
+    assert [r.success for r in res.bronze_gate if r.rule == "row_count_between"] == [False]
+    with pytest.raises(QualityError):
+        weekly_run.run_week(spark, root, wh, RUN_DATE, enforce_gates=True)
