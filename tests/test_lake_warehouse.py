@@ -114,3 +114,24 @@ def test_failed_write_keeps_the_published_partition(spark, scratch):
     df = lake.read_domain(spark, scratch, "bronze", "fs")
     assert df.count() == 3
     assert df.select("run_date").distinct().collect()[0][0] == "2024-01-05"
+
+
+def test_insert_ignore_rerun_is_idempotent(spark):
+    b = spark.createDataFrame([("2024-01-01", "2024-01-10")], "start string, end string")
+    once = calendar_dim.insert_ignore(calendar_dim.calendar(b), calendar_dim.calendar(b), ["run_date"])
+    twice = calendar_dim.insert_ignore(once, calendar_dim.calendar(b), ["run_date"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_no_nan_in_gold_and_one_row_per_key(spark):
+    import math
+
+    import __spark_entry__ as entry
+
+    fact = entry.entry(spark)
+    assert fact.groupBy("ticker", "run_date").count().where("count > 1").count() == 0
+    doubles = [c for c, t in fact.dtypes if t == "double"]
+    assert fact.where(" OR ".join(f"isnan({c})" for c in doubles)).count() == 0
+    for r in fact.collect():
+        assert r.criteria_passed is not None and 0 <= r.criteria_passed <= 7
+        assert all(not (isinstance(r[c], float) and math.isnan(r[c])) for c in doubles)

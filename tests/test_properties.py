@@ -1,0 +1,61 @@
+"""Property-based checks against brute force on random small inputs."""
+
+import math
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ledgerlens.config import THRESHOLDS
+from ledgerlens.operators.clean import keep_greatest
+from ledgerlens.operators.scoring import score
+
+value = st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 0.5, 1.0, 2.0, math.nan]))
+row = st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["2023", "2024"]), value, value, value)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(row, min_size=1, max_size=25))
+def test_keep_greatest_equals_row_number_window(spark, rows):
+    df = spark.createDataFrame(rows, "k string, p string, a double, b double, c double")
+    w = Window.partitionBy("k", "p").orderBy(*[F.col(c).desc_nulls_last() for c in "abc"])
+    expected = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    got = keep_greatest(df, ("k", "p"), ("a", "b", "c"))
+
+    def canon(d):
+        return sorted((tuple("NaN" if isinstance(x, float) and math.isnan(x) else x for x in r) for r in d.collect()),
+                      key=repr)
+
+    assert canon(got) == canon(expected)
+
+
+metric = st.one_of(st.none(), st.floats(min_value=-50, max_value=50, allow_nan=False), st.just(math.nan))
+scored_row = st.tuples(*[metric] * 6)
+OPS = {">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b}
+
+
+def brute(r):
+    vals = dict(zip(("roe", "der", "fcf", "eps_growth_yoy", "per", "pbv"), r))
+
+    def ok(name, v):
+        if v is None or math.isnan(v):
+            return 0
+        op, bound = THRESHOLDS[name]
+        return int(OPS[op](v, bound))
+
+    n = sum(ok(k, v) for k, v in vals.items())
+    per, pbv = vals["per"], vals["pbv"]
+    g = None if per is None or pbv is None else per * pbv
+    return n + ok("graham_combined", g)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(scored_row, min_size=1, max_size=20))
+def test_score_equals_brute_force(spark, rows):
+    df = spark.createDataFrame(
+        [(str(i), *r) for i, r in enumerate(rows)],
+        "id string, roe double, der double, fcf double, eps_growth_yoy double, per double, pbv double",
+    )
+    got = {r.id: r.criteria_passed for r in score(df).collect()}
+    assert got == {str(i): brute(r) for i, r in enumerate(rows)}
