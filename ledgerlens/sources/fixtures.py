@@ -347,7 +347,7 @@ def valuation_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DA
     fin = financial_rows(customer_year_totals(spark, sf_dir, (run_date,)))
     val = valuation_rows(fin, spark, sf_dir)
     per_company = val.groupBy("k").agg(
-        F.first("price").alias("price"),
+        F.max("price").alias("price"),  # one price per company
         F.sort_array(
             F.collect_list(
                 F.struct(
