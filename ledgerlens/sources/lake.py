@@ -83,17 +83,19 @@ def write_partitioned(
     spread_by: str | None = None,
 ) -> str:
     """Fan rows out to one partition per value of ``column``;
-    only the partitions present in ``df`` are replaced.
-
-    Rows are range-partitioned on (column, spread_by) first: a date that
-    holds a large share of the rows is split over several writers, while
-    small dates share one, so neither one task per hot date nor one tiny
-    file per task and date.
+    only the partitions present in ``df`` are replaced (Spark's dynamic
+    partition overwrite stages the new files and swaps them on commit).
+
+    The REBALANCE hint lets AQE cluster rows by ``column`` while splitting
+    a value that holds a large share of the rows over several writers and
+    merging small ones, from runtime sizes, without a sampling pass over
+    the input: neither one task per hot date nor one tiny file per task
+    and date. ``spread_by`` is accepted for callers that name a secondary
+    key; the rebalance does not need it.
     """
     path = domain_path(root, layer, domain)
-    keys = [column] + ([spread_by] if spread_by else [])
     (
-        df.repartitionByRange(*keys)
+        df.hint("rebalance", column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
