@@ -7,7 +7,9 @@ a small DataFrame: rule_id, rule, column, checked, failed, success.
 
 Definitions: Q3 (not null) counts every row; Q4-Q6 leave NULLs out of
 the denominator; bounds are inclusive; an empty denominator passes; with
-``mostly`` a rule passes when the share of good values is >= mostly.
+``mostly`` a rule passes when the share of good values is >= mostly. Q7
+counts rows: every row of a key combination seen more than once fails,
+and rows whose key columns are all NULL are left out.
 """
 
 from __future__ import annotations
@@ -94,6 +96,14 @@ def _bad_in_checked(rule: Rule) -> tuple[Column, Column] | None:
     return None
 
 
+def _any_present(keys: Sequence[str]) -> Column:
+    """Rows whose key columns are all NULL are left out of uniqueness."""
+    cond = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        cond = cond | F.col(k).isNotNull()
+    return cond
+
+
 def _success(rule: Rule, checked: Column, failed: Column) -> Column:
     if rule["rule"] == "row_count_between":
         ok = F.lit(True)
@@ -145,11 +155,16 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     ]
     if keyed is not None:
         ki, krule = keyed
-        grouped = df.groupBy(*krule["columns"]).agg(F.count(F.lit(1)).alias("_n"), *inner)
+        keys = list(krule["columns"])
+        any_key = _any_present(keys)
+        grouped = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_rows"), *inner,
+        ).withColumn("_n", F.when(any_key, F.col("_rows")).otherwise(F.lit(0)))
         one = grouped.agg(
             *outer,
-            F.count(F.lit(1)).cast("long").alias(f"c{ki}"),
-            F.coalesce(_count_if(F.col("_n") > 1), zero).alias(f"f{ki}"),
+            F.coalesce(F.sum("_n"), zero).cast("long").alias(f"c{ki}"),
+            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)), zero)
+            .cast("long").alias(f"f{ki}"),
         )
         row_rules.append((ki, krule, None, None))
     elif row_rules:
@@ -171,9 +186,15 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
         parts.append(one.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
     for i, rule in other_unique:
         keys = list(rule["columns"])
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.count(F.lit(1)).cast("long").alias("checked"),
-            F.coalesce(_count_if(F.col("_n") > 1), zero).alias("failed"),
+        dup = (
+            df.where(_any_present(keys))
+            .groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(
+                F.coalesce(F.sum("_n"), zero).cast("long").alias("checked"),
+                F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)), zero)
+                .cast("long").alias("failed"),
+            )
         )
         parts.append(dup.select(
             F.lit(i).alias("rule_id"), F.lit(rule["rule"]).alias("rule"),

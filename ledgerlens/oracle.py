@@ -215,11 +215,13 @@ def suite_sql(suite, source: str, columns: Sequence[str]) -> str:
             continue
         if kind == "unique_combination":
             keys = ", ".join(r["columns"])
+            present = " OR ".join(f"{c} IS NOT NULL" for c in r["columns"])
             parts.append(
-                head + f"'{','.join(r['columns'])}' AS \"column\", CAST(COUNT(*) AS BIGINT) AS checked, "
-                "CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS failed, "
+                head + f"'{','.join(r['columns'])}' AS \"column\", "
+                "CAST(COALESCE(SUM(n), 0) AS BIGINT) AS checked, "
+                "CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS failed, "
                 "COUNT(*) FILTER (WHERE n > 1) = 0 AS success "
-                f"FROM (SELECT {keys}, COUNT(*) AS n FROM {source} GROUP BY {keys})"
+                f"FROM (SELECT {keys}, COUNT(*) AS n FROM {source} WHERE {present} GROUP BY {keys})"
             )
             continue
         if kind == "row_count_between":

@@ -22,6 +22,7 @@ def test_suite_reports_every_rule(spark):
     assert [rep[i].success for i in range(8)] == [False, False, False, False, True, True, True, False]
     assert (rep[3].checked, rep[3].failed) == (3, 1)
     assert (rep[5].checked, rep[5].failed) == (2, 1)
+    assert (rep[6].checked, rep[6].failed) == (3, 0)
     with pytest.raises(quality.QualityError) as err:
         quality.enforce(quality.run_suite(df, suite), "bronze")
     assert "5 rule(s)" in str(err.value)
@@ -32,3 +33,15 @@ def test_empty_frame(spark):
                                "roe double, der double, fcf double")
     rep = {r.rule_id: r.success for r in quality.run_suite(df, quality.GOLD_SUITE).collect()}
     assert rep[0] is False and all(v for k, v in rep.items() if k != 0)
+
+
+def test_unique_counts_rows_and_skips_all_null_keys(spark):
+    df = spark.createDataFrame(
+        [("A", 1), ("A", 1), ("A", 1), ("B", 1), (None, None), (None, None)], "t string, d int"
+    )
+    suite = ({"rule": "unique_combination", "columns": ("t", "d")},)
+    r = quality.run_suite(df, suite).first()
+    assert (r.checked, r.failed, r.success) == (4, 3, False)
+    suite2 = ({"rule": "not_null", "column": "t"},) + suite
+    r2 = {x.rule_id: x for x in quality.run_suite(df, suite2).collect()}[1]
+    assert (r2.checked, r2.failed, r2.success) == (4, 3, False)
