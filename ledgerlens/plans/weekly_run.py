@@ -72,7 +72,10 @@ def run_week(
 ) -> WeekResult:
     """The week after bronze has landed. With ``enforce_gates`` a failed
     suite stops the run with one error listing every failed rule."""
-    gate_b = _gate(bronze_gate(spark, root, run_date), f"bronze/{FINANCIALS}/{run_date}", enforce_gates)
+    gate_b = _gate(
+        bronze_gate(spark, root, run_date), f"bronze/{FINANCIALS}/{run_date}", enforce_gates,
+        len(schemas.BRONZE_FINANCIALS.fields),
+    )
     silver_step(spark, root, run_date)
     gold_step(spark, root, wh_root, run_date)
     fact = warehouse.fact_for_run(spark, wh_root, run_date)
@@ -84,9 +87,12 @@ def run_week(
     return WeekResult(gate_b, gate_g, summary)
 
 
-def _gate(report: DataFrame, label: str, enforce: bool) -> list[Row]:
+def _gate(report: DataFrame, label: str, enforce: bool, columns: int | None = None) -> list[Row]:
     rows = report.orderBy("rule_id").collect()  # one row per rule
     failed = [r for r in rows if not r.success]
+    counted = [r.checked for r in rows if r.rule == "row_count_between"]
+    if counted:  # A7: row count (from the suite's own pass) and column count
+        log.info("[%s] %d rows, %s columns", label, counted[0], columns)
     log.info("[%s] %d/%d rules passed", label, len(rows) - len(failed), len(rows))
     if enforce and failed:
         quality.enforce(report, label)
