@@ -59,3 +59,55 @@ def test_score_equals_brute_force(spark, rows):
     )
     got = {r.id: r.criteria_passed for r in score(df).collect()}
     assert got == {str(i): brute(r) for i, r in enumerate(rows)}
+
+
+measure = st.one_of(st.none(), st.sampled_from([-3.5, 0.0, 1.25, 2e11]))
+year_obj = st.fixed_dictionaries({
+    "year": st.one_of(st.none(), st.integers(min_value=2019, max_value=2026)),
+    "revenue": measure, "earnings": measure, "operating_cash_flow": measure,
+    "free_cash_flow": measure, "eps": measure,
+})
+eps_map = st.dictionaries(
+    st.sampled_from([str(y) for y in range(2019, 2027)]),
+    st.one_of(st.just({}), st.fixed_dictionaries({"eps": measure})),
+    max_size=4,
+)
+report = st.tuples(st.lists(year_obj, max_size=4), st.one_of(st.none(), eps_map))
+
+
+def brute_flatten(docs, run_date):
+    """The flattening rules written plainly, one document at a time."""
+    cutoff = int(run_date[:4]) - 1
+    out = []
+    for i, (years, emap) in enumerate(docs):
+        hist = {y: d.get("eps") for y, d in (emap or {}).items()}
+        for h in years:
+            y = h["year"]
+            if y is None or y < cutoff:
+                continue
+            ocf, fcf = h["operating_cash_flow"], h["free_cash_flow"]
+            out.append((f"T{i}", str(y), h["revenue"], h["earnings"], ocf,
+                        ocf - fcf if ocf is not None and fcf is not None else None,
+                        hist.get(str(y), h["eps"])))
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(report, min_size=1, max_size=6), st.sampled_from(["2021-06-18", "2024-12-27", "2026-01-02"]))
+def test_flatten_financials_equals_brute_force(spark, docs, run_date):
+    import json
+
+    from ledgerlens.operators.flatten import flatten_financials
+
+    texts = []
+    for i, (years, emap) in enumerate(docs):
+        fin = {"historical_financials": years}
+        if emap is not None:
+            fin["historical_eps"] = emap
+        texts.append((json.dumps({"ticker": f"T{i}", "financials": fin}),))
+    df = flatten_financials(spark.createDataFrame(texts, "value string"), run_date)
+    got = sorted(
+        ((r.ticker, r.period, r.revenue, r.net_income, r.operating_cash_flow, r.capex, r.eps) for r in df.collect()),
+        key=repr,
+    )
+    assert got == brute_flatten(docs, run_date)
