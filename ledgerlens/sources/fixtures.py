@@ -68,8 +68,19 @@ def _cents(c: Column) -> Column:
 
     Sums of these longs equal the DECIMAL sums exactly, but stay on the
     fast fixed-width aggregation path (a DECIMAL(12,2) sum is 22 digits
-    wide and would aggregate through BigDecimal buffers)."""
-    return (c.cast(MONEY) * F.lit(100)).cast("long")
+    wide and would aggregate through BigDecimal buffers).
+
+    The cast itself is skipped where it cannot change the result: when
+    |c| < 1e10 and c * 100 lies within 0.25 of an integer, rounding c to
+    cents (HALF_UP on its decimal form) gives that integer, because the
+    gap between c's decimal form and the double is below 1e-3 cents in
+    that range. Every other value (a half-cent tie, NaN, out of range)
+    goes through the DECIMAL cast, with its errors.
+    """
+    y = c * F.lit(100.0)
+    near_whole = (F.abs(c) < F.lit(1e10)) & (F.abs(y - F.rint(y)) < F.lit(0.25))
+    exact = (c.cast(MONEY) * F.lit(100)).cast("long")
+    return F.when(near_whole, F.rint(y).cast("long")).otherwise(exact)
 
 
 def _zero() -> Column:

@@ -111,3 +111,19 @@ def test_flatten_financials_equals_brute_force(spark, docs, run_date):
         key=repr,
     )
     assert got == brute_flatten(docs, run_date)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(
+    st.one_of(
+        st.decimals(min_value=-10**9, max_value=10**9, places=2, allow_nan=False, allow_infinity=False),
+        st.decimals(min_value=-10**6, max_value=10**6, places=4, allow_nan=False, allow_infinity=False),
+    ).map(float) | st.none(),
+    min_size=1, max_size=40,
+))
+def test_cents_equal_decimal_cast(spark, values):
+    from ledgerlens.sources.fixtures import MONEY, _cents
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(_cents(F.col("x")).alias("a"), (F.col("x").cast(MONEY) * 100).cast("long").alias("b"))
+    assert all(r.a == r.b for r in got.collect())
