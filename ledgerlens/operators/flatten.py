@@ -3,15 +3,16 @@ and the union of pages with differing columns (U1).
 
 Every section is parsed with an explicit schema (no inference pass over
 the data). Measures are read as text and cast once here, so a number
-written as a string survives like it does in a dict, and a malformed
-document is counted instead of silently producing a row of NULLs.
+written as a string survives like it does in a dict. A malformed
+document is dropped rather than turned into a row of NULLs, and can be
+counted with an ``Observation``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,19 +23,30 @@ from ledgerlens.functions.expressions import cutoff_year, normalize_ticker
 CORRUPT = "_corrupt_record"
 
 
-def parse_reports(raw: DataFrame, section: str, section_type: T.DataType) -> DataFrame:
-    """value (JSON text) -> ticker, company_name, <section>, _corrupt_record.
+def parse_reports(
+    raw: DataFrame, section: str, section_type: T.DataType, observation: Observation | None = None
+) -> DataFrame:
+    """value (JSON text) -> ticker, company_name, <section>.
 
-    A document that is not valid JSON keeps its text in _corrupt_record
-    and is dropped by the flatteners.
+    A document that is not valid JSON is dropped (the original skips such
+    a report with a warning). With ``observation`` the numbers of parsed
+    and malformed documents are collected by the same job that reads them
+    (``observation.get`` after the first action), without an extra pass.
     """
     schema = schemas.report_schema(section, section_type).add(CORRUPT, T.StringType())
     parsed = raw.select(
         F.from_json(
             "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         ).alias("r")
-    )
-    return parsed.select("r.*").where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    ).select("r.*")
+    if observation is not None:
+        bad = F.col(CORRUPT).isNotNull()
+        parsed = parsed.observe(
+            observation,
+            F.count(F.lit(1)).alias("documents"),
+            F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
+        )
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def _name() -> Column:
@@ -55,9 +67,9 @@ def _num(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def flatten_overview(raw: DataFrame) -> DataFrame:
+def flatten_overview(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
     """one row per report; a missing section gives NULL attributes."""
-    r = parse_reports(raw, "overview", schemas.OVERVIEW_SECTION)
+    r = parse_reports(raw, "overview", schemas.OVERVIEW_SECTION, observation)
     return r.select(
         "ticker",
         _name().alias("company_name"),
@@ -69,7 +81,8 @@ def flatten_overview(raw: DataFrame) -> DataFrame:
 
 
 def flatten_financials(
-    raw: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK
+    raw: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """one row per reported year from the cutoff on.
 
@@ -77,7 +90,7 @@ def flatten_financials(
     eps from the by-year map when the year key exists (even with a NULL
     value, N4), else the array element's eps.
     """
-    r = parse_reports(raw, "financials", schemas.FINANCIALS_SECTION)
+    r = parse_reports(raw, "financials", schemas.FINANCIALS_SECTION, observation)
     r = r.select("ticker", F.col("financials.historical_eps").alias("m"),
                  F.col("financials.historical_financials").alias("hf"))
     rows = _year_rows(r, "hf", run_date, years_back)
@@ -102,10 +115,11 @@ def flatten_financials(
 
 
 def flatten_valuation(
-    raw: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK
+    raw: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """one row per reported year; last close price repeated per year."""
-    r = parse_reports(raw, "valuation", schemas.VALUATION_SECTION)
+    r = parse_reports(raw, "valuation", schemas.VALUATION_SECTION, observation)
     r = r.select("ticker", F.col("valuation.last_close_price").alias("lcp"),
                  F.col("valuation.historical_valuation").alias("hv"))
     rows = _year_rows(r, "hv", run_date, years_back)

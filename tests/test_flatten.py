@@ -51,10 +51,14 @@ def test_numbers_written_as_text_survive(spark):
     assert (r.period, r.revenue, r.net_income) == ("2024", 5.0, 7.5)
 
 
-def test_malformed_document_is_dropped(spark):
+def test_malformed_document_is_dropped_and_counted(spark):
+    from pyspark.sql import Observation
+
     good = fin_doc([year(2024)])
-    out = flatten.flatten_financials(docs(spark, good, "{not json"), "2024-12-31").collect()
+    seen = Observation("reports")
+    out = flatten.flatten_financials(docs(spark, good, "{not json"), "2024-12-31", observation=seen).collect()
     assert len(out) == 1
+    assert seen.get == {"documents": 2, "malformed": 1}
 
 
 def test_valuation_rename_and_price_per_year(spark):
