@@ -54,7 +54,8 @@ def score(
     for f in flags[1:]:
         total = total + f
     passed = total.cast("int")
-    return df.select(
+    # Re-scoring replaces an earlier result instead of duplicating columns.
+    return df.drop("criteria_passed", "status").select(
         "*",
         passed.alias("criteria_passed"),
         F.when(passed == F.lit(len(flags)), F.lit(pass_word)).otherwise(F.lit(fail_word)).alias(

@@ -88,3 +88,10 @@ def test_flags_sum_to_criteria_passed(spark):
     df = spark.createDataFrame([tuple(r[c] for c in ("ticker",) + COLS) for r in rows], SCHEMA)
     for r in score(criteria_flags(df)).collect():
         assert sum(r[f"pass_{n}"] for n in THRESHOLDS) == r.criteria_passed
+
+
+def test_rescoring_replaces_columns(spark):
+    df = spark.createDataFrame([tuple(base()[c] for c in ("ticker",) + COLS)], SCHEMA)
+    twice = score(score(df).withColumn("roe", df["roe"] * 0))
+    assert twice.columns.count("criteria_passed") == 1
+    assert twice.first().criteria_passed == 6
