@@ -1,6 +1,6 @@
 """One weekly run through the lake and the warehouse, step by step:
 
-bronze gate -> silver jobs (written per run date) -> gold screening read
+(landed reports -> bronze) -> bronze gate -> silver jobs (written per run date) -> gold screening read
 back from silver with partition pruning -> dim_company upsert and fact
 reload -> gold gate -> run summary.
 
@@ -13,13 +13,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ledgerlens import schemas
-from ledgerlens.config import FINANCIALS, PROFILE, VALUATION
-from ledgerlens.operators import clean, quality
+from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS, PROFILE, VALUATION
+from ledgerlens.operators import clean, flatten, quality
 from ledgerlens.plans import screening, warehouse
-from ledgerlens.sources import lake
+from ledgerlens.sources import lake, raw
 
 SILVER_SCHEMAS = {
     FINANCIALS: schemas.BRONZE_FINANCIALS,
@@ -40,6 +40,36 @@ class WeekResult:
     summary: Row
 
 
+# landed section -> bronze domain
+LANDED_SECTIONS = {"overview": PROFILE, "financials": FINANCIALS, "valuation": VALUATION}
+
+
+def bronze_from_landing(
+    spark: SparkSession, landing_root: str, root: str, run_date: str,
+    years_back: int = CUTOFF_YEARS_BACK,
+) -> dict[str, int]:
+    """The extract step after the fetch: landed report documents of one
+    run date (``<landing_root>/<section>/run_date=<d>/``, JSON text) are
+    flattened and written as that run date's bronze partition of each
+    domain. Malformed documents are skipped and counted (returned per
+    section, from the same write job)."""
+    skipped = {}
+    for section, domain in LANDED_SECTIONS.items():
+        docs = raw.read_landed(spark, f"{landing_root.rstrip('/')}/{section}/run_date={run_date}")
+        seen = Observation(f"landed_{section}")
+        if section == "overview":
+            rows = flatten.flatten_overview(docs, observation=seen)
+        elif section == "financials":
+            rows = flatten.flatten_financials(docs, run_date, years_back, observation=seen)
+        else:
+            rows = flatten.flatten_valuation(docs, run_date, years_back, observation=seen)
+        lake.write_partition(rows, root, "bronze", domain, run_date)
+        skipped[section] = int(seen.get.get("malformed") or 0)
+        if skipped[section]:
+            log.warning("skipped %d malformed %s reports for %s", skipped[section], section, run_date)
+    return skipped
+
+
 def bronze_gate(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, schemas.BRONZE_FINANCIALS)
     return quality.run_suite(fin, quality.BRONZE_SUITE)
