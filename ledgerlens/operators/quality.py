@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,9 +209,65 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType) for f in REPORT_SCHEMA.fields])
 
 
-def enforce(report: DataFrame, label: str) -> None:
-    """Raise one error listing every failed rule (the gate of a step)."""
-    failed = report.where(~F.col("success")).orderBy("rule_id").collect()
+def observe_suite(df: DataFrame, suite: Sequence[Rule], name: str):
+    """Attach a suite's row-level rules to ``df`` as an ``Observation``.
+
+    Whatever job consumes the returned frame (a write, typically) computes
+    the rule counts on the way, so a gate costs no pass of its own. Returns
+    (observed frame, report) where ``report()`` gives the report rows,
+    like ``run_suite``, once that job ran. Uniqueness needs a grouping and
+    cannot be observed; use ``run_suite`` for suites with it.
+    """
+    if any(r["rule"] == "unique_combination" for r in suite):
+        raise ValueError("unique_combination cannot be observed; use run_suite")
+    zero = F.lit(0).cast("long")
+    static, metrics, rules = [], [], []
+    for i, rule in enumerate(suite):
+        if rule["rule"] == "columns_present":
+            missing = [c for c in rule["columns"] if c not in df.columns]
+            static.append(Row(rule_id=i, rule=rule["rule"], column=None, checked=len(rule["columns"]),
+                              failed=len(missing), success=not missing))
+            continue
+        pair = _bad_in_checked(rule)
+        if pair is None:
+            static.append(Row(rule_id=i, rule=rule["rule"], column=rule.get("column"), checked=0,
+                              failed=1, success=False))
+            continue
+        metrics += [F.coalesce(pair[0], zero).alias(f"c{i}"), F.coalesce(pair[1], zero).alias(f"f{i}")]
+        rules.append((i, rule))
+    observation = Observation(name)
+    observed = df.observe(observation, *metrics) if metrics else df
+
+    def report() -> list[Row]:
+        got = observation.get if metrics else {}
+        rows = list(static)
+        for i, rule in rules:
+            c, f = int(got.get(f"c{i}") or 0), int(got.get(f"f{i}") or 0)
+            rows.append(Row(rule_id=i, rule=rule["rule"], column=rule.get("column"), checked=c,
+                            failed=f, success=_success_value(rule, c, f)))
+        return sorted(rows, key=lambda r: r.rule_id)
+
+    return observed, report
+
+
+def _success_value(rule: Rule, checked: int, failed: int) -> bool:
+    """``_success`` on driver-side numbers (observed counts)."""
+    if rule["rule"] == "row_count_between":
+        lo, hi = rule.get("min"), rule.get("max")
+        return (lo is None or checked >= lo) and (hi is None or checked <= hi)
+    mostly = rule.get("mostly")
+    if mostly is None:
+        return failed == 0
+    return checked == 0 or (checked - failed) / checked >= float(mostly)
+
+
+def enforce_rows(rows: Sequence[Row], label: str) -> None:
+    failed = [r for r in rows if not r.success]
     if failed:
         lines = [f"  x {r.rule} column={r.column} checked={r.checked} failed={r.failed}" for r in failed]
         raise QualityError(f"[{label}] data quality failed, {len(failed)} rule(s):\n" + "\n".join(lines))
+
+
+def enforce(report: DataFrame, label: str) -> None:
+    """Raise one error listing every failed rule (the gate of a step)."""
+    enforce_rows(report.where(~F.col("success")).orderBy("rule_id").collect(), label)

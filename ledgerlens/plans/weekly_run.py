@@ -11,6 +11,7 @@ its own and a rerun of the whole week rewrites the same partitions.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -75,16 +76,32 @@ def bronze_gate(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     return quality.run_suite(fin, quality.BRONZE_SUITE)
 
 
-def silver_step(spark: SparkSession, root: str, run_date: str) -> None:
-    """C1-C3 on one run date of bronze, each written to its silver partition."""
-    jobs = {
-        FINANCIALS: clean.clean_financials,
-        PROFILE: clean.clean_profile,
-        VALUATION: clean.clean_valuation,
-    }
-    for domain, job in jobs.items():
+def silver_step(
+    spark: SparkSession, root: str, run_date: str, enforce_gate: bool = True
+) -> list[Row]:
+    """C1-C3 on one run date of bronze, each written to its silver partition.
+
+    The bronze gate rides on the financials job: its rules are observed
+    while that job reads bronze (no pass of its own over bronze), the
+    silver rows are staged, and only a passing gate (or one not enforced)
+    publishes them. Financials go first, so a failing gate stops the step
+    before any silver partition changes. Returns the gate's report rows.
+    """
+    label = f"bronze/{FINANCIALS}/{run_date}"
+    fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, SILVER_SCHEMAS[FINANCIALS])
+    observed, report = quality.observe_suite(fin, quality.BRONZE_SUITE, f"gate_{uuid.uuid4().hex}")
+    target = lake.partition_path(root, "silver", FINANCIALS, run_date)
+    staging = lake.stage_folder(clean.clean_financials(observed).drop("run_date"), target)
+    gate = report()
+    _log_gate(gate, label, len(fin.columns))
+    if enforce_gate and not all(r.success for r in gate):
+        lake.discard_folder(spark, staging)
+        quality.enforce_rows(gate, label)
+    lake.publish_folder(spark, staging, target)
+    for domain, job in ((PROFILE, clean.clean_profile), (VALUATION, clean.clean_valuation)):
         bronze = lake.read_partition(spark, root, "bronze", domain, run_date, SILVER_SCHEMAS[domain])
         lake.write_partition(job(bronze), root, "silver", domain, run_date)
+    return gate
 
 
 def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> None:
@@ -102,28 +119,23 @@ def run_week(
 ) -> WeekResult:
     """The week after bronze has landed. With ``enforce_gates`` a failed
     suite stops the run with one error listing every failed rule."""
-    gate_b = _gate(
-        bronze_gate(spark, root, run_date), f"bronze/{FINANCIALS}/{run_date}", enforce_gates,
-        len(schemas.BRONZE_FINANCIALS.fields),
-    )
-    silver_step(spark, root, run_date)
+    gate_b = silver_step(spark, root, run_date, enforce_gates)
     gold_step(spark, root, wh_root, run_date)
     fact = warehouse.fact_for_run(spark, wh_root, run_date)
-    gate_g = _gate(
-        quality.run_suite(fact, quality.GOLD_SUITE), f"gold/{warehouse.FACT}/{run_date}", enforce_gates
-    )
+    label = f"gold/{warehouse.FACT}/{run_date}"
+    # The gold suite has a uniqueness rule, so it is one grouped pass.
+    gate_g = quality.run_suite(fact, quality.GOLD_SUITE).orderBy("rule_id").collect()
+    _log_gate(gate_g, label, len(fact.columns))
+    if enforce_gates:
+        quality.enforce_rows(gate_g, label)
     summary = warehouse.run_summary(fact, run_date).first()
     log.info("run %s: total=%s passed=%s not_passed=%s", run_date, *summary)
     return WeekResult(gate_b, gate_g, summary)
 
 
-def _gate(report: DataFrame, label: str, enforce: bool, columns: int | None = None) -> list[Row]:
-    rows = report.orderBy("rule_id").collect()  # one row per rule
+def _log_gate(rows: list[Row], label: str, columns: int) -> None:
     failed = [r for r in rows if not r.success]
     counted = [r.checked for r in rows if r.rule == "row_count_between"]
-    if counted:  # A7: row count (from the suite's own pass) and column count
-        log.info("[%s] %d rows, %s columns", label, counted[0], columns)
+    if counted:  # A7: row count (from the suite's own counts) and column count
+        log.info("[%s] %d rows, %d columns", label, counted[0], columns)
     log.info("[%s] %d/%d rules passed", label, len(rows) - len(failed), len(rows))
-    if enforce and failed:
-        quality.enforce(report, label)
-    return rows

@@ -46,30 +46,49 @@ def read_partition(
     return read_domain(spark, root, layer, domain, schema).where(F.col("run_date") == F.lit(run_date))
 
 
-def replace_folder(df: DataFrame, target: str) -> str:
-    """Write ``df`` as Parquet so that it replaces the folder ``target``.
-
-    The job writes into a hidden sibling staging folder (a leading '_'
-    keeps it out of partition discovery); only after the job committed is
-    the old folder removed and the staging folder renamed into place. A
-    lost executor only retries tasks of the staging write, and a job that
-    fails leaves the published folder as it was. An empty frame still
-    replaces the folder (one empty file), so old rows never survive (N6).
-    """
-    spark = df.sparkSession
+def stage_folder(df: DataFrame, target: str) -> str:
+    """Write ``df`` as Parquet into a hidden sibling staging folder of
+    ``target`` (a leading '_' keeps it out of partition discovery)."""
     parent, name = target.rstrip("/").rsplit("/", 1)
     staging = f"{parent}/_staging_{name}_{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(staging)
+    return staging
+
+
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish_folder(spark: SparkSession, staging: str, target: str) -> str:
+    """Swap a committed staging folder in for ``target``."""
+    dst, fs = _fs(spark, target)
     if fs.exists(dst):
         fs.delete(dst, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst):
+    src, _ = _fs(spark, staging)
+    if not fs.rename(src, dst):
         raise OSError(f"could not publish {staging} as {target}")
     return target
 
 
+def discard_folder(spark: SparkSession, staging: str) -> None:
+    path, fs = _fs(spark, staging)
+    fs.delete(path, True)
+
+
+def replace_folder(df: DataFrame, target: str) -> str:
+    """Write ``df`` as Parquet so that it replaces the folder ``target``.
+
+    The job writes into a staging folder; only after the job committed is
+    the old folder removed and the staging folder renamed into place. A
+    lost executor only retries tasks of the staging write, and a job that
+    fails leaves the published folder as it was. An empty frame still
+    replaces the folder (one empty file), so old rows never survive (N6).
+    """
+    return publish_folder(df.sparkSession, stage_folder(df, target), target)
+
+
 def write_partition(df: DataFrame, root: str, layer: str, domain: str, run_date: str) -> str:
     """Replace exactly one run_date partition (other partitions are
     not touched), through a staged write (``replace_folder``)."""
@@ -110,9 +129,7 @@ def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
     Asks the file system for the first file under the folder and stops
     there: the driver never holds the listing of a large domain.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(domain_path(root, layer, domain))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs = _fs(spark, domain_path(root, layer, domain))
     if not fs.exists(path):
         return False
     files = fs.listFiles(path, True)

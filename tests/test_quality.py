@@ -45,3 +45,13 @@ def test_unique_counts_rows_and_skips_all_null_keys(spark):
     suite2 = ({"rule": "not_null", "column": "t"},) + suite
     r2 = {x.rule_id: x for x in quality.run_suite(df, suite2).collect()}[1]
     assert (r2.checked, r2.failed, r2.success) == (4, 3, False)
+
+
+def test_observed_suite_equals_run_suite(spark):
+    from ledgerlens.sources import fixtures as fx
+
+    bronze = fx.bronze_financials(spark, "/root/testdata/sf0.001", dirty=True)
+    expected = [tuple(r) for r in quality.run_suite(bronze, quality.BRONZE_SUITE).orderBy("rule_id").collect()]
+    observed, report = quality.observe_suite(bronze, quality.BRONZE_SUITE, "t_obs")
+    observed.write.format("noop").mode("overwrite").save()
+    assert [tuple(r) for r in report()] == expected

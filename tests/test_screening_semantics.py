@@ -95,3 +95,18 @@ def test_weekly_run_gates(spark, scratch):
     assert [r.success for r in res.bronze_gate if r.rule == "row_count_between"] == [False]
     with pytest.raises(QualityError):
         weekly_run.run_week(spark, root, wh, RUN_DATE, enforce_gates=True)
+
+
+def test_failing_gate_publishes_no_silver(spark, scratch):
+    import pytest
+
+    from ledgerlens.config import RUN_DATE
+    from ledgerlens.operators.quality import QualityError
+    from ledgerlens.plans import weekly_run
+    from ledgerlens.sources import fixtures as fx
+
+    root = f"{scratch}/lake"
+    lake.write_partitioned(fx.bronze_financials(spark, "/root/testdata/sf0.001"), root, "bronze", "financial_statements")
+    with pytest.raises(QualityError):
+        weekly_run.silver_step(spark, root, RUN_DATE, enforce_gate=True)
+    assert not lake.has_data(spark, root, "silver", "financial_statements")
