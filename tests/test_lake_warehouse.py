@@ -135,3 +135,12 @@ def test_no_nan_in_gold_and_one_row_per_key(spark):
     for r in fact.collect():
         assert r.criteria_passed is not None and 0 <= r.criteria_passed <= 7
         assert all(not (isinstance(r[c], float) and math.isnan(r[c])) for c in doubles)
+
+
+def test_partitioned_write_replaces_only_present_partitions(spark, scratch):
+    first = fin_rows(spark, 3, "2024-01-05").unionByName(fin_rows(spark, 2, "2024-01-12"))
+    lake.write_partitioned(first, scratch, "bronze", "fs")
+    lake.write_partitioned(fin_rows(spark, 4, "2024-01-12"), scratch, "bronze", "fs")
+    got = {r.run_date: r.n for r in lake.read_domain(spark, scratch, "bronze", "fs")
+           .groupBy("run_date").agg(F.count("*").alias("n")).collect()}
+    assert got == {"2024-01-05": 3, "2024-01-12": 4}
