@@ -39,7 +39,7 @@ BRONZE_SUITE: tuple[Rule, ...] = (
     {"rule": "not_null", "column": "total_equity", "mostly": 0.7},
     {"rule": "not_null", "column": "revenue", "mostly": 0.6},
 )
-# gold (fct_buffett_screening of one run date)
+# gold (fct_screening of one run date)
 GOLD_SUITE: tuple[Rule, ...] = (
     {"rule": "row_count_between", "min": 1},
     {"rule": "not_null", "column": "ticker"},

@@ -22,7 +22,7 @@ from ledgerlens.config import STATUS_PASS
 from ledgerlens.schemas import SCREENING_COLUMNS, WAREHOUSE_TABLES
 from ledgerlens.sources import lake
 
-FACT = "fct_buffett_screening"
+FACT = "fct_screening"
 
 
 def table_path(root: str, name: str) -> str:

@@ -125,5 +125,5 @@ WAREHOUSE_TABLES: dict[str, T.StructType] = {
     "dim_fiscal_period": DIM_FISCAL_PERIOD,
     "fct_fundamentals_annual": FCT_FUNDAMENTALS_ANNUAL,
     "fct_valuation_snapshot": FCT_VALUATION_SNAPSHOT,
-    "fct_buffett_screening": FCT_SCREENING,
+    "fct_screening": FCT_SCREENING,
 }

@@ -29,7 +29,7 @@ def test_weekly_tasks(spark, scratch, capsys):
         "overview": 0, "financials": 0, "valuation": 0}
     assert lake.has_data(spark, lake_root, "bronze", "financial_statements")
     created = run("init", "--warehouse", wh)
-    assert {t["table"] for t in created} >= {"dim_company", "fct_buffett_screening", "dim_date"}
+    assert {t["table"] for t in created} >= {"dim_company", "fct_screening", "dim_date"}
     summary = run("week", "--lake", lake_root, "--warehouse", wh, "--run-date", RUN_DATE, "--no-enforce")
     assert summary["total"] == warehouse.fact_for_run(spark, wh, RUN_DATE).count() > 0
     assert summary["total"] == summary["passed"] + summary["not_passed"]
