@@ -57,7 +57,7 @@ def bronze_from_landing(
     skipped = {}
     for section, domain in LANDED_SECTIONS.items():
         docs = raw.read_landed(spark, f"{landing_root.rstrip('/')}/{section}/run_date={run_date}")
-        seen = Observation(f"landed_{section}")
+        seen = Observation(f"landed_{section}_{uuid.uuid4().hex}")
         if section == "overview":
             rows = flatten.flatten_overview(docs, observation=seen)
         elif section == "financials":
