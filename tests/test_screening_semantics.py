@@ -110,3 +110,13 @@ def test_failing_gate_publishes_no_silver(spark, scratch):
     with pytest.raises(QualityError):
         weekly_run.silver_step(spark, root, RUN_DATE, enforce_gate=True)
     assert not lake.has_data(spark, root, "silver", "financial_statements")
+
+
+def test_valuation_filter_reaches_the_scan(spark, scratch):
+    from ledgerlens.sources import fixtures as fx
+
+    lake.write_partitioned(fx.bronze_valuation(spark, "/root/testdata/sf0.001"), scratch, "bronze", "valuation_ratios")
+    b = lake.read_partition(spark, scratch, "bronze", "valuation_ratios", "2001-12-28", schemas.BRONZE_VALUATION)
+    plan = clean.clean_valuation(b)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(per,0.0)" in plan and "GreaterThan(pbv,0.0)" in plan
+    assert "PartitionFilters: [isnotnull(run_date" in plan
