@@ -55,6 +55,14 @@ def silver_inputs(
     return fin, prof, val
 
 
+def silver_financials(
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
+) -> DataFrame:
+    """Silver financials alone: one consumer, so the bronze pass stays lazy
+    (no stage written)."""
+    return clean.clean_financials(fixtures.bronze_financials(spark, sf_dir, run_dates))
+
+
 def to_fact(scored: DataFrame) -> DataFrame:
     """Fact columns: NaN stored as NULL (E5), run_date as a DATE."""
     cols = []

@@ -144,7 +144,7 @@ def q_clean_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"FROM sfin WHERE run_date = '{RUN_DATE}'"),
 )
 def q_roe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return metrics.roe(fin, RUN_DATE)
 
 
@@ -154,7 +154,7 @@ def q_roe(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"FROM sfin WHERE run_date = '{RUN_DATE}'"),
 )
 def q_der(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return metrics.der(fin, RUN_DATE)
 
 
@@ -168,7 +168,7 @@ def q_der(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_fcf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return metrics.fcf(fin, RUN_DATE)
 
 
@@ -178,7 +178,7 @@ def q_fcf(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"WHERE run_date = '{RUN_DATE}'"),
 )
 def q_eps_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return metrics.eps_growth(fin, RUN_DATE)
 
 
@@ -200,7 +200,7 @@ def q_valuation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.with_ctes(o.metric_ctes(), f"SELECT ticker, period FROM latest WHERE run_date = '{RUN_DATE}'"),
 )
 def q_latest_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return metrics.latest_period(fin, RUN_DATE)
 
 
@@ -666,13 +666,13 @@ def q_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_dim_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return warehouse.dim_fiscal_period(fin)
 
 
 @register("fundamentals_annual", o.with_ctes(o.silver_ctes(), f"SELECT ticker, period, {M} FROM sfin"))
 def q_fundamentals_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fin, _, _ = _silver(spark, sf_dir)
+    fin = scr.silver_financials(spark, sf_dir)
     return warehouse.fundamentals_annual(fin, RUN_DATE)
 
 
