@@ -497,7 +497,9 @@ BACKFILL_RUNS = lake.backfill_run_dates(RUN_DATE, 2)
 def q_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
     rows = fx.bronze_financials(spark, sf_dir, BACKFILL_RUNS)
-    lake.backfill(rows, root, "bronze", FINANCIALS)
+    status = lake.backfill_domains({FINANCIALS: rows}, root)
+    if status[FINANCIALS] != "ok":
+        raise RuntimeError(f"backfill failed: {status[FINANCIALS]}")
     return lake.read_domain(spark, root, "bronze", FINANCIALS, schemas.BRONZE_FINANCIALS)
 
 

@@ -168,3 +168,19 @@ def backfill(rows: DataFrame, root: str, layer: str, domain: str, years_back: in
         F.col("period").try_cast("int") >= F.year(F.to_date("run_date")) - F.lit(years_back)
     )
     return write_partitioned(kept, root, layer, domain, spread_by="ticker")
+
+
+def backfill_domains(
+    frames: dict[str, DataFrame], root: str, layer: str = "bronze", years_back: int = 1
+) -> dict[str, str]:
+    """S13 over several domains: one job per domain (all its run dates at
+    once); a domain that fails is reported and skipped, the others still
+    load. Returns domain -> 'ok' or the error."""
+    status = {}
+    for domain, rows in frames.items():
+        try:
+            backfill(rows, root, layer, domain, years_back)
+            status[domain] = "ok"
+        except Exception as exc:  # noqa: BLE001 - report the unit, keep going
+            status[domain] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200]}"
+    return status

@@ -144,3 +144,15 @@ def test_partitioned_write_replaces_only_present_partitions(spark, scratch):
     got = {r.run_date: r.n for r in lake.read_domain(spark, scratch, "bronze", "fs")
            .groupBy("run_date").agg(F.count("*").alias("n")).collect()}
     assert got == {"2024-01-05": 3, "2024-01-12": 4}
+
+
+def test_backfill_domains_skips_a_failing_unit(spark, scratch):
+    good = spark.createDataFrame(
+        [("A", "2023", 1.0, "2024-01-05"), ("A", "2021", 1.0, "2024-01-05"), ("A", "2023", 2.0, "2023-01-05")],
+        "ticker string, period string, revenue double, run_date string",
+    )
+    bad = good.withColumn("revenue", F.col("ticker").cast("double"))  # fails at run time (ANSI)
+    status = lake.backfill_domains({"fs": good, "broken": bad, "vr": good}, scratch)
+    assert status["fs"] == "ok" and status["vr"] == "ok" and status["broken"] != "ok"
+    got = sorted((r.run_date, r.period) for r in lake.read_domain(spark, scratch, "bronze", "fs").collect())
+    assert got == [("2023-01-05", "2023"), ("2024-01-05", "2023")]
