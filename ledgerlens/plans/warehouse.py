@@ -98,12 +98,6 @@ def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def dim_company_version(root: str) -> str:
     """A new version folder; names sort by creation time."""
     return f"{table_path(root, 'dim_company')}/v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
@@ -115,7 +109,7 @@ def current_dim_company_path(spark: SparkSession, root: str) -> str | None:
     A version is published by the commit of its own write, so a failed or
     half-written merge is never read; one small listing, no Spark job.
     """
-    base, fs = _fs(spark, table_path(root, "dim_company"))
+    base, fs = lake.file_system(spark, table_path(root, "dim_company"))
     if not fs.exists(base):
         return None
     names = sorted(
@@ -123,7 +117,7 @@ def current_dim_company_path(spark: SparkSession, root: str) -> str | None:
     )
     for name in names:
         path = f"{table_path(root, 'dim_company')}/{name}"
-        marker, _ = _fs(spark, f"{path}/_SUCCESS")
+        marker, _ = lake.file_system(spark, f"{path}/_SUCCESS")
         if fs.exists(marker):
             return path
     return None

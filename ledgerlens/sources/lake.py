@@ -55,7 +55,9 @@ def stage_folder(df: DataFrame, target: str) -> str:
     return staging
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop Path, FileSystem) of a Spark path: metadata operations
+    (exists, first file, rename) without a Spark job or a full listing."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -63,17 +65,17 @@ def _fs(spark: SparkSession, path: str):
 
 def publish_folder(spark: SparkSession, staging: str, target: str) -> str:
     """Swap a committed staging folder in for ``target``."""
-    dst, fs = _fs(spark, target)
+    dst, fs = file_system(spark, target)
     if fs.exists(dst):
         fs.delete(dst, True)
-    src, _ = _fs(spark, staging)
+    src, _ = file_system(spark, staging)
     if not fs.rename(src, dst):
         raise OSError(f"could not publish {staging} as {target}")
     return target
 
 
 def discard_folder(spark: SparkSession, staging: str) -> None:
-    path, fs = _fs(spark, staging)
+    path, fs = file_system(spark, staging)
     fs.delete(path, True)
 
 
@@ -129,7 +131,7 @@ def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
     Asks the file system for the first file under the folder and stops
     there: the driver never holds the listing of a large domain.
     """
-    path, fs = _fs(spark, domain_path(root, layer, domain))
+    path, fs = file_system(spark, domain_path(root, layer, domain))
     if not fs.exists(path):
         return False
     files = fs.listFiles(path, True)
