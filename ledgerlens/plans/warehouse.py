@@ -14,7 +14,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -145,7 +145,9 @@ def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S10 ----
-def reload_fact(fact: DataFrame, root: str, run_date: str) -> str:
+def reload_fact(
+    fact: DataFrame, root: str, run_date: str, summary: Observation | None = None
+) -> str:
     """Replace the fact rows of one run date (delete + insert).
 
     The new rows are staged and then swapped in for the partition folder,
@@ -156,6 +158,12 @@ def reload_fact(fact: DataFrame, root: str, run_date: str) -> str:
     body = fact.where(F.col("run_date") == F.to_date(F.lit(run_date))).select(
         *[c for c in SCREENING_COLUMNS if c != "run_date"], F.current_timestamp().alias("loaded_at")
     )
+    if summary is not None:  # A2 observed by the load itself, no pass of its own
+        body = body.observe(
+            summary,
+            F.count(F.lit(1)).alias("total"),
+            F.sum(F.when(F.col("status") == STATUS_PASS, 1).otherwise(0)).alias("passed"),
+        )
     return lake.replace_folder(body, f"{table_path(root, FACT)}/run_date={run_date}")
 
 

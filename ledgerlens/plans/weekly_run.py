@@ -104,14 +104,18 @@ def silver_step(
     return gate
 
 
-def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> None:
-    """K4: silver (one partition each) -> scored fact; S9 then S10."""
+def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> Row:
+    """K4: silver (one partition each) -> scored fact; S9 then S10.
+    Returns the run summary (A2), observed while the fact is loaded."""
     fin, prof, val = (
         lake.read_partition(spark, root, "silver", d, run_date, SILVER_SCHEMAS[d])
         for d in (FINANCIALS, PROFILE, VALUATION)
     )
     warehouse.write_dim_company(spark, wh_root, clean.unique_profile(prof))
-    warehouse.reload_fact(screening.screening(fin, prof, val, run_date), wh_root, run_date)
+    seen = Observation(f"summary_{uuid.uuid4().hex}")
+    warehouse.reload_fact(screening.screening(fin, prof, val, run_date), wh_root, run_date, seen)
+    total, passed = int(seen.get.get("total") or 0), int(seen.get.get("passed") or 0)
+    return Row(total=total, passed=passed, not_passed=total - passed)
 
 
 def run_week(
@@ -120,7 +124,7 @@ def run_week(
     """The week after bronze has landed. With ``enforce_gates`` a failed
     suite stops the run with one error listing every failed rule."""
     gate_b = silver_step(spark, root, run_date, enforce_gates)
-    gold_step(spark, root, wh_root, run_date)
+    summary = gold_step(spark, root, wh_root, run_date)
     fact = warehouse.fact_for_run(spark, wh_root, run_date)
     label = f"gold/{warehouse.FACT}/{run_date}"
     # The gold suite has a uniqueness rule, so it is one grouped pass.
@@ -128,7 +132,6 @@ def run_week(
     _log_gate(gate_g, label, len(fact.columns))
     if enforce_gates:
         quality.enforce_rows(gate_g, label)
-    summary = warehouse.run_summary(fact, run_date).first()
     log.info("run %s: total=%s passed=%s not_passed=%s", run_date, *summary)
     return WeekResult(gate_b, gate_g, summary)
 
