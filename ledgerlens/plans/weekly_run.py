@@ -1,8 +1,9 @@
 """One weekly run through the lake and the warehouse, step by step:
 
-(landed reports -> bronze) -> bronze gate -> silver jobs (written per run date) -> gold screening read
-back from silver with partition pruning -> dim_company upsert and fact
-reload -> gold gate -> run summary.
+landed reports -> bronze (``bronze_from_landing``); silver jobs per run
+date with the bronze gate observed on the financials job; gold screening
+read back from silver with partition pruning; dim_company upsert and fact
+reload with the run summary observed on the load; gold gate.
 
 Each step is a Spark job over stored tables, so a failed step is rerun on
 its own and a rerun of the whole week rewrites the same partitions.
@@ -72,6 +73,8 @@ def bronze_from_landing(
 
 
 def bronze_gate(spark: SparkSession, root: str, run_date: str) -> DataFrame:
+    """The bronze suite as a job of its own (the weekly run observes it on
+    the silver financials job instead)."""
     fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, schemas.BRONZE_FINANCIALS)
     return quality.run_suite(fin, quality.BRONZE_SUITE)
 
