@@ -23,6 +23,7 @@ from ledgerlens.schemas import SCREENING_COLUMNS, WAREHOUSE_TABLES
 from ledgerlens.sources import lake
 
 FACT = "fct_screening"
+DIM_VERSIONS_KEPT = 3
 
 
 def table_path(root: str, name: str) -> str:
@@ -134,9 +135,28 @@ def write_dim_company(spark: SparkSession, root: str, incoming: DataFrame) -> st
     )
     target = dim_company_version(root)
     upsert_company(existing, incoming).write.mode("overwrite").parquet(target)
+    prune_dim_company_versions(spark, root)
     return target
 
 
+def prune_dim_company_versions(spark: SparkSession, root: str, keep: int = DIM_VERSIONS_KEPT) -> int:
+    """Delete committed versions beyond the newest ``keep`` (readers of the
+    previous versions are left alone) and uncommitted leftovers older than
+    the newest committed version. Returns the number of folders removed."""
+    base, fs = lake.file_system(spark, table_path(root, "dim_company"))
+    if not fs.exists(base):
+        return 0
+    names = sorted((st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()), reverse=True)
+    committed = [n for n in names if fs.exists(lake.file_system(spark, f"{base}/{n}/_SUCCESS")[0])]
+    if not committed:
+        return 0
+    newest = committed[0]
+    doomed = committed[keep:] + [n for n in names if n not in committed and n < newest]
+    for n in doomed:
+        fs.delete(lake.file_system(spark, f"{base}/{n}")[0], True)
+    return len(doomed)
+
+
 def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
     path = current_dim_company_path(spark, root)
     if path is None:

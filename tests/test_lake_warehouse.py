@@ -156,3 +156,14 @@ def test_backfill_domains_skips_a_failing_unit(spark, scratch):
     assert status["fs"] == "ok" and status["vr"] == "ok" and status["broken"] != "ok"
     got = sorted((r.run_date, r.period) for r in lake.read_domain(spark, scratch, "bronze", "fs").collect())
     assert got == [("2023-01-05", "2023"), ("2024-01-05", "2023")]
+
+
+def test_dim_company_keeps_three_versions(spark, scratch):
+    p = spark.createDataFrame([("A", "Co", "S", "X", 1.0, None)],
+                              "ticker string, company_name string, sector string, sub_sector string, "
+                              "market_cap double, listing_date string")
+    for i in range(5):
+        warehouse.write_dim_company(spark, scratch, p.withColumn("market_cap", F.lit(float(i))))
+    base, fs = lake.file_system(spark, warehouse.table_path(scratch, "dim_company"))
+    assert len([st for st in fs.listStatus(base) if st.isDirectory()]) == 3
+    assert warehouse.read_dim_company(spark, scratch).first().market_cap == 4.0
