@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     land.add_argument("--landing", required=True)
     land.add_argument("--lake", required=True)
     land.add_argument("--run-date", required=True)
+    land.add_argument("--sections", default="overview,financials,valuation",
+                      help="comma list; dividend and management are flattened generically")
     week = sub.add_parser("week")
     week.add_argument("--lake", required=True)
     week.add_argument("--warehouse", required=True)
@@ -57,7 +59,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "land":
         from ledgerlens.plans.weekly_run import bronze_from_landing
 
-        print(json.dumps({"skipped": bronze_from_landing(spark, args.landing, args.lake, args.run_date)}))
+        sections = tuple(x for x in args.sections.split(",") if x)
+        skipped = bronze_from_landing(spark, args.landing, args.lake, args.run_date, sections=sections)
+        print(json.dumps({"skipped": skipped}))
     elif args.cmd == "week":
         from ledgerlens.plans.weekly_run import run_week
 

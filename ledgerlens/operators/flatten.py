@@ -133,14 +133,16 @@ def flatten_valuation(
     )
 
 
-def flatten_section(raw: DataFrame, section: str, section_schema: T.StructType) -> DataFrame:
+def flatten_section(
+    raw: DataFrame, section: str, section_schema: T.StructType, observation: Observation | None = None
+) -> DataFrame:
     """ticker, company_name, then every key of the section.
 
     The section is first read as raw JSON text, so a section that is not
     an object (a list, a string) adds nothing instead of spoiling the row.
     Section keys win over ticker / company_name on a clash.
     """
-    r = parse_reports(raw, section, T.StringType())
+    r = parse_reports(raw, section, T.StringType(), observation)
     is_object = F.trim(F.col(section)).startswith("{")
     sec = F.when(is_object, F.from_json(F.col(section), section_schema))
     r = r.select("ticker", _name().alias("company_name"), sec.alias("_s"))

@@ -18,7 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ledgerlens import schemas
-from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS, PROFILE, VALUATION
+from ledgerlens.config import (
+    CUTOFF_YEARS_BACK, DIVIDENDS, FINANCIALS, MANAGEMENT, PROFILE, VALUATION,
+)
 from ledgerlens.operators import clean, flatten, quality
 from ledgerlens.plans import screening, warehouse
 from ledgerlens.sources import lake, raw
@@ -42,13 +44,15 @@ class WeekResult:
     summary: Row
 
 
-# landed section -> bronze domain
+# landed section -> bronze domain (the three scheduled ones first)
 LANDED_SECTIONS = {"overview": PROFILE, "financials": FINANCIALS, "valuation": VALUATION}
+# sections that are mapped but not scheduled: flattened generically
+GENERIC_SECTIONS = {"dividend": DIVIDENDS, "management": MANAGEMENT}
 
 
 def bronze_from_landing(
     spark: SparkSession, landing_root: str, root: str, run_date: str,
-    years_back: int = CUTOFF_YEARS_BACK,
+    years_back: int = CUTOFF_YEARS_BACK, sections: tuple[str, ...] = tuple(LANDED_SECTIONS),
 ) -> dict[str, int]:
     """The extract step after the fetch: landed report documents of one
     run date (``<landing_root>/<section>/run_date=<d>/``, JSON text) are
@@ -56,10 +60,15 @@ def bronze_from_landing(
     domain. Malformed documents are skipped and counted (returned per
     section, from the same write job)."""
     skipped = {}
-    for section, domain in LANDED_SECTIONS.items():
+    for section in sections:
+        domain = LANDED_SECTIONS.get(section) or GENERIC_SECTIONS[section]
         docs = raw.read_landed(spark, f"{landing_root.rstrip('/')}/{section}/run_date={run_date}")
         seen = Observation(f"landed_{section}_{uuid.uuid4().hex}")
-        if section == "overview":
+        if section in GENERIC_SECTIONS:
+            rows = flatten.flatten_section(
+                docs, section, schemas.GENERIC_SECTIONS[section], observation=seen
+            )
+        elif section == "overview":
             rows = flatten.flatten_overview(docs, observation=seen)
         elif section == "financials":
             rows = flatten.flatten_financials(docs, run_date, years_back, observation=seen)

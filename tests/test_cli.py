@@ -20,6 +20,7 @@ def test_weekly_tasks(spark, scratch, capsys):
     ):
         raw.land(docs, f"{landing}/{section}/run_date={RUN_DATE}")
     raw.land_keyed(fx.price_pages(spark, SF), f"{landing}/prices")
+    raw.land(fx.management_documents(spark, SF), f"{landing}/management/run_date={RUN_DATE}")
 
     def run(*args):
         assert cli.main(list(args)) == 0
@@ -28,6 +29,10 @@ def test_weekly_tasks(spark, scratch, capsys):
     assert run("land", "--landing", landing, "--lake", lake_root, "--run-date", RUN_DATE)["skipped"] == {
         "overview": 0, "financials": 0, "valuation": 0}
     assert lake.has_data(spark, lake_root, "bronze", "financial_statements")
+    assert run("land", "--landing", landing, "--lake", lake_root, "--run-date", RUN_DATE,
+               "--sections", "management")["skipped"] == {"management": 0}
+    mgmt = lake.read_partition(spark, lake_root, "bronze", "management_info", RUN_DATE)
+    assert mgmt.count() == 150 and "ceo_name" in mgmt.columns
     created = run("init", "--warehouse", wh)
     assert {t["table"] for t in created} >= {"dim_company", "fct_screening", "dim_date"}
     summary = run("week", "--lake", lake_root, "--warehouse", wh, "--run-date", RUN_DATE, "--no-enforce")
