@@ -120,3 +120,29 @@ def test_valuation_filter_reaches_the_scan(spark, scratch):
     plan = clean.clean_valuation(b)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(per,0.0)" in plan and "GreaterThan(pbv,0.0)" in plan
     assert "PartitionFilters: [isnotnull(run_date" in plan
+
+
+def test_production_screening_plan_shape(spark, scratch):
+    """Screening over silver read back from the lake: every scan pruned to
+    the run date's partition, three hash exchanges (profile and valuation
+    de-duplication, the financials window), nothing else shuffled."""
+    from ledgerlens.config import RUN_DATE
+    from ledgerlens.plans import weekly_run
+    from ledgerlens.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    for domain, frame in (
+        ("financial_statements", fx.bronze_financials(spark, sf)),
+        ("company_profile", fx.bronze_profile(spark, sf)),
+        ("valuation_ratios", fx.bronze_valuation(spark, sf)),
+    ):
+        lake.write_partitioned(frame, scratch, "bronze", domain)
+    weekly_run.silver_step(spark, scratch, RUN_DATE, enforce_gate=False)
+    fin, prof, val = (
+        lake.read_domain(spark, scratch, "silver", d, weekly_run.SILVER_SCHEMAS[d])
+        for d in ("financial_statements", "company_profile", "valuation_ratios")
+    )
+    plan = screening.screening(fin, prof, val, RUN_DATE)._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("+- == Initial Plan ==")[-1]
+    assert initial.count("Exchange hashpartitioning") == 3
+    assert initial.count(f"PartitionFilters: [isnotnull(run_date") == 3
