@@ -75,9 +75,13 @@ DIM_COMPANY_ATTRS = ("company_name", "sector", "sub_sector", "market_cap", "list
 
 def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert new tickers, update the five attributes of known ones,
-    refresh updated_at, keep created_at. Incoming must be unique per
-    ticker (``clean.unique_profile``); listing_date is cast to DATE."""
+    refresh updated_at, keep created_at; listing_date is cast to DATE.
+    Incoming rows are first reduced to one per ticker (N8; duplicate keys
+    in one upsert would otherwise duplicate the dimension's key)."""
+    from ledgerlens.operators.clean import keep_greatest
+
     now = F.current_timestamp()
+    incoming = keep_greatest(incoming.select("ticker", *DIM_COMPANY_ATTRS), ("ticker",), DIM_COMPANY_ATTRS)
     inc = incoming.select(
         "ticker",
         *[

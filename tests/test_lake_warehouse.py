@@ -167,3 +167,12 @@ def test_dim_company_keeps_three_versions(spark, scratch):
     base, fs = lake.file_system(spark, warehouse.table_path(scratch, "dim_company"))
     assert len([st for st in fs.listStatus(base) if st.isDirectory()]) == 3
     assert warehouse.read_dim_company(spark, scratch).first().market_cap == 4.0
+
+
+def test_upsert_with_duplicate_incoming_keys(spark, scratch):
+    p = spark.createDataFrame([("A", "Co", "S", "X", 1.0, None), ("A", "Co", "S", "X", 5.0, None)],
+                              "ticker string, company_name string, sector string, sub_sector string, "
+                              "market_cap double, listing_date string")
+    warehouse.write_dim_company(spark, scratch, p)
+    rows = warehouse.read_dim_company(spark, scratch).collect()
+    assert len(rows) == 1 and rows[0].market_cap == 5.0
