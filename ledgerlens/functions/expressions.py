@@ -13,12 +13,15 @@ def _c(c: Column | str) -> Column:
 
 
 def normalize_ticker(c: Column | str) -> Column:
-    """Upper case first, then drop the exchange suffix, then trim.
+    """Upper case first, then drop the exchange suffix, then strip
+    surrounding whitespace (any whitespace, like a string strip, not only
+    spaces).
 
     Upper-casing before the replace also strips a lower-case suffix
     ('byan.jk' -> 'BYAN').
     """
-    return F.trim(F.replace(F.upper(_c(c)), F.lit(TICKER_SUFFIX), F.lit("")))
+    upper = F.replace(F.upper(_c(c)), F.lit(TICKER_SUFFIX), F.lit(""))
+    return F.regexp_replace(upper, r"(?U)^\s+|\s+$", "")
 
 
 def safe_div(num: Column | str, den: Column | str) -> Column:

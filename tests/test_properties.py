@@ -127,3 +127,52 @@ def test_cents_equal_decimal_cast(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = df.select(_cents(F.col("x")).alias("a"), (F.col("x").cast(MONEY) * 100).cast("long").alias("b"))
     assert all(r.a == r.b for r in got.collect())
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.dates(min_value=__import__("datetime").date(1990, 1, 1),
+                         max_value=__import__("datetime").date(2040, 12, 31)), min_size=1, max_size=40))
+def test_last_friday_equals_python_calendar(spark, days):
+    import datetime as dt
+
+    from ledgerlens.functions.expressions import is_last_friday
+    from ledgerlens.operators.prices import is_last_friday_date
+
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r[0] for r in df.select(is_last_friday("d")).collect()]
+    want = [d.weekday() == 4 and (d + dt.timedelta(days=7)).month != d.month for d in days]
+    assert got == want
+    assert [is_last_friday_date(d.isoformat()) for d in days] == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.dates(min_value=__import__("datetime").date(1995, 1, 1),
+                max_value=__import__("datetime").date(2035, 12, 31)), st.integers(min_value=0, max_value=60))
+def test_calendar_equals_python(spark, start, span):
+    import datetime as dt
+
+    from ledgerlens.plans.calendar_dim import calendar
+
+    end = start + dt.timedelta(days=span)
+    b = spark.createDataFrame([(start.isoformat(), end.isoformat())], "start string, end string")
+    got = {r.run_date: (r.year, r.quarter, r.month, r.week_of_year, r.day_of_week, r.is_friday)
+           for r in calendar(b).collect()}
+    want = {}
+    for i in range(span + 1):
+        d = start + dt.timedelta(days=i)
+        dow = (d.weekday() + 1) % 7  # 0 = Sunday
+        want[d] = (d.year, (d.month - 1) // 3 + 1, d.month, d.isocalendar()[1], dow, dow == 5)
+    assert got == want
+
+
+ticker_text = st.text(alphabet=st.sampled_from(list("abcJKjk.XYZ \t")), max_size=12)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(ticker_text, min_size=1, max_size=30))
+def test_normalize_ticker_equals_python_rule(spark, tickers):
+    from ledgerlens.functions.expressions import normalize_ticker
+
+    df = spark.createDataFrame([(t,) for t in tickers], "t string")
+    got = [r[0] for r in df.select(normalize_ticker("t")).collect()]
+    assert got == [t.upper().replace(".JK", "").strip() for t in tickers]
