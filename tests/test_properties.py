@@ -176,3 +176,69 @@ def test_normalize_ticker_equals_python_rule(spark, tickers):
     df = spark.createDataFrame([(t,) for t in tickers], "t string")
     got = [r[0] for r in df.select(normalize_ticker("t")).collect()]
     assert got == [t.upper().replace(".JK", "").strip() for t in tickers]
+
+
+eps_value = st.one_of(st.none(), st.sampled_from([-4.0, -1.0, 0.0, 0.5, 1.0, 2.0, 32.0]))
+history = st.dictionaries(st.integers(min_value=2010, max_value=2024), eps_value, min_size=1, max_size=8)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.dictionaries(st.sampled_from(["AAA", "BBB", "CCC"]), history, min_size=1))
+def test_eps_growth_equals_brute_force(spark, histories):
+    from ledgerlens.operators.metrics import eps_growth
+
+    rows = [("2024-12-27", t, str(y), e) for t, h in histories.items() for y, e in h.items()]
+    df = spark.createDataFrame(rows, "run_date string, ticker string, period string, eps double")
+    got = {(r.ticker, r.period): (r.eps_growth_yoy, r.eps_cagr_5y) for r in eps_growth(df, "2024-12-27").collect()}
+
+    def div(a, b):
+        return None if a is None or b is None or b == 0 else a / b
+
+    want = {}
+    for t, h in histories.items():
+        ordered = [h[y] for y in sorted(h)]
+        for i, y in enumerate(sorted(h)):
+            e = ordered[i]
+            p1 = ordered[i - 1] if i >= 1 else None
+            p5 = ordered[i - 5] if i >= 5 else None
+            yoy = div(None if e is None or p1 is None else e - p1, None if p1 is None else abs(p1))
+            base = div(e, None if p5 is None else abs(p5))
+            cagr = None if base is None or base < 0 else round(base ** 0.2 - 1, 9)
+            want[(t, str(y))] = (yoy, cagr)
+    assert set(got) == set(want)
+    for k, (yoy, cagr) in want.items():
+        g_yoy, g_cagr = got[k]
+        assert g_yoy == yoy
+        assert (g_cagr is None) == (cagr is None) and (cagr is None or abs(g_cagr - cagr) <= 1e-9)
+
+
+dim_row = st.tuples(st.sampled_from(["A", "B", "C", "D"]), st.sampled_from(["x", "y", None]),
+                    st.sampled_from([1.0, 2.0, None]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(dim_row, max_size=4, unique_by=lambda r: r[0]), st.lists(dim_row, max_size=6))
+def test_upsert_equals_dict_merge(spark, existing, incoming):
+    from ledgerlens.plans.warehouse import upsert_company
+    from ledgerlens.schemas import DIM_COMPANY
+
+    ex = spark.createDataFrame(
+        [(t, n, "S", "X", m, None, None, None) for t, n, m in existing], DIM_COMPANY
+    )
+    inc = spark.createDataFrame(
+        [(t, n, "S", "X", m, None) for t, n, m in incoming],
+        "ticker string, company_name string, sector string, sub_sector string, market_cap double, "
+        "listing_date string",
+    )
+    got = {r.ticker: (r.company_name, r.market_cap) for r in upsert_company(ex, inc).collect()}
+
+    def key(v):  # NULL sorts lowest, as in the greatest-row reduction
+        return tuple((x is not None, x) for x in v)
+
+    want = {t: (n, m) for t, n, m in existing}
+    best = {}
+    for t, n, m in incoming:
+        if t not in best or key((n, "S", "X", m)) > key((best[t][0], "S", "X", best[t][1])):
+            best[t] = (n, m)
+    want.update(best)
+    assert got == want
