@@ -19,6 +19,7 @@ import logging
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.config import CALENDAR_END, CALENDAR_START
 from ledgerlens.session import ensure_checkpoint_dir
 
 
@@ -50,8 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     init.add_argument("--warehouse", required=True)
     cal = sub.add_parser("calendar")
     cal.add_argument("--warehouse", required=True)
-    cal.add_argument("--start", required=True)
-    cal.add_argument("--end", required=True)
+    cal.add_argument("--start", default=CALENDAR_START)
+    cal.add_argument("--end", default=CALENDAR_END)
     args = p.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 

@@ -62,3 +62,7 @@ FINANCIAL_MEASURES = (
     "eps",
 )
 VALUATION_MEASURES = ("per", "pbv", "price", "ev_ebitda")
+
+# --- fixed values: default range of the calendar dimension seed ---
+CALENDAR_START = "2024-01-01"
+CALENDAR_END = "2030-12-31"

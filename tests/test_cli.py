@@ -40,5 +40,6 @@ def test_weekly_tasks(spark, scratch, capsys):
     assert summary["total"] == summary["passed"] + summary["not_passed"]
     assert run("calendar", "--warehouse", wh, "--start", "2024-01-01", "--end", "2024-01-31")["dim_date"] == 31
     assert run("calendar", "--warehouse", wh, "--start", "2024-01-15", "--end", "2024-02-29")["dim_date"] == 60
+    assert run("calendar", "--warehouse", wh)["dim_date"] == 2557  # 2024-01-01 .. 2030-12-31
     assert run("prices", "--pages", f"{landing}/prices", "--lake", lake_root, "--run-date", "2000-12-29")["load"] == "full"
     assert run("prices", "--pages", f"{landing}/prices", "--lake", lake_root, "--run-date", "2001-02-02")["load"] == "skipped"
