@@ -38,32 +38,39 @@ def _m(c: str) -> str:
     return f"CAST({c} AS {DEC})"
 
 
-def _rd(run_dates: Sequence[str]) -> str:
-    vals = ", ".join(f"('{d}')" for d in run_dates)
-    return f"rd AS (SELECT d AS run_date, CAST(d AS DATE) AS rdate FROM (VALUES {vals}) t(d))"
+def _dates(run_dates: Sequence[str]) -> str:
+    return "[" + ", ".join(f"'{d}'" for d in run_dates) + "]"
+
+
+def _with_runs(table: str, run_dates: Sequence[str], date_col: str | None = None) -> str:
+    """Rows of ``table`` once per run date (a generator, like explode),
+    optionally only those dated on or before the run date."""
+    inner = f"SELECT *, unnest({_dates(run_dates)}) AS run_date FROM {table}"
+    if date_col is None:
+        return f"({inner})"
+    return f"({inner}) WHERE CAST({date_col} AS DATE) <= CAST(run_date AS DATE)"
 
 
 def base_ctes(run_dates: Sequence[str] = (RUN_DATE,)) -> str:
-    """CTEs rd, cy_o, cy_l, fin (all periods, doubles), val, prof."""
+    """CTEs ord_rd, cy_o, cy_l, fin (all periods, doubles), val, first_order, prof."""
     a = _m("l_extendedprice")
-    return f"""{_rd(run_dates)},
+    return f"""ord_rd AS (SELECT * FROM {_with_runs("orders", run_dates, "o_orderdate")}),
 cy_o AS (
-  SELECT rd.run_date, o_custkey AS k, year(o_orderdate) AS y,
+  SELECT run_date, o_custkey AS k, year(o_orderdate) AS y,
          SUM({_m('o_totalprice')}) AS ta,
          SUM(CASE WHEN o_orderstatus = 'O' THEN {_m('o_totalprice')} ELSE 0 END) AS td
-  FROM orders JOIN rd ON CAST(o_orderdate AS DATE) <= rd.rdate
-  GROUP BY rd.run_date, o_custkey, year(o_orderdate)),
+  FROM ord_rd
+  GROUP BY run_date, o_custkey, year(o_orderdate)),
 cy_l AS (
-  SELECT rd.run_date, o_custkey AS k, year(o_orderdate) AS y,
+  SELECT run_date, o_custkey AS k, year(o_orderdate) AS y,
          SUM({a}) AS rev,
          SUM(CASE WHEN l_returnflag <> 'R' THEN {a} ELSE 0 END) AS gp,
          SUM(CASE WHEN l_returnflag = 'N' THEN {a} ELSE 0 END) AS n_amt,
          SUM(CASE WHEN l_returnflag = 'R' THEN {a} ELSE 0 END) AS r_amt,
          SUM(CASE WHEN l_linestatus = 'F' THEN {a} ELSE 0 END) AS ocf,
          SUM(CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN {a} ELSE 0 END) AS capex
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       JOIN rd ON CAST(o_orderdate AS DATE) <= rd.rdate
-  GROUP BY rd.run_date, o_custkey, year(o_orderdate)),
+  FROM lineitem JOIN ord_rd ON l_orderkey = o_orderkey
+  GROUP BY run_date, o_custkey, year(o_orderdate)),
 fin AS (
   SELECT o.run_date, o.k, CAST(o.y AS VARCHAR) AS period,
          CASE WHEN o.k % {fx.NULL_REVENUE_EVERY} = 0 THEN NULL ELSE CAST(l.rev AS DOUBLE) END AS revenue,
@@ -85,17 +92,17 @@ val AS (
          f.total_debt / NULLIF(f.operating_cash_flow, 0) AS ev_ebitda
   FROM fin f LEFT JOIN customer c ON c.c_custkey = f.k),
 first_order AS (
-  SELECT rd.run_date, o_custkey AS k, MIN(CAST(o_orderdate AS DATE)) AS first_date
-  FROM orders JOIN rd ON CAST(o_orderdate AS DATE) <= rd.rdate
-  GROUP BY rd.run_date, o_custkey),
+  SELECT run_date, o_custkey AS k, MIN(CAST(o_orderdate AS DATE)) AS first_date
+  FROM ord_rd
+  GROUP BY run_date, o_custkey),
 prof AS (
-  SELECT rd.run_date, c.c_custkey AS k, c.c_name AS company_name, r.r_name AS sector,
+  SELECT c.run_date, c.c_custkey AS k, c.c_name AS company_name, r.r_name AS sector,
          c.c_mktsegment AS sub_sector, c.c_acctbal * {float(fx.EPS_PER_SHARE_DIVISOR)} AS market_cap,
          strftime(fo.first_date, '%Y-%m-%d') AS listing_date
-  FROM customer c CROSS JOIN rd
+  FROM {_with_runs("customer", run_dates)} c
        LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
        LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-       LEFT JOIN first_order fo ON fo.run_date = rd.run_date AND fo.k = c.c_custkey)"""
+       LEFT JOIN first_order fo ON fo.run_date = c.run_date AND fo.k = c.c_custkey)"""
 
 
 def silver_ctes(run_dates: Sequence[str] = (RUN_DATE,)) -> str:

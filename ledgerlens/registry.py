@@ -80,7 +80,7 @@ def q_cutoff_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "run_dates",
     "SELECT d AS run_date, CAST(n AS INTEGER) AS years_back, CAST(d - to_years(n) AS DATE) AS past_run_date "
-    "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), (VALUES (0), (1)) t(n)",
+    "FROM (SELECT d, unnest([0, 1]) AS n FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders))",
 )
 def q_run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _order_dates(spark, sf_dir)
