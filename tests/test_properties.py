@@ -242,3 +242,54 @@ def test_upsert_equals_dict_merge(spark, existing, incoming):
             best[t] = (n, m)
     want.update(best)
     assert got == want
+
+
+fridays = st.dates(min_value=__import__("datetime").date(2000, 1, 7),
+                   max_value=__import__("datetime").date(2002, 12, 27)).map(
+    lambda d: d + __import__("datetime").timedelta(days=(4 - d.weekday()) % 7))
+price_day = st.one_of(st.just("n/a"), fridays.map(lambda d: d.isoformat()),
+                      st.dates(min_value=__import__("datetime").date(1999, 1, 1),
+                               max_value=__import__("datetime").date(2002, 12, 31)).map(lambda d: d.isoformat()))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["AAA", "BBB"]), price_day), min_size=1, max_size=40),
+       st.lists(fridays, min_size=1, max_size=3))
+def test_price_load_equals_simulation(spark, rows, run_dates):
+    import datetime as dt
+
+    from ledgerlens.plans.ingest import load_prices, price_partitions
+    from ledgerlens.session import scratch_path
+
+    def last_friday(d):
+        return d.weekday() == 4 and (d + dt.timedelta(days=7)).month != d.month
+
+    def parse(s):
+        try:
+            return dt.date.fromisoformat(s)
+        except ValueError:
+            return None
+
+    lake_state: dict[str, int] = {}
+    for rd in run_dates:
+        if not lake_state:
+            start = dt.date(rd.year - 1, 1, 1)
+            got = [parse(d) for _, d in rows]
+            keep = [d for d in got if d is not None and last_friday(d) and start <= d <= rd]
+            for d in {d.isoformat() for d in keep}:
+                lake_state[d] = sum(1 for k in keep if k.isoformat() == d)
+        elif last_friday(rd):
+            n = sum(1 for _, d in rows if parse(d) == rd)
+            if n:
+                lake_state[rd.isoformat()] = n
+    df = spark.createDataFrame([(t, d, 1.0) for t, d in rows], "ticker string, date string, close double")
+    root = scratch_path(spark, "plake")
+    for rd in run_dates:
+        load_prices(spark, df, root, rd.isoformat())
+    if not lake_state:
+        from ledgerlens.sources import lake
+
+        assert not lake.has_data(spark, root, "bronze", "daily_prices")
+        return
+    got = {r.run_date: r.n_rows for r in price_partitions(spark, root).collect()}
+    assert got == lake_state
