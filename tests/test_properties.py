@@ -293,3 +293,55 @@ def test_price_load_equals_simulation(spark, rows, run_dates):
         return
     got = {r.run_date: r.n_rows for r in price_partitions(spark, root).collect()}
     assert got == lake_state
+
+
+q_row = st.tuples(
+    st.sampled_from(["BYAN", "ptba", "AB", "ABCDEF", None]),
+    st.one_of(st.none(), st.sampled_from([-6.0, -1.0, 0.0, 0.3, 9.0, 11.0])),
+    st.sampled_from(["LOLOS", "TIDAK", "MAYBE", None]),
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(q_row, max_size=25), st.floats(min_value=0.0, max_value=1.0))
+def test_quality_rules_equal_brute_force(spark, rows, mostly):
+    from ledgerlens.operators import quality
+
+    suite = (
+        {"rule": "row_count_between", "min": 2, "max": 20},
+        {"rule": "not_null", "column": "x", "mostly": mostly},
+        {"rule": "matches_regex", "column": "t", "regex": "^[A-Z]{2,5}$"},
+        {"rule": "in_set", "column": "s", "values": ("LOLOS", "TIDAK")},
+        {"rule": "between", "column": "x", "min": -5.0, "max": 10.0, "mostly": mostly},
+        {"rule": "unique_combination", "columns": ("t", "s")},
+    )
+    df = spark.createDataFrame(rows, "t string, x double, s string")
+    got = [(r.checked, r.failed, r.success) for r in quality.run_suite(df, suite).orderBy("rule_id").collect()]
+
+    import re
+
+    def share_ok(checked, failed, m):
+        return checked == 0 or (checked - failed) / checked >= m
+
+    n = len(rows)
+    xs = [r[1] for r in rows]
+    ts = [r[0] for r in rows if r[0] is not None]
+    ss = [r[2] for r in rows if r[2] is not None]
+    in_range = [x for x in xs if x is not None]
+    keys = [(r[0], r[2]) for r in rows if r[0] is not None or r[2] is not None]
+    counts = {k: keys.count(k) for k in keys}
+    dup_rows = sum(c for c in counts.values() if c > 1)
+    want = [
+        (n, 0, 2 <= n <= 20),
+        (n, xs.count(None), share_ok(n, xs.count(None), mostly)),
+        (len(ts), sum(1 for t in ts if not re.fullmatch("[A-Z]{2,5}", t)),
+         all(re.fullmatch("[A-Z]{2,5}", t) for t in ts)),
+        (len(ss), sum(1 for s in ss if s not in ("LOLOS", "TIDAK")), all(s in ("LOLOS", "TIDAK") for s in ss)),
+        (len(in_range), sum(1 for x in in_range if not -5.0 <= x <= 10.0),
+         share_ok(len(in_range), sum(1 for x in in_range if not -5.0 <= x <= 10.0), mostly)),
+        (len(keys), dup_rows, dup_rows == 0),
+    ]
+    assert got == want
+    observed, report = quality.observe_suite(df, suite[:-1], f"q_{abs(hash((tuple(rows), mostly)))}")
+    observed.write.format("noop").mode("overwrite").save()
+    assert [(r.checked, r.failed, r.success) for r in report()] == want[:-1]
