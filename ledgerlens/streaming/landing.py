@@ -14,31 +14,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS
+from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS, PROFILE, VALUATION
 from ledgerlens.operators import flatten
 from ledgerlens.sources import lake
 
 
-def ingest_financial_reports(
+SECTION_DOMAINS = {"overview": PROFILE, "financials": FINANCIALS, "valuation": VALUATION}
+
+
+def _flattened(section: str, docs: DataFrame, run_date: str, years_back: int) -> DataFrame:
+    if section == "overview":
+        return flatten.flatten_overview(docs)
+    if section == "financials":
+        return flatten.flatten_financials(docs, run_date, years_back)
+    return flatten.flatten_valuation(docs, run_date, years_back)
+
+
+def ingest_reports(
     spark: SparkSession,
+    section: str,
     landing_dir: str,
     root: str,
     run_date: str,
     checkpoint_location: str,
     years_back: int = CUTOFF_YEARS_BACK,
 ) -> int:
-    """Flatten every newly landed financials report into bronze.
+    """Flatten every newly landed report of one section into its bronze
+    domain (``bronze_stream/<domain>``, partitioned by run_date).
 
     Returns the number of landed documents the run read (0 when nothing
     new was landed).
     """
     docs = spark.readStream.schema("value string").text(landing_dir)
-    rows = flatten.flatten_financials(docs, run_date, years_back).withColumn(
-        "run_date", F.lit(run_date)
-    )
+    rows = _flattened(section, docs, run_date, years_back).withColumn("run_date", F.lit(run_date))
     query = (
         rows.writeStream.format("parquet")
-        .option("path", lake.domain_path(root, "bronze_stream", FINANCIALS))
+        .option("path", lake.domain_path(root, "bronze_stream", SECTION_DOMAINS[section]))
         .option("checkpointLocation", checkpoint_location)
         .partitionBy("run_date")
         .outputMode("append")
@@ -49,7 +60,19 @@ def ingest_financial_reports(
     return sum(int(p["numInputRows"]) for p in query.recentProgress)
 
 
-def read_ingested(spark: SparkSession, root: str) -> DataFrame:
+def ingest_financial_reports(
+    spark: SparkSession,
+    landing_dir: str,
+    root: str,
+    run_date: str,
+    checkpoint_location: str,
+    years_back: int = CUTOFF_YEARS_BACK,
+) -> int:
+    """``ingest_reports`` for the financials section."""
+    return ingest_reports(spark, "financials", landing_dir, root, run_date, checkpoint_location, years_back)
+
+
+def read_ingested(spark: SparkSession, root: str, domain: str = FINANCIALS) -> DataFrame:
     """The bronze rows written by the stream (read through its commit log)."""
-    path = lake.domain_path(root, "bronze_stream", FINANCIALS)
+    path = lake.domain_path(root, "bronze_stream", domain)
     return spark.read.parquet(path).withColumn("run_date", F.col("run_date").cast("string"))

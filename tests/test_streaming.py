@@ -24,3 +24,16 @@ def test_only_new_files_are_processed(spark):
     landing.ingest_financial_reports(spark, land, root, "2024-12-27", ckpt)
     rows = sorted((r.ticker, r.capex) for r in landing.read_ingested(spark, root).collect())
     assert rows == [("AAA", 2.0), ("BBB", 2.0), ("CCC", 2.0)]
+
+
+def test_overview_reports_stream(spark):
+    from ledgerlens.config import PROFILE
+
+    land = scratch_path(spark, "landing")
+    root = scratch_path(spark, "lake")
+    docs = [json.dumps({"ticker": "AAA", "company_name": "A Co", "overview": {"sector": "S"}}),
+            json.dumps({"ticker": "BBB"})]
+    spark.createDataFrame([(d,) for d in docs], "value string").write.mode("append").text(land)
+    assert landing.ingest_reports(spark, "overview", land, root, "2024-12-27", scratch_path(spark, "ck")) == 2
+    rows = sorted((r.ticker, r.company_name, r.sector) for r in landing.read_ingested(spark, root, PROFILE).collect())
+    assert rows == [("AAA", "A Co", "S"), ("BBB", "", None)]
