@@ -345,3 +345,15 @@ def test_quality_rules_equal_brute_force(spark, rows, mostly):
     observed, report = quality.observe_suite(df, suite[:-1], f"q_{abs(hash((tuple(rows), mostly)))}")
     observed.write.format("noop").mode("overwrite").save()
     assert [(r.checked, r.failed, r.success) for r in report()] == want[:-1]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(min_value=-50, max_value=50), st.integers(min_value=0, max_value=10**6)),
+                min_size=1, max_size=300, unique_by=lambda r: r[1]))
+def test_with_row_index_equals_sorted_positions(spark, rows):
+    from ledgerlens.sources.fixtures import with_row_index
+
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    got = {(r.a, r.b): r.row_index for r in with_row_index(df, [F.col("a").desc(), F.col("b").asc()]).collect()}
+    ordered = sorted(rows, key=lambda r: (-r[0], r[1]))
+    assert got == {r: i for i, r in enumerate(ordered)}
