@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 
 def domain_path(root: str, layer: str, domain: str) -> str:
