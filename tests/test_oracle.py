@@ -48,6 +48,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
+    names = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
+             "boolean": "BOOLEAN"}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    assert {c: names.get(t, t) for c, t in df.dtypes} == duck_types
     cur = duck.execute(entry.oracle_sql()[name])
     d_cols, d_rows = _canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
