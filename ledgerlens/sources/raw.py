@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def land(docs: DataFrame, path: str) -> str:
-    """Write documents (column ``value``, plus optional partition-free
-    columns dropped) as text lines under ``path``."""
+    """Write the documents of column ``value`` as text lines under
+    ``path`` (other columns are not landed)."""
     docs.select("value").write.mode("overwrite").text(path)
     return path
 
