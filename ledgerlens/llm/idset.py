@@ -32,24 +32,34 @@ def bitmap(ids: DataFrame, id_col: str, bits: int = BITS) -> DataFrame:
     )
 
 
+def _may_hold(df: DataFrame, key: str, ids: DataFrame, id_col: str, bits: int) -> DataFrame:
+    """``df`` with a boolean ``_maybe``: false only where the key is
+    certainly not among ``ids``."""
+    pages = F.broadcast(bitmap(ids, id_col, bits).withColumnRenamed("page", "_page"))
+    place = _place(F.col(key), bits)
+    bit = F.pmod(place, F.lit(_PAGE)).cast("int")
+    byte = F.substring("flags", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit, F.lit(8)))
+    marked = df.withColumn("_page", F.floor(place / _PAGE)).join(pages, "_page", "left")
+    maybe = F.col(key).isNotNull() & (F.coalesce(is_set, F.lit(0)) == 1)
+    return marked.select(*df.columns, maybe.alias("_maybe"))
+
+
+def likely_in(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose id may be among ``ids``: all that are, and
+    a few more. Nothing of ``df`` is shuffled."""
+    return _may_hold(df, id_col, ids.select(id_col), id_col, bits).where("_maybe").drop("_maybe")
+
+
 def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = BITS) -> DataFrame:
     """The rows of ``df`` whose id is not among ``ids`` (a null id stays);
     columns as in ``df``, whatever their names."""
     names = df.columns
-    plain = df.toDF(*[f"_c{k}" for k in range(len(names))])
+    body = [f"_c{k}" for k in range(len(names))]
     key = f"_c{names.index(id_col)}"
     gone = ids.select(F.col(id_col).alias("_gone")).where(F.col("_gone").isNotNull())
-    pages = F.broadcast(bitmap(gone, "_gone", bits))
-    place = _place(F.col(key), bits)
-    marked = plain.withColumn("_page", F.floor(place / _PAGE)).join(
-        pages.withColumnRenamed("page", "_page"), "_page", "left"
-    )
-    bit = F.pmod(place, F.lit(_PAGE)).cast("int")
-    byte = F.substring("flags", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
-    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit, F.lit(8)))
-    maybe = F.coalesce(is_set, F.lit(0)) == 1
-    body = [f"_c{k}" for k in range(len(names))]
-    clear = marked.where(F.col(key).isNull() | ~maybe).select(*body)
-    doubtful = marked.where(F.col(key).isNotNull() & maybe).select(*body)
+    marked = _may_hold(df.toDF(*body), key, gone, "_gone", bits)
+    clear = marked.where(~F.col("_maybe")).select(*body)
+    doubtful = marked.where("_maybe").select(*body)
     kept = doubtful.join(gone, doubtful[key] == gone["_gone"], "left_anti")
     return clear.unionAll(kept).toDF(*names)

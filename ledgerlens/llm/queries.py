@@ -8,13 +8,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import exact_dedup, packing, quality, sharding, url_filter
+from ledgerlens.llm import byte_bpe, exact_dedup, jaccard_join, packing, quality, sharding, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = 24
 URL_RULES = (
     ("allow", "org", "/"),
@@ -90,3 +91,15 @@ _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filter.rule_table(spark, URL_RULES)
     return url_filter.url_filter(table(spark, sf_dir, "pages"), rules)
+
+
+@register("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    )
+
+
+@register("op2_ngram_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
