@@ -11,7 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import exact_dedup, packing, quality
+from ledgerlens.llm import exact_dedup, jaccard_join, packing, quality, toxicity
 from ledgerlens.llm.queries import WORD_TOKENIZER
 from ledgerlens.session import materialize
 
@@ -21,11 +21,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go. The model learns
+    from the labelled documents among its input that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.keep_clean(docs, toxicity.train(docs, labels))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays."""
     return exact_dedup.keep_one(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a shingle similarity of 0.8 or more, directly
+    or through others, the one with the smallest doc_id stays."""
+    return jaccard_join.keep_one(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2048 tokens."""
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER))
@@ -33,7 +46,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality", quality_stage),
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
+    ("near_duplicates", near_stage),
     ("packing", packing_stage),
 ]
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import byte_bpe, exact_dedup, jaccard_join, packing, quality, sharding, url_filter
+from ledgerlens.llm import byte_bpe, exact_dedup, jaccard_join, packing, quality, sharding, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +104,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_ngram_jaccard_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_toxic_tokens"))
