@@ -9,13 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import byte_bpe, exact_dedup, jaccard_join, packing, quality, sharding, toxicity, url_filter
+from ledgerlens.llm import (
+    byte_bpe, exact_dedup, jaccard_join, license_scan, packing, quality, sharding, token_counts, toxicity, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+END_OF_TEXT = 49407  # <|endoftext|> of that vocabulary
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = 24
 URL_RULES = (
@@ -110,3 +113,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_toxic_tokens"))
+
+
+@register("op6_license_scans")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@register("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), END_OF_TEXT
+    )

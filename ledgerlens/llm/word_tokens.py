@@ -35,13 +35,15 @@ class _Cache(dict):
 
 
 class WordEncoder:
-    """Little-endian ids (``dtype`` wide) of texts given as UTF-8 bytes."""
+    """Little-endian ids (``dtype`` wide) of texts given as UTF-8 bytes.
+    With ``special`` False the strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str, dtype: str = "<u4", limit: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, dtype: str = "<u4", special: bool = True, limit: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
         self.dtype, self.limit = np.dtype(dtype), limit
         model = json.loads(self.tokenizer.to_str())["model"]
         suffix = model.get("end_of_word_suffix") or ""
@@ -106,14 +108,14 @@ class WordEncoder:
         return [b"".join(ids) for ids in found]
 
 
-_encoders: dict[tuple[str, str], WordEncoder] = {}
+_encoders: dict[tuple[str, str, bool], WordEncoder] = {}
 
 
-def word_encoder(path: str, dtype: str = "<u4") -> WordEncoder:
+def word_encoder(path: str, dtype: str = "<u4", special: bool = True) -> WordEncoder:
     """The encoder of this Python worker, kept between tasks."""
-    key = (path, dtype)
+    key = (path, dtype, special)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(path, dtype)
+        _encoders[key] = WordEncoder(*key)
     return _encoders[key]
 
 
