@@ -4,10 +4,10 @@ Each text is normalised to lower-case words parted by one space. A text in
 which no rule's keyword occurs is done after that. Otherwise the rules whose
 keyword occurs are matched everywhere in the text; each match is a detection
 with its interval. Detections are gone through from left to right, longer
-ones first: one that lies inside the interval before it goes unless its rule
-is strictly stronger, and of two that overlap in part the stronger stays
-(the earlier one, between equals). What remains gives labels and a score,
-1 - product of (1 - weight) over the labels.
+ones first: one that lies inside the interval of another goes unless its
+rule is strictly stronger, and of two that overlap in part the stronger
+stays (the earlier one, between equals). What remains gives labels and a
+score, 1 - product of (1 - weight) over the labels.
 
 Besides the rules, a few base phrases are counted at all their places.
 
@@ -105,22 +105,26 @@ def _matches(norm: Column, rule: Column) -> Column:
 
 def _resolved(found: Column) -> Column:
     """Detections without the suppressed ones; ``tail`` is minus the end, so
-    the natural order has the longer of equal starts first."""
-    none = F.array().cast(f"array<{_DETECTION}>")
+    the natural order has the longer of equal starts first. ``cover`` is
+    the one kept that reaches furthest."""
+    begin = F.struct(
+        F.array().cast(f"array<{_DETECTION}>").alias("kept"), F.lit(None).cast(_DETECTION).alias("cover")
+    )
 
-    def add(kept: Column, d: Column) -> Column:
+    def add(state: Column, d: Column) -> Column:
+        kept, cover = state["kept"], state["cover"]
         last = F.try_element_at(kept, F.lit(-1))
-        apart = last.isNull() | (d["start"] >= -last["tail"])
-        inside = -d["tail"] <= -last["tail"]
-        stronger = d["priority"] < last["priority"]
-        return (
-            F.when(apart, F.concat(kept, F.array(d)))
-            .when(stronger & inside, F.concat(kept, F.array(d)))
-            .when(stronger, F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(d)))
-            .otherwise(kept)
-        )
-
-    return F.aggregate(F.array_sort(found), none, add)
+        more = F.concat(kept, F.array(d))
+        stronger = d["priority"] < cover["priority"]
+        inside = d["tail"] >= cover["tail"]
+        free = (d["start"] >= -last["tail"]) | (d["priority"] < last["priority"])
+        instead = F.concat(F.filter(kept, lambda k: k != cover), F.array(d))
+        new = F.when(cover.isNull() | (d["start"] >= -cover["tail"]), F.struct(more.alias("kept"), d.alias("cover")))
+        new = new.when(inside & stronger & free, F.struct(more.alias("kept"), cover.alias("cover")))
+        new = new.when(~inside & stronger, F.struct(instead.alias("kept"), d.alias("cover")))
+        return new.otherwise(state)
+
+    return F.aggregate(F.array_sort(found), begin, add, lambda s: s["kept"])
 
 
 def license_scan(
