@@ -39,9 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.ship import ship
-from ledgerlens.llm.words import LOWER, ByteHash, Spans, spans, text_chunks, text_parts
+from ledgerlens.llm.words import LOWER, ByteHash, Spans, spans, text_chunks
 
-MAX_DOCS = 3000
+MAX_DOCS = 2000
 BUCKETS = 1 << 18
 WINDOW = 64  # tokens of a training chain
 EPOCHS = 4
@@ -162,8 +162,9 @@ def document_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ fitting
 def _markers(features: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Mask of the buckets that mark toxic documents."""
-    n_toxic, n_clean = toxic.sum(), (~toxic).sum()
+    """Mask of the buckets that mark toxic documents; ``toxic`` by row."""
+    toxic = toxic[: int(row[-1]) + 1] if len(row) else toxic[:0]
+    n_toxic, n_clean = max(int(toxic.sum()), 1), max(int((~toxic).sum()), 1)
     share = n_toxic / (n_toxic + n_clean)
     found = np.zeros((2, BUCKETS))
     for k in range(N_OWN):
@@ -244,20 +245,32 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model:
     """A model from labelled documents; ``weight`` is how many documents of
     the corpus each stands for. Three of four fit the field, the rest the
     document model (all of them, where that would leave a class empty)."""
-    data, offsets = text_parts(pa.array(texts, pa.string()))
-    t, features = token_features(data, offsets)
-    fold = np.arange(len(texts)) % 4
-    for_field, for_scores = fold != 3, fold == 3
-    if min(toxic[for_scores].sum(), (~toxic[for_scores]).sum()) < 20:
-        for_field = for_scores = np.ones(len(texts), dtype=bool)
-    used = for_field[t.row]
-    marker = _markers(features[used], t.row[used], toxic & for_field)
-    own = marker[features[:, :N_OWN]].any(axis=1) & toxic[t.row]
-    field_first = np.concatenate(([0], np.cumsum(np.diff(t.first)[for_field])))
-    weights, step = _fit_field(features[used], own[used].astype(float), field_first)
+    n = len(texts)
+    fold = np.arange(n) % 4
+    order = np.argsort(fold == 3, kind="stable")  # those of the field come first
+    toxic, weight, n_field = toxic[order], weight[order], int((fold != 3).sum())
+    scored = slice(n_field, n)
+    if min(toxic[scored].sum(), (~toxic[scored]).sum()) < 20:
+        n_field, scored = n, slice(0, n)
+    # Chunk by chunk: hashing takes many times the memory of its result.
+    parts, lengths = [], []
+    for _, _, data, offsets in text_chunks(pa.array([texts[k] for k in order], pa.string())):
+        t, features = token_features(data, offsets)
+        parts.append(features)
+        lengths.append(np.diff(t.first))
+    features, lengths = np.concatenate(parts), np.concatenate(lengths)
+    del parts
+    first = np.concatenate(([0], np.cumsum(lengths)))
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    used = slice(0, int(first[n_field]))
+    marker = _markers(features[used], row[used], toxic)
+    label = np.zeros(used.stop)
+    for k in range(N_OWN):
+        label[marker[features[used, k]] & toxic[row[used]]] = 1.0
+    weights, step = _fit_field(features[used], label, first[: n_field + 1])
     model = Model(weights, step, np.zeros(3))
-    x = document_features(marginals(model.emissions(features), t.first, step), t.first)
-    model.document = _fit_logistic(x[for_scores], toxic[for_scores].astype(float), weight[for_scores])
+    x = document_features(marginals(model.emissions(features), first, step), first)
+    model.document = _fit_logistic(x[scored], toxic[scored].astype(float), weight[scored])
     return model
 
 
