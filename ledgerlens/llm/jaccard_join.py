@@ -10,8 +10,10 @@ their word shingles, and the groups these links make.
 3. Two sets can only reach the threshold when their prefixes (the first
    n - ceil(t n) + 1 shingles) share a shingle. Prefix shingles held by one
    class only are dropped by a partial aggregate before anything is joined.
-4. The classes of a shingle are first paired with its smallest set only, a
-   star instead of all pairs. Candidates pass the length filter, the
+4. The classes of a shingle are first paired with one of them only, a star
+   instead of all pairs: with the class that has the shingle earliest in its
+   order, which is the one with the fewest rare shingles of its own (of a text
+   and its edited copies, the text). Candidates pass the length filter, the
    positional filter and a suffix filter (shingle counts over fixed hash
    ranges bound the symmetric difference); each pair is then verified once
    on the whole sets.
@@ -48,8 +50,8 @@ from ledgerlens.session import materialize
 
 WORDS = 5
 THRESHOLD = Fraction(8, 10)
-COUNTERS = 1 << 18  # of the count sketch: 1 MB in all, whatever the input
-BLOCK = 1 << 12
+COUNTERS = 1 << 20  # of the count sketch: 8 MB in all, whatever the input
+BLOCK = 1 << 14
 RANGES = 64  # hash ranges of the suffix filter
 _CLASS = np.uint64(0xA0761D6478BD642F)
 
@@ -281,8 +283,8 @@ def jaccard_join(
     shapes = prefixes.select("class", "n", "ranges").dropDuplicates(["class"])
 
     entries = materialize(_shared_entries(prefixes), "entries")
-    smallest = entries.groupBy("token").agg(F.min(F.struct("n", "class", "pos")).alias("lead"))
-    star = entries.join(smallest, "token").where("class <> lead.class").select(
+    earliest = entries.groupBy("token").agg(F.min(F.struct("pos", "n", "class")).alias("lead"))
+    star = entries.join(earliest, "token").where("class <> lead.class").select(
         F.col("lead.class").alias("a"), F.col("lead.n").alias("na"), F.col("lead.pos").alias("pos_a"),
         F.col("class").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pos_b"),
     )
