@@ -5,22 +5,28 @@ own; paths are any Spark paths (shared file system or object store).
 
   land     landed reports of a run date -> bronze partitions
   week     bronze gate, silver, gold, warehouse load, gold gate, summary
+  backfill landed reports -> one bronze run date per past year, all domains
   prices   landed price pages -> last-Friday prices (full or incremental)
   init     create missing warehouse tables
   calendar insert the days of [start, end] that dim_date lacks
+  prune    delete versions of the lake and warehouse replaced long ago
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import logging
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.config import CALENDAR_END, CALENDAR_START
+from ledgerlens.config import CALENDAR_END, CALENDAR_START, TICKER_PATTERN
+from ledgerlens.operators import quality
 from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sources import lake
 
 
 def _session() -> SparkSession:
@@ -43,6 +49,18 @@ def main(argv: list[str] | None = None) -> int:
     week.add_argument("--warehouse", required=True)
     week.add_argument("--run-date", required=True)
     week.add_argument("--no-enforce", action="store_true")
+    week.add_argument("--min-rows", type=int, default=50, help="bronze gate: fewest financial rows")
+    week.add_argument("--max-rows", type=int, default=500, help="bronze gate: most financial rows, 0 for no bound")
+    week.add_argument("--ticker-pattern", default=TICKER_PATTERN)
+    back = sub.add_parser("backfill")
+    back.add_argument("--landing", required=True)
+    back.add_argument("--lake", required=True)
+    back.add_argument("--run-date", required=True)
+    back.add_argument("--years", type=int, default=2)
+    old = sub.add_parser("prune")
+    old.add_argument("--lake", required=True)
+    old.add_argument("--warehouse", required=True)
+    old.add_argument("--hours", type=float, default=168.0, help="age of the replacement that is left alone")
     prices = sub.add_parser("prices")
     prices.add_argument("--pages", required=True, help="landed price pages (JSON lines: ticker, value)")
     prices.add_argument("--lake", required=True)
@@ -66,15 +84,42 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "week":
         from ledgerlens.plans.weekly_run import run_week
 
-        res = run_week(spark, args.lake, args.warehouse, args.run_date, enforce_gates=not args.no_enforce)
+        suite = quality.bronze_suite(args.min_rows, args.max_rows or None, args.ticker_pattern)
+        res = run_week(
+            spark, args.lake, args.warehouse, args.run_date, enforce_gates=not args.no_enforce, bronze_suite=suite
+        )
         print(json.dumps(res.summary.asDict()))
+    elif args.cmd == "backfill":
+        from ledgerlens.plans.weekly_run import backfill_from_landing
+
+        status = backfill_from_landing(spark, args.landing, args.lake, args.run_date, args.years)
+        print(json.dumps(status))
+        return 0 if all(x == "ok" for x in status.values()) else 1
+    elif args.cmd == "prune":
+        from ledgerlens.plans import warehouse
+        from ledgerlens.schemas import WAREHOUSE_TABLES
+
+        age = dt.timedelta(hours=args.hours)
+        n = sum(
+            lake.prune_domain(spark, args.lake, layer, domain, age)
+            for layer in ("bronze", "silver") for domain in lake.folder_names(spark, f"{args.lake}/{layer}")
+        )
+        n += lake.prune_domain(spark, args.warehouse, warehouse.LAYER, warehouse.FACT, age)
+        n += sum(
+            lake.prune(spark, warehouse.table_path(args.warehouse, name), age)
+            for name in WAREHOUSE_TABLES if name != warehouse.FACT
+        )
+        print(json.dumps({"removed": n}))
     elif args.cmd == "prices":
         from ledgerlens.operators.flatten import flatten_prices
         from ledgerlens.plans.ingest import load_prices
         from ledgerlens.sources.raw import read_landed_keyed
 
         pages = read_landed_keyed(spark, args.pages, "ticker string, value string")
-        print(json.dumps({"load": load_prices(spark, flatten_prices(pages), args.lake, args.run_date)}))
+        seen = Observation(f"pages_{uuid.uuid4().hex}")
+        load = load_prices(spark, flatten_prices(pages, observation=seen), args.lake, args.run_date)
+        told = seen.get if load != "skipped" else {}
+        print(json.dumps({"load": load, "skipped_pages": int(told.get("malformed") or 0)}))
     elif args.cmd == "init":
         from ledgerlens.plans.warehouse import ensure_warehouse
 
@@ -86,9 +131,7 @@ def main(argv: list[str] | None = None) -> int:
         existing = warehouse.read_table(spark, args.warehouse, "dim_date")
         merged = calendar_dim.insert_ignore(existing, calendar_dim.calendar(bounds), ["run_date"])
         path = warehouse.table_path(args.warehouse, "dim_date")
-        from ledgerlens.sources.lake import replace_folder
-
-        replace_folder(merged.select(*existing.columns), path)
+        lake.replace(merged.select(*existing.columns), path)
         print(json.dumps({"dim_date": warehouse.read_table(spark, args.warehouse, "dim_date").count()}))
     return 0
 

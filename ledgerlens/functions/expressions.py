@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ledgerlens.config import TICKER_SUFFIX
 
 
+# Every character of Unicode's White_Space property, and the four separators
+# U+001C..U+001F that a string strip removes as well.
+WHITESPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000,
+)))
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -21,7 +29,7 @@ def normalize_ticker(c: Column | str) -> Column:
     ('byan.jk' -> 'BYAN').
     """
     upper = F.replace(F.upper(_c(c)), F.lit(TICKER_SUFFIX), F.lit(""))
-    return F.regexp_replace(upper, r"(?U)^\s+|\s+$", "")
+    return F.btrim(upper, F.lit(WHITESPACE))
 
 
 def safe_div(num: Column | str, den: Column | str) -> Column:

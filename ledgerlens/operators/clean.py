@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import FINANCIAL_MEASURES, VALUATION_MEASURES
-from ledgerlens.functions.expressions import normalize_ticker
+from ledgerlens.functions.expressions import nan_to_null, normalize_ticker
 
 
 def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -32,6 +32,12 @@ def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
+def _measure(name: str) -> Column:
+    """A measure as a double; NaN (a missing number in a frame) is NULL, so
+    it never wins a de-duplication."""
+    return nan_to_null(F.col(name).cast("double"))
+
+
 def dedup_financials(df: DataFrame, keys: Sequence[str] = ("run_date", "ticker", "period")) -> DataFrame:
     """One row per (run_date, ticker, period); largest measures win."""
     return keep_greatest(df, keys, FINANCIAL_MEASURES)
@@ -42,7 +48,7 @@ def clean_financials(bronze: DataFrame) -> DataFrame:
     typed = bronze.select(
         normalize_ticker("ticker").alias("ticker"),
         F.col("period").cast("string").alias("period"),
-        *[F.col(m).cast("double").alias(m) for m in FINANCIAL_MEASURES],
+        *[_measure(m).alias(m) for m in FINANCIAL_MEASURES],
         F.col("run_date").cast("string").alias("run_date"),
     )
     return dedup_financials(typed)
@@ -55,7 +61,7 @@ def clean_profile(bronze: DataFrame) -> DataFrame:
         "company_name",
         "sector",
         "sub_sector",
-        F.col("market_cap").cast("double").alias("market_cap"),
+        _measure("market_cap").alias("market_cap"),
         "listing_date",
         F.col("run_date").cast("string").alias("run_date"),
     )
@@ -65,13 +71,15 @@ def clean_valuation(bronze: DataFrame) -> DataFrame:
     """Normalise ticker, cast four ratios, keep per > 0 and pbv > 0.
 
     The filter runs on the raw columns (P2), so it is pushed to the scan
-    when the bronze table is read from Parquet; NULLs fail it.
+    when the bronze table is read from Parquet; NULLs fail it, and so does a
+    NaN (it would compare as the largest number).
     """
     kept = bronze.where((F.col("per") > 0) & (F.col("pbv") > 0))
+    kept = kept.where(~F.isnan(F.col("per").cast("double")) & ~F.isnan(F.col("pbv").cast("double")))
     return kept.select(
         normalize_ticker("ticker").alias("ticker"),
         F.col("period").cast("string").alias("period"),
-        *[F.col(m).cast("double").alias(m) for m in VALUATION_MEASURES],
+        *[_measure(m).alias(m) for m in VALUATION_MEASURES],
         F.col("run_date").cast("string").alias("run_date"),
     )
 

@@ -1,11 +1,12 @@
 """Nested report JSON -> flat domain rows (F1-F5), company universe
 and the union of pages with differing columns (U1).
 
-Every section is parsed with an explicit schema (no inference pass over
-the data). Measures are read as text and cast once here, so a number
-written as a string survives like it does in a dict. A malformed
-document is dropped rather than turned into a row of NULLs, and can be
-counted with an ``Observation``.
+Every section is parsed with an explicit schema (no inference pass over the
+data). Measures are read as text and cast once here, so a number written as
+a string survives like it does in a dict; a value that is no number is NULL
+and does not end the job. A document that is not a JSON object (a blank line
+included) is dropped and counted with an ``Observation``: one bad report
+costs that report only.
 """
 
 from __future__ import annotations
@@ -18,35 +19,45 @@ from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.config import CUTOFF_YEARS_BACK
-from ledgerlens.functions.expressions import cutoff_year, normalize_ticker
+from ledgerlens.functions.expressions import cutoff_year, nan_to_null, normalize_ticker
 
 CORRUPT = "_corrupt_record"
+# Distinct keys that one section or price record may have: they become columns.
+MAX_KEYS = 2000
+TEXT_MAP = "map<string,string>"
+
+
+class TooManyKeys(ValueError):
+    """A section whose keys are data rather than columns."""
 
 
 def parse_reports(
-    raw: DataFrame, section: str, section_type: T.DataType, observation: Observation | None = None
+    raw: DataFrame, section: str, section_type: T.DataType, observation: Observation | str | None = None
 ) -> DataFrame:
     """value (JSON text) -> ticker, company_name, <section>.
 
-    A document that is not valid JSON is dropped (the original skips such
-    a report with a warning). With ``observation`` the numbers of parsed
-    and malformed documents are collected by the same job that reads them
-    (``observation.get`` after the first action), without an extra pass.
+    A document that is not a JSON object is dropped (the original skips such
+    a report with a warning). With ``observation`` (a name, on a stream) the
+    numbers of documents and of malformed ones are collected by the same job
+    that reads them, without an extra pass.
     """
     schema = schemas.report_schema(section, section_type).add(CORRUPT, T.StringType())
     parsed = raw.select(
         F.from_json(
             "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
         ).alias("r")
-    ).select("r.*")
+    )
+    bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     if observation is not None:
-        bad = F.col(CORRUPT).isNotNull()
-        parsed = parsed.observe(
-            observation,
-            F.count(F.lit(1)).alias("documents"),
-            F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
-        )
-    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        parsed = parsed.observe(observation, *_counted(bad))
+    return parsed.where(~bad).select("r.*").drop(CORRUPT)
+
+
+def _counted(bad: Column) -> tuple[Column, Column]:
+    return (
+        F.count(F.lit(1)).alias("documents"),
+        F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
+    )
 
 
 def _name() -> Column:
@@ -54,17 +65,22 @@ def _name() -> Column:
     return F.coalesce(F.col("company_name"), F.lit(""))
 
 
+def _year(c: Column) -> Column:
+    """A year written as a whole number, in any form (2024, "2024", 2024.0)."""
+    y = nan_to_null(c.try_cast("double"))
+    return F.when((y >= 0) & (y < 100_000) & (y == F.floor(y)), F.floor(y).cast("int"))
+
+
 def _year_rows(df: DataFrame, array_field: str, run_date: str, years_back: int) -> DataFrame:
     """Explode the yearly array and keep years >= run year - years_back."""
     rows = df.select("*", F.explode(array_field).alias("h"))
-    year = F.col("h.year").try_cast("int")
-    return rows.withColumn("_year", year).where(
+    return rows.withColumn("_year", _year(F.col("h.year"))).where(
         F.col("_year").isNotNull() & (F.col("_year") >= cutoff_year(F.lit(run_date), years_back))
     )
 
 
 def _num(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
+    return nan_to_null((F.col(c) if isinstance(c, str) else c).try_cast("double"))
 
 
 def flatten_overview(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -133,36 +149,93 @@ def flatten_valuation(
     )
 
 
+def _keys(maps: DataFrame, column: str, known: Sequence[str]) -> list[str]:
+    """The keys of a map column besides the known ones: one pass with a
+    partial aggregate. They become columns, so there is a limit, and going
+    over it is an error, never a dropped key."""
+    found = maps.select(F.explode(F.map_keys(column)).alias("key")).where(~F.col("key").isin(*known)).distinct()
+    names = sorted(r["key"] for r in found.limit(MAX_KEYS + 1).collect())
+    if len(names) > MAX_KEYS:
+        raise TooManyKeys(f"more than {MAX_KEYS} distinct keys")
+    return names
+
+
+def _value(m: Column, field: T.StructField) -> Column:
+    """A map entry under its field's type; an unreadable number is NULL."""
+    text = F.try_element_at(m, F.lit(field.name))
+    return (_num(text) if isinstance(field.dataType, T.DoubleType) else text.cast(field.dataType)).alias(field.name)
+
+
+def _extra(m: Column, names: Sequence[str], taken: Sequence[str]) -> list[Column]:
+    """Text columns for keys without a declared type. A name that differs
+    from another column's by case only gets a suffix."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        alias, n = name, 2
+        while alias.lower() in used:
+            alias, n = f"{name}_{n}", n + 1
+        used.add(alias.lower())
+        out.append(F.try_element_at(m, F.lit(name)).alias(alias))
+    return out
+
+
 def flatten_section(
-    raw: DataFrame, section: str, section_schema: T.StructType, observation: Observation | None = None
+    raw: DataFrame, section: str, section_schema: T.StructType, observation: Observation | None = None,
+    extra: Sequence[str] | None = None,
 ) -> DataFrame:
     """ticker, company_name, then every key of the section.
 
     The section is first read as raw JSON text, so a section that is not
     an object (a list, a string) adds nothing instead of spoiling the row.
-    Section keys win over ticker / company_name on a clash.
+    Section keys win over ticker / company_name on a clash, also with a
+    null. Keys that the schema does not declare become text columns
+    (``extra`` names them; by default they are looked up in the data).
     """
-    r = parse_reports(raw, section, T.StringType(), observation)
-    is_object = F.trim(F.col(section)).startswith("{")
-    sec = F.when(is_object, F.from_json(F.col(section), section_schema))
-    r = r.select("ticker", _name().alias("company_name"), sec.alias("_s"))
-    names = section_schema.fieldNames()
-    cols = []
-    for outer in ("ticker", "company_name"):
-        if outer in names:
-            cols.append(F.coalesce(F.col("_s")[outer], F.col(outer)).alias(outer))
-        else:
-            cols.append(F.col(outer))
-    cols += [F.col("_s")[n].alias(n) for n in names if n not in ("ticker", "company_name")]
-    return r.select(*cols)
-
-
-def flatten_prices(pages: DataFrame, record: T.StructType = schemas.PRICE_RECORD) -> DataFrame:
+    types = {f.name: f for f in section_schema.fields}
+    outer = ("ticker", "company_name")
+
+    def sections(seen: Observation | None) -> DataFrame:
+        r = parse_reports(raw, section, T.StringType(), seen)
+        is_object = F.trim(F.col(section)).startswith("{")
+        return r.select("ticker", _name().alias("company_name"),
+                        F.when(is_object, F.from_json(F.col(section), TEXT_MAP)).alias("_s"))
+
+    if extra is None:
+        extra = _keys(sections(None), "_s", [*types, *outer])
+    m = F.col("_s")
+    cols = [F.when(F.map_contains_key(m, name), m[name]).otherwise(F.col(name)).alias(name) for name in outer]
+    cols += [_value(m, f) for name, f in types.items() if name not in outer]
+    return sections(observation).select(*cols, *_extra(m, extra, [*outer, *types]))
+
+
+def flatten_prices(
+    pages: DataFrame, record: T.StructType = schemas.PRICE_RECORD, observation: Observation | None = None,
+    extra: Sequence[str] | None = None,
+) -> DataFrame:
     """a price page (a list of records, or one bare record) -> rows,
-    stamped with the page's ticker. Columns: ticker + the record fields."""
-    parsed = pages.select("ticker", F.from_json("value", T.ArrayType(record)).alias("recs"))
-    rows = parsed.select(F.col("ticker").alias("_t"), F.explode("recs").alias("r"))
-    return rows.select(F.col("_t").alias("ticker"), *[F.col("r")[n].alias(n) for n in record.fieldNames() if n != "ticker"])
+    stamped with the page's ticker. Columns: ticker, the declared record
+    fields, then every other field of the records as text. A page that does
+    not parse is dropped and counted."""
+    text = F.trim("value")
+    bare = F.array(F.from_json(text, TEXT_MAP))
+    recs = F.when(text.startswith("{"), F.filter(bare, lambda m: m.isNotNull())).otherwise(
+        F.from_json(text, f"array<{TEXT_MAP}>")
+    )
+    bad = F.col("recs").isNull() | (text.startswith("{") & (F.size("recs") == 0))
+    parsed = pages.select("ticker", "value", recs.alias("recs")).select("ticker", "recs", bad.alias("bad"))
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.where(~F.col("bad")).select("ticker", F.explode("recs").alias("_r")).where("_r IS NOT NULL")
+
+    fields = [f for f in record.fields if f.name != "ticker"]
+    if extra is None:
+        extra = _keys(rows(parsed), "_r", [*(f.name for f in fields), "ticker"])
+    if observation is not None:
+        parsed = parsed.observe(observation, *_counted(F.col("bad")))
+    m = F.col("_r")
+    return rows(parsed).select(
+        "ticker", *[_value(m, f) for f in fields], *_extra(m, extra, ["ticker", *(f.name for f in fields)])
+    )
 
 
 def company_universe(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ data; the uniqueness rule is a second job (a grouped count). The result is
 a small DataFrame: rule_id, rule, column, checked, failed, success.
 ``enforce`` raises one error that lists every failure.
 
-Definitions: Q3 (not null) counts every row; Q4-Q6 leave NULLs out of
+Definitions: a NaN counts as NULL; Q3 (not null) counts every row; Q4-Q6 leave NULLs out of
 the denominator; bounds are inclusive; an empty denominator passes; with
 ``mostly`` a rule passes when the share of good values is >= mostly. Q7
 counts rows: every row of a key combination seen more than once fails,
@@ -17,42 +17,63 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.config import STATUS_FAIL, STATUS_PASS, TICKER_PATTERN
+from ledgerlens.functions.expressions import nan_to_null
 
 Rule = Mapping[str, Any]
 
-# --- fixed values: the two suites of the screening -----------------------
-# bronze (financial_statements of one run date)
-BRONZE_SUITE: tuple[Rule, ...] = (
-    {"rule": "columns_present", "columns": (
-        "ticker", "period", "revenue", "gross_profit", "net_income", "total_assets",
-        "total_equity", "total_debt", "operating_cash_flow", "capex", "eps")},
-    {"rule": "row_count_between", "min": 50, "max": 500},
+# --- fixed values: the two suites of the screening, as defaults of their
+# parameters. The row bounds and the ticker pattern fit the universe the
+# screening was made for; other universes pass their own.
+def bronze_suite(
+    min_rows: int | None = 50, max_rows: int | None = 500, ticker_pattern: str = TICKER_PATTERN
+) -> tuple[Rule, ...]:
+    """financial_statements of one run date."""
+    return (
+        {"rule": "columns_present", "columns": (
+            "ticker", "period", "revenue", "gross_profit", "net_income", "total_assets",
+            "total_equity", "total_debt", "operating_cash_flow", "capex", "eps")},
+        {"rule": "row_count_between", "min": min_rows, "max": max_rows},
+        {"rule": "not_null", "column": "ticker"},
+        {"rule": "not_null", "column": "period"},
+        {"rule": "matches_regex", "column": "ticker", "regex": ticker_pattern},
+        {"rule": "not_null", "column": "net_income", "mostly": 0.7},
+        {"rule": "not_null", "column": "total_equity", "mostly": 0.7},
+        {"rule": "not_null", "column": "revenue", "mostly": 0.6},
+    )
+
+
+def gold_suite(
+    min_rows: int | None = 1, roe_bounds: tuple[float, float] = (-5.0, 10.0), mostly: float = 0.9,
+    present: float = 0.5,
+) -> tuple[Rule, ...]:
+    """fct_screening of one run date."""
+    return (
+        {"rule": "row_count_between", "min": min_rows},
+        {"rule": "not_null", "column": "ticker"},
+        {"rule": "not_null", "column": "status"},
+        {"rule": "not_null", "column": "criteria_passed"},
+        {"rule": "in_set", "column": "status", "values": (STATUS_PASS, STATUS_FAIL)},
+        {"rule": "between", "column": "criteria_passed", "min": 0, "max": 7},
+        {"rule": "not_null", "column": "roe", "mostly": present},
+        {"rule": "not_null", "column": "der", "mostly": present},
+        {"rule": "not_null", "column": "fcf", "mostly": present},
+        {"rule": "between", "column": "roe", "min": roe_bounds[0], "max": roe_bounds[1], "mostly": mostly},
+        {"rule": "between", "column": "der", "min": 0, "mostly": mostly},
+        {"rule": "unique_combination", "columns": ("ticker", "run_date")},
+    )
+
+
+BRONZE_SUITE, GOLD_SUITE = bronze_suite(), gold_suite()
+# dim_company: its key and its NOT NULL column.
+DIM_COMPANY_SUITE: tuple[Rule, ...] = (
     {"rule": "not_null", "column": "ticker"},
-    {"rule": "not_null", "column": "period"},
-    {"rule": "matches_regex", "column": "ticker", "regex": TICKER_PATTERN},
-    {"rule": "not_null", "column": "net_income", "mostly": 0.7},
-    {"rule": "not_null", "column": "total_equity", "mostly": 0.7},
-    {"rule": "not_null", "column": "revenue", "mostly": 0.6},
-)
-# gold (fct_screening of one run date)
-GOLD_SUITE: tuple[Rule, ...] = (
-    {"rule": "row_count_between", "min": 1},
-    {"rule": "not_null", "column": "ticker"},
-    {"rule": "not_null", "column": "status"},
-    {"rule": "not_null", "column": "criteria_passed"},
-    {"rule": "in_set", "column": "status", "values": (STATUS_PASS, STATUS_FAIL)},
-    {"rule": "between", "column": "criteria_passed", "min": 0, "max": 7},
-    {"rule": "not_null", "column": "roe", "mostly": 0.5},
-    {"rule": "not_null", "column": "der", "mostly": 0.5},
-    {"rule": "not_null", "column": "fcf", "mostly": 0.5},
-    {"rule": "between", "column": "roe", "min": -5.0, "max": 10.0, "mostly": 0.9},
-    {"rule": "between", "column": "der", "min": 0, "mostly": 0.9},
-    {"rule": "unique_combination", "columns": ("ticker", "run_date")},
+    {"rule": "not_null", "column": "company_name"},
+    {"rule": "unique_combination", "columns": ("ticker",)},
 )
 
 REPORT_SCHEMA = T.StructType([
@@ -129,6 +150,10 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     the groups up and counts the keys seen more than once.
     """
     spark: SparkSession = df.sparkSession
+    df = df.select(*[
+        nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        for f in df.schema.fields
+    ])
     static: list[tuple] = []
     row_rules: list[tuple[int, Rule, Column, Column]] = []
     unique: list[tuple[int, Rule]] = []
@@ -209,58 +234,6 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType) for f in REPORT_SCHEMA.fields])
 
 
-def observe_suite(df: DataFrame, suite: Sequence[Rule], name: str):
-    """Attach a suite's row-level rules to ``df`` as an ``Observation``.
-
-    Whatever job consumes the returned frame (a write, typically) computes
-    the rule counts on the way, so a gate costs no pass of its own. Returns
-    (observed frame, report) where ``report()`` gives the report rows,
-    like ``run_suite``, once that job ran. Uniqueness needs a grouping and
-    cannot be observed; use ``run_suite`` for suites with it.
-    """
-    if any(r["rule"] == "unique_combination" for r in suite):
-        raise ValueError("unique_combination cannot be observed; use run_suite")
-    zero = F.lit(0).cast("long")
-    static, metrics, rules = [], [], []
-    for i, rule in enumerate(suite):
-        if rule["rule"] == "columns_present":
-            missing = [c for c in rule["columns"] if c not in df.columns]
-            static.append(Row(rule_id=i, rule=rule["rule"], column=None, checked=len(rule["columns"]),
-                              failed=len(missing), success=not missing))
-            continue
-        pair = _bad_in_checked(rule)
-        if pair is None:
-            static.append(Row(rule_id=i, rule=rule["rule"], column=rule.get("column"), checked=0,
-                              failed=1, success=False))
-            continue
-        metrics += [F.coalesce(pair[0], zero).alias(f"c{i}"), F.coalesce(pair[1], zero).alias(f"f{i}")]
-        rules.append((i, rule))
-    observation = Observation(name)
-    observed = df.observe(observation, *metrics) if metrics else df
-
-    def report() -> list[Row]:
-        got = observation.get if metrics else {}
-        rows = list(static)
-        for i, rule in rules:
-            c, f = int(got.get(f"c{i}") or 0), int(got.get(f"f{i}") or 0)
-            rows.append(Row(rule_id=i, rule=rule["rule"], column=rule.get("column"), checked=c,
-                            failed=f, success=_success_value(rule, c, f)))
-        return sorted(rows, key=lambda r: r.rule_id)
-
-    return observed, report
-
-
-def _success_value(rule: Rule, checked: int, failed: int) -> bool:
-    """``_success`` on driver-side numbers (observed counts)."""
-    if rule["rule"] == "row_count_between":
-        lo, hi = rule.get("min"), rule.get("max")
-        return (lo is None or checked >= lo) and (hi is None or checked <= hi)
-    mostly = rule.get("mostly")
-    if mostly is None:
-        return failed == 0
-    return checked == 0 or (checked - failed) / checked >= float(mostly)
-
-
 def enforce_rows(rows: Sequence[Row], label: str) -> None:
     failed = [r for r in rows if not r.success]
     if failed:

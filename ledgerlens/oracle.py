@@ -13,13 +13,17 @@ from collections.abc import Sequence
 from ledgerlens.config import PREVIOUS_RUN_DATE, RUN_DATE
 from ledgerlens.sources import fixtures as fx
 
-DEC = "DECIMAL(12,2)"
+DEC = "DECIMAL(18,2)"
 TWO_RUNS = (PREVIOUS_RUN_DATE, RUN_DATE)
 
 
 def letters(k: str) -> str:
-    parts = [f"chr(CAST(65 + ({k} // {w}) % 26 AS INTEGER))" for w in (17576, 676, 26, 1)]
-    return " || ".join(parts)
+    """Base 26, at least four letters, as many as the key needs."""
+    parts = [f"chr(CAST(65 + ({k} // {26**p}) % 26 AS INTEGER))" for p in range(fx.LETTERS - 1, -1, -1)]
+    lead = [
+        f"CASE WHEN {k} >= {26**p} THEN {c} ELSE '' END" for p, c in zip(range(fx.LETTERS - 1, 3, -1), parts)
+    ]
+    return "(" + " || ".join(lead + parts[-4:]) + ")"
 
 
 def dirty(k: str) -> str:
@@ -105,9 +109,20 @@ prof AS (
        LEFT JOIN first_order fo ON fo.run_date = c.run_date AND fo.k = c.c_custkey)"""
 
 
-def silver_ctes(run_dates: Sequence[str] = (RUN_DATE,)) -> str:
-    """Adds sfin, sprof, sval: clean tickers, one row per key."""
-    return f"""{base_ctes(run_dates)},
+def _first_of(source: str, keys: str, order: str, cols: str) -> str:
+    """One row per key, the first in the given order."""
+    return (
+        f"SELECT {cols} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) AS place "
+        f"FROM {source}) WHERE place = 1"
+    )
+
+
+def silver_ctes(run_dates: Sequence[str] = (RUN_DATE,), dirty_input: bool = False) -> str:
+    """Adds sfin, sprof, sval: clean tickers, one row per key. With
+    ``dirty_input`` bronze has dirty tickers and repeated rows, and the
+    silver rows are normalised and reduced to one per key."""
+    if not dirty_input:
+        return f"""{base_ctes(run_dates)},
 sfin AS (
   SELECT run_date, {letters('k')} AS ticker, period, revenue, gross_profit, net_income,
          total_assets, total_equity, total_debt, operating_cash_flow, capex, eps
@@ -119,9 +134,30 @@ sprof AS (
 sval AS (
   SELECT run_date, {letters('k')} AS ticker, period, per, pbv, price, ev_ebitda
   FROM val WHERE per > 0 AND pbv > 0)"""
-
-
-def metric_ctes(run_dates: Sequence[str] = (RUN_DATE,)) -> str:
+    again = f"k % {fx.DUPLICATE_EVERY} = 0"
+    fin_order = ", ".join(f"{m} DESC NULLS LAST" for m in MEASURES)
+    return f"""{base_ctes(run_dates)},
+{bronze_fin_cte(dirty('k'), True)},
+bprof AS (
+  SELECT run_date, {dirty('k')} AS raw, company_name, sector, sub_sector, market_cap, listing_date FROM prof
+  UNION ALL
+  SELECT run_date, {dirty('k')} AS raw, company_name || ' II' AS company_name, sector, sub_sector, market_cap,
+         listing_date FROM prof WHERE {again}),
+bval AS (
+  SELECT run_date, {dirty('k')} AS raw, period, per, pbv, price, ev_ebitda FROM val
+  UNION ALL
+  SELECT run_date, {dirty('k')} AS raw, period, per + 1 AS per, pbv, price, ev_ebitda FROM val WHERE {again}),
+nfin AS (SELECT * EXCLUDE (ticker, k), {norm('ticker')} AS ticker FROM bfin),
+nprof AS (SELECT * EXCLUDE (raw), {norm('raw')} AS ticker FROM bprof),
+nval AS (SELECT * EXCLUDE (raw), {norm('raw')} AS ticker FROM bval WHERE per > 0 AND pbv > 0),
+sfin AS ({_first_of('nfin', 'run_date, ticker, period', fin_order, 'run_date, ticker, period, ' + ', '.join(MEASURES))}),
+sprof AS ({_first_of('nprof', 'run_date, ticker', 'company_name DESC NULLS LAST',
+                     'run_date, ticker, company_name, sector, sub_sector, market_cap, listing_date')}),
+sval AS ({_first_of('nval', 'run_date, ticker, period', 'per DESC, pbv DESC, price DESC NULLS LAST, ev_ebitda DESC NULLS LAST',
+                    'run_date, ticker, period, per, pbv, price, ev_ebitda')})"""
+
+
+def metric_ctes(run_dates: Sequence[str] = (RUN_DATE,), dirty_input: bool = False) -> str:
     """Adds growth, latest, cand (K1) and scored (K2) for every run date."""
     crit = " + ".join(
         f"COALESCE(CAST(({e}) AS INTEGER), 0)"
@@ -135,7 +171,7 @@ def metric_ctes(run_dates: Sequence[str] = (RUN_DATE,)) -> str:
             "per * pbv <= 22.5",
         )
     )
-    return f"""{silver_ctes(run_dates)},
+    return f"""{silver_ctes(run_dates, dirty_input)},
 growth AS (
   SELECT run_date, ticker, period, eps,
          LAG(eps, 1) OVER (PARTITION BY run_date, ticker ORDER BY period) AS p1,
@@ -148,19 +184,18 @@ gm AS (
                     ELSE POWER(eps / NULLIF(ABS(p5), 0), CAST(0.2 AS DOUBLE)) - 1 END, 9) AS eps_cagr_5y
   FROM growth),
 latest AS (SELECT run_date, ticker, MAX(period) AS period FROM sfin GROUP BY run_date, ticker),
+ratio AS (
+  SELECT run_date, ticker, period,
+         net_income / NULLIF(total_equity, 0) AS roe, total_debt / NULLIF(total_equity, 0) AS der,
+         operating_cash_flow - capex AS fcf, (operating_cash_flow - capex) / NULLIF(revenue, 0) AS fcf_margin
+  FROM sfin),
+newest AS (
+  SELECT r.*, gm.eps_growth_yoy, gm.eps_cagr_5y
+  FROM ratio r SEMI JOIN latest USING (run_date, ticker, period) LEFT JOIN gm USING (run_date, ticker, period)),
 cand AS (
-  SELECT p.run_date, p.ticker, p.company_name, p.sector, lp.period,
-         f.net_income / NULLIF(f.total_equity, 0) AS roe,
-         f.total_debt / NULLIF(f.total_equity, 0) AS der,
-         f.operating_cash_flow - f.capex AS fcf,
-         (f.operating_cash_flow - f.capex) / NULLIF(f.revenue, 0) AS fcf_margin,
-         g.eps_growth_yoy, g.eps_cagr_5y,
-         v.per, v.pbv, v.per * v.pbv AS graham_combined
-  FROM sprof p
-  JOIN latest lp ON p.run_date = lp.run_date AND p.ticker = lp.ticker
-  LEFT JOIN sfin f ON f.run_date = lp.run_date AND f.ticker = lp.ticker AND f.period = lp.period
-  LEFT JOIN gm g ON g.run_date = lp.run_date AND g.ticker = lp.ticker AND g.period = lp.period
-  LEFT JOIN sval v ON v.run_date = lp.run_date AND v.ticker = lp.ticker AND v.period = lp.period),
+  SELECT n.run_date, n.ticker, sprof.company_name, sprof.sector, n.period, n.roe, n.der, n.fcf, n.fcf_margin,
+         n.eps_growth_yoy, n.eps_cagr_5y, sval.per, sval.pbv, sval.per * sval.pbv AS graham_combined
+  FROM newest n JOIN sprof USING (run_date, ticker) LEFT JOIN sval USING (run_date, ticker, period)),
 scored AS (
   SELECT *, CAST({crit} AS INTEGER) AS criteria_passed,
          CASE WHEN {crit} = 7 THEN 'LOLOS' ELSE 'TIDAK' END AS status

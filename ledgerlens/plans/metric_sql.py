@@ -1,44 +1,17 @@
-"""The metric sets as Spark SQL with a named ``:run_date`` parameter (F8).
+"""A user's metric statement over silver frames (F8).
 
-For users who keep their metrics as SQL text: the parameter is bound by
-Spark (``spark.sql(text, args=...)``), never by string replacement, and
-the silver frames are passed as DataFrame arguments, so no temporary view
-name can clash between sessions. The plans are the same as the DataFrame
-forms in ``operators.metrics``.
+For users who keep metrics as SQL text: ``:run_date`` is bound by Spark
+(``spark.sql(text, args=...)``), never by string replacement, and the frames
+are passed as arguments under the names the statement uses in braces, so no
+temporary view name can clash between sessions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-METRIC_SQL: dict[str, str] = {
-    "roe": """
-        SELECT ticker, period, net_income / NULLIF(total_equity, 0D) AS roe
-        FROM {fin} WHERE run_date = :run_date""",
-    "der": """
-        SELECT ticker, period, total_debt / NULLIF(total_equity, 0D) AS der
-        FROM {fin} WHERE run_date = :run_date""",
-    "fcf": """
-        SELECT ticker, period, operating_cash_flow - capex AS fcf,
-               (operating_cash_flow - capex) / NULLIF(revenue, 0D) AS fcf_margin
-        FROM {fin} WHERE run_date = :run_date""",
-    "growth": """
-        SELECT ticker, period,
-               (eps - prev_1) / NULLIF(ABS(prev_1), 0D) AS eps_growth_yoy,
-               ROUND(NANVL(POWER(eps / NULLIF(ABS(prev_5), 0D), 0.2D) - 1D, NULL), 9) AS eps_cagr_5y
-        FROM (
-            SELECT run_date, ticker, period, eps,
-                   LAG(eps, 1) OVER by_period AS prev_1,
-                   LAG(eps, 5) OVER by_period AS prev_5
-            FROM {fin}
-            WINDOW by_period AS (PARTITION BY run_date, ticker ORDER BY period))
-        WHERE run_date = :run_date""",
-    "valuation": """
-        SELECT ticker, period, per, pbv, per * pbv AS graham_combined, price, ev_ebitda
-        FROM {val} WHERE run_date = :run_date""",
-}
 
-
-def metric_sql(spark: SparkSession, name: str, fin: DataFrame, val: DataFrame, run_date: str) -> DataFrame:
-    """Run one metric set's SQL over silver financials / valuation."""
-    return spark.sql(METRIC_SQL[name], args={"run_date": run_date}, fin=fin, val=val)
+def metric_sql(spark: SparkSession, statement: str, run_date: str, **frames: DataFrame) -> DataFrame:
+    """Run ``statement`` with ``:run_date`` bound and ``{name}`` standing for
+    the frame of that name."""
+    return spark.sql(statement, args={"run_date": run_date}, **frames)

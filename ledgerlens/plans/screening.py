@@ -47,10 +47,10 @@ def silver_inputs(
         )
     )
     prof = clean.clean_profile(
-        fixtures.bronze_profile(spark, sf_dir, run_dates, dirty=dirty, totals=totals)
+        fixtures.bronze_profile(spark, sf_dir, run_dates, dirty=dirty, duplicates=duplicates, totals=totals)
     )
     val = clean.clean_valuation(
-        fixtures.bronze_valuation(spark, sf_dir, run_dates, dirty=dirty, totals=totals)
+        fixtures.bronze_valuation(spark, sf_dir, run_dates, dirty=dirty, duplicates=duplicates, totals=totals)
     )
     return fin, prof, val
 
@@ -63,6 +63,20 @@ def silver_financials(
     return clean.clean_financials(fixtures.bronze_financials(spark, sf_dir, run_dates))
 
 
+def silver_valuation(
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
+) -> DataFrame:
+    """Silver valuation alone, lazily like ``silver_financials``."""
+    return clean.clean_valuation(fixtures.bronze_valuation(spark, sf_dir, run_dates))
+
+
+def silver_profile(
+    spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
+) -> DataFrame:
+    """Silver profile alone: it needs the orders' dates, not lineitem."""
+    return clean.clean_profile(fixtures.bronze_profile(spark, sf_dir, run_dates))
+
+
 def to_fact(scored: DataFrame) -> DataFrame:
     """Fact columns: NaN stored as NULL (E5), run_date as a DATE."""
     cols = []
@@ -77,17 +91,18 @@ def to_fact(scored: DataFrame) -> DataFrame:
 
 
 def screening(
-    fin: DataFrame, profile: DataFrame, val: DataFrame, run_date: str | None = RUN_DATE
+    fin: DataFrame, profile: DataFrame, val: DataFrame, run_date: str | None = RUN_DATE,
+    profile_is_unique: bool = False,
 ) -> DataFrame:
     """Scored fact rows for one run date (or every run date when None)."""
-    candidates = metrics.screening_candidates(
-        fin, clean.unique_profile(profile), clean.unique_valuation(val), run_date
-    )
+    profile = profile if profile_is_unique else clean.unique_profile(profile)
+    candidates = metrics.screening_candidates(fin, profile, clean.unique_valuation(val), run_date)
     return to_fact(scoring.score(candidates))
 
 
 def screening_from_tables(
-    spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE, run_dates: Sequence[str] | None = None
+    spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE, run_dates: Sequence[str] | None = None,
+    dirty: bool = False, duplicates: bool = False,
 ) -> DataFrame:
-    fin, prof, val = silver_inputs(spark, sf_dir, run_dates or (run_date,))
+    fin, prof, val = silver_inputs(spark, sf_dir, run_dates or (run_date,), dirty, duplicates)
     return screening(fin, prof, val, run_date)

@@ -1,29 +1,33 @@
 """The warehouse: dimensions, the screening fact and its views
 (S9-S12, S14, V1, A2-A4).
 
-Tables are Parquet folders under one warehouse root. The fact is
-partitioned by run_date, so reloading a run date replaces one partition
-folder and nothing else, and a rerun gives the same rows. The company
-dimension is rewritten as a whole: merged into a new version folder
-whose commit marker publishes it, so a plan never overwrites the folder
-it reads from.
+Tables are Parquet folders under one warehouse root, in the version layout of
+``sources.lake``: the fact has a version per run date, so reloading a run date
+replaces that date and nothing else and a rerun gives the same rows; the other
+tables are replaced as a whole. Publishing is one step, a failed load leaves
+the rows that were published, and a plan never writes to a folder it reads.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
+import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from ledgerlens.config import STATUS_PASS
+from ledgerlens.operators.clean import keep_greatest
 from ledgerlens.schemas import SCREENING_COLUMNS, WAREHOUSE_TABLES
 from ledgerlens.sources import lake
 
+LAYER = "gold"
 FACT = "fct_screening"
-DIM_VERSIONS_KEPT = 3
+# A merge that holds the lock of a version for longer than this is taken for dead.
+MERGE_LIMIT = dt.timedelta(hours=6)
+
+
+class ConcurrentMerge(RuntimeError):
+    """Another run is merging the same version of the company dimension."""
 
 
 def table_path(root: str, name: str) -> str:
@@ -36,40 +40,30 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
     rows = []
     for name, schema in WAREHOUSE_TABLES.items():
         path = table_path(root, name)
-        created = False
-        if name == "dim_company":
-            if current_dim_company_path(spark, root) is None:
-                spark.createDataFrame([], schema).write.parquet(dim_company_version(root))
-                created = True
-        elif not _exists(spark, path, schema):
-            empty = spark.createDataFrame([], schema)
-            writer = empty.write.mode("overwrite")
-            if name == FACT:
-                writer = writer.partitionBy("run_date")
-            writer.parquet(path)
-            created = True
+        if name == FACT:  # it gets its first version with the first run date
+            target, fs = lake.file_system(spark, path)
+            created = bool(not fs.exists(target) and fs.mkdirs(target))
+        else:
+            created = lake.current_version(spark, path) is None
+            if created:
+                lake.replace(spark.createDataFrame([], schema), path)
         rows.append((name, len(schema.fields), created))
     return spark.createDataFrame(rows, "table string, n_columns int, created boolean")
 
 
-def _exists(spark: SparkSession, path: str, schema) -> bool:
-    """The folder exists (it may hold no data file yet). With the schema
-    given no file is opened; a missing path raises at resolution."""
-    try:
-        spark.read.schema(schema).parquet(path).inputFiles()
-        return True
-    except AnalysisException:
-        return False
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table's published rows (none, with the declared columns, before the
+    first load)."""
     schema = WAREHOUSE_TABLES[name]
-    return spark.read.schema(schema).option("basePath", table_path(root, name)).parquet(
-        table_path(root, name)
-    )
+    if name == FACT:
+        dates = lake.run_dates(spark, root, LAYER, FACT)
+        return lake.read_run_dates(spark, root, LAYER, FACT, dates, schema) if dates else spark.createDataFrame([], schema)
+    path = lake.current_version(spark, table_path(root, name))
+    return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
 
 # ----------------------------------------------------------------- S9 ----
+# --- fixed values: the attributes of the company dimension
 DIM_COMPANY_ATTRS = ("company_name", "sector", "sub_sector", "market_cap", "listing_date")
 
 
@@ -78,8 +72,6 @@ def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     refresh updated_at, keep created_at; listing_date is cast to DATE.
     Incoming rows are first reduced to one per ticker (N8; duplicate keys
     in one upsert would otherwise duplicate the dimension's key)."""
-    from ledgerlens.operators.clean import keep_greatest
-
     now = F.current_timestamp()
     incoming = keep_greatest(incoming.select("ticker", *DIM_COMPANY_ATTRS), ("ticker",), DIM_COMPANY_ATTRS)
     inc = incoming.select(
@@ -103,69 +95,40 @@ def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def dim_company_version(root: str) -> str:
-    """A new version folder; names sort by creation time."""
-    return f"{table_path(root, 'dim_company')}/v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
-
+def _lock(spark: SparkSession, path: str, limit: dt.timedelta):
+    """Take the merge lock of a version: a file that only one run can create.
+    A lock older than ``limit`` is left over from a dead run."""
+    target, fs = lake.file_system(spark, f"{path}/_merging")
+    if not fs.createNewFile(target):
+        age = dt.datetime.now().timestamp() - fs.getFileStatus(target).getModificationTime() / 1000
+        if age < limit.total_seconds():
+            raise ConcurrentMerge(f"another run is merging {path}")
+        fs.create(target, True).close()
+    return lambda: fs.delete(target, False)
 
-def current_dim_company_path(spark: SparkSession, root: str) -> str | None:
-    """The newest committed version (a folder holding _SUCCESS).
 
-    A version is published by the commit of its own write, so a failed or
-    half-written merge is never read; one small listing, no Spark job.
-    """
-    base, fs = lake.file_system(spark, table_path(root, "dim_company"))
-    if not fs.exists(base):
-        return None
-    names = sorted(
-        (st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()), reverse=True
-    )
-    for name in names:
-        path = f"{table_path(root, 'dim_company')}/{name}"
-        marker, _ = lake.file_system(spark, f"{path}/_SUCCESS")
-        if fs.exists(marker):
-            return path
-    return None
-
-
-def write_dim_company(spark: SparkSession, root: str, incoming: DataFrame) -> str:
-    """Merge ``incoming`` into the current dim_company as a new version
-    (never overwrite what the plan reads); returns the version path."""
-    current = current_dim_company_path(spark, root)
-    existing = (
-        spark.read.schema(WAREHOUSE_TABLES["dim_company"]).parquet(current)
-        if current
-        else spark.createDataFrame([], WAREHOUSE_TABLES["dim_company"])
-    )
-    target = dim_company_version(root)
-    upsert_company(existing, incoming).write.mode("overwrite").parquet(target)
-    prune_dim_company_versions(spark, root)
-    return target
-
-
-def prune_dim_company_versions(spark: SparkSession, root: str, keep: int = DIM_VERSIONS_KEPT) -> int:
-    """Delete committed versions beyond the newest ``keep`` (readers of the
-    previous versions are left alone) and uncommitted leftovers older than
-    the newest committed version. Returns the number of folders removed."""
-    base, fs = lake.file_system(spark, table_path(root, "dim_company"))
-    if not fs.exists(base):
-        return 0
-    names = sorted((st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()), reverse=True)
-    committed = [n for n in names if fs.exists(lake.file_system(spark, f"{base}/{n}/_SUCCESS")[0])]
-    if not committed:
-        return 0
-    newest = committed[0]
-    doomed = committed[keep:] + [n for n in names if n not in committed and n < newest]
-    for n in doomed:
-        fs.delete(lake.file_system(spark, f"{base}/{n}")[0], True)
-    return len(doomed)
+def write_dim_company(
+    spark: SparkSession, root: str, incoming: DataFrame, limit: dt.timedelta = MERGE_LIMIT
+) -> str:
+    """Merge ``incoming`` into the current dim_company as a new version;
+    returns its path. Two runs cannot merge the same version: the second
+    one gets ``ConcurrentMerge`` and can be rerun, so no merge is lost."""
+    folder = table_path(root, "dim_company")
+    current = lake.current_version(spark, folder)
+    if current is None:
+        current = lake.replace(spark.createDataFrame([], WAREHOUSE_TABLES["dim_company"]), folder)
+    unlock = _lock(spark, current, limit)
+    try:
+        if lake.current_version(spark, folder) != current:
+            raise ConcurrentMerge(f"another run has replaced {current}")
+        existing = spark.read.schema(WAREHOUSE_TABLES["dim_company"]).parquet(current)
+        return lake.replace(upsert_company(existing, incoming), folder)
+    finally:
+        unlock()
 
 
 def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
-    path = current_dim_company_path(spark, root)
-    if path is None:
-        return spark.createDataFrame([], WAREHOUSE_TABLES["dim_company"])
-    return spark.read.schema(WAREHOUSE_TABLES["dim_company"]).parquet(path)
+    return read_table(spark, root, "dim_company")
 
 
 # ---------------------------------------------------------------- S10 ----
@@ -174,10 +137,10 @@ def reload_fact(
 ) -> str:
     """Replace the fact rows of one run date (delete + insert).
 
-    The new rows are staged and then swapped in for the partition folder,
-    also when ``fact`` is empty (N6): like the original delete + insert in
-    one transaction, a failed load leaves the previous rows. loaded_at is
-    stamped here.
+    The new rows are a version of their own, published when they are all
+    written, also when ``fact`` is empty (N6): like the original delete +
+    insert in one transaction, a failed load leaves the previous rows.
+    loaded_at is stamped here.
     """
     body = fact.where(F.col("run_date") == F.to_date(F.lit(run_date))).select(
         *[c for c in SCREENING_COLUMNS if c != "run_date"], F.current_timestamp().alias("loaded_at")
@@ -188,7 +151,7 @@ def reload_fact(
             F.count(F.lit(1)).alias("total"),
             F.sum(F.when(F.col("status") == STATUS_PASS, 1).otherwise(0)).alias("passed"),
         )
-    return lake.replace_folder(body, f"{table_path(root, FACT)}/run_date={run_date}")
+    return lake.write_partition(body, root, LAYER, FACT, run_date)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
@@ -196,8 +159,14 @@ def read_fact(spark: SparkSession, root: str) -> DataFrame:
 
 
 def fact_for_run(spark: SparkSession, root: str, run_date: str) -> DataFrame:
-    """The fact of one run date (a partition filter)."""
-    return read_fact(spark, root).where(F.col("run_date") == F.to_date(F.lit(run_date)))
+    """The fact of one run date (only that date's folder is opened)."""
+    return lake.read_partition(spark, root, LAYER, FACT, run_date, WAREHOUSE_TABLES[FACT])
+
+
+def newest_fact(spark: SparkSession, root: str) -> DataFrame:
+    """P9 on the stored fact: the newest run date, found by folder names."""
+    newest = lake.newest_run_date(spark, root, LAYER, FACT)
+    return fact_for_run(spark, root, newest) if newest else read_fact(spark, root)
 
 
 # ------------------------------------------------------------ V1, A2-A4 --
@@ -206,11 +175,20 @@ def latest_screening(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     criteria_passed then roe descending, NULLs first (as in the warehouse
     the view was defined for, N5).
 
-    MAX(run_date) is an uncorrelated scalar subquery; Spark evaluates it
-    once and prunes the fact's partitions with it.
+    For any fact frame: MAX(run_date) is an uncorrelated scalar subquery.
+    Over the stored fact use ``latest_screening_of``, which needs no scan to
+    find the newest date.
     """
     newest = fact.agg(F.max("run_date").alias("_max"))
-    latest = fact.where(F.col("run_date") == newest.select("_max").scalar())
+    return _with_listing_date(fact.where(F.col("run_date") == newest.select("_max").scalar()), dim_company)
+
+
+def latest_screening_of(spark: SparkSession, root: str) -> DataFrame:
+    """V1 over a warehouse: one run date of the fact is opened."""
+    return _with_listing_date(newest_fact(spark, root), read_dim_company(spark, root))
+
+
+def _with_listing_date(latest: DataFrame, dim_company: DataFrame) -> DataFrame:
     out = latest.alias("s").join(dim_company.select("ticker", "listing_date").alias("c"), "ticker")
     return out.select("s.*", "c.listing_date").orderBy(
         F.col("criteria_passed").desc_nulls_first(), F.col("roe").desc_nulls_first()
@@ -272,8 +250,6 @@ def valuation_snapshot(val: DataFrame, run_date: str) -> DataFrame:
     one row per key even with duplicated input, and no window that would
     put a hot ticker's rows in one task.
     """
-    from ledgerlens.operators.clean import keep_greatest
-
     v = val.where(F.col("run_date") == run_date).select(
         "run_date", "ticker", "period", "per", "pbv", "price", "ev_ebitda"
     )

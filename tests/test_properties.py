@@ -342,9 +342,6 @@ def test_quality_rules_equal_brute_force(spark, rows, mostly):
         (len(keys), dup_rows, dup_rows == 0),
     ]
     assert got == want
-    observed, report = quality.observe_suite(df, suite[:-1], f"q_{abs(hash((tuple(rows), mostly)))}")
-    observed.write.format("noop").mode("overwrite").save()
-    assert [(r.checked, r.failed, r.success) for r in report()] == want[:-1]
 
 
 @settings(max_examples=10, deadline=None)

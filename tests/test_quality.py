@@ -1,5 +1,6 @@
 import pytest
 
+from ledgerlens.config import FINANCIAL_MEASURES
 from ledgerlens.operators import quality
 
 
@@ -47,11 +48,17 @@ def test_unique_counts_rows_and_skips_all_null_keys(spark):
     assert (r2.checked, r2.failed, r2.success) == (4, 3, False)
 
 
-def test_observed_suite_equals_run_suite(spark):
-    from ledgerlens.sources import fixtures as fx
+def test_nan_counts_as_null(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    suite = ({"rule": "not_null", "column": "x"}, {"rule": "between", "column": "x", "min": 0, "max": 9})
+    rep = {r.rule_id: (r.checked, r.failed) for r in quality.run_suite(df, suite).collect()}
+    assert rep == {0: (3, 2), 1: (1, 0)}
 
-    bronze = fx.bronze_financials(spark, "/root/testdata/sf0.001", dirty=True)
-    expected = [tuple(r) for r in quality.run_suite(bronze, quality.BRONZE_SUITE).orderBy("rule_id").collect()]
-    observed, report = quality.observe_suite(bronze, quality.BRONZE_SUITE, "t_obs")
-    observed.write.format("noop").mode("overwrite").save()
-    assert [tuple(r) for r in report()] == expected
+
+def test_bounds_are_parameters(spark):
+    rows = [("ABCDE", "2024", *[1.0] * 9)] * 600
+    cols = "ticker string, period string, " + ", ".join(f"{m} double" for m in FINANCIAL_MEASURES)
+    df = spark.createDataFrame(rows, cols)
+    assert not all(r.success for r in quality.run_suite(df, quality.BRONZE_SUITE).collect())
+    assert all(r.success for r in quality.run_suite(df, quality.bronze_suite(1, None, "^[A-Z]{5}$")).collect())
+    assert not all(r.success for r in quality.run_suite(df, quality.bronze_suite(1, None, "^[a-z]+$")).collect())

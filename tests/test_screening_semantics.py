@@ -69,6 +69,8 @@ def test_read_partition_prunes_and_growth_filter_reaches_the_scan(spark, scratch
     fin = lake.read_domain(spark, scratch, "silver", "fs", schemas.BRONZE_FINANCIALS)
     plan = metrics.eps_growth(fin, "2024-01-12")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_date" in plan and "2024-01-12" in plan
+    one = lake.read_partition(spark, scratch, "silver", "fs", "2024-01-12", schemas.BRONZE_FINANCIALS)
+    assert all("run_date=2024-01-12" in f for f in one.inputFiles())
     assert metrics.eps_growth(fin, "2024-01-12").count() == 1
 
 
@@ -76,6 +78,7 @@ def test_weekly_run_gates(spark, scratch):
     import pytest
 
     from ledgerlens.config import RUN_DATE
+    from ledgerlens.operators import quality
     from ledgerlens.operators.quality import QualityError
     from ledgerlens.plans import weekly_run
     from ledgerlens.sources import fixtures as fx
@@ -91,10 +94,13 @@ def test_weekly_run_gates(spark, scratch):
     res = weekly_run.run_week(spark, root, wh, RUN_DATE, enforce_gates=False)
     assert res.summary.total == 150 and res.summary.total == res.summary.passed + res.summary.not_passed
     assert [r.success for r in res.gold_gate if r.rule == "unique_combination"] == [True]
-    # 796 bronze rows exceed the 50..500 bound of the bronze suite
+    # 798 bronze rows exceed the default 50..500 bound of the bronze suite
     assert [r.success for r in res.bronze_gate if r.rule == "row_count_between"] == [False]
     with pytest.raises(QualityError):
         weekly_run.run_week(spark, root, wh, RUN_DATE, enforce_gates=True)
+    passing = weekly_run.run_week(spark, root, wh, RUN_DATE, bronze_suite=quality.bronze_suite(1, 1000),
+                                  gold_suite=quality.gold_suite(mostly=0.5))
+    assert all(r.success for r in (*passing.bronze_gate, *passing.gold_gate, *passing.company_gate))
 
 
 def test_failing_gate_publishes_no_silver(spark, scratch):
@@ -105,8 +111,15 @@ def test_failing_gate_publishes_no_silver(spark, scratch):
     from ledgerlens.plans import weekly_run
     from ledgerlens.sources import fixtures as fx
 
-    root = f"{scratch}/lake"
-    lake.write_partitioned(fx.bronze_financials(spark, "/root/testdata/sf0.001"), root, "bronze", "financial_statements")
+    root, sf = f"{scratch}/lake", "/root/testdata/sf0.001"
+    lake.write_partitioned(fx.bronze_financials(spark, sf), root, "bronze", "financial_statements")
+    # No profile has landed: an error, and nothing changes.
+    with pytest.raises(lake.MissingPartition):
+        weekly_run.run_week(spark, root, f"{scratch}/wh", RUN_DATE, enforce_gates=False)
+    assert not lake.has_data(spark, root, "silver", "financial_statements")
+    assert not lake.has_data(spark, f"{scratch}/wh", "gold", "fct_screening")
+    lake.write_partitioned(fx.bronze_profile(spark, sf), root, "bronze", "company_profile")
+    lake.write_partitioned(fx.bronze_valuation(spark, sf), root, "bronze", "valuation_ratios")
     with pytest.raises(QualityError):
         weekly_run.silver_step(spark, root, RUN_DATE, enforce_gate=True)
     assert not lake.has_data(spark, root, "silver", "financial_statements")
@@ -119,7 +132,7 @@ def test_valuation_filter_reaches_the_scan(spark, scratch):
     b = lake.read_partition(spark, scratch, "bronze", "valuation_ratios", "2001-12-28", schemas.BRONZE_VALUATION)
     plan = clean.clean_valuation(b)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(per,0.0)" in plan and "GreaterThan(pbv,0.0)" in plan
-    assert "PartitionFilters: [isnotnull(run_date" in plan
+    assert all("run_date=2001-12-28" in f for f in b.inputFiles())
 
 
 def test_production_screening_plan_shape(spark, scratch):
@@ -139,10 +152,85 @@ def test_production_screening_plan_shape(spark, scratch):
         lake.write_partitioned(frame, scratch, "bronze", domain)
     weekly_run.silver_step(spark, scratch, RUN_DATE, enforce_gate=False)
     fin, prof, val = (
-        lake.read_domain(spark, scratch, "silver", d, weekly_run.SILVER_SCHEMAS[d])
+        lake.read_partition(spark, scratch, "silver", d, RUN_DATE, weekly_run.SILVER_SCHEMAS[d])
         for d in ("financial_statements", "company_profile", "valuation_ratios")
     )
     plan = screening.screening(fin, prof, val, RUN_DATE)._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("+- == Initial Plan ==")[-1]
     assert initial.count("Exchange hashpartitioning") == 3
-    assert initial.count(f"PartitionFilters: [isnotnull(run_date") == 3
+    for frame in (fin, prof, val):
+        assert frame.inputFiles() and all(f"run_date={RUN_DATE}" in f for f in frame.inputFiles())
+
+
+def test_nan_never_wins_nor_passes(spark):
+    nan = float("nan")
+    fin = spark.createDataFrame([fin_row("A", "2024", revenue=nan), fin_row("A", "2024", revenue=3.0)], FIN_SCHEMA)
+    assert [r.revenue for r in clean.clean_financials(fin).collect()] == [3.0]
+    val = spark.createDataFrame([("A", "2024", nan, 1.0, 5.0, 2.0, "d"), ("B", "2024", 2.0, nan, 5.0, 2.0, "d"),
+                                 ("C", "2024", 2.0, 1.0, nan, 2.0, "d")], schemas.BRONZE_VALUATION)
+    assert [(r.ticker, r.price) for r in clean.clean_valuation(val).collect()] == [("C", None)]
+
+
+def _moved(spark, sf, target, tables=("region", "nation", "customer", "orders", "lineitem")):
+    """The tables with every second customer key moved up by 26^4."""
+    for name in tables:
+        df = spark.read.parquet(f"{sf}/{name}.parquet")
+        for key in ("c_custkey", "o_custkey"):
+            if key in df.columns:
+                df = df.withColumn(key, F.when(F.col(key) % 2 == 0, F.col(key) + 26**4).otherwise(F.col(key)))
+        df.coalesce(1).write.parquet(f"{target}/{name}.parquet")
+
+
+def test_tickers_are_distinct_beyond_four_letters(spark, scratch):
+    """Keys on both sides of 26^4: every customer stays a company of its own
+    in the queries, as in their oracles."""
+    import duckdb
+
+    from ledgerlens.registry import ORACLE, QUERIES
+
+    _moved(spark, "/root/testdata/sf0.001", scratch)
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{scratch}/{t}.parquet/*.parquet')")
+    for name in ("screening", "eps_growth", "weekly_run"):
+        df = QUERIES[name](spark, scratch)
+        cols = sorted(df.columns)
+        got = sorted(map(str, (tuple(map(str, r)) for r in df.select(*cols).collect())))
+        want = con.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE[name]})").fetchall()
+        assert got == sorted(str(tuple(map(str, r))) for r in want)
+    buyers = spark.read.parquet(f"{scratch}/orders.parquet").where("o_orderdate <= '2001-12-28'").select("o_custkey").distinct()
+    assert QUERIES["screening"](spark, scratch).count() == buyers.count() == 150
+
+
+def test_letters_are_injective(spark):
+    from ledgerlens.sources.fixtures import letters
+
+    keys = [0, 1, 25, 26, 26**4 - 1, 26**4, 26**4 + 1, 26**5, 2**53 + 1, 2**53 + 2, 2**63 - 1]
+    out = [r.t for r in spark.createDataFrame([(k,) for k in keys], "k long").select(letters("k").alias("t")).collect()]
+    assert len(set(out)) == len(keys) and out[:3] == ["AAAA", "AAAB", "AAAZ"]
+    assert all(sum((ord(c) - 65) * 26**i for i, c in enumerate(reversed(t))) == k for k, t in zip(keys, out))
+
+
+def test_orders_are_not_repeated_per_run_date(spark):
+    """Run dates multiply the rows only after the aggregate per band."""
+    from ledgerlens.sources import fixtures as fx
+
+    totals = fx.customer_year_totals(spark, "/root/testdata/sf0.001", ("2000-12-29", "2001-12-28"))
+    lines = totals._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    generate = next(i for i, x in enumerate(lines) if "Generate" in x)
+    assert any("Aggregate" in x for x in lines[generate:]) and any("Join" in x for x in lines[generate:])
+    assert not any("Generate" in x for x in lines[generate + 1:])
+
+
+def test_one_consumer_needs_no_stored_stage(spark, monkeypatch):
+    from ledgerlens import registry
+    from ledgerlens.plans import screening as scr
+
+    def never(*_):
+        raise AssertionError("a stage was written for one consumer")
+
+    monkeypatch.setattr(scr, "materialize", never)
+    for name in ("company_page", "valuation_metrics", "valuation_snapshot", "eps_growth_sql"):
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001").schema
+    plan = registry.QUERIES["company_page"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan

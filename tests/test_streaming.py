@@ -18,7 +18,7 @@ def test_only_new_files_are_processed(spark):
         .write.mode("append").text(land)
     landing.ingest_financial_reports(spark, land, root, "2024-12-27", ckpt)
     assert landing.read_ingested(spark, root).count() == 2
-    assert landing.ingest_financial_reports(spark, land, root, "2024-12-27", ckpt) == 0
+    assert landing.ingest_financial_reports(spark, land, root, "2024-12-27", ckpt) == (0, 0)
     spark.createDataFrame([(_doc("CCC", 2024),), (_doc("DDD", 2020),)], "value string") \
         .write.mode("append").text(land)
     landing.ingest_financial_reports(spark, land, root, "2024-12-27", ckpt)
@@ -34,6 +34,16 @@ def test_overview_reports_stream(spark):
     docs = [json.dumps({"ticker": "AAA", "company_name": "A Co", "overview": {"sector": "S"}}),
             json.dumps({"ticker": "BBB"})]
     spark.createDataFrame([(d,) for d in docs], "value string").write.mode("append").text(land)
-    assert landing.ingest_reports(spark, "overview", land, root, "2024-12-27", scratch_path(spark, "ck")) == 2
+    assert landing.ingest_reports(spark, "overview", land, root, "2024-12-27", scratch_path(spark, "ck")) == (2, 0)
     rows = sorted((r.ticker, r.company_name, r.sector) for r in landing.read_ingested(spark, root, PROFILE).collect())
     assert rows == [("AAA", "A Co", "S"), ("BBB", "", None)]
+
+
+def test_a_backlog_runs_in_bounded_batches_and_is_counted_whole(spark):
+    land, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    for k in range(6):
+        lines = [(_doc(f"T{k}{x}", 2024),) for x in "AB"] + [("{broken",), ("",)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(land)
+    out = landing.ingest_reports(spark, "financials", land, root, "2024-12-27", scratch_path(spark, "ck"), files_per_batch=2)
+    assert out == (24, 12)
+    assert landing.read_ingested(spark, root).count() == 12
