@@ -44,7 +44,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register("op1_quality_rules")
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_RULES = quality.Rules()
+_GRAMS = [n for n, _ in _RULES.max_gram_chars]
+_GRAM_COLUMNS = ", ".join(f"coalesce(max(chars) FILTER (WHERE n = {n}), 0) AS dup_{n}gram_chars" for n in _GRAMS)
+_WITHIN = " AND ".join(
+    f"dup_{n}gram_chars <= CAST({most} AS DOUBLE) * word_chars" for n, most in _RULES.max_gram_chars
+)
+
+
+@register(
+    "op1_quality_rules",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+    base AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT)
+                    AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols FROM d),
+    line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+    lines AS (SELECT doc_id, line, count(*) AS n,
+                     list_sum(list_transform({_WORDS.replace("coalesce(text, '')", "line")}, lambda x: length(x))) AS chars
+              FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
+    dup AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines,
+                   CAST(sum(CASE WHEN n > 1 THEN n * chars ELSE 0 END) AS BIGINT) AS dup_line_chars FROM lines GROUP BY doc_id),
+    size AS (SELECT doc_id, w, unnest({[3, *_GRAMS]}) AS n FROM d),
+    place AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM size),
+    hit AS (SELECT doc_id, n, p FROM place
+            QUALIFY count(*) OVER (PARTITION BY doc_id, n, list_slice(w, p, p + n - 1)) > 1),
+    covered AS (SELECT DISTINCT doc_id, n, p FROM (SELECT doc_id, n, unnest(range(p, p + n)) AS p FROM hit)),
+    held AS (SELECT doc_id, n, count(*) AS words, CAST(sum(length(w[p])) AS BIGINT) AS chars
+             FROM covered JOIN d USING (doc_id) GROUP BY doc_id, n),
+    gram AS (SELECT doc_id, coalesce(max(words) FILTER (WHERE n = 3), 0) AS n_repeat_words, {_GRAM_COLUMNS}
+             FROM d LEFT JOIN held USING (doc_id) GROUP BY doc_id),
+    found AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, n_repeat_words,
+                     coalesce(dup_line_chars, 0) AS dup_line_chars, {", ".join(f"dup_{n}gram_chars" for n in _GRAMS)},
+                     n_words < {_RULES.min_words} OR n_repeat_words > {_RULES.max_repeat_words} * n_words AS base_failed
+              FROM base JOIN gram USING (doc_id) LEFT JOIN dup USING (doc_id))
+    SELECT *, NOT base_failed AND dup_line_chars <= CAST({_RULES.max_line_chars} AS DOUBLE) * word_chars AND {_WITHIN} AS kept
+    FROM found
+    """,
+)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -104,7 +141,25 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op2_ngram_jaccard_join")
+@register(
+    "op2_ngram_jaccard_join",
+    f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')")}
+               AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, list_slice(w, p, p + 4) AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS p FROM d)),
+    n AS (SELECT doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+    meet AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g)
+             WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    half AS (SELECT x, y FROM meet JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+             WHERE 100 * c >= 80 * (p.n + q.n - c)),
+    link AS (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
+    reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+    SELECT doc_id, n AS n_shingles, c AS component_id
+    FROM n JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
+    """,
+)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
