@@ -48,6 +48,14 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _RULES = quality.Rules()
 _GRAMS = [n for n, _ in _RULES.max_gram_chars]
 _GRAM_COLUMNS = ", ".join(f"coalesce(max(chars) FILTER (WHERE n = {n}), 0) AS dup_{n}gram_chars" for n in _GRAMS)
+_AHEAD = ", ".join(f"lead(w0, {k}) OVER o AS w{k}" for k in range(1, max(_GRAMS)))
+
+
+def _gram(n: int) -> str:
+    """The n words from a place as one text; NULL where the text ends."""
+    return " || ' ' || ".join(f"w{k}" for k in range(n))
+
+
 _WITHIN = " AND ".join(
     f"dup_{n}gram_chars <= CAST({most} AS DOUBLE) * word_chars" for n, most in _RULES.max_gram_chars
 )
@@ -65,13 +73,14 @@ _WITHIN = " AND ".join(
               FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
     dup AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines,
                    CAST(sum(CASE WHEN n > 1 THEN n * chars ELSE 0 END) AS BIGINT) AS dup_line_chars FROM lines GROUP BY doc_id),
-    size AS (SELECT doc_id, w, unnest({[3, *_GRAMS]}) AS n FROM d),
-    place AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM size),
-    hit AS (SELECT doc_id, n, p FROM place
-            QUALIFY count(*) OVER (PARTITION BY doc_id, n, list_slice(w, p, p + n - 1)) > 1),
+    word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS w0 FROM d),
+    ahead AS (SELECT doc_id, p, w0, {_AHEAD} FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+    place AS (SELECT doc_id, p, unnest({[3, *_GRAMS]}) AS n, unnest([{", ".join(_gram(n) for n in (3, *_GRAMS))}]) AS g
+              FROM ahead),
+    hit AS (SELECT doc_id, n, p FROM place WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, n, g) > 1),
     covered AS (SELECT DISTINCT doc_id, n, p FROM (SELECT doc_id, n, unnest(range(p, p + n)) AS p FROM hit)),
-    held AS (SELECT doc_id, n, count(*) AS words, CAST(sum(length(w[p])) AS BIGINT) AS chars
-             FROM covered JOIN d USING (doc_id) GROUP BY doc_id, n),
+    held AS (SELECT doc_id, n, count(*) AS words, CAST(sum(length(w0)) AS BIGINT) AS chars
+             FROM covered JOIN word USING (doc_id, p) GROUP BY doc_id, n),
     gram AS (SELECT doc_id, coalesce(max(words) FILTER (WHERE n = 3), 0) AS n_repeat_words, {_GRAM_COLUMNS}
              FROM d LEFT JOIN held USING (doc_id) GROUP BY doc_id),
     found AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, n_repeat_words,
@@ -147,8 +156,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH RECURSIVE d AS (
         SELECT doc_id, {_WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}')")}
                AS w FROM documents),
-    s AS (SELECT DISTINCT doc_id, list_slice(w, p, p + 4) AS g
-          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS p FROM d)),
+    word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS w0 FROM d),
+    s AS (SELECT DISTINCT doc_id, {_gram(5)} AS g
+          FROM (SELECT *, {", ".join(f"lead(w0, {k}) OVER o AS w{k}" for k in range(1, 5))} FROM word
+                WINDOW o AS (PARTITION BY doc_id ORDER BY p)) WHERE w4 IS NOT NULL
+          UNION ALL SELECT doc_id, array_to_string(w, ' ') AS g FROM d WHERE len(w) BETWEEN 1 AND 4),
     n AS (SELECT doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
     meet AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g)
              WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
