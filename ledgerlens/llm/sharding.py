@@ -7,10 +7,9 @@ the order is cut there.
 
 Only summaries reach the driver. The hash space is cut into ``1 << BITS``
 ranges whose total sizes are collected (a bound that does not depend on the
-input). The greedy cut positions are monotone in the capacity, so they lie
-between those of a lower and an upper bound of the capacity; the few
-ranges there are split again, until every range that a cut can meet is a
-single group. A range that is cut nowhere never needs its groups.
+input). They bound the capacity from both sides and with it the places where a
+cut can fall; only the ranges there are split again, until the bounds agree
+or every range that a cut can meet is a single group.
 
 Row places (``slot``) come from counts per hash range plus a row number
 within it; the rows of a heavy range are dealt over ``SLICES`` slices by a
@@ -95,19 +94,26 @@ def even_cuts(sizes: list[int], shards: int, capacity: int) -> list[int]:
     return cuts
 
 
-def _uncertain(items: list[tuple], shards: int, margin: int) -> set[int]:
-    """Items that a cut can meet at any capacity from the fluid lower bound
-    up to what the items need as they are."""
+def _uncertain(items: list[tuple], shards: int) -> set[int]:
+    """Items of several groups that must be split to settle the capacity.
+
+    ``low`` bounds the capacity of the single groups from below, ``high`` is
+    what the items need as they are; if they agree, nothing is open. Items
+    over ``low`` come first, as a large group may hide in them. Otherwise cut k
+    of any solution lies between total - (shards - k) * high and k * high."""
     sizes = [x[2] for x in items]
     prefix = [0, *accumulate(sizes)]
+    total = prefix[-1]
     high = smallest_capacity(sizes, shards)
-    single = [x[2] for x in items if x[3] == 1]
-    low = max([-(-prefix[-1] // shards), *single, 0])
+    low = max([-(-total // shards), *(x[2] for x in items if x[3] == 1), 0])
+    if high == low:
+        return set()
+    large = {i for i, x in enumerate(items) if x[3] > 1 and x[2] > low}
+    if large:
+        return large
     found: set[int] = set()
     for k in range(1, shards):
-        total = prefix[-1]
-        a = max(0, min(k * low, total) - (shards - k) * (high - low) - margin)
-        b = min(total, k * high + margin)
+        a, b = max(0, total - (shards - k) * high), min(total, k * high)
         lo, hi = bisect_right(prefix, a) - 1, bisect_left(prefix, b)
         found.update(i for i in range(max(lo, 0), min(hi, len(items))) if items[i][3] > 1)
     return found
@@ -120,15 +126,13 @@ def plan_cuts(
     call summary(depth, parents) lists (range, size, groups) at that depth,
     within the given ranges one level up."""
     items = [(BITS, r, s, g) for r, s, g in sorted(summary(BITS, None))]
-    for level in range(2, LEVELS + 1):
-        marked = _uncertain(items, shards, 0)
-        marked = {i for i in marked if items[i][0] == BITS * (level - 1)}
-        if not marked:
-            break
-        below: dict[int, list[tuple]] = {}
-        for r, s, g in sorted(summary(BITS * level, sorted(items[i][1] for i in marked))):
-            below.setdefault(r >> BITS, []).append((BITS * level, r, s, g))
-        items = [y for i, x in enumerate(items) for y in (below[x[1]] if i in marked else [x])]
+    while marked := {i for i in _uncertain(items, shards) if items[i][0] < BITS * LEVELS}:
+        below: dict[tuple[int, int], list[tuple]] = {}
+        for depth in {items[i][0] for i in marked}:
+            parents = sorted(items[i][1] for i in marked if items[i][0] == depth)
+            for r, s, g in sorted(summary(depth + BITS, parents)):
+                below.setdefault((depth, r >> BITS), []).append((depth + BITS, r, s, g))
+        items = [y for i, x in enumerate(items) for y in (below[x[0], x[1]] if i in marked else [x])]
     sizes = [x[2] for x in items]
     capacity = smallest_capacity(sizes, shards)
     return items, even_cuts(sizes, shards, capacity), capacity
