@@ -15,6 +15,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from ledgerlens.config import (
 )
 from ledgerlens.operators import clean, flatten, quality
 from ledgerlens.plans import screening, warehouse
-from ledgerlens.session import materialize
+from ledgerlens.session import concurrently, materialize
 from ledgerlens.sources import lake, raw
 
 SILVER_SCHEMAS = {
@@ -133,20 +134,35 @@ def silver_step(
     All three bronze domains must have the run date, and the bronze gate
     must pass (unless it is not enforced), before any silver partition
     changes. The gate is a job of its own, so its counts are exact whatever
-    tasks are repeated. Returns the gate's report rows.
+    tasks are repeated; the silver versions are written meanwhile and
+    published together when it has passed. Returns the gate's report rows.
     """
     bronze = {
         d: lake.read_partition(spark, root, "bronze", d, run_date, SILVER_SCHEMAS[d])
         for d in (FINANCIALS, PROFILE, VALUATION)
     }
     label = f"bronze/{FINANCIALS}/{run_date}"
-    gate = bronze_gate(spark, root, run_date, suite).orderBy("rule_id").collect()
-    _log_gate(gate, label, len(SILVER_SCHEMAS[FINANCIALS].fields))
-    if enforce_gate:
-        quality.enforce_rows(gate, label)
     jobs = {FINANCIALS: clean.clean_financials, PROFILE: clean.clean_profile, VALUATION: clean.clean_valuation}
-    for domain, job in jobs.items():
-        lake.write_partition(job(bronze[domain]), root, "silver", domain, run_date)
+    staged: list[str] = []
+
+    def silver(domain: str) -> None:
+        rows = jobs[domain](bronze[domain]).drop("run_date")
+        staged.append(lake.stage(rows, lake.partition_path(root, "silver", domain, run_date)))
+
+    try:
+        gate, *_ = concurrently(
+            lambda: bronze_gate(spark, root, run_date, suite).orderBy("rule_id").collect(),
+            *[partial(silver, d) for d in jobs],
+        )
+        _log_gate(gate, label, len(SILVER_SCHEMAS[FINANCIALS].fields))
+        if enforce_gate:
+            quality.enforce_rows(gate, label)
+    except Exception:
+        for path in staged:
+            lake.discard(spark, path)
+        raise
+    for path in staged:
+        lake.publish(spark, path)
     return gate
 
 
@@ -158,10 +174,12 @@ def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> Ro
         for d in (FINANCIALS, PROFILE, VALUATION)
     )
     companies = materialize(clean.unique_profile(prof), "companies")  # used twice
-    warehouse.write_dim_company(spark, wh_root, companies)
     seen = Observation(f"summary_{uuid.uuid4().hex}")
     fact = screening.screening(fin, companies, val, run_date, profile_is_unique=True)
-    warehouse.reload_fact(fact, wh_root, run_date, seen)
+    concurrently(
+        lambda: warehouse.write_dim_company(spark, wh_root, companies),
+        lambda: warehouse.reload_fact(fact, wh_root, run_date, seen),
+    )
     total, passed = int(seen.get.get("total") or 0), int(seen.get.get("passed") or 0)
     return Row(total=total, passed=passed, not_passed=total - passed)
 
@@ -176,16 +194,17 @@ def run_week(
     suites are parameters: their default bounds fit a small universe."""
     gate_b = silver_step(spark, root, run_date, enforce_gates, bronze_suite)
     summary = gold_step(spark, root, wh_root, run_date)
-    gates = []
-    for label, df, suite in (
+    checks = (
         (f"gold/{warehouse.FACT}/{run_date}", warehouse.fact_for_run(spark, wh_root, run_date), gold_suite),
         ("gold/dim_company", warehouse.read_dim_company(spark, wh_root), quality.DIM_COMPANY_SUITE),
-    ):
-        rows = quality.run_suite(df, suite).orderBy("rule_id").collect()
+    )
+    gates = concurrently(*[
+        lambda df=df, suite=suite: quality.run_suite(df, suite).orderBy("rule_id").collect() for _, df, suite in checks
+    ])
+    for (label, df, _), rows in zip(checks, gates):
         _log_gate(rows, label, len(df.columns))
         if enforce_gates:
             quality.enforce_rows(rows, label)
-        gates.append(rows)
     log.info("run %s: total=%s passed=%s not_passed=%s", run_date, *summary)
     return WeekResult(gate_b, gates[0], summary, gates[1])
 

@@ -21,7 +21,7 @@ from ledgerlens.operators import clean, flatten, metrics, prices, quality, scori
 from ledgerlens.plans import calendar_dim, ingest, warehouse, weekly_run
 from ledgerlens.plans.metric_sql import metric_sql
 from ledgerlens.plans import screening as scr
-from ledgerlens.session import materialize, scratch_path
+from ledgerlens.session import concurrently, materialize, scratch_path
 from ledgerlens.sources import fixtures as fx
 from ledgerlens.sources import lake, raw
 from ledgerlens.streaming import landing
@@ -596,12 +596,17 @@ def _loaded_warehouse(spark: SparkSession, sf_dir: str, with_dim: bool = False)
     fin, prof, val = _silver(spark, sf_dir, TWO_RUNS)
     # One computation of both run dates; each reload then reads it back.
     fact = materialize(scr.screening(fin, prof, val, run_date=None), "fact")
-    for d in (*TWO_RUNS, RUN_DATE):
-        warehouse.reload_fact(fact, root, d)
-    if with_dim:
+
+    def load_facts() -> None:
+        for d in (*TWO_RUNS, RUN_DATE):
+            warehouse.reload_fact(fact, root, d)
+
+    def load_companies() -> None:
         uprof = clean.unique_profile(prof)
         for d in TWO_RUNS:
             warehouse.write_dim_company(spark, root, uprof.where(F.col("run_date") == d))
+
+    concurrently(load_facts, *[load_companies] * with_dim)
     return root
 
 
@@ -798,12 +803,14 @@ def q_weekly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, wh = scratch_path(spark, "lake"), scratch_path(spark, "warehouse")
     totals = materialize(fx.customer_year_totals(spark, sf_dir, TWO_RUNS), "bronze_totals")
     given = {"dirty": True, "duplicates": True, "totals": totals}
-    for domain, frame in (
-        (FINANCIALS, fx.bronze_financials(spark, sf_dir, TWO_RUNS, **given)),
-        (PROFILE, fx.bronze_profile(spark, sf_dir, TWO_RUNS, **given)),
-        (VALUATION, fx.bronze_valuation(spark, sf_dir, TWO_RUNS, **given)),
-    ):
-        lake.write_partitioned(frame, root, "bronze", domain)
+    concurrently(*[
+        lambda domain=domain, frame=frame: lake.write_partitioned(frame, root, "bronze", domain)
+        for domain, frame in (
+            (FINANCIALS, fx.bronze_financials(spark, sf_dir, TWO_RUNS, **given)),
+            (PROFILE, fx.bronze_profile(spark, sf_dir, TWO_RUNS, **given)),
+            (VALUATION, fx.bronze_valuation(spark, sf_dir, TWO_RUNS, **given)),
+        )
+    ])
     for d in (*TWO_RUNS, RUN_DATE):
         weekly_run.run_week(
             spark, root, wh, d,

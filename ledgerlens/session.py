@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests, the bench and local runs.
@@ -72,6 +77,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "ledgerlens", uuid.uuid4().hex, *parts])
 
 
+def concurrently(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs at the same time from driver threads and
+    return their results in order. All of them end before the first error,
+    if any, is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+    return [f.result() for f in futures]
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: a lineage cut that computes the plan exactly once (an
