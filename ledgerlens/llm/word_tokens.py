@@ -12,14 +12,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from functools import partial
+from itertools import chain
 
 import numpy as np
 
 CACHE_WORDS = 1_200_000
 _JOINED = 256  # letter words encoded in one call
-_LETTERS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+_PUNCTUATION = b".,;:!?"
 
 
 class _Cache(dict):
@@ -51,7 +51,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.words, self.stems = _Cache(), {}
+        self.words, self.stems = _Cache(), {"": b""}
         self._tokens = partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -75,37 +75,45 @@ class WordEncoder:
                 at = b
 
     def _learn(self, words: set[bytes]) -> None:
-        parted, whole, new = [], [], set()
+        stems, parted, whole, new = self.stems, [], [], set()
         for w in words:
-            m = _LETTERS.fullmatch(w.lower().decode("utf-8", "replace"))
-            if m:
-                parted.append((w, m[1], m[2]))
-                new.add(m[1])
-                new.add(m[2])
+            stem = w.rstrip(_PUNCTUATION)
+            name = stem.lower().decode("utf-8", "replace")
+            if name.isalpha():  # letters only: one unit, and what follows another
+                tail = w[len(stem) :].decode()
+                parted.append((w, name, tail))
+                if name not in stems:
+                    new.add(name)
+                if tail not in stems:
+                    new.add(tail)
             else:
                 whole.append((w, w.decode("utf-8", "replace")))
-        new.discard("")
-        self.stems.setdefault("", b"")
-        self._learn_stems([s for s in new if s not in self.stems])
-        stems = self.stems
+        self._learn_stems(list(new))
+        known = self.words
         for w, a, b in parted:
-            self.words[w] = stems[a] + stems[b]
+            known[w] = stems[a] + stems[b]
         for (w, _), ids in zip(whole, self._plain([t for _, t in whole])):
-            self.words[w] = ids
+            known[w] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as bytes."""
         if len(self.words) > self.limit:
             self.words.clear()
             self.stems.clear()
-        get = self.words.__getitem__
+            self.stems[""] = b""
         split = [t.split() for t in texts]
-        found = [list(map(get, words)) for words in split]
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.words.__getitem__, words))
         if self.words.unknown:
             self._learn(set(self.words.unknown))
             self.words.unknown.clear()
-            found = [list(map(get, words)) if None in ids else ids for words, ids in zip(split, found)]
-        return [b"".join(ids) for ids in found]
+            for k in [k for k, x in enumerate(ids) if x is None]:
+                ids[k] = self.words[words[k]]
+        out, at = [], 0
+        for own in split:
+            out.append(b"".join(ids[at : at + len(own)]))
+            at += len(own)
+        return out
 
 
 _encoders: dict[tuple[str, str, bool], WordEncoder] = {}
