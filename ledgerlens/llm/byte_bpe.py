@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.caches import kept
 from ledgerlens.llm.ship import ship
 from ledgerlens.llm.word_tokens import utf8_rows
 from ledgerlens.llm.words import text_chunks
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 800_000
 RUN_PIECES = 200_000  # of a long text at once
 TREE_CELLS = 1 << 21  # cells of the trees of one batch of pieces
 _NONE = np.int64(1) << np.int64(62)
@@ -204,14 +205,9 @@ class ByteBPE:
         return b"".join(self.vocabulary[b"%d" % i] for i in ids)
 
 
-_coders: dict[tuple[str, str], ByteBPE] = {}
-
-
 def coder(path: str, pattern: str) -> ByteBPE:
     """The coder of this Python worker, kept between tasks."""
-    if (path, pattern) not in _coders:
-        _coders[path, pattern] = ByteBPE(path, pattern)
-    return _coders[path, pattern]
+    return kept(("pieces", path, pattern), lambda: ByteBPE(path, pattern))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -42,6 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.caches import release
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.idset import likely_in, without
 from ledgerlens.llm.ship import ship
@@ -102,6 +103,7 @@ def _class_rows(texts: DataFrame, n: int) -> DataFrame:
     (block, counts, salt)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         names = ["doc_id", "n", "class", "block", "salt", "counts"]
         seen, any_row = np.zeros(COUNTERS, dtype=np.int64), False
         for batch in batches:
@@ -154,6 +156,7 @@ def _prefixes(texts: DataFrame, counters: np.ndarray, n: int, t: Fraction) -> Da
     shared = texts.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         count = shared.value
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(1)):
@@ -236,6 +239,7 @@ def _verified(
     wanted = materialize(classes.join(taking, "class").select("class", F.col("min_id").alias("doc_id")), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(1)):
                 shingles, first = shingle_sets(data, offsets, n)
@@ -252,6 +256,7 @@ def _verified(
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             good = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):

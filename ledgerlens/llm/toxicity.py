@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.caches import release
 from ledgerlens.llm.ship import ship
 from ledgerlens.llm.words import LOWER, ByteHash, Spans, spans, text_chunks
 
@@ -357,6 +358,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for lo, hi, s, found in _scored(shared.value, batch.column("text")):
                 yield pa.RecordBatch.from_arrays(
@@ -387,6 +389,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for lo, hi, s, _ in _scored(shared.value, batch.column(at)):
                 yield batch.slice(lo, hi - lo).filter(pa.array(s < 0.5, pa.bool_()))

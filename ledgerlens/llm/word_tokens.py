@@ -17,7 +17,9 @@ from itertools import chain
 
 import numpy as np
 
-CACHE_WORDS = 1_200_000
+from ledgerlens.llm.caches import kept
+
+CACHE_WORDS = 500_000
 _JOINED = 256  # letter words encoded in one call
 _PUNCTUATION = b".,;:!?"
 
@@ -116,15 +118,9 @@ class WordEncoder:
         return out
 
 
-_encoders: dict[tuple[str, str, bool], WordEncoder] = {}
-
-
 def word_encoder(path: str, dtype: str = "<u4", special: bool = True) -> WordEncoder:
     """The encoder of this Python worker, kept between tasks."""
-    key = (path, dtype, special)
-    if key not in _encoders:
-        _encoders[key] = WordEncoder(*key)
-    return _encoders[key]
+    return kept(("words", path, dtype, special), lambda: WordEncoder(path, dtype, special))
 
 
 def utf8_rows(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
