@@ -46,7 +46,7 @@ MAX_DOCS = 2000
 BUCKETS = 1 << 18
 WINDOW = 64  # tokens of a training chain
 EPOCHS = 4
-RUN_TOKENS = 1_500_000  # tokens whose messages are passed at once (one text at least)
+RUN_TOKENS = 700_000  # tokens whose messages are passed at once (one text at least)
 MARKER_TEST = 30.0  # log-likelihood ratio a marker must reach
 STARTS = (3, 4, 5, 6)  # bytes of the word beginnings
 FOLDS, HELD_OUT = 5, 0

@@ -16,9 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-# Bytes of text handled at once: numpy needs some 40 bytes of scratch per
+# Bytes of text handled at once: numpy needs some 100 bytes of scratch per
 # byte, so this bounds a worker's memory (a longer single text is taken whole).
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
