@@ -10,7 +10,6 @@ share the encoding of their letters.
 
 from __future__ import annotations
 
-import json
 import os
 from functools import partial
 from itertools import chain
@@ -19,7 +18,7 @@ import numpy as np
 
 from ledgerlens.llm.caches import kept
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 _JOINED = 256  # letter words encoded in one call
 _PUNCTUATION = b".,;:!?"
 
@@ -47,8 +46,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.dtype, self.limit = np.dtype(dtype), limit
-        model = json.loads(self.tokenizer.to_str())["model"]
-        suffix = model.get("end_of_word_suffix") or ""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if suffix:
