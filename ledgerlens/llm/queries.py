@@ -110,7 +110,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    return packing.pack(table(spark, sf_dir, "documents"), path, cache_words=800_000)
 
 
 @register("op8_sharding")

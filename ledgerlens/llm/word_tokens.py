@@ -116,9 +116,11 @@ class WordEncoder:
         return out
 
 
-def word_encoder(path: str, dtype: str = "<u4", special: bool = True) -> WordEncoder:
+def word_encoder(
+    path: str, dtype: str = "<u4", special: bool = True, limit: int = CACHE_WORDS
+) -> WordEncoder:
     """The encoder of this Python worker, kept between tasks."""
-    return kept(("words", path, dtype, special), lambda: WordEncoder(path, dtype, special))
+    return kept(("words", path, dtype, special, limit), lambda: WordEncoder(path, dtype, special, limit))
 
 
 def utf8_rows(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
