@@ -9,7 +9,9 @@ Only summaries reach the driver. The hash space is cut into ``1 << BITS``
 ranges whose total sizes are collected (a bound that does not depend on the
 input). They bound the capacity from both sides and with it the places where a
 cut can fall; only the ranges there are split again, until the bounds agree
-or every range that a cut can meet is a single group.
+or every range that a cut can meet is a single group. Ranges are split down to
+60 of the hash's 64 bits: groups that agree in those (two of a billion groups
+do so by chance about half the time) count as one.
 
 Row places (``slot``) come from counts per hash range plus a row number
 within it; the rows of a heavy range are dealt over ``SLICES`` slices by a
