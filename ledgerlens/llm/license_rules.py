@@ -17,7 +17,7 @@ from dataclasses import dataclass
 class Rule:
     priority: int  # smaller is stronger
     label: str
-    keyword: str  # words without which the pattern cannot match
+    keyword: str  # words that each text the pattern matches holds; they start at a word's start
     pattern: str
     weight: float  # how sure a detection is
 
@@ -55,7 +55,7 @@ FAMILIES: tuple[tuple[str, str, tuple[tuple[str, str], ...]], ...] = (
     ("artistic-2.0", r"artistic 2 0", (("artistic", r"artistic license 2 0"),)),
     ("artistic-1.0", r"artistic 1 0", (("artistic", r"artistic license(?: 1 0)?"),)),
     ("zlib", r"zlib", (("zlib", r"zlib(?: libpng)? license"),)),
-    ("libpng", r"libpng", (("libpng", r"(?:png reference library|libpng) license"),)),
+    ("libpng", r"libpng", (("png reference library", r"png reference library license"), ("libpng", r"libpng license"))),
     ("bsl-1.0", r"bsl 1 0", (("boost", r"boost software license(?: version)?(?: 1 0)?"),)),
     ("busl-1.1", r"busl 1 1", (("business source", r"business source license(?: version)?(?: 1 1)?"),)),
     ("sspl-1.0", r"sspl 1 0", (("server side public", r"server side public license(?: version)?(?: 1(?: 0)?)?"),)),
@@ -81,7 +81,7 @@ FAMILIES: tuple[tuple[str, str, tuple[tuple[str, str], ...]], ...] = (
     ("cc-by", r"cc by \d 0", (("cc by", r"cc by(?: \d \d)?"), ("creative commons", r"creative commons attribution(?: \d \d)?"))),
     ("gpl", r"gpl", (("general public license", r"(?:gnu )?general public license"), ("gnu gpl", r"gnu gpl"))),
     ("lgpl", r"lgpl", (("lesser general", r"(?:gnu )?lesser general public license"),)),
-    ("apache", r"apache", (("apache licen", r"apache (?:software )?licen[sc]e"),)),
+    ("apache", r"apache", (("apache", r"apache (?:software )?licen[sc]e"),)),
     ("bsd", r"bsd", (("bsd licen", r"bsd licen[sc]e"),)),
     ("mpl", r"mpl", (("mozilla public", r"mozilla public license"),)),
     ("epl", r"epl", (("eclipse public", r"eclipse public license"),)),
@@ -100,7 +100,7 @@ PHRASES: tuple[tuple[str, str, str], ...] = (
     ("apache-2.0", "apache org licenses", r"apache org licenses license 2 0"),
     ("apache-2.0", "except in compliance", r"you may not use this file except in compliance with the license"),
     ("gpl", "free software foundation", r"under the terms of the gnu general public license as published by the free software foundation"),
-    ("gpl", "gnu org licenses", r"gnu org (?:licenses|copyleft) gpl"),
+    ("gpl", "gnu org", r"gnu org (?:licenses|copyleft) gpl"),
     ("lgpl", "gnu org licenses", r"gnu org licenses lgpl"),
     ("agpl-3.0", "gnu org licenses", r"gnu org licenses agpl"),
     ("gfdl-1.3", "gnu org licenses", r"gnu org licenses fdl"),
@@ -127,7 +127,7 @@ PHRASES: tuple[tuple[str, str, str], ...] = (
     ("reserved", "rights reserved", r"(?:some|no) rights reserved"),
     ("proprietary", "proprietary", r"proprietary and confidential"),
     ("proprietary", "unauthorized copying", r"unauthorized copying of this (?:file|software|work)"),
-    ("proprietary", "without prior written", r"without (?:the )?prior written (?:permission|consent)"),
+    ("proprietary", "prior written", r"without (?:the )?prior written (?:permission|consent)"),
     ("copyright", "copyright", r"copyright (?:c )?(?:by )?\d{4}"),
     ("copyright", "copyrighted", r"this (?:work|document|material) is copyrighted"),
 )

@@ -85,3 +85,55 @@ def test_no_rules_and_empty_table(frame):
     out = license_scan.license_scan(frame([(1, "all rights reserved mit license")]), ())
     assert [(r.base_labels, r.labels, r.score) for r in out.collect()] == [("reserved", "reserved", 0.0)]
     assert license_scan.license_scan(frame([])).count() == 0
+
+
+def variants(pattern):
+    """Texts that the pattern matches, as choices that are put together: each
+    part is a list of its alternatives, an optional part both ways."""
+
+    def ways(parsed):
+        out = [""]
+        for op, arg in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                some = [chr(arg)]
+            elif name == "IN":
+                some = [x for kind, v in arg for x in {
+                    "LITERAL": lambda: [chr(v)], "RANGE": lambda: [chr(v[0]), chr(v[1])],
+                    "CATEGORY": lambda: {"CATEGORY_DIGIT": ["7"], "CATEGORY_NOT_SPACE": ["q"]}[str(v)],
+                }[str(kind)]()]
+            elif name == "SUBPATTERN":
+                some = ways(arg[3])
+            elif name == "BRANCH":
+                some = [x for branch in arg[1] for x in ways(branch)]
+            elif name == "MAX_REPEAT":
+                low, high, body = arg
+                some = [x * k for k in sorted({low, min(high, low + 1)}) for x in (ways(body) if k else [""])]
+            else:
+                raise AssertionError(name)
+            out = list(dict.fromkeys(a + b for a in out for b in some))
+        return out
+
+    return ways(re._parser.parse(pattern))
+
+
+def test_each_matched_text_passes_the_gate():
+    for r in rules():
+        for text in variants(r.pattern):
+            assert re.fullmatch(r.pattern, text), (r, text)
+            assert f" {r.keyword}" in f" {text} ", (r, text)
+
+
+def test_each_alternative_is_found_as_by_an_ungated_scan(frame):
+    table = rules()
+    texts = set()
+    for r in table:
+        # The grants of one template differ in their first words only.
+        name = r.pattern if r.priority != 2 else "licensed under " + r.pattern.split(r"(?:the )?(?:terms of )?(?:the )?", 1)[1]
+        texts |= set(variants(name))
+    texts = sorted(texts) + ["do not copy without the prior written consent of the owner", "see www.gnu.org/copyleft/gpl.html"]
+    rows = list(enumerate(texts))
+    out = license_scan.license_scan(frame(rows)).collect()
+    got = {r.doc_id: (r.labels, round(r.score, 9), r.n_detections) for r in out}
+    assert got == {k: expected(t, table)[5:] for k, t in rows}
+    assert got[len(rows) - 2][0] == "proprietary" and got[len(rows) - 1][0] == "gpl"
