@@ -15,30 +15,31 @@ Cases: a null text counts as an empty one. The largest doc_id of equal
 texts stays; a null doc_id loses against any other, and rows that all have
 null ids keep themselves (keep_id null). A row repeated with the same id
 and text is one document written twice: each copy is returned, is counted
-in group_size and has the same ``kept``. An empty table gives an empty
-result. Other columns are never looked at.
+in group_size and has the same ``kept``; ``keep_one`` returns one of the
+copies, and one row of a text that only null ids have. An empty table gives
+an empty result. Other columns are never looked at.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.idset import without
+from ledgerlens.llm.idset import without_repeats
 from ledgerlens.session import materialize
 
 SUPPORT = 0.002
 
 
+def digest(text: Column) -> Column:
+    return F.sha2(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-8"), 256)
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_sha256 of every row."""
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.sha2(F.encode(body, "UTF-8"), 256).alias("text_sha256"),
-    )
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("text_sha256"))
 
 
 def frequent_digests(table: DataFrame, support: float = SUPPORT) -> list[str]:
@@ -75,8 +76,23 @@ def exact_dedup(
     )
 
 
+def _row_key(doc_id: Column, digest: Column) -> Column:
+    """One text per (doc_id, digest); a null id gives one as well."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), digest)
+
+
 def keep_one(docs: DataFrame, support: float = SUPPORT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Only the ids
-    of the rows that go are moved, not the texts."""
+    """One row of each text of ``docs``, with all its columns: of rows with
+    the largest doc_id of the text, any one. Rows are told apart by id and
+    digest, so another text of the same id is not touched. Only keys are
+    moved, and those rows whose key may go or be repeated."""
     found = materialize(exact_dedup(docs, support, id_col, text_col), "exact_dedup")
-    return without(docs, found.where(~F.col("kept")).withColumnRenamed("doc_id", id_col), id_col)
+    keys = found.select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("_key"), "kept")
+    keys = materialize(
+        keys.groupBy("_key", "kept").count().where("NOT kept OR count > 1").select("_key", "kept"), "keys"
+    )
+    names = docs.columns
+    body = docs.toDF(*(f"_c{k}" for k in range(len(names))))
+    at, text = (F.col(f"_c{names.index(c)}") for c in (id_col, text_col))
+    keyed = body.withColumn("_key", _row_key(at.cast("long"), digest(text)))
+    return without_repeats(keyed, keys, "_key").drop("_key").toDF(*names)

@@ -63,3 +63,15 @@ def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", bits: int = B
     doubtful = marked.where("_maybe").select(*body)
     kept = doubtful.join(gone, doubtful[key] == gone["_gone"], "left_anti")
     return clear.unionAll(kept).toDF(*names)
+
+
+def without_repeats(df: DataFrame, keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose (never null) ``key`` is not among the
+    ``keys`` that are not kept, one row of each key. ``keys`` (the key,
+    kept) names all keys that go and all that several rows have; a key it
+    does not name belongs to one row, which stays where it is."""
+    marked = _may_hold(df, key, keys, key, bits)
+    clear = marked.where(~F.col("_maybe")).drop("_maybe")
+    doubtful = marked.where("_maybe").drop("_maybe").dropDuplicates([key])
+    kept = doubtful.join(keys.where("NOT kept").select(key), key, "left_anti")
+    return clear.unionAll(kept.select(*df.columns))

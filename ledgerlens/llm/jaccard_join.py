@@ -323,8 +323,21 @@ def keep_one(
     docs: DataFrame, threshold: Fraction = THRESHOLD, words: int = WORDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, one document (the smallest doc_id) of
-    each component, with all their columns."""
-    found = materialize(jaccard_join(docs, threshold, words, id_col, text_col), "jaccard")
-    gone = found.where("doc_id <> component_id").withColumnRenamed("doc_id", id_col)
-    return without(docs, gone, id_col)
+    """The rows of ``docs`` that stay, one row of each component, with all
+    their columns: the one with the smallest doc_id, any one of several such
+    and a null id only where there is no other. The rows are joined by a key
+    of their own, so null, repeated and reused ids are rows like others."""
+    names = docs.columns
+    body = docs.toDF(*(f"_c{k}" for k in range(len(names))))
+    # Written once, so that every later read sees the same keys.
+    rows = materialize(body.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    at, text = (f"_c{names.index(c)}" for c in (id_col, text_col))
+    found = jaccard_join(rows, threshold, words, "_row", text).select(F.col("doc_id").alias("_row"), "component_id")
+    found = materialize(found, "jaccard")
+    ids = rows.select("_row", F.col(at).cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("_row"))
+    sized = found.join(found.groupBy("component_id").count().where("count > 1"), "component_id", "left_semi")
+    linked = materialize(sized.join(ids, "_row").select("component_id", order.alias("row")), "linked")
+    best = linked.groupBy("component_id").agg(F.min("row").alias("best"))
+    gone = linked.join(best, "component_id").where("row._row <> best._row").select("row._row")
+    return without(rows, gone, "_row").drop("_row").toDF(*names)

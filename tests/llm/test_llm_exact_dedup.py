@@ -43,6 +43,16 @@ def test_one_row_of_each_group_stays_with_its_columns(frame):
     assert sorted(r.doc_id for r in out.collect()) == [49, 61, 62, 64]
 
 
+def test_one_row_of_each_text_stays_of_odd_rows(frame, odd_rows):
+    # Id 70 has two texts, one of which loses to a larger id; 80 is repeated.
+    rows = odd_rows + [(70, "unique"), (70, "shared"), (71, "shared")] + [(80, "again")] * 9 + [(None, "only null")] * 3
+    last = {}
+    for i, t in rows:
+        last[t or ""] = max(last.get(t or "", -1), -1 if i is None else i)
+    out = exact_dedup.keep_one(frame(rows)).collect()
+    assert sorted((r.text or "", -1 if r.doc_id is None else r.doc_id) for r in out) == sorted(last.items())
+
+
 def test_empty_table(frame):
     assert exact_dedup.exact_dedup(frame([])).count() == 0
     assert exact_dedup.keep_one(frame([])).count() == 0

@@ -86,5 +86,19 @@ def test_one_of_each_group_stays(frame):
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 3, 4]
 
 
+def test_one_row_of_each_group_stays_of_odd_rows(frame, odd_rows):
+    # Id 70 has two texts, one of which loses to a smaller id; 80 is
+    # repeated; the near copy of 90 and both rows of the last text lack ids.
+    text = " ".join(f"v{k}" for k in range(60))
+    rows = odd_rows + [(70, "a text of its own"), (70, "shared text"), (69, "Shared  text")] + [(80, "again")] * 9
+    rows += [(90, text), (None, text + " tail"), (None, "only null"), (None, "only NULL")]
+    out = [(r.doc_id, r.text) for r in jaccard_join.keep_one(frame(rows)).collect()]
+    empty = [(i, t) for i, t in rows if not (t or "").strip()]  # these link with nothing
+    texts = {i: t for i, t in odd_rows if i in (4, 7, 8, 9, 10)}
+    want = empty + [*texts.items(), (70, "a text of its own"), (69, "Shared  text"), (80, "again"), (90, text)]
+    (null,) = [x for x in out if x[0] is None and (x[1] or "").lower() == "only null"]
+    assert sorted(out, key=str) == sorted([*want, null], key=str)
+
+
 def test_empty_table(frame):
     assert jaccard_join.jaccard_join(frame([])).count() == 0
