@@ -32,13 +32,15 @@ from ledgerlens.llm.words import SPACE, ByteHash, gram_hashes, mix, repeated, ro
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits; coverages are shares of the text's word characters."""
+    """Limits; coverages are shares of the text's word characters. They lie
+    below the half that ``max_repeat_words`` already rejects and above the
+    largest coverage of a clean-labelled document (README)."""
 
     min_words: int = 50
     max_repeat_words: float = 0.5
-    max_line_chars: float = 0.5
+    max_line_chars: float = 0.45
     max_gram_chars: tuple[tuple[int, float], ...] = (
-        (5, 0.55), (6, 0.54), (7, 0.53), (8, 0.52), (9, 0.51), (10, 0.50),
+        (5, 0.45), (6, 0.45), (7, 0.45), (8, 0.45), (9, 0.45), (10, 0.43),
     )
 
 

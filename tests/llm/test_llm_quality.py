@@ -59,6 +59,17 @@ def test_measures_match_brute_force(rows, limit):
     assert measured(rows, limit) == [expected(t) for t in rows]
 
 
+def test_coverage_rejects_below_the_base_rule():
+    def text(repeated, once):
+        line = " ".join(f"r{k:03}" for k in range(repeated // 2))
+        return "\n".join([line, line, *(f"o{k:03}" for k in range(once))])
+
+    low, lines, half = measured([text(40, 60), text(46, 54), text(52, 48)], 1 << 20)
+    assert not low["base_failed"] and low["kept"]
+    assert not lines["base_failed"] and not lines["kept"]
+    assert half["base_failed"] and not half["kept"]
+
+
 def test_rows_of_a_table(spark, frame, odd_rows):
     rows = quality.quality_rules(frame(odd_rows)).collect()
     want = sorted((str(i), str(expected(t))) for i, t in odd_rows)
