@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    byte_bpe, exact_dedup, jaccard_join, license_scan, packing, quality, sharding, token_counts, toxicity, url_filter,
+    byte_bpe, exact_dedup, jaccard_join, lexical_search, license_scan, merkle, packing, quality, sharding, token_counts,
+    toxicity, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +194,88 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), END_OF_TEXT
     )
+
+
+_TERMS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), "
+    f"'{lexical_search.TERM}')"
+)
+
+
+@register(
+    "op11_ranked_lexical_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+    c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM d WHERE len(w) > 0),
+    f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+          GROUP BY r, doc_id, n, term),
+    q AS (SELECT item_id, term, count(*) AS again FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+          GROUP BY item_id, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+          FROM f, c GROUP BY term, n_docs),
+    s AS (SELECT item_id, r, doc_id, CAST(sum(again * weight
+                 * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_all)))) AS BIGINT) AS score
+          FROM q JOIN w USING (term) JOIN f USING (term), c GROUP BY item_id, r, doc_id)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+    WHERE rank <= 20
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def _sql_field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_sql_field(n_chars if c == 'n_chars' else c) for c in merkle.FIELDS)})"
+
+
+# CRC-32 bit by bit: a byte is taken in, then shifted out over eight steps.
+_SQL_CRC = """xor(4294967295, list_reduce(
+    flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                           lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, 4294967295))"""
+_SQL_UP = "sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2)"
+_SQL_FOLD = "sha256(CASE WHEN u.i % 2 = 0 THEN u.h || coalesce(s.h, '') ELSE s.h || u.h END), u.proof || coalesce(s.h, '')"
+
+
+@register(
+    "op12_merkle_manifest",
+    f"""
+    WITH RECURSIVE d AS (SELECT *, {_sql_leaf("n_chars")} AS leaf, {_sql_leaf("n_chars + 1")} AS other,
+                                {_SQL_CRC} % 7 = 0 AS altered FROM documents),
+    p AS (SELECT doc_id, leaf, CASE WHEN altered THEN other ELSE leaf END AS claimed,
+                 row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                 dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM d),
+    tree AS (SELECT t, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY t) AS n FROM p
+             UNION ALL SELECT t, level + 1, i // 2, {_SQL_UP} FROM tree WHERE n > 1 GROUP BY t, level, i // 2),
+    sub AS (SELECT t, level AS height, h AS subroot FROM tree WHERE n = 1),
+    top AS (SELECT 0 AS level, t AS i, subroot AS h, count(*) OVER () AS n FROM sub
+            UNION ALL SELECT level + 1, i // 2, {_SQL_UP} FROM top WHERE n > 1 GROUP BY level, i // 2),
+    root AS (SELECT level AS height, h AS root FROM top WHERE n = 1),
+    low AS (SELECT doc_id, leaf, t, i, 0 AS level, claimed AS h, '' AS proof FROM p
+            UNION ALL
+            SELECT u.doc_id, u.leaf, u.t, u.i // 2, u.level + 1, {_SQL_FOLD}
+            FROM low u JOIN sub ON u.t = sub.t AND u.level < sub.height
+            LEFT JOIN tree s ON s.t = u.t AND s.level = u.level AND s.i = xor(u.i, 1)),
+    high AS (SELECT doc_id, leaf, subroot, u.t AS i, 0 AS level, h, proof
+             FROM low u JOIN sub ON u.t = sub.t AND u.level = sub.height
+             UNION ALL
+             SELECT u.doc_id, u.leaf, u.subroot, u.i // 2, u.level + 1, {_SQL_FOLD}
+             FROM high u JOIN root ON u.level < root.height LEFT JOIN top s ON s.level = u.level AND s.i = xor(u.i, 1))
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+    FROM high JOIN root ON level = height
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = [F.try_add("n_chars", F.lit(1)) if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    proved = merkle.proofs(
+        table(spark, sf_dir, "documents"), carry={"claimed": F.when(chosen, merkle.leaf_digest(altered))}
+    )
+    return merkle.audit(proved, F.col("claimed")).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), "folded_root", "verified"
+    )
