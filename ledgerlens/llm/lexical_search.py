@@ -262,7 +262,7 @@ class Block:
         return seen
 
 
-def _ranker(queries: Sequence[Sequence[tuple[int, int]]], n_docs: int, n_all: int, k: int):
+def _ranker(queries: Sequence[Sequence[tuple[int, int]]], n_docs: int, n_all: int, k: int, most: int):
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(k) for _ in queries]
         for b in batches:
@@ -271,7 +271,7 @@ def _ranker(queries: Sequence[Sequence[tuple[int, int]]], n_docs: int, n_all: in
             n = b.column(1).to_numpy()
             at = b.column(2).offsets.to_numpy().astype(np.int64)
             term, tf = (b.column(c).values.to_numpy() for c in (2, 3))
-            for lo, hi in row_chunks(at, BLOCK_COUNTS):
+            for lo, hi in row_chunks(at, most):
                 a, z = at[lo], at[hi]
                 block = Block(
                     doc[lo:hi], null[lo:hi], n[lo:hi], at[lo : hi + 1] - a, term[a:z], tf[a:z], n_docs, n_all
@@ -309,7 +309,7 @@ def _search_block(spark: SparkSession, texts: DataFrame, rows: Sequence, k: int,
     queries = [
         [(number[t], c * weights[number[t]]) for t, c in sorted(q.items()) if weights.get(number[t], 0) > 0] for q in counts
     ]
-    hits = postings.mapInArrow(_ranker(queries, n_docs, n_all, k), "q int, doc long, score long")
+    hits = postings.mapInArrow(_ranker(queries, n_docs, n_all, k, BLOCK_COUNTS), "q int, doc long, score long")
     hits = hits.withColumn("slice", F.spark_partition_id() % SLICES)
     merged = _top(_top(hits, ["q", "slice"], k).drop("rank"), ["q"], k)
     names = spark.createDataFrame([(i, r["item"]) for i, r in enumerate(rows)], f"q int, item {item_type}")

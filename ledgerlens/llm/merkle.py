@@ -124,11 +124,11 @@ def _levels_of_block(fanout: int) -> int:
     return n
 
 
-def _subtree(base: int, steps: int, fanout: int):
-    return lambda table: _climb(table, base, steps, fanout)
+def _subtree(base: int, steps: int, fanout: int, bits: int):
+    return lambda table: _climb(table, base, steps, fanout, bits)
 
 
-def _climb(table: pa.Table, base: int, steps: int, fanout: int) -> pa.Table:
+def _climb(table: pa.Table, base: int, steps: int, fanout: int, bits: int) -> pa.Table:
     """All levels above a block of consecutive nodes of level ``base``. The
     nodes of the last level go on to the next round; of the others only
     those stay whose run crosses a border of leaf partitions."""
@@ -148,7 +148,7 @@ def _climb(table: pa.Table, base: int, steps: int, fanout: int) -> pa.Table:
         for i, h in enumerate(own, lo):
             run = i // fanout * span
             ends = (first + run, first + min(run + span, size) - 1)
-            apart = tree == TOP or ends[0] >> PART_BITS != ends[1] >> PART_BITS
+            apart = tree == TOP or ends[0] >> bits != ends[1] >> bits
             if last or apart:
                 found.append((level, i, h, n == 1))
     levels, at, digests, tops = zip(*found) if found else ((), (), (), ())
@@ -178,7 +178,7 @@ def _build(leaves: DataFrame, largest: int, fanout: int) -> list[DataFrame]:
     while largest > 1:
         nodes = (
             current.groupBy("tree", F.floor(F.col("idx") / block).alias("block"))
-            .applyInArrow(_subtree(base, steps, fanout), _NODE)
+            .applyInArrow(_subtree(base, steps, fanout, PART_BITS), _NODE)
         )
         rounds.append(materialize(nodes, "merkle_nodes"))
         base, largest = base + steps, -(-largest // block)

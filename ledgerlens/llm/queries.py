@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    byte_bpe, exact_dedup, jaccard_join, lexical_search, license_scan, merkle, packing, quality, sharding, token_counts,
-    toxicity, url_filter,
+    byte_bpe, exact_dedup, html_extract, jaccard_join, lexical_search, license_scan, merkle, packing, quality, sharding,
+    token_counts, toxicity, url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,3 +279,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(proved, F.col("claimed")).select(
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), "folded_root", "verified"
     )
+
+
+@register("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
