@@ -3,17 +3,38 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import PRICE_YEARS_BACK
 from ledgerlens.functions.expressions import is_last_friday
 
 
+# Forms of a date text, tried in this order; the first that fits wins. A day
+# and month given by two numbers only are taken as month/day.
+DATE_PATTERNS = (
+    None,  # ISO: 2001-01-26, 2001-1-26, 2001-01-26T16:00:00 and the like
+    "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy",
+)
+
+
+def parse_date(text: Column, patterns: Sequence[str | None] = DATE_PATTERNS) -> Column:
+    """The DATE that a text means, NULL where no pattern fits."""
+    trimmed = F.trim(text)
+    return F.coalesce(*[F.try_to_date(trimmed) if p is None else F.try_to_date(trimmed, p) for p in patterns])
+
+
 def parsed_dates(prices: DataFrame) -> DataFrame:
     """Keep rows whose date text parses; adds _date (DATE)."""
-    return prices.withColumn("_date", F.try_to_date(F.col("date"))).where(F.col("_date").isNotNull())
+    return prices.withColumn("_date", parse_date(F.col("date"))).where(F.col("_date").isNotNull())
+
+
+def run_date_of(text: Column) -> Column:
+    """The run date of a date text: how the lake names that day, whatever
+    form it was written in."""
+    return F.date_format(parse_date(text), "yyyy-MM-dd")
 
 
 def last_friday_prices(prices: DataFrame, run_date: str, years_back: int = PRICE_YEARS_BACK) -> DataFrame:

@@ -26,13 +26,14 @@ def load_prices(
     """Load price rows (ticker, date text, ...) into bronze/daily_prices.
 
     No partition yet: every last-Friday row from 1 January of (run year -
-    years_back) to run_date, one partition per date. Otherwise: the rows
+    years_back) to run_date, one partition per date, named by the date itself,
+    however the rows write it. Otherwise: the rows
     of run_date only, and only when run_date is a last Friday. An empty
     result writes nothing. Returns 'full', 'incremental' or 'skipped'.
     """
     if not lake.has_data(spark, root, LAYER, DAILY_PRICES):
         rows = P.last_friday_prices(prices, run_date, years_back)
-        rows = rows.withColumn("run_date", F.col("date"))
+        rows = rows.withColumn("run_date", P.run_date_of(F.col("date")))
         return "full" if lake.write_partitioned(rows, root, LAYER, DAILY_PRICES) else "skipped"
     if not P.is_last_friday_date(run_date):
         return "skipped"

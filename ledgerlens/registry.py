@@ -348,6 +348,9 @@ def q_flatten_section(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PRICE_ROWS = (
     f"SELECT {o.letters('o_custkey')} AS ticker, "
     f"CASE WHEN o_orderkey % {fx.BAD_PRICE_DATE_EVERY} = 0 THEN 'n/a' "
+    "WHEN o_orderkey % 7 = 3 THEN strftime(o_orderdate, '%-d %b %Y') WHEN o_orderkey % 7 = 4 THEN strftime(o_orderdate, '%Y%m%d') "
+    "WHEN o_orderkey % 7 = 5 THEN strftime(o_orderdate, '%-m/%-d/%Y') "
+    "WHEN o_orderkey % 7 = 6 THEN strftime(o_orderdate, '%Y-%m-%dT00:00:00') "
     "ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, o_totalprice AS close, "
     "CAST(o_orderdate AS DATE) AS d, o_orderpriority AS priority FROM orders"
 )
@@ -404,9 +407,9 @@ def q_union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ prices (P) --
-def _last_friday_sql(start: str, end: str) -> str:
+def _last_friday_sql(start: str, end: str, columns: str = "ticker, date, close") -> str:
     return (
-        f"SELECT ticker, date, close FROM ({_PRICE_ROWS}) WHERE date <> 'n/a' AND dayofweek(d) = 5 "
+        f"SELECT {columns} FROM ({_PRICE_ROWS}) WHERE date <> 'n/a' AND dayofweek(d) = 5 "
         f"AND month(d + INTERVAL 7 DAY) <> month(d) AND d BETWEEN DATE '{start}' AND DATE '{end}'"
     )
 
@@ -416,6 +419,7 @@ def _price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PRICE_START = f"{int(RUN_DATE[:4]) - 1}-01-01"
+_DAY = "strftime(d, '%Y-%m-%d') AS run_date"
 
 
 @register("last_friday_prices", _last_friday_sql(_PRICE_START, RUN_DATE))
@@ -425,13 +429,13 @@ def q_last_friday_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "price_partitions",
-    f"SELECT date AS run_date, COUNT(*) AS n_rows FROM ({_last_friday_sql(_PRICE_START, RUN_DATE)}) "
-    "GROUP BY date",
+    f"SELECT run_date, COUNT(*) AS n_rows FROM ({_last_friday_sql(_PRICE_START, RUN_DATE, _DAY)}) GROUP BY run_date",
 )
 def q_price_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")
     rows = prices.last_friday_prices(_price_rows(spark, sf_dir), RUN_DATE)
-    lake.write_partitioned(rows.withColumn("run_date", F.col("date")), root, "bronze", DAILY_PRICES)
+    rows = rows.withColumn("run_date", prices.run_date_of(F.col("date")))
+    lake.write_partitioned(rows, root, "bronze", DAILY_PRICES)
     return ingest.price_partitions(spark, root)
 
 
@@ -442,10 +446,10 @@ LOAD_SEQUENCE = (PREVIOUS_RUN_DATE, "2001-01-26", "2001-02-02")
 
 @register(
     "load_dates",
-    "SELECT date AS run_date, COUNT(*) AS n_rows FROM ("
-    + _last_friday_sql(f"{int(LOAD_SEQUENCE[0][:4]) - 1}-01-01", LOAD_SEQUENCE[0])
-    + f" UNION ALL SELECT ticker, date, close FROM ({_PRICE_ROWS}) WHERE date = '{LOAD_SEQUENCE[1]}'"
-    + ") GROUP BY date",
+    "SELECT run_date, COUNT(*) AS n_rows FROM ("
+    + _last_friday_sql(f"{int(LOAD_SEQUENCE[0][:4]) - 1}-01-01", LOAD_SEQUENCE[0], _DAY)
+    + f" UNION ALL SELECT {_DAY} FROM ({_PRICE_ROWS}) WHERE date <> 'n/a' AND d = DATE '{LOAD_SEQUENCE[1]}'"
+    + ") GROUP BY run_date",
 )
 def q_load_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "lake")

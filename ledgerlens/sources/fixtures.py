@@ -29,6 +29,8 @@ MONEY = T.DecimalType(18, 2)
 NULL_REVENUE_EVERY = 37        # revenue forced NULL when k % 37 = 0
 DUPLICATE_EVERY = 5            # k % 5 = 0 rows repeated with revenue + 1
 BAD_PRICE_DATE_EVERY = 97      # price date 'n/a' when o_orderkey % 97 = 0
+# Forms a price date is written in by o_orderkey % 7 (ISO otherwise).
+PRICE_DATE_FORMS = {3: "d MMM yyyy", 4: "yyyyMMdd", 5: "M/d/yyyy", 6: "yyyy-MM-dd'T'HH:mm:ss"}
 NO_COMPANY_NAME_EVERY = 11     # report without company_name when k % 11 = 0
 NO_SECTION_EVERY = 13          # report without its section when k % 13 = 0
 NON_OBJECT_SECTION_EVERY = 7   # generic section is a list when k % 7 = 0
@@ -473,13 +475,18 @@ def management_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price record per order: ticker, date text ('n/a' sometimes), close."""
+    """One price record per order: ticker, date text (in several forms, 'n/a'
+    sometimes), close."""
     o = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    for rest, form in PRICE_DATE_FORMS.items():
+        written = F.date_format(F.col("o_orderdate").cast("date").cast("timestamp"), form)
+        day = F.when(F.col("o_orderkey") % (len(PRICE_DATE_FORMS) + 3) == rest, written).otherwise(day)
     return o.select(
         F.col("o_custkey").alias("k"),
         letters("o_custkey").alias("ticker"),
         F.when(F.col("o_orderkey") % BAD_PRICE_DATE_EVERY == 0, F.lit("n/a"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(day)
         .alias("date"),
         F.col("o_totalprice").alias("close"),
         F.col("o_orderpriority").alias("priority"),

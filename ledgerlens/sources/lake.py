@@ -1,13 +1,15 @@
 """The lake: one Parquet dataset per layer and domain, partitioned by
 run_date (S1-S3, S6, S13).
 
-A published partition is a version folder,
-``<layer>/<domain>/run_date=<d>/v=<version>``, that holds a ``_SUCCESS``
-marker. A write goes to a version of its own and the marker is the last thing
-that appears, so publishing is one atomic step: before it readers see the
-older version, afterwards the new one, and a write that fails or whose driver
-dies leaves nothing that a reader looks at. No write deletes or renames
-anything. ``prune`` removes versions that were replaced long enough ago.
+A partition's versions are folders, ``<layer>/<domain>/run_date=<d>/v=<version>``.
+A write goes to a version of its own; publishing it creates one marker file
+beside it, ``_published-<number>-<version>``, whose number is one more than
+the last, so readers take the version that was published last, whichever
+write began first and whatever the drivers' clocks say. The marker is one
+atomic step: before it readers see the older version, afterwards the new one,
+and a write that fails or whose driver dies leaves nothing that a reader
+looks at. No write deletes or renames anything. ``prune`` removes versions
+that were replaced long enough ago.
 
 Paths are plain Spark paths (a shared file system or object store). The driver
 lists folder names only, one listing a run date. Readers name the version
@@ -21,12 +23,16 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Iterable
+from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARKER = "_SUCCESS"
+from ledgerlens.session import concurrently
+
+MARKER = "_published-"
 VERSION = "v"
 
 
@@ -59,7 +65,7 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def new_version() -> str:
-    """A version name; names sort by creation time."""
+    """A version name, unlike any other; it starts with the time the write began."""
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
@@ -67,24 +73,48 @@ def version_path(folder: str, version: str) -> str:
     return f"{folder.rstrip('/')}/{VERSION}={version}"
 
 
-def is_published(spark: SparkSession, path: str) -> bool:
-    marker, fs = file_system(spark, f"{path}/{MARKER}")
-    return fs.exists(marker)
+class Published(NamedTuple):
+    """A marker; markers sort by the order of publishing (two that were
+    published at the same moment share a number and sort by version)."""
+
+    number: int
+    version: str
+    at: int  # the file system's time, in milliseconds
+
+
+def _listed(spark: SparkSession, folder: str) -> tuple[dict[str, int], list[Published]]:
+    """(version -> modification time, markers in order) from one listing."""
+    base, fs = file_system(spark, folder)
+    versions, markers = {}, []
+    if fs.exists(base):
+        for st in fs.listStatus(base):
+            name, at = st.getPath().getName(), st.getModificationTime()
+            if name.startswith(f"{VERSION}="):
+                versions[name.split("=", 1)[1]] = at
+            elif name.startswith(MARKER):
+                number, version = name[len(MARKER):].split("-", 1)
+                markers.append(Published(int(number), version, at))
+    return versions, sorted(markers)
+
+
+def _marker(folder: str, p: Published) -> str:
+    return f"{folder}/{MARKER}{p.number:012d}-{p.version}"
 
 
 def publish(spark: SparkSession, path: str) -> str:
     """Make a completely written version the one that readers see."""
-    marker, fs = file_system(spark, f"{path}/{MARKER}")
+    folder, _, name = path.rstrip("/").rpartition("/")
+    _, before = _listed(spark, folder)
+    mine = Published(before[-1].number + 1 if before else 1, name.split("=", 1)[1], 0)
+    marker, fs = file_system(spark, _marker(folder, mine))
     fs.create(marker, True).close()
     return path
 
 
 def current_version(spark: SparkSession, folder: str) -> str | None:
-    """Path of the newest published version of a folder."""
-    for name in reversed(folder_names(spark, folder)):
-        if name.startswith(f"{VERSION}=") and is_published(spark, f"{folder.rstrip('/')}/{name}"):
-            return f"{folder.rstrip('/')}/{name}"
-    return None
+    """Path of the version of a folder that was published last."""
+    versions, markers = _listed(spark, folder)
+    return next((version_path(folder, m.version) for m in reversed(markers) if m.version in versions), None)
 
 
 def stage(df: DataFrame, folder: str) -> str:
@@ -96,7 +126,7 @@ def stage(df: DataFrame, folder: str) -> str:
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Remove a version that was never published."""
+    """Remove a version (never one that readers may hold) or a marker."""
     target, fs = file_system(spark, path)
     fs.delete(target, True)
 
@@ -107,21 +137,23 @@ def replace(df: DataFrame, folder: str) -> str:
 
 
 def prune(spark: SparkSession, folder: str, older_than: dt.timedelta) -> int:
-    """Delete the versions of a folder that a newer published version replaced
-    more than ``older_than`` ago, and unpublished ones begun before that (a
-    task of its own: choose an age beyond the longest read or write).
-    Returns the number of versions removed."""
-    limit = time.time_ns() - int(older_than.total_seconds() * 1e9)
-    names = [n for n in folder_names(spark, folder) if n.startswith(f"{VERSION}=")]
-    began = {n: int(n.split("=", 1)[1].split("-", 1)[0]) for n in names}
-    published = [n for n in names if is_published(spark, f"{folder.rstrip('/')}/{n}")]
-    replaced_at = {n: began[after] for n, after in zip(published, published[1:])}
+    """Delete the versions of a folder that a newer one replaced more than
+    ``older_than`` ago, counted from the moment the newer one was published,
+    and unpublished ones that nothing was written to since then (a task of
+    its own: choose an age beyond the longest read or write). Returns the
+    number of versions removed."""
+    limit = int((time.time() - older_than.total_seconds()) * 1000)
+    versions, markers = _listed(spark, folder)
+    told = {m.version: m for m in markers}
+    replaced_at = {m.version: after.at for m, after in zip(markers, markers[1:])}
     doomed = [
-        n for n in names
-        if (replaced_at[n] < limit if n in replaced_at else n not in published and began[n] < limit)
+        v for v, at in versions.items()
+        if (replaced_at.get(v, limit + 1) if v in told else max(at, int(v.split("-", 1)[0]) // 1_000_000)) <= limit
     ]
-    for n in doomed:
-        discard(spark, f"{folder.rstrip('/')}/{n}")
+    for v in doomed:
+        discard(spark, version_path(folder, v))
+        if v in told:
+            discard(spark, _marker(folder.rstrip("/"), told[v]))
     return len(doomed)
 
 
@@ -284,14 +316,31 @@ def backfill(rows: DataFrame, root: str, layer: str, domain: str, years_back: in
 def backfill_domains(
     frames: dict[str, DataFrame], root: str, layer: str = "bronze", years_back: int = 1
 ) -> dict[str, str]:
-    """S13 over several domains: one job per domain (all its run dates at
-    once); a domain that fails is reported and skipped, the others still
-    load. Returns domain -> 'ok' or the error."""
-    status = {}
-    for domain, rows in frames.items():
+    """S13 over several domains, at the same time: one job per domain writes
+    all its run dates at once. Where that job fails, its run dates are
+    written one by one, so a bad run date is reported and skipped and the
+    others load. Returns domain -> 'ok' or the errors by run date."""
+    def load(domain: str, rows: DataFrame) -> str:
         try:
             backfill(rows, root, layer, domain, years_back)
-            status[domain] = "ok"
-        except Exception as exc:  # noqa: BLE001 - report the unit, keep going
-            status[domain] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200]}"
-    return status
+            return "ok"
+        except Exception:  # noqa: BLE001 - find out which run dates it is
+            try:
+                # Its own columns only: what fails is not evaluated for the dates.
+                dates = sorted(r[0] for r in rows.select("run_date").distinct().collect())
+            except Exception as exc:  # noqa: BLE001 - nothing of the domain can be read
+                return _told(exc)
+        failed = {}
+        for d in dates:
+            try:
+                backfill(rows.where(F.col("run_date") == d), root, layer, domain, years_back)
+            except Exception as exc:  # noqa: BLE001 - report the unit, keep going
+                failed[d] = _told(exc)
+        return "; ".join(f"{d}: {x}" for d, x in failed.items()) or "ok"
+
+    done = concurrently(*[partial(load, domain, rows) for domain, rows in frames.items()]) if frames else []
+    return dict(zip(frames, done))
+
+
+def _told(exc: Exception) -> str:
+    return f"{type(exc).__name__}: {str(exc).splitlines()[0][:200]}"

@@ -302,3 +302,51 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
     assert session.is_local("local[8]") and session.is_local("local") and not session.is_local("local-cluster[3,2,1]")
+
+
+def test_the_version_published_last_is_read(spark, scratch):
+    """Whichever write began first, and whatever the drivers' clocks say."""
+    folder = lake.partition_path(scratch, "bronze", "fs", "2024-01-05")
+    began_first = lake.stage(fin_rows(spark, 5, "2024-01-05").drop("run_date"), folder)
+    lake.write_partition(fin_rows(spark, 7, "2024-01-05"), scratch, "bronze", "fs", "2024-01-05")
+    lake.publish(spark, began_first)
+    assert lake.read_partition(spark, scratch, "bronze", "fs", "2024-01-05").count() == 5
+    lake.write_partition(fin_rows(spark, 2, "2024-01-05"), scratch, "bronze", "fs", "2024-01-05")
+    assert lake.read_partition(spark, scratch, "bronze", "fs", "2024-01-05").count() == 2
+
+
+def test_prune_counts_from_the_publication_of_the_replacement(spark, scratch):
+    """A write longer than the age does not doom the version it replaces."""
+    lake.write_partition(fin_rows(spark, 3, "2024-01-05"), scratch, "bronze", "fs", "2024-01-05")
+    folder = lake.partition_path(scratch, "bronze", "fs", "2024-01-05")
+    reader = lake.read_partition(spark, scratch, "bronze", "fs", "2024-01-05")
+    long_write = lake.version_path(folder, f"{1:020d}-abcdef01")  # began long ago
+    fin_rows(spark, 4, "2024-01-05").drop("run_date").write.parquet(long_write)
+    assert lake.prune(spark, folder, dt.timedelta(hours=1)) == 0  # it may still be at work
+    lake.publish(spark, long_write)
+    assert lake.prune(spark, folder, dt.timedelta(hours=1)) == 0
+    assert reader.count() == 3
+    assert lake.prune(spark, folder, dt.timedelta(0)) == 1
+    assert lake.read_partition(spark, scratch, "bronze", "fs", "2024-01-05").count() == 4
+
+
+def test_price_partitions_are_named_by_the_day(spark, scratch):
+    from ledgerlens.plans import ingest
+
+    texts = ["2001-01-26", "2001-01-26T00:00:00", "2001-1-26", "26 Jan 2001", "20010126", "1/26/2001", "2001/1/26", "January 26, 2001",
+             "26-Jan-2001", " 2001-01-26 ", "n/a", None, "2001-01-27"]
+    rows = spark.createDataFrame([(f"T{k}", t) for k, t in enumerate(texts)], "ticker string, date string")
+    assert ingest.load_prices(spark, rows, scratch, "2001-02-02") == "full"
+    assert [tuple(r) for r in ingest.price_partitions(spark, scratch).collect()] == [("2001-01-26", 10)]
+    assert ingest.load_prices(spark, rows, scratch, "2001-01-26") == "incremental"
+    assert [tuple(r) for r in ingest.price_partitions(spark, scratch).collect()] == [("2001-01-26", 10)]
+
+
+def test_a_bad_run_date_leaves_the_others_loaded(spark, scratch):
+    rows = spark.createDataFrame(
+        [("A", "2023", "1.0", "2024-01-05"), ("B", "2023", "oops", "2023-06-05"), ("A", "2022", "2.0", "2023-01-05")],
+        "ticker string, period string, revenue string, run_date string",
+    ).withColumn("revenue", F.col("revenue").cast("double"))  # fails at run time for one date (ANSI)
+    status = lake.backfill_domains({"fs": rows}, scratch)["fs"]
+    assert status.startswith("2023-06-05: ") and "2024-01-05" not in status
+    assert lake.run_dates(spark, scratch, "bronze", "fs") == ["2023-01-05", "2024-01-05"]
