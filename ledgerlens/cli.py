@@ -102,7 +102,7 @@ def main(argv: list[str] | None = None) -> int:
         age = dt.timedelta(hours=args.hours)
         n = sum(
             lake.prune_domain(spark, args.lake, layer, domain, age)
-            for layer in ("bronze", "silver") for domain in lake.folder_names(spark, f"{args.lake}/{layer}")
+            for layer in ("bronze", "silver", "quarantine") for domain in lake.folder_names(spark, f"{args.lake}/{layer}")
         )
         n += lake.prune_domain(spark, args.warehouse, warehouse.LAYER, warehouse.FACT, age)
         n += sum(

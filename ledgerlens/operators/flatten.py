@@ -1,17 +1,19 @@
 """Nested report JSON -> flat domain rows (F1-F5), company universe
 and the union of pages with differing columns (U1).
 
-Every section is parsed with an explicit schema (no inference pass over the
-data). Measures are read as text and cast once here, so a number written as
-a string survives like it does in a dict; a value that is no number is NULL
-and does not end the job. A document that is not a JSON object (a blank line
+The scheduled sections are parsed with an explicit schema, any other one and
+price records as VARIANT (no inference pass over the text). Measures are read
+as text and cast once here, so a number written as a string survives like it
+does in a dict; a value that is no number is NULL and does not end the job. A document that is not a JSON object (a blank line
 included) is dropped and counted with an ``Observation``: one bad report
 costs that report only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,15 +22,9 @@ from pyspark.sql import types as T
 from ledgerlens import schemas
 from ledgerlens.config import CUTOFF_YEARS_BACK
 from ledgerlens.functions.expressions import cutoff_year, nan_to_null, normalize_ticker
+from ledgerlens.session import materialize
 
 CORRUPT = "_corrupt_record"
-# Distinct keys that one section or price record may have: they become columns.
-MAX_KEYS = 2000
-TEXT_MAP = "map<string,string>"
-
-
-class TooManyKeys(ValueError):
-    """A section whose keys are data rather than columns."""
 
 
 def parse_reports(
@@ -53,6 +49,52 @@ def parse_reports(
     return parsed.where(~bad).select("r.*").drop(CORRUPT)
 
 
+REASONS = ("blank", "no JSON object", "broken JSON")
+
+
+def reject_reason(value: Column, bad: Column) -> Column:
+    """Why a document is no report; NULL for one that is."""
+    text = F.trim(F.coalesce(value, F.lit("")))
+    blank, other, broken = map(F.lit, REASONS)
+    return F.when(bad, F.when(text == "", blank).when(text.startswith("{"), broken).otherwise(other))
+
+
+def _split(
+    read: DataFrame, bad: Column, fields: Sequence[Column], section: str, metrics: Sequence[Column] = (),
+    observation: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Documents (value and whatever ``fields`` need) -> (their fields, the
+    rejected ones). Both are read back from one write, partitioned by which
+    they are, so the text is parsed once and each side opens its own files."""
+    tagged = read.select(
+        *fields, F.when(bad, F.col("value")).alias("_document"), reject_reason(F.col("value"), bad).alias("_reason"),
+        F.coalesce(bad, F.lit(False)).alias("_rejected"),
+    )
+    if observation is not None:
+        tagged = tagged.observe(observation, *_counted(F.col("_rejected")), *metrics)
+    both = materialize(tagged, f"split_{section}", partition_by="_rejected")
+    ticker = F.regexp_extract("_document", r'"ticker"\s*:\s*"([^"]*)"', 1)
+    rejected = both.where("_rejected").select(
+        F.lit(section).alias("section"), F.nullif(ticker, F.lit("")).alias("ticker"),
+        F.col("_reason").alias("reason"), F.col("_document").alias("document"),
+    )
+    return both.where("NOT _rejected").drop("_document", "_reason", "_rejected"), rejected
+
+
+def split_reports(
+    raw: DataFrame, section: str, section_type: T.DataType, observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """One pass over landed documents: (the parsed reports, the rejected
+    documents). Rejected: section, ticker (as far as the text names one),
+    reason, document."""
+    schema = schemas.report_schema(section, section_type)
+    parse = F.from_json("value", T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    fields = [F.when(~bad, F.col("r")[f.name]).alias(f.name) for f in schema.fields]
+    return _split(raw.select("value", parse.alias("r")), bad, fields, section, observation=observation)
+
+
 def _counted(bad: Column) -> tuple[Column, Column]:
     return (
         F.count(F.lit(1)).alias("documents"),
@@ -68,7 +110,7 @@ def _name() -> Column:
 def _year(c: Column) -> Column:
     """A year written as a whole number, in any form (2024, "2024", 2024.0)."""
     y = nan_to_null(c.try_cast("double"))
-    return F.when((y >= 0) & (y < 100_000) & (y == F.floor(y)), F.floor(y).cast("int"))
+    return F.when((y >= 0) & (y <= F.lit(float(2**53))) & (y == F.floor(y)), F.floor(y).cast("long"))
 
 
 def _year_rows(df: DataFrame, array_field: str, run_date: str, years_back: int) -> DataFrame:
@@ -85,8 +127,12 @@ def _num(c: str | Column) -> Column:
 
 def flatten_overview(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
     """one row per report; a missing section gives NULL attributes."""
-    r = parse_reports(raw, "overview", schemas.OVERVIEW_SECTION, observation)
-    return r.select(
+    return overview_rows(parse_reports(raw, "overview", schemas.OVERVIEW_SECTION, observation))
+
+
+def overview_rows(reports: DataFrame) -> DataFrame:
+    """F1 of parsed reports."""
+    return reports.select(
         "ticker",
         _name().alias("company_name"),
         F.col("overview.sector").alias("sector"),
@@ -106,8 +152,12 @@ def flatten_financials(
     eps from the by-year map when the year key exists (even with a NULL
     value, N4), else the array element's eps.
     """
-    r = parse_reports(raw, "financials", schemas.FINANCIALS_SECTION, observation)
-    r = r.select("ticker", F.col("financials.historical_eps").alias("m"),
+    return financial_rows(parse_reports(raw, "financials", schemas.FINANCIALS_SECTION, observation), run_date, years_back)
+
+
+def financial_rows(reports: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK) -> DataFrame:
+    """F2 of parsed reports."""
+    r = reports.select("ticker", F.col("financials.historical_eps").alias("m"),
                  F.col("financials.historical_financials").alias("hf"))
     rows = _year_rows(r, "hf", run_date, years_back)
     period = F.col("_year").cast("string")
@@ -135,8 +185,12 @@ def flatten_valuation(
     observation: Observation | None = None,
 ) -> DataFrame:
     """one row per reported year; last close price repeated per year."""
-    r = parse_reports(raw, "valuation", schemas.VALUATION_SECTION, observation)
-    r = r.select("ticker", F.col("valuation.last_close_price").alias("lcp"),
+    return valuation_rows(parse_reports(raw, "valuation", schemas.VALUATION_SECTION, observation), run_date, years_back)
+
+
+def valuation_rows(reports: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK) -> DataFrame:
+    """F3 of parsed reports."""
+    r = reports.select("ticker", F.col("valuation.last_close_price").alias("lcp"),
                  F.col("valuation.historical_valuation").alias("hv"))
     rows = _year_rows(r, "hv", run_date, years_back)
     return rows.select(
@@ -149,93 +203,168 @@ def flatten_valuation(
     )
 
 
-def _keys(maps: DataFrame, column: str, known: Sequence[str]) -> list[str]:
-    """The keys of a map column besides the known ones: one pass with a
-    partial aggregate. They become columns, so there is a limit, and going
-    over it is an error, never a dropped key."""
-    found = maps.select(F.explode(F.map_keys(column)).alias("key")).where(~F.col("key").isin(*known)).distinct()
-    names = sorted(r["key"] for r in found.limit(MAX_KEYS + 1).collect())
-    if len(names) > MAX_KEYS:
-        raise TooManyKeys(f"more than {MAX_KEYS} distinct keys")
-    return names
-
-
-def _value(m: Column, field: T.StructField) -> Column:
-    """A map entry under its field's type; an unreadable number is NULL."""
-    text = F.try_element_at(m, F.lit(field.name))
-    return (_num(text) if isinstance(field.dataType, T.DoubleType) else text.cast(field.dataType)).alias(field.name)
-
-
-def _extra(m: Column, names: Sequence[str], taken: Sequence[str]) -> list[Column]:
-    """Text columns for keys without a declared type. A name that differs
-    from another column's by case only gets a suffix."""
-    used, out = {t.lower() for t in taken}, []
-    for name in names:
-        alias, n = name, 2
-        while alias.lower() in used:
-            alias, n = f"{name}_{n}", n + 1
-        used.add(alias.lower())
-        out.append(F.try_element_at(m, F.lit(name)).alias(alias))
-    return out
+# ------------------------------------------------- sections as VARIANT ----
+# A bare NaN or infinity is no JSON; it means a missing number.
+_NO_NUMBER = r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"
+# Types of VARIANT keys as columns: decimals are doubles, a key whose values
+# have no common type (or none at all) is text.
+_TYPES = {"OBJECT": "struct", "ARRAY": "array", "VARIANT": "string", "VOID": "string", "FLOAT": "double"}
+_TOKEN = re.compile(r"`(?:``|[^`])*`|\w+(?:\(\d+,\d+\))?")
 
 
-def flatten_section(
-    raw: DataFrame, section: str, section_schema: T.StructType, observation: Observation | None = None,
-    extra: Sequence[str] | None = None,
+def _variant(text: Column) -> Column:
+    """A JSON text as VARIANT, NULL where it is none."""
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_replace(text, _NO_NUMBER, "$1null")))
+
+
+def _object(v: Column) -> Column:
+    """A VARIANT that is an object, NULL for any other."""
+    return F.when(v.try_cast("map<string,variant>").isNotNull(), v)
+
+
+def key_types(told: str | None) -> T.StructType:
+    """The result of ``schema_of_variant_agg`` over objects as a struct."""
+    if told is None or not told.startswith("OBJECT<") or told == "OBJECT<>":
+        return T.StructType()
+
+    def as_sql(m: re.Match) -> str:
+        word = m.group()
+        if told.startswith(": ", m.end()):  # a key
+            return word if word.startswith("`") else f"`{word}`"
+        return "double" if word.startswith("DECIMAL") else _TYPES.get(word, word)
+
+    keys = T.DataType.fromDDL(_TOKEN.sub(as_sql, told).replace("struct<>", "string"))
+    return T.StructType([T.StructField(f.name, _readable(f.dataType)) for f in keys.fields])
+
+
+def _readable(kind: T.DataType) -> T.DataType:
+    """Nested objects whose keys differ by case only are text."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_readable(kind.elementType))
+    if isinstance(kind, T.StructType):
+        if len({n.lower() for n in kind.fieldNames()}) < len(kind.fields):
+            return T.StringType()
+        return T.StructType([T.StructField(f.name, _readable(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def _ddl(kind: T.DataType) -> str:
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_ddl(kind.elementType)}>"
+    if isinstance(kind, T.StructType):
+        return f"struct<{', '.join(_field(f) for f in kind.fields)}>"
+    return kind.simpleString()
+
+
+def _field(f: T.StructField) -> str:
+    return f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}"
+
+
+def _with_columns(
+    rows: DataFrame, v: str, fields: Sequence[T.StructField], own: Mapping[str, Column]
 ) -> DataFrame:
-    """ticker, company_name, then every key of the section.
+    """``own`` columns, then one for each field of the objects in ``v``. All
+    fields of an object are read in one cast (fields whose names differ by
+    case only in one cast each); a value that does not fit is NULL, and so is
+    a double that is no number. A name taken by another column, by case or
+    not, gets a suffix."""
+    casts: list[list[T.StructField]] = []
+    used: dict[str, int] = {}
+    place = {}
+    for f in fields:
+        k = used[f.name.lower()] = used.get(f.name.lower(), -1) + 1
+        if k == len(casts):
+            casts.append([])
+        casts[k].append(f)
+        place[f.name] = k
+    for k, some in enumerate(casts):
+        rows = rows.withColumn(f"_v{k}", F.try_variant_get(v, "$", _ddl(T.StructType(some))))
+    taken, out = {c.lower() for c in own}, [c.alias(name) for name, c in own.items()]
+    for f in fields:
+        alias, n = f.name, 2
+        while alias.lower() in taken:
+            alias, n = f"{f.name}_{n}", n + 1
+        taken.add(alias.lower())
+        value = F.col(f"_v{place[f.name]}").getField(f.name)
+        out.append((nan_to_null(value) if isinstance(f.dataType, T.DoubleType) else value).alias(alias))
+    return rows.select(*out)
+
+
+OUTER = ("ticker", "company_name")
+
+
+def split_section(
+    raw: DataFrame, section: str, observation: Observation | None = None
+) -> tuple[DataFrame, T.StructType, DataFrame]:
+    """One pass over landed documents of a section without a declared schema:
+    (ticker, company_name and the section as VARIANT, its keys with their
+    types, the rejected documents as in ``split_reports``). Keys and types
+    are one aggregate, taken while the parsed documents are written."""
+    inner = _object(F.try_variant_get("_d", f"$['{section}']", "variant"))
+    fields = [
+        F.try_variant_get("_d", "$.ticker", "string").alias("ticker"),
+        F.coalesce(F.try_variant_get("_d", "$.company_name", "string"), F.lit("")).alias("company_name"),
+        inner.alias("_s"),
+    ]
+    seen = observation or Observation(f"keys_{uuid.uuid4().hex}")
+    read = raw.select("value", _object(_variant(F.col("value"))).alias("_d"))
+    rows, rejected = _split(
+        read, F.col("_d").isNull(), fields, section, [F.schema_of_variant_agg("_s").alias("keys")], seen
+    )
+    return rows, key_types(seen.get.get("keys")), rejected
 
-    The section is first read as raw JSON text, so a section that is not
-    an object (a list, a string) adds nothing instead of spoiling the row.
-    Section keys win over ticker / company_name on a clash, also with a
-    null. Keys that the schema does not declare become text columns
-    (``extra`` names them; by default they are looked up in the data).
-    """
-    types = {f.name: f for f in section_schema.fields}
-    outer = ("ticker", "company_name")
 
-    def sections(seen: Observation | None) -> DataFrame:
-        r = parse_reports(raw, section, T.StringType(), seen)
-        is_object = F.trim(F.col(section)).startswith("{")
-        return r.select("ticker", _name().alias("company_name"),
-                        F.when(is_object, F.from_json(F.col(section), TEXT_MAP)).alias("_s"))
+def section_rows(sections: DataFrame, keys: T.StructType, section_schema: T.StructType) -> DataFrame:
+    """F4 of sections as VARIANT (``split_section``) whose keys are known."""
+    declared = [f for f in section_schema.fields if f.name not in OUTER]
+    extra = [f for f in keys.fields if f.name not in {*OUTER, *section_schema.fieldNames()}]
+    own = {
+        c: F.when(
+            F.try_variant_get("_s", f"$.{c}", "variant").isNotNull(), F.try_variant_get("_s", f"$.{c}", "string")
+        ).otherwise(F.col(c))
+        for c in OUTER
+    }
+    return _with_columns(sections, "_s", [*declared, *extra], own)
+
 
-    if extra is None:
-        extra = _keys(sections(None), "_s", [*types, *outer])
-    m = F.col("_s")
-    cols = [F.when(F.map_contains_key(m, name), m[name]).otherwise(F.col(name)).alias(name) for name in outer]
-    cols += [_value(m, f) for name, f in types.items() if name not in outer]
-    return sections(observation).select(*cols, *_extra(m, extra, [*outer, *types]))
+def flatten_section(
+    raw: DataFrame, section: str, section_schema: T.StructType, observation: Observation | None = None,
+) -> DataFrame:
+    """ticker, company_name, then every key of the section, however many.
+
+    The text is parsed once into VARIANT, so a section that is not an object
+    (a list, a string) adds nothing instead of spoiling the row. Section keys
+    win over ticker / company_name on a clash, also with a null. Keys that
+    the schema does not declare become columns of the type that their values
+    have in common (nested objects and lists included; text where they have
+    none). An object that repeats a key is a malformed document.
+    """
+    sections, keys, _ = split_section(raw, section, observation)
+    return section_rows(sections, keys, section_schema)
 
 
 def flatten_prices(
     pages: DataFrame, record: T.StructType = schemas.PRICE_RECORD, observation: Observation | None = None,
-    extra: Sequence[str] | None = None,
 ) -> DataFrame:
     """a price page (a list of records, or one bare record) -> rows,
     stamped with the page's ticker. Columns: ticker, the declared record
-    fields, then every other field of the records as text. A page that does
-    not parse is dropped and counted."""
-    text = F.trim("value")
-    bare = F.array(F.from_json(text, TEXT_MAP))
-    recs = F.when(text.startswith("{"), F.filter(bare, lambda m: m.isNotNull())).otherwise(
-        F.from_json(text, f"array<{TEXT_MAP}>")
-    )
-    bad = F.col("recs").isNull() | (text.startswith("{") & (F.size("recs") == 0))
-    parsed = pages.select("ticker", "value", recs.alias("recs")).select("ticker", "recs", bad.alias("bad"))
-
-    def rows(df: DataFrame) -> DataFrame:
-        return df.where(~F.col("bad")).select("ticker", F.explode("recs").alias("_r")).where("_r IS NOT NULL")
-
-    fields = [f for f in record.fields if f.name != "ticker"]
-    if extra is None:
-        extra = _keys(rows(parsed), "_r", [*(f.name for f in fields), "ticker"])
+    fields, then every other field of the records by its type. Pages are
+    parsed once: the fields and their types are learned while the records are
+    written. A page that does not parse is dropped and counted."""
+    page = pages.select("ticker", _variant(F.col("value")).alias("_d"))
+    bare = _object(F.col("_d"))
+    records = F.coalesce(F.col("_d").try_cast("array<variant>"), F.when(bare.isNotNull(), F.array(bare)))
+    parsed = page.select("ticker", records.alias("_l"))
     if observation is not None:
-        parsed = parsed.observe(observation, *_counted(F.col("bad")))
-    m = F.col("_r")
-    return rows(parsed).select(
-        "ticker", *[_value(m, f) for f in fields], *_extra(m, extra, ["ticker", *(f.name for f in fields)])
-    )
+        parsed = parsed.observe(observation, *_counted(F.col("_l").isNull()))
+    rows = parsed.select("ticker", F.explode("_l").alias("_r"))
+    rows = rows.select("ticker", _object(F.col("_r")).alias("_r")).where(F.col("_r").isNotNull())
+    seen = Observation(f"keys_{uuid.uuid4().hex}")
+    rows = materialize(rows.observe(seen, F.schema_of_variant_agg("_r").alias("keys")), "prices")
+    fields = [f for f in record.fields if f.name != "ticker"]
+    told = {"ticker", *(f.name for f in fields)}
+    fields += [f for f in key_types(seen.get.get("keys")).fields if f.name not in told]
+    return _with_columns(rows, "_r", fields, {"ticker": F.col("ticker")})
 
 
 def company_universe(pages: DataFrame) -> DataFrame:

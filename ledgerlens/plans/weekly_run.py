@@ -19,6 +19,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.config import (
@@ -37,6 +38,8 @@ SILVER_SCHEMAS = {
 
 
 log = logging.getLogger(__name__)
+QUARANTINE = "quarantine"
+REJECTED = T.StructType([T.StructField(c, T.StringType()) for c in ("section", "ticker", "reason", "document")])
 
 
 @dataclass
@@ -61,31 +64,46 @@ def bronze_from_landing(
 ) -> dict[str, int]:
     """The extract step after the fetch: landed report documents of one
     run date (``<landing_root>/<section>/run_date=<d>/``, JSON text) are
-    flattened and written as that run date's bronze partition of each
-    domain. Malformed documents are skipped and counted (returned per
-    section, from the same write job)."""
+    parsed once and split: good reports are flattened and written as that run
+    date's bronze partition of each domain, malformed documents go to the
+    domain's partition of the ``quarantine`` layer with the reason, are
+    counted (returned per section) and stop nothing."""
     skipped = {}
     for section in sections:
         domain = LANDED_SECTIONS.get(section) or GENERIC_SECTIONS[section]
         docs = raw.read_landed(spark, f"{landing_root.rstrip('/')}/{section}/run_date={run_date}")
         seen = Observation(f"landed_{section}_{uuid.uuid4().hex}")
         if section in GENERIC_SECTIONS:
-            rows = flatten.flatten_section(
-                docs, section, schemas.GENERIC_SECTIONS[section], observation=seen
-            )
-        elif section == "overview":
-            rows = flatten.flatten_overview(docs, observation=seen)
-        elif section == "financials":
-            rows = flatten.flatten_financials(docs, run_date, years_back, observation=seen)
+            reports, keys, rejected = flatten.split_section(docs, section, seen)
+            rows = flatten.section_rows(reports, keys, schemas.GENERIC_SECTIONS[section])
         else:
-            rows = flatten.flatten_valuation(docs, run_date, years_back, observation=seen)
-        lake.write_partition(rows, root, "bronze", domain, run_date)
+            reports, rejected = flatten.split_reports(docs, section, schemas.SCHEDULED_SECTIONS[section], seen)
+            if section == "overview":
+                rows = flatten.overview_rows(reports)
+            elif section == "financials":
+                rows = flatten.financial_rows(reports, run_date, years_back)
+            else:
+                rows = flatten.valuation_rows(reports, run_date, years_back)
+        concurrently(
+            partial(lake.write_partition, rows, root, "bronze", domain, run_date),
+            partial(lake.write_partition, rejected, root, QUARANTINE, domain, run_date),
+        )
         skipped[section] = int(seen.get.get("malformed") or 0)
         if skipped[section]:
             log.warning("skipped %d malformed %s reports for %s", skipped[section], section, run_date)
     return skipped
 
 
+def quarantined(spark: SparkSession, root: str, run_date: str, sections: Sequence[str] = tuple(LANDED_SECTIONS)) -> DataFrame:
+    """The rejected documents of a run date: section, ticker, reason, document."""
+    domains = [LANDED_SECTIONS.get(s) or GENERIC_SECTIONS[s] for s in sections]
+    parts = [lake.read_partition(spark, root, QUARANTINE, d, run_date, REJECTED) for d in domains]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def backfill_from_landing(
     spark: SparkSession, landing_root: str, root: str, run_date: str, years: int = 2,
     years_back: int = CUTOFF_YEARS_BACK,

@@ -337,12 +337,53 @@ _OBJ = f"{_KC} % {fx.NON_OBJECT_SECTION_EVERY} <> 0"
     f"CASE WHEN {_OBJ} THEN c_name END AS ceo_name, "
     f"CASE WHEN {_OBJ} THEN c_acctbal / 100.0 END AS insider_ownership_pct, "
     f"CASE WHEN {_OBJ} THEN CAST(c_nationkey AS DOUBLE) END AS institutional_ownership_pct, "
-    f"CASE WHEN {_OBJ} AND {_KC} % 4 = 1 THEN CAST(c_nationkey + 3 AS VARCHAR) END AS board_size "
+    f"CASE WHEN {_OBJ} AND {_KC} % 4 = 1 THEN CAST(c_nationkey + 3 AS BIGINT) END AS board_size, "
+    f"CASE WHEN {_OBJ} AND {_KC} % 5 = 2 THEN CAST({_KC} % 8 AS BIGINT) END AS committee_seats, "
+    f"CASE WHEN {_OBJ} AND {_KC} % 5 = 2 THEN c_name || ',chair' END AS committee_members, "
+    f"CASE WHEN {_OBJ} AND {_KC} % 3 = 0 THEN {_KC} % 2 = 0 END AS listed "
     "FROM customer",
 )
 def q_flatten_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undeclared keys become columns of their own type: a number, a flag and
+    a nested object with a list."""
     docs = _landed(spark, fx.management_documents(spark, sf_dir), "management")
-    return flatten.flatten_section(docs, "management", schemas.MANAGEMENT_SECTION)
+    rows = flatten.flatten_section(docs, "management", schemas.MANAGEMENT_SECTION)
+    return rows.select(
+        *[c for c in rows.columns if c != "committee"], F.col("committee.seats").alias("committee_seats"),
+        F.array_join("committee.members", ",").alias("committee_members"),
+    )
+
+
+_BROKEN = '{"ticker":"X","financials":{'
+
+
+def _bad_documents_sql(section: str, companies: str) -> str:
+    return (
+        f"SELECT '{section}' AS section, CAST(NULL AS VARCHAR) AS ticker, 'blank' AS reason, '' AS document FROM {companies} "
+        f"WHERE k % {fx.BLANK_LINE_EVERY} = 0 UNION ALL SELECT '{section}' AS section, 'X' AS ticker, 'broken JSON' AS reason, "
+        f"'{_BROKEN}' AS document FROM {companies} WHERE k % {fx.BROKEN_EVERY} = 0"
+    )
+
+
+@register(
+    "quarantine",
+    o.with_ctes(o.base_ctes(), " UNION ALL ".join([
+        _bad_documents_sql("overview", "(SELECT c_custkey AS k FROM customer)"),
+        _bad_documents_sql("financials", "(SELECT DISTINCT k FROM fin)"),
+        _bad_documents_sql("valuation", "(SELECT DISTINCT k FROM val)"),
+    ])),
+)
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the extract step rejects, with the reason; the
+    others are in bronze."""
+    root, landing_root = scratch_path(spark, "lake"), scratch_path(spark, "landing")
+    for section, docs in (
+        ("overview", fx.overview_documents(spark, sf_dir)), ("financials", fx.financial_documents(spark, sf_dir)),
+        ("valuation", fx.valuation_documents(spark, sf_dir)),
+    ):
+        raw.land(docs, f"{landing_root}/{section}/run_date={RUN_DATE}")
+    weekly_run.bronze_from_landing(spark, landing_root, root, RUN_DATE)
+    return weekly_run.quarantined(spark, root, RUN_DATE)
 
 
 _PRICE_ROWS = (

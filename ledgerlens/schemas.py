@@ -45,6 +45,9 @@ DIVIDEND_SECTION = _struct(
 MANAGEMENT_SECTION = _struct(
     ("ceo_name", S), ("insider_ownership_pct", D), ("institutional_ownership_pct", D)
 )
+SCHEDULED_SECTIONS = {
+    "overview": OVERVIEW_SECTION, "financials": FINANCIALS_SECTION, "valuation": VALUATION_SECTION,
+}
 GENERIC_SECTIONS = {"dividend": DIVIDEND_SECTION, "management": MANAGEMENT_SECTION}
 
 

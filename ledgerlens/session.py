@@ -86,12 +86,14 @@ def concurrently(*jobs: Callable[[], T]) -> list[T]:
     return [f.result() for f in futures]
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: a lineage cut that computes the plan exactly once (an
     RDD checkpoint of an unpersisted Dataset computes it twice) and
-    survives a lost executor."""
+    survives a lost executor. With ``partition_by`` a filter on that column
+    opens the files of the value only."""
     spark = df.sparkSession
     path = scratch_path(spark, "stage", name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -436,7 +436,8 @@ def management_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     institutional_ownership_pct = c_nationkey; company_name repeated inside
     the section as 'Board of ' || c_name when k % 2 = 0 (a name clash the
     section wins) and as null when k % 6 = 1; a key without a declared type,
-    board_size, when k % 4 = 1; insider_ownership_pct written as text when
+    board_size, when k % 4 = 1; a nested one, committee, with a number and a
+    list when k % 5 = 2; a flag, listed, when k % 3 = 0; insider_ownership_pct written as text when
     k % 9 = 4; a list instead of an object when k % 7 = 0.
     """
     cust = table(spark, sf_dir, "customer").select(
@@ -449,6 +450,10 @@ def management_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") / F.lit(100.0)).alias("insider_ownership_pct"),
         F.col("c_nationkey").cast("double").alias("institutional_ownership_pct"),
         F.when(k % 4 == 1, F.col("c_nationkey") + 3).alias("board_size"),
+        F.when(
+            k % 5 == 2, F.struct((k % 8).alias("seats"), F.array(F.col("c_name"), F.lit("chair")).alias("members"))
+        ).alias("committee"),
+        F.when(k % 3 == 0, k % 2 == 0).alias("listed"),
     )
     obj = F.when(k % 6 == 1, F.to_json(fields, {"ignoreNullFields": "false"})).otherwise(F.to_json(fields))
     as_text = F.regexp_replace(obj, r'"insider_ownership_pct":([^,}]*)', r'"insider_ownership_pct":"$1"')
