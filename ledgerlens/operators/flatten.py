@@ -261,32 +261,34 @@ def _field(f: T.StructField) -> str:
 
 
 def _with_columns(
-    rows: DataFrame, v: str, fields: Sequence[T.StructField], own: Mapping[str, Column]
+    rows: DataFrame, v: str, declared: Sequence[T.StructField], extra: Sequence[T.StructField], own: Mapping[str, Column]
 ) -> DataFrame:
-    """``own`` columns, then one for each field of the objects in ``v``. All
-    fields of an object are read in one cast (fields whose names differ by
-    case only in one cast each); a value that does not fit is NULL, and so is
-    a double that is no number. A name taken by another column, by case or
-    not, gets a suffix."""
-    casts: list[list[T.StructField]] = []
-    used: dict[str, int] = {}
-    place = {}
-    for f in fields:
-        k = used[f.name.lower()] = used.get(f.name.lower(), -1) + 1
-        if k == len(casts):
-            casts.append([])
-        casts[k].append(f)
-        place[f.name] = k
-    for k, some in enumerate(casts):
-        rows = rows.withColumn(f"_v{k}", F.try_variant_get(v, "$", _ddl(T.StructType(some))))
-    taken, out = {c.lower() for c in own}, [c.alias(name) for name, c in own.items()]
-    for f in fields:
-        alias, n = f.name, 2
-        while alias.lower() in taken:
-            alias, n = f"{f.name}_{n}", n + 1
-        taken.add(alias.lower())
-        value = F.col(f"_v{place[f.name]}").getField(f.name)
-        out.append((nan_to_null(value) if isinstance(f.dataType, T.DoubleType) else value).alias(alias))
+    """``own`` columns, then the declared fields of the objects in ``v``, then
+    the other keys. All keys are read in one cast; a value that does not fit
+    is NULL, and so is a declared double that is no number. A key whose name
+    another column has in other letters' case gets a suffix and comes last."""
+    def cast(fields: Sequence[T.StructField]) -> Column:
+        return F.try_variant_get(v, "$", _ddl(T.StructType(list(fields))))
+
+    taken = {c.lower() for c in (*own, *(f.name for f in declared))}
+    plain, clashing = [], []
+    for f in extra:
+        (clashing if f.name.lower() in taken else plain).append(f)
+        taken.add(f.name.lower())
+    out = [c.alias(name) for name, c in own.items()]
+    for f in declared:
+        value = F.col("_declared").getField(f.name)
+        out.append((nan_to_null(value) if isinstance(f.dataType, T.DoubleType) else value).alias(f.name))
+    rows = rows.withColumn("_declared", cast(declared)) if declared else rows
+    if plain:  # a star: no expression per key has to be built
+        rows = rows.withColumn("_plain", cast(plain))
+        out.append(F.col("_plain.*"))
+    for f in clashing:
+        n = 2
+        while f"{f.name}_{n}".lower() in taken:
+            n += 1
+        taken.add(f"{f.name}_{n}".lower())
+        out.append(cast([f]).getField(f.name).alias(f"{f.name}_{n}"))
     return rows.select(*out)
 
 
@@ -324,7 +326,7 @@ def section_rows(sections: DataFrame, keys: T.StructType, section_schema: T.Stru
         ).otherwise(F.col(c))
         for c in OUTER
     }
-    return _with_columns(sections, "_s", [*declared, *extra], own)
+    return _with_columns(sections, "_s", declared, extra, own)
 
 
 def flatten_section(
@@ -363,8 +365,8 @@ def flatten_prices(
     rows = materialize(rows.observe(seen, F.schema_of_variant_agg("_r").alias("keys")), "prices")
     fields = [f for f in record.fields if f.name != "ticker"]
     told = {"ticker", *(f.name for f in fields)}
-    fields += [f for f in key_types(seen.get.get("keys")).fields if f.name not in told]
-    return _with_columns(rows, "_r", fields, {"ticker": F.col("ticker")})
+    extra = [f for f in key_types(seen.get.get("keys")).fields if f.name not in told]
+    return _with_columns(rows, "_r", fields, extra, {"ticker": F.col("ticker")})
 
 
 def company_universe(pages: DataFrame) -> DataFrame:
