@@ -96,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(status))
         return 0 if all(x == "ok" for x in status.values()) else 1
     elif args.cmd == "prune":
-        from ledgerlens.plans import warehouse
+        from ledgerlens.plans import dimension, warehouse
         from ledgerlens.schemas import WAREHOUSE_TABLES
 
         age = dt.timedelta(hours=args.hours)
@@ -106,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         n += lake.prune_domain(spark, args.warehouse, warehouse.LAYER, warehouse.FACT, age)
         n += sum(
-            lake.prune(spark, warehouse.table_path(args.warehouse, name), age)
+            (dimension.prune if name == warehouse.COMPANY else lake.prune)(spark, warehouse.table_path(args.warehouse, name), age)
             for name in WAREHOUSE_TABLES if name != warehouse.FACT
         )
         print(json.dumps({"removed": n}))
@@ -128,11 +128,8 @@ def main(argv: list[str] | None = None) -> int:
         from ledgerlens.plans import calendar_dim, warehouse
 
         bounds = spark.range(1).select(F.lit(args.start).alias("start"), F.lit(args.end).alias("end"))
-        existing = warehouse.read_table(spark, args.warehouse, "dim_date")
-        merged = calendar_dim.insert_ignore(existing, calendar_dim.calendar(bounds), ["run_date"])
-        path = warehouse.table_path(args.warehouse, "dim_date")
-        lake.replace(merged.select(*existing.columns), path)
-        print(json.dumps({"dim_date": warehouse.read_table(spark, args.warehouse, "dim_date").count()}))
+        table = warehouse.write_dim_date(spark, args.warehouse, calendar_dim.calendar(bounds))
+        print(json.dumps({"dim_date": table.count()}))
     return 0
 
 

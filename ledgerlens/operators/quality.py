@@ -117,6 +117,13 @@ def _bad_in_checked(rule: Rule) -> tuple[Column, Column] | None:
     return None
 
 
+def counts_rows(rule: Rule) -> bool:
+    """Whether a rule's counts grow with the rows (those of columns_present
+    and of an unknown rule do not)."""
+    kind = rule["rule"]
+    return kind == "unique_combination" or (kind != "columns_present" and _bad_in_checked(rule) is not None)
+
+
 def _any_present(keys: Sequence[str]) -> Column:
     """Rows whose key columns are all NULL are left out of uniqueness."""
     cond = F.col(keys[0]).isNotNull()
@@ -125,7 +132,8 @@ def _any_present(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _success(rule: Rule, checked: Column, failed: Column) -> Column:
+def success(rule: Rule, checked: Column, failed: Column) -> Column:
+    """Whether a rule passes by its counts."""
     if rule["rule"] == "row_count_between":
         ok = F.lit(True)
         if rule.get("min") is not None:
@@ -206,7 +214,7 @@ def run_suite(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
                 F.lit(i).alias("rule_id"), F.lit(r["rule"]).alias("rule"),
                 (F.lit(",".join(r["columns"])) if is_unique else F.lit(r.get("column")).cast("string")).alias("column"),
                 c.alias("checked"), f.alias("failed"),
-                ((f == F.lit(0)) if is_unique else _success(r, c, f)).alias("success"),
+                ((f == F.lit(0)) if is_unique else success(r, c, f)).alias("success"),
             ))
         parts.append(one.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
     for i, rule in other_unique:

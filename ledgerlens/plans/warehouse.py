@@ -17,17 +17,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import STATUS_PASS
 from ledgerlens.operators.clean import keep_greatest
+from ledgerlens.plans import dimension
+from ledgerlens.plans.calendar_dim import insert_ignore
+from ledgerlens.plans.dimension import MERGE_LIMIT, ConcurrentMerge, _lock  # noqa: F401
 from ledgerlens.schemas import SCREENING_COLUMNS, WAREHOUSE_TABLES
 from ledgerlens.sources import lake
 
 LAYER = "gold"
 FACT = "fct_screening"
-# A merge that holds the lock of a version for longer than this is taken for dead.
-MERGE_LIMIT = dt.timedelta(hours=6)
-
-
-class ConcurrentMerge(RuntimeError):
-    """Another run is merging the same version of the company dimension."""
+COMPANY = "dim_company"
 
 
 def table_path(root: str, name: str) -> str:
@@ -46,7 +44,8 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
         else:
             created = lake.current_version(spark, path) is None
             if created:
-                lake.replace(spark.createDataFrame([], schema), path)
+                empty = dimension.empty_manifest(spark) if name == COMPANY else spark.createDataFrame([], schema)
+                lake.replace(empty, path)
         rows.append((name, len(schema.fields), created))
     return spark.createDataFrame(rows, "table string, n_columns int, created boolean")
 
@@ -58,6 +57,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     if name == FACT:
         dates = lake.run_dates(spark, root, LAYER, FACT)
         return lake.read_run_dates(spark, root, LAYER, FACT, dates, schema) if dates else spark.createDataFrame([], schema)
+    if name == COMPANY:
+        return dimension.read(spark, table_path(root, name), schema)
     path = lake.current_version(spark, table_path(root, name))
     return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
@@ -95,36 +96,35 @@ def upsert_company(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def _lock(spark: SparkSession, path: str, limit: dt.timedelta):
-    """Take the merge lock of a version: a file that only one run can create.
-    A lock older than ``limit`` is left over from a dead run."""
-    target, fs = lake.file_system(spark, f"{path}/_merging")
-    if not fs.createNewFile(target):
-        age = dt.datetime.now().timestamp() - fs.getFileStatus(target).getModificationTime() / 1000
-        if age < limit.total_seconds():
-            raise ConcurrentMerge(f"another run is merging {path}")
-        fs.create(target, True).close()
-    return lambda: fs.delete(target, False)
+def newest_profiles(profile: DataFrame) -> DataFrame:
+    """Of profiles of several run dates, each company's newest: what merging
+    the run dates one after another would leave, in one merge."""
+    return keep_greatest(profile, ("ticker",), ("run_date", "company_name"))
 
 
 def write_dim_company(
-    spark: SparkSession, root: str, incoming: DataFrame, limit: dt.timedelta = MERGE_LIMIT
-) -> str:
-    """Merge ``incoming`` into the current dim_company as a new version;
-    returns its path. Two runs cannot merge the same version: the second
-    one gets ``ConcurrentMerge`` and can be rerun, so no merge is lost."""
-    folder = table_path(root, "dim_company")
-    current = lake.current_version(spark, folder)
-    if current is None:
-        current = lake.replace(spark.createDataFrame([], WAREHOUSE_TABLES["dim_company"]), folder)
-    unlock = _lock(spark, current, limit)
-    try:
-        if lake.current_version(spark, folder) != current:
-            raise ConcurrentMerge(f"another run has replaced {current}")
-        existing = spark.read.schema(WAREHOUSE_TABLES["dim_company"]).parquet(current)
-        return lake.replace(upsert_company(existing, incoming), folder)
-    finally:
-        unlock()
+    spark: SparkSession, root: str, incoming: DataFrame, limit: dt.timedelta = MERGE_LIMIT, stored: bool = False
+) -> list[int]:
+    """Merge ``incoming`` into dim_company; returns the key buckets that were
+    rewritten, the only ones that are read (``dimension.merge``). Two runs
+    cannot merge the same version: the second one gets ``ConcurrentMerge``
+    and can be rerun, so no merge is lost."""
+    schema = WAREHOUSE_TABLES[COMPANY]
+    return dimension.merge(
+        spark, table_path(root, COMPANY), schema, "ticker", incoming, upsert_company, limit=limit, stored=stored
+    )
+
+
+def write_dim_date(
+    spark: SparkSession, root: str, days: DataFrame, limit: dt.timedelta = MERGE_LIMIT
+) -> DataFrame:
+    """Insert the days that dim_date lacks, as a merge of its current
+    version; returns the table."""
+    folder, schema = table_path(root, "dim_date"), WAREHOUSE_TABLES["dim_date"]
+    with dimension.merging(spark, folder, spark.createDataFrame([], schema), limit) as current:
+        existing = spark.read.schema(schema).parquet(current)
+        merged = insert_ignore(existing, days, ["run_date"])
+        return spark.read.schema(schema).parquet(lake.replace(merged.select(*schema.fieldNames()), folder))
 
 
 def read_dim_company(spark: SparkSession, root: str) -> DataFrame:
@@ -214,6 +214,20 @@ def sector_summary(fact: DataFrame, run_date: str | None = None) -> DataFrame:
     )
 
 
+def summaries(fact: DataFrame, run_date: str | None = None) -> DataFrame:
+    """A2 and A3 at every level in one grouped pass (GROUPING SETS): the whole
+    run, each sector, each status of a sector. Columns: level, sector, status,
+    total, passed, not_passed."""
+    f = fact if run_date is None else fact.where(F.col("run_date") == F.to_date(F.lit(run_date)))
+    sets = [[], [F.col("sector")], [F.col("sector"), F.col("status")]]
+    passed = F.coalesce(F.sum(F.when(F.col("status") == STATUS_PASS, 1).otherwise(0)), F.lit(0)).cast("long")
+    level = F.when(F.grouping("sector") == 1, "run").when(F.grouping("status") == 1, "sector").otherwise("status")
+    out = f.groupingSets(sets, "sector", "status").agg(
+        level.alias("level"), F.count(F.lit(1)).alias("total"), passed.alias("passed")
+    )
+    return out.select("level", "sector", "status", "total", "passed", (F.col("total") - F.col("passed")).alias("not_passed"))
+
+
 def metric_counts(fin: DataFrame, val: DataFrame, run_date: str) -> DataFrame:
     """A4: rows per metric set. roe, der, fcf and growth are projections
     of the same financial rows, so one count serves four; one pass each."""

@@ -26,7 +26,7 @@ from ledgerlens.config import (
     CUTOFF_YEARS_BACK, DIVIDENDS, FINANCIALS, MANAGEMENT, PROFILE, VALUATION,
 )
 from ledgerlens.operators import clean, flatten, quality
-from ledgerlens.plans import screening, warehouse
+from ledgerlens.plans import incremental, screening, warehouse
 from ledgerlens.session import concurrently, materialize
 from ledgerlens.sources import lake, raw
 
@@ -184,18 +184,27 @@ def silver_step(
     return gate
 
 
-def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> Row:
+def gold_step(
+    spark: SparkSession, root: str, wh_root: str, run_date: str, previous: str | None = None
+) -> Row:
     """K4: silver (one partition each) -> scored fact; S9 then S10.
-    Returns the run summary (A2), observed while the fact is loaded."""
+    Returns the run summary (A2), observed while the fact is loaded.
+
+    With ``previous``, an earlier run date whose fact and state are stored,
+    only companies whose silver rows differ from that run's are computed;
+    the others' fact rows are copied (``plans.incremental``)."""
     fin, prof, val = (
         lake.read_partition(spark, root, "silver", d, run_date, SILVER_SCHEMAS[d])
         for d in (FINANCIALS, PROFILE, VALUATION)
     )
     companies = materialize(clean.unique_profile(prof), "companies")  # used twice
     seen = Observation(f"summary_{uuid.uuid4().hex}")
-    fact = screening.screening(fin, companies, val, run_date, profile_is_unique=True)
+    if previous is None:
+        fact = screening.screening(fin, companies, val, run_date, profile_is_unique=True)
+    else:
+        fact = incremental.screening_since(spark, root, wh_root, run_date, previous, fin, companies, val)
     concurrently(
-        lambda: warehouse.write_dim_company(spark, wh_root, companies),
+        lambda: warehouse.write_dim_company(spark, wh_root, companies, stored=True),
         lambda: warehouse.reload_fact(fact, wh_root, run_date, seen),
     )
     total, passed = int(seen.get.get("total") or 0), int(seen.get.get("passed") or 0)
@@ -205,13 +214,14 @@ def gold_step(spark: SparkSession, root: str, wh_root: str, run_date: str) -> Ro
 def run_week(
     spark: SparkSession, root: str, wh_root: str, run_date: str, enforce_gates: bool = True,
     bronze_suite: Sequence[quality.Rule] = quality.BRONZE_SUITE,
-    gold_suite: Sequence[quality.Rule] = quality.GOLD_SUITE,
+    gold_suite: Sequence[quality.Rule] = quality.GOLD_SUITE, previous: str | None = None,
 ) -> WeekResult:
     """The week after bronze has landed. With ``enforce_gates`` a failed
     suite stops the run with one error listing every failed rule. The
-    suites are parameters: their default bounds fit a small universe."""
+    suites are parameters: their default bounds fit a small universe. With
+    ``previous`` gold computes what changed since that run date only."""
     gate_b = silver_step(spark, root, run_date, enforce_gates, bronze_suite)
-    summary = gold_step(spark, root, wh_root, run_date)
+    summary = gold_step(spark, root, wh_root, run_date, previous)
     checks = (
         (f"gold/{warehouse.FACT}/{run_date}", warehouse.fact_for_run(spark, wh_root, run_date), gold_suite),
         ("gold/dim_company", warehouse.read_dim_company(spark, wh_root), quality.DIM_COMPANY_SUITE),

@@ -18,7 +18,7 @@ from ledgerlens import schemas
 from ledgerlens.config import DAILY_PRICES, FINANCIALS, PREVIOUS_RUN_DATE, PROFILE, RUN_DATE, VALUATION
 from ledgerlens.functions import expressions as E
 from ledgerlens.operators import clean, flatten, metrics, prices, quality, scoring
-from ledgerlens.plans import calendar_dim, ingest, warehouse, weekly_run
+from ledgerlens.plans import calendar_dim, ingest, quality_state, warehouse, weekly_run
 from ledgerlens.plans.metric_sql import metric_sql
 from ledgerlens.plans import screening as scr
 from ledgerlens.session import concurrently, materialize, scratch_path
@@ -636,7 +636,7 @@ FACT_COLS = ", ".join(schemas.SCREENING_COLUMNS)
 
 def _loaded_warehouse(spark: SparkSession, sf_dir: str, with_dim: bool = False) -> str:
     """Fact reloaded for both run dates (the second one twice), and
-    optionally dim_company upserted from both profiles."""
+    optionally dim_company upserted from both profiles in one merge."""
     root = scratch_path(spark, "warehouse")
     fin, prof, val = _silver(spark, sf_dir, TWO_RUNS)
     # One computation of both run dates; each reload then reads it back.
@@ -647,9 +647,7 @@ def _loaded_warehouse(spark: SparkSession, sf_dir: str, with_dim: bool = False)
             warehouse.reload_fact(fact, root, d)
 
     def load_companies() -> None:
-        uprof = clean.unique_profile(prof)
-        for d in TWO_RUNS:
-            warehouse.write_dim_company(spark, root, uprof.where(F.col("run_date") == d))
+        warehouse.write_dim_company(spark, root, warehouse.newest_profiles(prof))
 
     concurrently(load_facts, *[load_companies] * with_dim)
     return root
@@ -715,6 +713,20 @@ def q_sector_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.sector_summary(_fact(spark, sf_dir), RUN_DATE)
 
 
+@register(
+    "summaries",
+    o.with_ctes(
+        o.metric_ctes(),
+        "SELECT CASE WHEN GROUPING(sector) = 1 THEN 'run' WHEN GROUPING(status) = 1 THEN 'sector' ELSE 'status' END AS level, "
+        "sector, status, COUNT(*) AS total, CAST(COALESCE(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END), 0) AS BIGINT) "
+        "AS passed, COUNT(*) - CAST(COALESCE(SUM(CASE WHEN status = 'LOLOS' THEN 1 ELSE 0 END), 0) AS BIGINT) AS not_passed "
+        f"FROM fact WHERE run_date = DATE '{RUN_DATE}' GROUP BY GROUPING SETS ((), (sector), (sector, status))",
+    ),
+)
+def q_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.summaries(_fact(spark, sf_dir), RUN_DATE)
+
+
 @register(
     "metric_counts",
     o.with_ctes(
@@ -790,6 +802,24 @@ def q_quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(_fact(spark, sf_dir), quality.GOLD_SUITE)
 
 
+@register(
+    "quality_over_dates",
+    o.with_ctes(FACT2, o.suite_sql(quality.GOLD_SUITE, "fact", list(schemas.SCREENING_COLUMNS))),
+)
+def q_quality_over_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold suite over two run dates: the state of the first is stored
+    before the second is loaded, whose rows alone are opened then."""
+    root, suite = scratch_path(spark, "warehouse"), quality.GOLD_SUITE
+    fin, prof, val = _silver(spark, sf_dir, TWO_RUNS)
+    fact = materialize(scr.screening(fin, prof, val, run_date=None), "fact")
+    for d in TWO_RUNS:
+        warehouse.reload_fact(fact, root, d)
+        opened = quality_state.refresh(spark, root, warehouse.LAYER, warehouse.FACT, suite, schemas.FCT_SCREENING)
+        if opened != [d]:
+            raise RuntimeError(f"opened {opened} instead of {d}")
+    return quality_state.report(spark, root, warehouse.LAYER, warehouse.FACT, suite, schemas.FCT_SCREENING)
+
+
 # --------------------------------------------------------- streaming -----
 @register(
     "stream_financials",
@@ -863,3 +893,18 @@ def q_weekly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             gold_suite=quality.gold_suite(mostly=GOLD_MOSTLY),
         )
     return warehouse.read_fact(spark, wh).select(*schemas.SCREENING_COLUMNS)
+
+
+@register("screening_incremental", o.with_ctes(FACT2, f"SELECT {FACT_COLS} FROM fact"))
+def q_screening_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two run dates of silver; the second one's fact is computed for the
+    companies whose rows changed and copied for the others."""
+    root, wh = scratch_path(spark, "lake"), scratch_path(spark, "warehouse")
+    fin, prof, val = _silver(spark, sf_dir, TWO_RUNS)
+    concurrently(*[
+        lambda domain=domain, frame=frame: lake.write_partitioned(frame, root, "silver", domain)
+        for domain, frame in ((FINANCIALS, fin), (PROFILE, prof), (VALUATION, val))
+    ])
+    weekly_run.gold_step(spark, root, wh, PREVIOUS_RUN_DATE, previous="none yet")
+    weekly_run.gold_step(spark, root, wh, RUN_DATE, previous=PREVIOUS_RUN_DATE)
+    return warehouse.read_fact(spark, wh).select(*schemas.SCREENING_COLUMNS)

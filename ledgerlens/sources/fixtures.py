@@ -61,10 +61,10 @@ def letters(k: Column | str) -> Column:
     return F.concat(*leading, *[digit(p) for p in range(3, -1, -1)])
 
 
-def dirty_ticker(k: Column | str) -> Column:
+def dirty_ticker(k: Column | str, plain: Column | None = None) -> Column:
     """Lower case + '.jk' when k % 3 = 0, '.JK' when k % 3 = 1, plain otherwise."""
     key = F.col(k) if isinstance(k, str) else k
-    t = letters(key)
+    t = letters(key) if plain is None else plain
     return (
         F.when(key % 3 == 0, F.concat(F.lower(t), F.lit(".jk")))
         .when(key % 3 == 1, F.concat(t, F.lit(".JK")))
@@ -213,8 +213,14 @@ def valuation_rows(fin: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def _with_letters(df: DataFrame) -> DataFrame:
+    """The letters in a projection of their own, so that generated code holds
+    them once: inlined three times, its method is too long to be compiled."""
+    return df.withColumn("_letters", letters("k"))
+
+
 def _ticker(dirty: bool) -> Column:
-    return dirty_ticker("k") if dirty else letters("k")
+    return dirty_ticker("k", F.col("_letters")) if dirty else F.col("_letters")
 
 
 FIN_OUT = (
@@ -233,7 +239,7 @@ def bronze_financials(
 ) -> DataFrame:
     """Bronze financial_statements rows (FIXTURES.md A7 shape + run_date)."""
     fin = financial_rows(_totals(spark, sf_dir, run_dates, totals))
-    out = fin.select(_ticker(dirty).alias("ticker"), "k", *FIN_OUT[1:])
+    out = _with_letters(fin).select(_ticker(dirty).alias("ticker"), "k", *FIN_OUT[1:])
     if duplicates:
         again = out.where(F.col("k") % DUPLICATE_EVERY == 0).withColumn(
             "revenue", F.col("revenue") + F.lit(1.0)
@@ -253,7 +259,7 @@ def bronze_valuation(
         val = val.unionByName(
             val.where(F.col("k") % DUPLICATE_EVERY == 0).withColumn("per", F.col("per") + F.lit(1.0))
         )
-    return val.select(
+    return _with_letters(val).select(
         _ticker(dirty).alias("ticker"), "period", "per", "pbv", "price", "ev_ebitda", "run_date"
     )
 
@@ -306,7 +312,7 @@ def bronze_profile(
     if duplicates:  # the greater name is the one that stays
         again = cust.where(F.col("k") % DUPLICATE_EVERY == 0)
         cust = cust.unionByName(again.withColumn("c_name", F.concat("c_name", F.lit(" II"))))
-    return cust.join(first, ["run_date", "k"], "left").select(
+    return _with_letters(cust.join(first, ["run_date", "k"], "left")).select(
         _ticker(dirty).alias("ticker"),
         F.col("c_name").alias("company_name"),
         F.col("r_name").alias("sector"),

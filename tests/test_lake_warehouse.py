@@ -158,23 +158,79 @@ def test_backfill_domains_skips_a_failing_unit(spark, scratch):
     assert got == [("2023-01-05", "2023"), ("2024-01-05", "2023")]
 
 
+COMPANY_SCHEMA = ("ticker string, company_name string, sector string, sub_sector string, market_cap double, "
+                  "listing_date string")
+
+
 def test_prune_is_by_age(spark, scratch):
-    p = spark.createDataFrame([("A", "Co", "S", "X", 1.0, None)],
-                              "ticker string, company_name string, sector string, sub_sector string, "
-                              "market_cap double, listing_date string")
     for i in range(5):
-        warehouse.write_dim_company(spark, scratch, p.withColumn("market_cap", F.lit(float(i))))
-    folder = warehouse.table_path(scratch, "dim_company")
-    oldest = lake.folder_names(spark, folder)[1]  # the first is the empty table
+        lake.write_partition(fin_rows(spark, i + 1, "2024-01-05"), scratch, "bronze", "fs", "2024-01-05")
+    folder = lake.partition_path(scratch, "bronze", "fs", "2024-01-05")
+    oldest = lake.folder_names(spark, folder)[0]
     reader = spark.read.parquet(f"{folder}/{oldest}")
     assert lake.prune(spark, folder, dt.timedelta(hours=1)) == 0  # replaced just now: readers may be at work
-    assert reader.first().market_cap == 0.0
-    half = lake.stage(p, folder)  # a write that never ended
-    assert lake.prune(spark, folder, dt.timedelta(0)) == 6
-    assert warehouse.read_dim_company(spark, scratch).first().market_cap == 4.0
+    assert reader.count() == 1
+    half = lake.stage(fin_rows(spark, 1, "2024-01-05").drop("run_date"), folder)  # a write that never ended
+    assert lake.prune(spark, folder, dt.timedelta(0)) == 5
+    assert lake.read_partition(spark, scratch, "bronze", "fs", "2024-01-05").count() == 5
     assert len(lake.folder_names(spark, folder)) == 1 and half.split("/")[-1] not in lake.folder_names(spark, folder)
 
 
+def test_a_merge_rewrites_touched_buckets_only(spark, scratch):
+    from ledgerlens.plans import dimension
+
+    rows = [(f"T{k:03d}", f"Co {k}", "S", "X", float(k), "2001-01-01") for k in range(200)]
+    assert warehouse.write_dim_company(spark, scratch, spark.createDataFrame(rows, COMPANY_SCHEMA)) == list(range(dimension.BUCKETS))
+    before = set(warehouse.read_dim_company(spark, scratch).inputFiles())
+    held = warehouse.read_dim_company(spark, scratch)
+    new = [("T003", "New", "S", "X", 0.5, None), ("ZZZ", "Zed", "S", "X", 1.0, None)]
+    touched = warehouse.write_dim_company(spark, scratch, spark.createDataFrame(new, COMPANY_SCHEMA))
+    after = set(warehouse.read_dim_company(spark, scratch).inputFiles())
+    assert 1 <= len(touched) <= 2 and before != after
+    for f in before ^ after:
+        assert int(f.split("bucket=")[1].split("/")[0]) in touched
+    got = {r.ticker: r for r in warehouse.read_dim_company(spark, scratch).collect()}
+    assert len(got) == 201 and got["T003"].company_name == "New" and got["ZZZ"].market_cap == 1.0
+    assert all(got[t].market_cap == m for t, _, _, _, m, _ in rows if t != "T003")
+    assert held.where("ticker = 'T003'").first().company_name == "Co 3"  # a reader keeps what it has
+    assert warehouse.write_dim_company(spark, scratch, spark.createDataFrame([], COMPANY_SCHEMA)) == []
+    folder = warehouse.table_path(scratch, "dim_company")
+    assert dimension.prune(spark, folder, dt.timedelta(hours=1)) == 0
+    assert dimension.prune(spark, folder, dt.timedelta(0)) == 2  # the empty and the first manifest
+    assert {r.ticker: r.market_cap for r in warehouse.read_dim_company(spark, scratch).collect()} == {t: r.market_cap for t, r in got.items()}
+
+
+def test_writes_that_no_manifest_names_are_pruned(spark, scratch):
+    from ledgerlens.plans import dimension
+
+    p = spark.createDataFrame([("A", "Co", "S", "X", 1.0, None)], COMPANY_SCHEMA)
+    for i in range(3):
+        warehouse.write_dim_company(spark, scratch, p.withColumn("market_cap", F.lit(float(i))))
+    folder = warehouse.table_path(scratch, "dim_company")
+    assert dimension.prune(spark, folder, dt.timedelta(0)) == 3 + 2
+    assert warehouse.read_dim_company(spark, scratch).first().market_cap == 2.0
+
+
+def test_newest_profiles_is_what_two_merges_leave(spark):
+    rows = [("A", "Zeta", 1.0, "2024-01-05"), ("A", "Alpha", 2.0, "2024-01-12"), ("B", "Bee", 3.0, "2024-01-05")]
+    df = spark.createDataFrame(rows, "ticker string, company_name string, market_cap double, run_date string")
+    assert sorted((r.ticker, r.company_name) for r in warehouse.newest_profiles(df).collect()) == [("A", "Alpha"), ("B", "Bee")]
+
+
+def test_calendar_merges_one_at_a_time(spark, scratch):
+    import pytest
+
+    days = calendar_dim.calendar(spark.createDataFrame([("2024-01-01", "2024-01-10")], "start string, end string"))
+    assert warehouse.write_dim_date(spark, scratch, days).count() == 10
+    current = lake.current_version(spark, warehouse.table_path(scratch, "dim_date"))
+    unlock = warehouse._lock(spark, current, warehouse.MERGE_LIMIT)
+    with pytest.raises(warehouse.ConcurrentMerge):
+        warehouse.write_dim_date(spark, scratch, days)
+    unlock()
+    more = calendar_dim.calendar(spark.createDataFrame([("2024-01-08", "2024-01-12")], "start string, end string"))
+    assert warehouse.write_dim_date(spark, scratch, more).count() == 12
+
+
 def test_upsert_with_duplicate_incoming_keys(spark, scratch):
     p = spark.createDataFrame([("A", "Co", "S", "X", 1.0, None), ("A", "Co", "S", "X", 5.0, None)],
                               "ticker string, company_name string, sector string, sub_sector string, "
