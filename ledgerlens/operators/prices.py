@@ -12,23 +12,37 @@ from ledgerlens.config import PRICE_YEARS_BACK
 from ledgerlens.functions.expressions import is_last_friday
 
 
-# Forms of a date text, tried in this order; the first that fits wins. A day
-# and month given by two numbers only are taken as month/day.
+# Forms of a date text besides ISO (2001-01-26, 2001-1-26, 2001-01-26T16:00:00
+# and the like) and the shape of each: a text is parsed by the first whose
+# shape it has, since a parse that fails is slow. A day and month given by two
+# numbers only are taken as month/day.
 DATE_PATTERNS = (
-    None,  # ISO: 2001-01-26, 2001-1-26, 2001-01-26T16:00:00 and the like
-    "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy",
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Z][a-z]{3,8} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
 )
 
 
-def parse_date(text: Column, patterns: Sequence[str | None] = DATE_PATTERNS) -> Column:
+def parse_date(text: Column, patterns: Sequence[tuple[str, str]] = DATE_PATTERNS) -> Column:
     """The DATE that a text means, NULL where no pattern fits."""
     trimmed = F.trim(text)
-    return F.coalesce(*[F.try_to_date(trimmed) if p is None else F.try_to_date(trimmed, p) for p in patterns])
+    other = F.lit(None).cast("date")
+    for shape, pattern in reversed(patterns):
+        other = F.when(trimmed.rlike(shape), F.try_to_date(trimmed, pattern)).otherwise(other)
+    return F.coalesce(F.try_to_date(trimmed), other)
 
 
 def parsed_dates(prices: DataFrame) -> DataFrame:
-    """Keep rows whose date text parses; adds _date (DATE)."""
-    return prices.withColumn("_date", parse_date(F.col("date"))).where(F.col("_date").isNotNull())
+    """Keep rows whose date text parses; adds _date (DATE). The date comes
+    out of a generator, so that filters on it do not parse it again for each
+    of their conditions."""
+    parsed = prices.select("*", F.explode(F.array(parse_date(F.col("date")))).alias("_date"))
+    return parsed.where(F.col("_date").isNotNull())
 
 
 def run_date_of(text: Column) -> Column:

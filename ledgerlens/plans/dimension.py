@@ -2,8 +2,8 @@
 that its rows fall in (S9).
 
 ``<folder>/data-<write>/bucket=<b>/`` holds rows, ``<folder>/v=<version>/`` the
-manifest: a row per bucket that names the write with its current rows. A
-manifest is published like any version of the lake, so a merge becomes visible
+manifest: a JSON list with an entry per bucket, the write that has its current
+rows (null while it has none). A manifest is published like any version of the lake, so a merge becomes visible
 in one step whatever number of buckets it touched, and a reader keeps the
 files of the manifest it has read. A merge reads, joins and writes the touched
 buckets only; the others keep their files.
@@ -12,8 +12,9 @@ buckets only; the others keep their files.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,11 +26,7 @@ from ledgerlens.sources import lake
 
 BUCKETS = 16  # of a new table, kept in its manifest; choose some 100 MB of rows a bucket
 DATA = "data-"
-MANIFEST = T.StructType([
-    T.StructField("bucket", T.IntegerType()),
-    T.StructField("buckets", T.IntegerType()),  # that the table has
-    T.StructField("write", T.StringType()),  # NULL while the bucket has no rows
-])
+MANIFEST = "manifest.json"
 # A merge that holds the lock of a version for longer than this is taken for dead.
 MERGE_LIMIT = dt.timedelta(hours=6)
 
@@ -51,11 +48,13 @@ def _lock(spark: SparkSession, path: str, limit: dt.timedelta):
 
 
 @contextmanager
-def merging(spark: SparkSession, folder: str, empty: DataFrame, limit: dt.timedelta = MERGE_LIMIT) -> Iterator[str]:
-    """The current version of a table (``empty`` before the first), held for
+def merging(
+    spark: SparkSession, folder: str, create: Callable[[], str], limit: dt.timedelta = MERGE_LIMIT
+) -> Iterator[str]:
+    """The current version of a table (``create`` makes the first), held for
     a merge: two runs cannot merge the same version, the second one gets
     ``ConcurrentMerge`` and can be rerun, so no merge is lost."""
-    current = lake.current_version(spark, folder) or lake.replace(empty, folder)
+    current = lake.current_version(spark, folder) or create()
     unlock = _lock(spark, current, limit)
     try:
         if lake.current_version(spark, folder) != current:
@@ -69,17 +68,34 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def empty_manifest(spark: SparkSession, buckets: int = BUCKETS) -> DataFrame:
-    return spark.createDataFrame([(b, buckets, None) for b in range(buckets)], MANIFEST)
+def publish_manifest(spark: SparkSession, folder: str, writes: Sequence[str | None]) -> str:
+    """Write and publish a manifest: the write of each bucket."""
+    version = lake.version_path(folder, lake.new_version())
+    path, fs = lake.file_system(spark, f"{version}/{MANIFEST}")
+    out = fs.create(path, False)
+    out.write(bytearray(json.dumps(list(writes)), "utf-8"))
+    out.close()
+    return lake.publish(spark, version)
 
 
-def _writes(spark: SparkSession, version: str) -> dict[int, str | None]:
-    """bucket -> write, a row a bucket."""
-    return {r.bucket: r.write for r in spark.read.schema(MANIFEST).parquet(version).collect()}
+def create(spark: SparkSession, folder: str, buckets: int = BUCKETS) -> str:
+    return publish_manifest(spark, folder, [None] * buckets)
 
 
-def _rows(spark: SparkSession, folder: str, schema: T.StructType, writes: dict[int, str | None]) -> DataFrame:
-    paths = [f"{folder}/{w}/bucket={b}" for b, w in sorted(writes.items()) if w is not None]
+def _writes(spark: SparkSession, version: str) -> list[str | None]:
+    path, fs = lake.file_system(spark, f"{version}/{MANIFEST}")
+    stream = fs.open(path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _rows(
+    spark: SparkSession, folder: str, schema: T.StructType, writes: Sequence[str | None], only: Sequence[int] | None = None
+) -> DataFrame:
+    some = range(len(writes)) if only is None else only
+    paths = [f"{folder}/{writes[b]}/bucket={b}" for b in some if writes[b] is not None]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
@@ -99,19 +115,18 @@ def merge(
     row to another key. ``stored`` says that ``incoming`` is read from a
     written table; else it is written first, as it is read twice: for its
     buckets and for the merge."""
-    with merging(spark, folder, empty_manifest(spark, buckets), limit) as current:
+    with merging(spark, folder, lambda: create(spark, folder, buckets), limit) as current:
         writes = _writes(spark, current)
         n = len(writes)
         incoming = incoming if stored else materialize(incoming, "merge_incoming")
         touched = sorted(r[0] for r in incoming.select(bucket_of(key, n)).distinct().collect())  # n at most
         if not touched:
             return []
-        existing = _rows(spark, folder, schema, {b: writes[b] for b in touched})
+        existing = _rows(spark, folder, schema, writes, touched)
         name = f"{DATA}{lake.new_version()}"
         rows = merged(existing, incoming).select(*schema.fieldNames()).withColumn("bucket", bucket_of(key, n))
         rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{folder}/{name}")
-        new = [(b, n, name if b in touched else w) for b, w in sorted(writes.items())]
-        lake.replace(spark.createDataFrame(new, MANIFEST), folder)
+        publish_manifest(spark, folder, [name if b in touched else w for b, w in enumerate(writes)])
         return touched
 
 
@@ -122,7 +137,7 @@ def prune(spark: SparkSession, folder: str, older_than: dt.timedelta) -> int:
     n = lake.prune(spark, folder, older_than)
     names = lake.folder_names(spark, folder)
     kept = {
-        w for v in names if v.startswith(f"{lake.VERSION}=") for w in _writes(spark, f"{folder.rstrip('/')}/{v}").values()
+        w for v in names if v.startswith(f"{lake.VERSION}=") for w in _writes(spark, f"{folder.rstrip('/')}/{v}")
     }
     limit = (time.time() - older_than.total_seconds()) * 1e9
     for name in names:

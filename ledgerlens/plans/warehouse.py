@@ -44,8 +44,10 @@ def ensure_warehouse(spark: SparkSession, root: str) -> DataFrame:
         else:
             created = lake.current_version(spark, path) is None
             if created:
-                empty = dimension.empty_manifest(spark) if name == COMPANY else spark.createDataFrame([], schema)
-                lake.replace(empty, path)
+                if name == COMPANY:
+                    dimension.create(spark, path)
+                else:
+                    lake.replace(spark.createDataFrame([], schema), path)
         rows.append((name, len(schema.fields), created))
     return spark.createDataFrame(rows, "table string, n_columns int, created boolean")
 
@@ -121,7 +123,7 @@ def write_dim_date(
     """Insert the days that dim_date lacks, as a merge of its current
     version; returns the table."""
     folder, schema = table_path(root, "dim_date"), WAREHOUSE_TABLES["dim_date"]
-    with dimension.merging(spark, folder, spark.createDataFrame([], schema), limit) as current:
+    with dimension.merging(spark, folder, lambda: lake.replace(spark.createDataFrame([], schema), folder), limit) as current:
         existing = spark.read.schema(schema).parquet(current)
         merged = insert_ignore(existing, days, ["run_date"])
         return spark.read.schema(schema).parquet(lake.replace(merged.select(*schema.fieldNames()), folder))
