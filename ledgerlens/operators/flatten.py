@@ -203,6 +203,13 @@ def valuation_rows(reports: DataFrame, run_date: str, years_back: int = CUTOFF_Y
     )
 
 
+def report_rows(section: str, reports: DataFrame, run_date: str, years_back: int = CUTOFF_YEARS_BACK) -> DataFrame:
+    """F1-F3 of parsed reports of a scheduled section."""
+    if section == "overview":
+        return overview_rows(reports)
+    return (financial_rows if section == "financials" else valuation_rows)(reports, run_date, years_back)
+
+
 # ------------------------------------------------- sections as VARIANT ----
 # A bare NaN or infinity is no JSON; it means a missing number.
 _NO_NUMBER = r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"

@@ -19,7 +19,6 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.config import (
@@ -39,7 +38,6 @@ SILVER_SCHEMAS = {
 
 log = logging.getLogger(__name__)
 QUARANTINE = "quarantine"
-REJECTED = T.StructType([T.StructField(c, T.StringType()) for c in ("section", "ticker", "reason", "document")])
 
 
 @dataclass
@@ -78,12 +76,7 @@ def bronze_from_landing(
             rows = flatten.section_rows(reports, keys, schemas.GENERIC_SECTIONS[section])
         else:
             reports, rejected = flatten.split_reports(docs, section, schemas.SCHEDULED_SECTIONS[section], seen)
-            if section == "overview":
-                rows = flatten.overview_rows(reports)
-            elif section == "financials":
-                rows = flatten.financial_rows(reports, run_date, years_back)
-            else:
-                rows = flatten.valuation_rows(reports, run_date, years_back)
+            rows = flatten.report_rows(section, reports, run_date, years_back)
         concurrently(
             partial(lake.write_partition, rows, root, "bronze", domain, run_date),
             partial(lake.write_partition, rejected, root, QUARANTINE, domain, run_date),
@@ -97,7 +90,7 @@ def bronze_from_landing(
 def quarantined(spark: SparkSession, root: str, run_date: str, sections: Sequence[str] = tuple(LANDED_SECTIONS)) -> DataFrame:
     """The rejected documents of a run date: section, ticker, reason, document."""
     domains = [LANDED_SECTIONS.get(s) or GENERIC_SECTIONS[s] for s in sections]
-    parts = [lake.read_partition(spark, root, QUARANTINE, d, run_date, REJECTED) for d in domains]
+    parts = [lake.read_partition(spark, root, QUARANTINE, d, run_date, schemas.REJECTED) for d in domains]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -17,7 +17,7 @@ from ledgerlens import oracle as o
 from ledgerlens import schemas
 from ledgerlens.config import DAILY_PRICES, FINANCIALS, PREVIOUS_RUN_DATE, PROFILE, RUN_DATE, VALUATION
 from ledgerlens.functions import expressions as E
-from ledgerlens.operators import clean, flatten, metrics, prices, quality, scoring
+from ledgerlens.operators import clean, flatten, metrics, paging, prices, quality, scoring
 from ledgerlens.plans import calendar_dim, ingest, quality_state, warehouse, weekly_run
 from ledgerlens.plans.metric_sql import metric_sql
 from ledgerlens.plans import screening as scr
@@ -431,6 +431,25 @@ def q_company_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("ticker", "market_cap")
 
 
+@register(
+    "company_pages_by_key",
+    o.with_ctes(
+        o.silver_ctes(),
+        "SELECT ticker, market_cap, position FROM (SELECT ticker, market_cap, CAST(ROW_NUMBER() OVER (ORDER BY market_cap DESC, "
+        "ticker) - 1 AS BIGINT) AS position, COUNT(*) OVER () AS n FROM sprof "
+        f"WHERE sub_sector = '{fx.UNIVERSE_SUB_SECTOR}') "
+        f"WHERE position // {fx.PAGE_SIZE} IN (0, ((n - 1) // {fx.PAGE_SIZE}) // 2, (n - 1) // {fx.PAGE_SIZE})",
+    ),
+)
+def q_company_pages_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First, middle and last page of a sub-sector, each by seeking; the list
+    of all companies is stored once."""
+    path = paging.write_list(scr.silver_profile(spark, sf_dir), scratch_path(spark, "list"), fx.PAGE_SIZE)
+    last = paging.last_page(spark, path, fx.UNIVERSE_SUB_SECTOR) or 0
+    pages = [paging.read_page(spark, path, fx.UNIVERSE_SUB_SECTOR, p, fx.PAGE_SIZE) for p in sorted({0, last // 2, last})]
+    return flatten.union_pages(pages).select("ticker", "market_cap", "position")
+
+
 _OLD_API_BEFORE = "1998-01-01"
 
 

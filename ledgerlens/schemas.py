@@ -45,6 +45,8 @@ DIVIDEND_SECTION = _struct(
 MANAGEMENT_SECTION = _struct(
     ("ceo_name", S), ("insider_ownership_pct", D), ("institutional_ownership_pct", D)
 )
+# a document that is no report, and why
+REJECTED = _struct(("section", S), ("ticker", S), ("reason", S), ("document", S))
 SCHEDULED_SECTIONS = {
     "overview": OVERVIEW_SECTION, "financials": FINANCIALS_SECTION, "valuation": VALUATION_SECTION,
 }

@@ -1,36 +1,39 @@
-"""Incremental ingestion of landed financial reports.
-
-The weekly extract lands new report documents in a landing folder. Here
-that step is a Structured Streaming query over the folder with an
-``availableNow`` trigger: each run processes exactly the files landed
-since the previous run (tracked in the query's checkpoint), flattens them
-(F2) and appends bronze rows partitioned by run_date through the file
-sink, whose commit log makes the output exactly-once even when a run is
-retried. Readers use the sink folder like any Parquet table.
+"""Incremental ingestion of landed reports.
+
+The weekly extract lands new report documents in a landing folder. Here that
+step is a Structured Streaming query over the folder with an ``availableNow``
+trigger: each run takes exactly the files landed since the previous run
+(tracked in the query's checkpoint). ``foreachBatch`` splits a batch's
+documents in one pass and writes its rows and its rejected documents to a
+folder named by the batch, so a batch that is replayed after a crash replaces
+what it wrote. When the batches of a run are done, the run date is published
+from all its batches in ``bronze`` (and ``quarantine``), where the silver jobs
+read it. Publishing again gives the same rows, so a run that died before it is
+mended by the next one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerlens import schemas
 from ledgerlens.config import CUTOFF_YEARS_BACK, FINANCIALS, PROFILE, VALUATION
 from ledgerlens.operators import flatten
+from ledgerlens.session import concurrently
 from ledgerlens.sources import lake
 
-
 SECTION_DOMAINS = {"overview": PROFILE, "financials": FINANCIALS, "valuation": VALUATION}
 BRONZE_SCHEMAS = {
     PROFILE: schemas.BRONZE_PROFILE, FINANCIALS: schemas.BRONZE_FINANCIALS, VALUATION: schemas.BRONZE_VALUATION,
 }
-
-
 # Files of one micro-batch: a backlog of any length runs in bounded steps.
 FILES_PER_BATCH = 1000
-_SEEN = "landed"
+BATCHES = "landed_batches"  # layer of the batches that run dates are published from
 
 
 class Ingested(NamedTuple):
@@ -40,12 +43,35 @@ class Ingested(NamedTuple):
     malformed: int
 
 
-def _flattened(section: str, docs: DataFrame, run_date: str, years_back: int) -> DataFrame:
-    if section == "overview":
-        return flatten.flatten_overview(docs, _SEEN)
-    if section == "financials":
-        return flatten.flatten_financials(docs, run_date, years_back, _SEEN)
-    return flatten.flatten_valuation(docs, run_date, years_back, _SEEN)
+def batch_folder(root: str, layer: str, domain: str, run_date: str) -> str:
+    return f"{lake.partition_path(root, BATCHES, domain, run_date)}/{layer}"
+
+
+def land_batch(
+    docs: DataFrame, batch: str, section: str, root: str, run_date: str, years_back: int = CUTOFF_YEARS_BACK
+) -> Ingested:
+    """Write the rows and the rejected documents of one batch of documents;
+    the same batch again replaces them."""
+    domain, seen = SECTION_DOMAINS[section], Observation(f"batch_{uuid.uuid4().hex}")
+    reports, rejected = flatten.split_reports(docs, section, schemas.SCHEDULED_SECTIONS[section], seen)
+    rows = flatten.report_rows(section, reports, run_date, years_back)
+    concurrently(*[
+        partial(df.write.mode("overwrite").parquet, f"{batch_folder(root, layer, domain, run_date)}/batch={batch}")
+        for layer, df in (("bronze", rows), ("quarantine", rejected))
+    ])
+    return Ingested(int(seen.get.get("documents") or 0), int(seen.get.get("malformed") or 0))
+
+
+def publish_batches(spark: SparkSession, section: str, root: str, run_date: str) -> None:
+    """Publish a run date from all batches landed for it (none: nothing)."""
+    domain = SECTION_DOMAINS[section]
+    for layer, schema in (("bronze", BRONZE_SCHEMAS[domain]), ("quarantine", schemas.REJECTED)):
+        folder = batch_folder(root, layer, domain, run_date)
+        batches = [n for n in lake.folder_names(spark, folder) if n.startswith("batch=")]
+        if batches:
+            body = [c for c in schema.fieldNames() if c != "run_date"]
+            rows = spark.read.schema(schema).parquet(*[f"{folder}/{b}" for b in batches]).select(*body)
+            lake.write_partition(rows, root, layer, domain, run_date)
 
 
 def ingest_reports(
@@ -58,33 +84,25 @@ def ingest_reports(
     years_back: int = CUTOFF_YEARS_BACK,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> Ingested:
-    """Flatten every newly landed report of one section into its bronze
-    domain (``bronze_stream/<domain>``, partitioned by run_date).
+    """Flatten every newly landed report of one section into the run date's
+    bronze partition. Returns the numbers of documents and malformed ones
+    of this run. Batches are named by the checkpoint and their number."""
+    stream = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:12]
+    read: dict[int, Ingested] = {}
+
+    def land(docs: DataFrame, number: int) -> None:
+        read[number] = land_batch(docs, f"{stream}-{number}", section, root, run_date, years_back)
 
-    Returns the numbers of landed and malformed documents, observed by the
-    batches themselves. Progress is read while the query runs, batch by
-    batch, because Spark keeps the last 100 entries only.
-    """
     docs = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(landing_dir)
-    rows = _flattened(section, docs, run_date, years_back).withColumn("run_date", F.lit(run_date))
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", lake.domain_path(root, "bronze_stream", SECTION_DOMAINS[section]))
+        docs.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint_location)
-        .partitionBy("run_date")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
-    batches: dict[int, tuple[int, int]] = {}
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(1)
-        for p in query.recentProgress:
-            seen = p.observedMetrics.get(_SEEN)
-            if seen is not None and p.numInputRows:
-                batches[p.batchId] = (int(seen["documents"] or 0), int(seen["malformed"] or 0))
-    return Ingested(sum(d for d, _ in batches.values()), sum(m for _, m in batches.values()))
+    query.awaitTermination()
+    publish_batches(spark, section, root, run_date)
+    return Ingested(sum(r.documents for r in read.values()), sum(r.malformed for r in read.values()))
 
 
 def ingest_financial_reports(
@@ -100,6 +118,5 @@ def ingest_financial_reports(
 
 
 def read_ingested(spark: SparkSession, root: str, domain: str = FINANCIALS) -> DataFrame:
-    """The bronze rows written by the stream (read through its commit log)."""
-    path = lake.domain_path(root, "bronze_stream", domain)
-    return spark.read.schema(BRONZE_SCHEMAS[domain]).parquet(path)
+    """The bronze rows published by the stream, as the silver jobs read them."""
+    return lake.read_domain(spark, root, "bronze", domain, BRONZE_SCHEMAS[domain])

@@ -47,3 +47,35 @@ def test_a_backlog_runs_in_bounded_batches_and_is_counted_whole(spark):
     out = landing.ingest_reports(spark, "financials", land, root, "2024-12-27", scratch_path(spark, "ck"), files_per_batch=2)
     assert out == (24, 12)
     assert landing.read_ingested(spark, root).count() == 12
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    root, day = scratch_path(spark, "lake"), "2024-12-27"
+    docs = spark.createDataFrame([(_doc("AAA", 2024),), ("{broken",), (_doc("BBB", 2024),)], "value string")
+    assert landing.land_batch(docs, "s-0", "financials", root, day) == (3, 1)
+    landing.publish_batches(spark, "financials", root, day)
+    once = sorted(landing.read_ingested(spark, root).collect())
+    landing.land_batch(docs, "s-0", "financials", root, day)  # after a crash before its commit
+    landing.publish_batches(spark, "financials", root, day)
+    assert sorted(landing.read_ingested(spark, root).collect()) == once and len(once) == 2
+
+
+def test_silver_reads_what_the_stream_published(spark):
+    from ledgerlens.config import FINANCIALS
+    from ledgerlens.plans import weekly_run
+    from ledgerlens.sources import lake
+
+    root, day = scratch_path(spark, "lake"), "2024-12-27"
+    for section, doc in (
+        ("financials", _doc("aaa.jk", 2024)), ("overview", json.dumps({"ticker": "AAA", "overview": {"sector": "S"}})),
+        ("valuation", json.dumps({"ticker": "AAA", "valuation": {"historical_valuation": [{"year": 2024, "pe": 5, "pb": 1}]}})),
+    ):
+        land = scratch_path(spark, "landing")
+        spark.createDataFrame([(doc,), ("17",)], "value string").write.text(land)
+        assert landing.ingest_reports(spark, section, land, root, day, scratch_path(spark, "ck")) == (2, 1)
+    weekly_run.silver_step(spark, root, day, enforce_gate=False)
+    silver = lake.read_partition(spark, root, "silver", FINANCIALS, day, weekly_run.SILVER_SCHEMAS[FINANCIALS])
+    assert [(r.ticker, r.capex) for r in silver.collect()] == [("AAA", 2.0)]
+    bad = weekly_run.quarantined(spark, root, day).collect()
+    assert sorted((r.section, r.reason) for r in bad) == [
+        ("financials", "no JSON object"), ("overview", "no JSON object"), ("valuation", "no JSON object")]
