@@ -9,6 +9,7 @@ own; paths are any Spark paths (shared file system or object store).
   prices   landed price pages -> last-Friday prices (full or incremental)
   init     create missing warehouse tables
   calendar insert the days of [start, end] that dim_date lacks
+  views    create or replace the catalog views of the warehouse tables
   prune    delete versions of the lake and warehouse replaced long ago
 """
 
@@ -65,6 +66,9 @@ def main(argv: list[str] | None = None) -> int:
     prices.add_argument("--pages", required=True, help="landed price pages (JSON lines: ticker, value)")
     prices.add_argument("--lake", required=True)
     prices.add_argument("--run-date", required=True)
+    views = sub.add_parser("views")
+    views.add_argument("--warehouse", required=True)
+    views.add_argument("--database", default="ledgerlens")
     init = sub.add_parser("init")
     init.add_argument("--warehouse", required=True)
     cal = sub.add_parser("calendar")
@@ -120,6 +124,10 @@ def main(argv: list[str] | None = None) -> int:
         load = load_prices(spark, flatten_prices(pages, observation=seen), args.lake, args.run_date)
         told = seen.get if load != "skipped" else {}
         print(json.dumps({"load": load, "skipped_pages": int(told.get("malformed") or 0)}))
+    elif args.cmd == "views":
+        from ledgerlens.plans.catalog import publish_views
+
+        print(json.dumps({"views": publish_views(spark, args.warehouse, args.database)}))
     elif args.cmd == "init":
         from ledgerlens.plans.warehouse import ensure_warehouse
 

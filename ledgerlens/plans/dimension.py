@@ -91,11 +91,21 @@ def _writes(spark: SparkSession, version: str) -> list[str | None]:
         stream.close()
 
 
+def _paths(folder: str, writes: Sequence[str | None], some: Sequence[int]) -> list[str]:
+    return [f"{folder}/{writes[b]}/bucket={b}" for b in some if writes[b] is not None]
+
+
+def paths(spark: SparkSession, folder: str) -> list[str]:
+    """The folders that hold the table's current rows, one a bucket."""
+    current = lake.current_version(spark, folder)
+    writes = _writes(spark, current) if current else []
+    return _paths(folder, writes, range(len(writes)))
+
+
 def _rows(
     spark: SparkSession, folder: str, schema: T.StructType, writes: Sequence[str | None], only: Sequence[int] | None = None
 ) -> DataFrame:
-    some = range(len(writes)) if only is None else only
-    paths = [f"{folder}/{writes[b]}/bucket={b}" for b in some if writes[b] is not None]
+    paths = _paths(folder, writes, range(len(writes)) if only is None else only)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 

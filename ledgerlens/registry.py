@@ -8,6 +8,7 @@ the shared checkpoint folder (``session.scratch_path``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from ledgerlens import schemas
 from ledgerlens.config import DAILY_PRICES, FINANCIALS, PREVIOUS_RUN_DATE, PROFILE, RUN_DATE, VALUATION
 from ledgerlens.functions import expressions as E
 from ledgerlens.operators import clean, flatten, metrics, paging, prices, quality, scoring
-from ledgerlens.plans import calendar_dim, ingest, quality_state, warehouse, weekly_run
+from ledgerlens.plans import calendar_dim, catalog, ingest, quality_state, warehouse, weekly_run
 from ledgerlens.plans.metric_sql import metric_sql
 from ledgerlens.plans import screening as scr
 from ledgerlens.session import concurrently, materialize, scratch_path
@@ -702,6 +703,15 @@ def q_latest_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(*schemas.SCREENING_COLUMNS, "listing_date")
 
 
+@register("latest_screening_view", ORACLE["latest_screening"])
+def q_latest_screening_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a user's SQL on the catalog view, replaced after the loads."""
+    database = f"ledgerlens_{uuid.uuid4().hex[:12]}"
+    root = _loaded_warehouse(spark, sf_dir, with_dim=True)
+    catalog.publish_views(spark, root, database)
+    return spark.sql(f"SELECT * FROM {database}.{catalog.LATEST}")
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scr.screening_from_tables(spark, sf_dir, RUN_DATE)
 

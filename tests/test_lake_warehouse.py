@@ -406,3 +406,30 @@ def test_a_bad_run_date_leaves_the_others_loaded(spark, scratch):
     status = lake.backfill_domains({"fs": rows}, scratch)["fs"]
     assert status.startswith("2023-06-05: ") and "2024-01-05" not in status
     assert lake.run_dates(spark, scratch, "bronze", "fs") == ["2023-01-05", "2024-01-05"]
+
+
+def test_catalog_views_follow_the_loads(spark, scratch):
+    import uuid
+
+    from ledgerlens.plans import catalog
+
+    db = f"wh_{uuid.uuid4().hex[:8]}"
+    catalog.publish_views(spark, scratch, db)
+    assert spark.sql(f"SELECT * FROM {db}.v_latest_screening").count() == 0
+    assert spark.table(f"{db}.fct_screening").schema.fieldNames() == schemas.FCT_SCREENING.fieldNames()
+    people = spark.createDataFrame([(t, f"Co {t}", "S", "X", 1.0, "2001-01-01") for t in "ABCD"], COMPANY_SCHEMA)
+    warehouse.write_dim_company(spark, scratch, people)
+    warehouse.reload_fact(_fact(spark, "2024-01-05", [("A", 0.9, 7)]), scratch, "2024-01-05")
+    catalog.publish_views(spark, scratch, db)
+    assert [r.ticker for r in spark.sql(f"SELECT ticker FROM {db}.v_latest_screening").collect()] == ["A"]
+    warehouse.reload_fact(
+        _fact(spark, "2024-01-12", [("A", 0.2, 5), ("B", None, 5), ("C", 0.5, 5), ("D", 0.1, None)]), scratch, "2024-01-12")
+    assert [r.ticker for r in spark.sql(f"SELECT ticker FROM {db}.v_latest_screening").collect()] == ["A"]  # until it is replaced
+    catalog.publish_views(spark, scratch, db)
+    latest = spark.sql(f"SELECT * FROM {db}.v_latest_screening")
+    assert [r.ticker for r in latest.collect()] == ["D", "B", "C", "A"]
+    assert {str(r.run_date) for r in latest.collect()} == {"2024-01-12"} and latest.first().listing_date == dt.date(2001, 1, 1)
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-01-05" not in plan
+    rows = spark.sql(f"SELECT run_date, count(*) AS n FROM {db}.fct_screening GROUP BY run_date ORDER BY run_date").collect()
+    assert [(str(r.run_date), r.n) for r in rows] == [("2024-01-05", 1), ("2024-01-12", 4)]
