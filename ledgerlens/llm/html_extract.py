@@ -71,7 +71,8 @@ NOISE = frozenset(
     "subscription signup paywall login comment comments commentlist disqus respond replies discussion share sharing "
     "social related recommended recommendations pagination pager search form forms".split()
 )
-KEPT_WITH = frozenset("has no with without main layout".split())  # "has-sidebar" is no sidebar
+ADS = frozenset(w for w in NOISE if w.startswith(("ad", "sponsor", "promo")))  # also inside a line of text
+KEPT_WITH = frozenset("has no with without layout".split())  # "has-sidebar" is no sidebar
 HEADER_OF = frozenset("article post entry content story".split())  # "post-header" is no page header
 GOOD = frozenset("article post entry content story main body text".split())
 
@@ -83,6 +84,7 @@ TAG = re.compile(
     r"|[!?][^>]*+(?:>|\Z))",
     re.S,
 )
+HEADED = re.compile(r"<(?:article|main|h1)[\s>]", re.I)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[^\W\d_A-Za-z]+")
 
@@ -130,11 +132,15 @@ def _names(attributes: str) -> tuple[list[str], str]:
     return words, role
 
 
-def _is_noise(tag: str, words: Sequence[str], role: str, in_article: bool) -> bool:
-    if tag in DROPPED or role in ROLES:
+def _is_noise(tag: str, words: Sequence[str], role: str, in_article: bool, by_name: bool) -> bool:
+    if tag in DROPPED and (by_name or tag != "form") or by_name and role in ROLES:
         return True
     if tag == "header":
         return not in_article
+    if not by_name:
+        return False
+    if tag not in BLOCKS:
+        return bool(ADS.intersection(words))
     if tag in ("html", "body", "main") or KEPT_WITH.intersection(words):
         return False
     if "header" in words and not in_article and not HEADER_OF.intersection(words):
@@ -143,6 +149,16 @@ def _is_noise(tag: str, words: Sequence[str], role: str, in_article: bool) -> bo
 
 
 def parse(html: str) -> Page:
+    """The page's containers and kept blocks. Where names of elements that hold
+    the whole page ("page sidebar-right", a form around everything) leave
+    nothing of a page that has an article or a heading, names do not count."""
+    page = _parse(html, True)
+    if not page.blocks and HEADED.search(html):
+        page = _parse(html, False)
+    return page
+
+
+def _parse(html: str, by_name: bool) -> Page:
     """One pass over the tags; only containers and elements that are left out
     are kept on the stack."""
     page = Page()
@@ -195,7 +211,6 @@ def parse(html: str) -> Page:
             elif tag == "a":
                 in_link = False
             if open_tags[tag]:
-                flush()
                 while pop() != tag:
                     pass
             continue
@@ -221,9 +236,9 @@ def parse(html: str) -> Page:
         if tag in VOID:
             continue
         words, role = _names(attributes or attributes2 or "") if attributes or attributes2 else ([], "")
-        left_out = not out and _is_noise(tag, words, role, articles > 0)
-        if left_out:
-            flush()
+        left_out = not out and _is_noise(tag, words, role, articles > 0, by_name)
+        if left_out and tag not in BLOCKS:
+            pieces.append(" ")  # the line goes on after it
         contains = tag in CONTAINERS
         if contains or left_out or out and tag in BLOCKS:
             stack.append((tag, contains, left_out))

@@ -39,6 +39,16 @@ ONE = {
                        f"{LONG}\n\none\n\ntwo\n\na\n\nb"),
     "only a menu": ("<nav><a href=/>Home</a></nav><footer>x</footer>", ""),
     "less than": ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
+    "a form around all": (f"<form id=f><nav>n</nav><main><h1>H</h1><p>{LONG}</p></main></form>", f"H\n\n{LONG}"),
+    "a name around all": (f"<div class='page sidebar-right'><article><p>{LONG}</p></article><footer>f</footer></div>", LONG),
+    "names in a line": (f"<article><p>{LONG} <span class='hljs-comment'>kept</span> <span class=ad>Buy</span><em class=notice>!</em></p>"
+                        "</article>", f"{LONG} kept !"),
+    "main menu": (f"<div class='main-menu'><p>{LONG * 3}</p></div><DIV CLASS=\"Main\"><P>{LONG}</P></DIV><div id=disqus_thread><p>"
+                  f"{LONG * 4}</p></div>", LONG),
+    "sidebar inside": (f"<main><div class=sidebar><p>{LONG * 2}</p></div><div class=story><h1>H</h1><p>{LONG}</p><blockquote>{LONG}"
+                       f"</blockquote><section class=related><h2>More</h2><a href=x>{LONG}</a></section></div></main>",
+                       f"H\n\n{LONG}\n\n{LONG}"),
+    "cut page": (f"<article><h1>H</h1><p>{LONG}</p><p>cut he", f"H\n\n{LONG}\n\ncut he"),
     "open nav": (f"<nav><a href=x>x</a><article><p>{LONG}</p></article>", LONG),
 }
 
