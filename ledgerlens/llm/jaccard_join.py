@@ -20,7 +20,11 @@ their word shingles, and the groups these links make.
 5. What that links is one component. Where a shingle still holds classes of
    several components, exactly the pairs across components are filtered and
    verified too. A pair within a component cannot change the result, so no
-   link between components is lost.
+   link between components is lost. The shorter set of a pair enters with its
+   shorter, indexing prefix only (places that admit a partner at least as
+   large), the longer one with the whole prefix, and the join key holds a band
+   of the sizes besides the shingle: texts that share a passage but are not
+   alike are not paired at all.
 
 Cases: a text with fewer words than a shingle is one shingle; a null or
 empty text, or one of white space, has none, links with nothing and is its
@@ -31,6 +35,7 @@ result; other columns are never looked at.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -190,11 +195,45 @@ def _prefixes(texts: DataFrame, counters: np.ndarray, n: int, t: Fraction) -> Da
     return texts.mapInArrow(run, "class long, n int, ranges array<int>, prefix array<long>")
 
 
-def _shared_entries(prefixes: DataFrame) -> DataFrame:
-    """token, class, n, pos of the prefix shingles that two classes hold."""
+def _shared_entries(prefixes: DataFrame, t: Fraction) -> DataFrame:
+    """token, class, n, pos of the prefix shingles that two classes hold, one
+    of them in its indexing prefix: every pair that passes the filters meets
+    in such a shingle."""
     entries = prefixes.select("class", "n", F.posexplode("prefix").alias("pos", "token"))
-    held = entries.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    return entries.join(held.where("lo <> hi").select("token"), "token", "left_semi").distinct()
+    held = entries.groupBy("token").agg(
+        F.min("class").alias("lo"), F.max("class").alias("hi"), F.max(_largest("n", "pos", t) >= F.col("n")).alias("indexed")
+    )
+    return entries.join(held.where("lo <> hi AND indexed").select("token"), "token", "left_semi").distinct()
+
+
+def _largest(n: str, pos: str, t: Fraction) -> Column:
+    """Size of the largest set that a set of ``n`` shingles may be linked
+    with when they meet at its place ``pos`` (the positional filter, solved
+    for the partner's size)."""
+    p, q = t.numerator, t.denominator
+    n, pos = F.col(n).cast("long"), F.col(pos).cast("long")
+    return F.floor((n - pos) * (p + q) / p) - n
+
+
+def _band(n: Column, t: Fraction) -> Column:
+    """Band of a size, never falling as the size grows; sizes that the
+    length filter lets meet lie in the same band or in neighbouring ones."""
+    return n.cast("long") if t == 1 else F.floor(F.log(n.cast("double")) / math.log(1 / t))
+
+
+def _met_across(known: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of classes of different labels that share a token of
+    ``known`` (token, class, n, pos, label) and may reach the threshold; a is
+    the smaller set."""
+    left = known.toDF("token", "a", "na", "pos_a", "label_a").withColumn("most_a", _largest("na", "pos_a", t))
+    left = left.where("most_a >= na").withColumn(
+        "band", F.explode(F.sequence(_band(F.col("na"), t), _band(F.col("most_a"), t)))
+    )
+    right = known.toDF("token", "b", "nb", "pos_b", "label_b").withColumn("most_b", _largest("nb", "pos_b", t))
+    right = right.withColumn("band", _band(F.col("nb"), t))
+    return left.join(right, ["token", "band"]).where(
+        "label_a <> label_b AND na <= nb AND nb <= most_a AND na <= most_b AND (na < nb OR a < b)"
+    )
 
 
 def _needed(na: Column, nb: Column, t: Fraction) -> Column:
@@ -287,7 +326,7 @@ def jaccard_join(
     classes = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("min_id"))
     shapes = prefixes.select("class", "n", "ranges").dropDuplicates(["class"])
 
-    entries = materialize(_shared_entries(prefixes), "entries")
+    entries = materialize(_shared_entries(prefixes, threshold), "entries")
     earliest = entries.groupBy("token").agg(F.min(F.struct("pos", "n", "class")).alias("lead"))
     star = entries.join(earliest, "token").where("class <> lead.class").select(
         F.col("lead.class").alias("a"), F.col("lead.n").alias("na"), F.col("lead.pos").alias("pos_a"),
@@ -303,10 +342,7 @@ def jaccard_join(
     )
     mixed = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     known = materialize(known.join(mixed.where("lo <> hi").select("token"), "token", "left_semi"), "mixed")
-    left = known.toDF("token", "a", "na", "pos_a", "label_a")
-    right = known.toDF("token", "b", "nb", "pos_b", "label_b")
-    across = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")))
-    rest = _pairs(across, threshold).join(tried, ["a", "b"], "left_anti")
+    rest = _pairs(_met_across(known, threshold), threshold).join(tried, ["a", "b"], "left_anti")
     more = _verified(rest, linkable, classes, shapes, words, threshold)
     labels = components(links.unionAll(more))
 
@@ -339,5 +375,5 @@ def keep_one(
     sized = found.join(found.groupBy("component_id").count().where("count > 1"), "component_id", "left_semi")
     linked = materialize(sized.join(ids, "_row").select("component_id", order.alias("row")), "linked")
     best = linked.groupBy("component_id").agg(F.min("row").alias("best"))
-    gone = linked.join(best, "component_id").where("row._row <> best._row").select("row._row")
+    gone = materialize(linked.join(best, "component_id").where("row._row <> best._row").select("row._row"), "gone")
     return without(rows, gone, "_row").drop("_row").toDF(*names)

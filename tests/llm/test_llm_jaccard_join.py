@@ -78,6 +78,43 @@ def test_threshold_is_met_exactly(frame):
     assert got(jaccard_join.jaccard_join(frame(rows))) == expected(rows)
 
 
+@pytest.mark.parametrize("t", [Fraction(1, 2), Fraction(9, 10), Fraction(1)])
+def test_thresholds_match_brute_force(frame, t):
+    rows = corpus(4)
+    assert got(jaccard_join.jaccard_join(frame(rows), t)) == expected(rows, t)
+
+
+def test_pairs_across_are_those_the_filters_pass(spark):
+    """The band join of one shingle against all pairs, place by place."""
+    t = Fraction(8, 10)
+    rng = random.Random(6)
+    rows = [(rng.randrange(3), c, n, rng.randrange(0, n - (4 * n + 4) // 5 + 1), c % 5) for c in range(120) for n in [rng.randrange(1, 60)]]
+    known = spark.createDataFrame(rows, "token long, class long, n int, pos int, label long")
+    found = [tuple(sorted((r.a, r.b))) for r in jaccard_join._met_across(known, t).select("a", "b").collect()]
+    want = []
+    for k, (tok, a, na, pa, la) in enumerate(rows):
+        for tok2, b, nb, pb, lb in rows[:k]:
+            rest = min(na - pa, nb - pb)
+            if tok == tok2 and la != lb and min(na, nb) * 5 >= max(na, nb) * 4 and rest * 9 >= 4 * (na + nb):
+                want.append((b, a))
+    assert sorted(found) == sorted(want)
+
+
+def test_a_passage_alone_makes_no_pairs(spark):
+    """Texts of 60 words that share 50 are not 0.8 alike; the shared shingles
+    of their prefixes give no rows at all, however many texts there are."""
+    n = 56  # shingles; the passage's 46 come last, two of them in the prefix of 12
+    rows = [(7, c, n, pos, c) for c in range(4000) for pos in (10,)]
+    known = spark.createDataFrame(rows, "token long, class long, n int, pos int, label long")
+    assert jaccard_join._met_across(known, Fraction(8, 10)).count() == 0
+    prefixes = spark.createDataFrame([(c, n, [1000 + c, 7]) for c in range(50)], "class long, n int, prefix array<long>")
+    assert jaccard_join._shared_entries(prefixes, Fraction(8, 10)).count() == 50
+    prefixes = spark.createDataFrame(
+        [(c, n, [1000 + 20 * c + k for k in range(10)] + [7]) for c in range(50)], "class long, n int, prefix array<long>"
+    )
+    assert jaccard_join._shared_entries(prefixes, Fraction(8, 10)).count() == 0
+
+
 def test_one_of_each_group_stays(frame):
     text = " ".join(f"w{k}" for k in range(60))
     docs = frame([(5, text), (3, text + " tail"), (9, text.upper()), (1, "other words"), (2, None), (4, "")])
