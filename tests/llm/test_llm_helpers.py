@@ -5,18 +5,39 @@ import pytest
 from ledgerlens.llm import graph, idset, words
 
 
-@pytest.mark.parametrize("bits", [8, 1 << 16, 1 << 24])
-def test_rows_without_a_set_of_ids(spark, bits):
+@pytest.mark.parametrize("most_bits", [1 << 8, 1 << 10, idset.MOST_BITS])
+def test_rows_without_a_set_of_ids(spark, most_bits):
     df = spark.createDataFrame([(k if k % 11 else None, f"t{k}", k) for k in range(300)], "doc_id long, _page string, _c0 int")
     gone = spark.createDataFrame([(k,) for k in range(0, 300, 3)] + [(None,), (9999,)], "doc_id long")
-    out = idset.without(df, gone, "doc_id", bits)
+    out = idset.without(df, gone, "doc_id", most_bits)
     assert out.columns == df.columns
     want = sorted(k for k in range(300) if k % 11 == 0 or k % 3)
     assert sorted(r._c0 for r in out.collect()) == want
-    likely = {r._c0 for r in idset.likely_in(df, gone, "doc_id", bits).collect()}
+    likely = {r._c0 for r in idset.likely_in(df, gone, "doc_id", most_bits).collect()}
     assert {k for k in range(300) if k % 11 and k % 3 == 0} <= likely
 
 
+@pytest.mark.parametrize("most_bits", [1 << 10, idset.MOST_BITS])
+def test_rows_without_repeats(spark, most_bits):
+    df = spark.createDataFrame([(f"k{k % 200}", k) for k in range(300)], "key string, n int")
+    keys = spark.createDataFrame([(f"k{k}", k % 2 == 0) for k in range(100)] + [("k150", False)], "key string, kept boolean")
+    out = [r.key for r in idset.without_repeats(df, keys, "key", most_bits).collect()]
+    assert sorted(out) == sorted(f"k{k}" for k in range(200) if k != 150 and (k >= 100 or k % 2 == 0))
+
+
+def test_bitmap_grows_with_the_ids(spark):
+    """With ten times as many ids as the least bitmap has room for, few rows
+    that are in no list take the exact way."""
+    ids = spark.range(idset.LEAST_BITS // idset.BITS_AN_ID * 10).withColumnRenamed("id", "doc_id")
+    others = spark.range(10**9, 10**9 + 20_000).withColumnRenamed("id", "doc_id")
+    assert idset.likely_in(others, ids).count() < 20_000 / 12
+
+
+def test_no_ids(spark):
+    df = spark.range(5).withColumnRenamed("id", "doc_id")
+    assert idset.without(df, df.limit(0)).count() == 5 and idset.likely_in(df, df.limit(0)).count() == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(k, k + 1) for k in range(100, 160)] + [(int(a), int(b)) for a, b in rng.integers(0, 90, (60, 2))] + [(7, 7)]
