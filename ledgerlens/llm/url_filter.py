@@ -1,15 +1,17 @@
 """URL allow and block lists by hashed expressions (DataFrame operations only).
 
 Each distinct (host, path) is expanded into host suffixes x path prefixes
-(path prefixes only at the lengths that occur in the rules: no other prefix
-can equal a rule). The expressions meet the rules in an equi-join on the
+(suffixes only with as many labels, prefixes only of the lengths that occur in
+the rules: no others can equal a rule, and a host of any number of labels costs
+no more than its length). The expressions meet the rules in an equi-join on the
 first 32 bits of their SHA-256 digest; a match counts when the whole digest
 agrees. Of the rules that fit, the longest wins, and block wins over allow
 between equal rules.
 
 The rule table is broadcast only up to ``BROADCAST_RULES`` rules (a count of
 it decides); a larger one takes a shuffled join. Hot hosts cost nothing
-extra: equal (host, path) pairs are resolved once.
+extra: equal (host, path) pairs are resolved once, and rows without a host,
+which no rule fits, are not joined at all.
 
 Cases: a null url or one without '://' has an empty host and path and takes
 the default verdict; a repeated page row is returned as often as it occurs;
@@ -53,34 +55,36 @@ def _short(digest: Column) -> Column:
 
 
 def prepared_rules(rules: DataFrame) -> DataFrame:
-    """rule text, verdict, digest and its 32-bit prefix; one row per rule
-    text, block before allow."""
+    """rule text, verdict, digest and its 32-bit prefix, path length and the
+    host's labels; one row per rule text, block before allow."""
     text = F.concat(F.translate("host", UPPER, LOWER), F.col("path"))
     return (
         rules.where((F.col("host") != "") & F.col("path").isNotNull())
-        .select(text.alias("rule"), F.length("path").alias("path_length"), "verdict")
-        .groupBy("rule", "path_length")
+        .select(text.alias("rule"), F.length("path").alias("path_length"), _n_labels("host").alias("labels"), "verdict")
+        .groupBy("rule", "path_length", "labels")
         .agg(F.max("verdict").alias("rule_verdict"))  # 'block' > 'allow'
         .withColumn("digest", _digest(F.col("rule")))
         .withColumn("short", _short(F.col("digest")))
     )
 
 
-def expressions(urls: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """(host, path) rows -> one row per host suffix and path prefix."""
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size("labels")),
-        lambda k: F.array_join(F.slice(F.col("labels"), k, F.size("labels")), "."),
-    )
+def _n_labels(host: str) -> Column:
+    return F.length(host) - F.length(F.replace(F.col(host), F.lit("."), F.lit(""))) + 1
+
+
+def expressions(urls: DataFrame, lengths: Sequence[int], labels: Sequence[int]) -> DataFrame:
+    """(host, path) rows -> one row per host suffix of one of the numbers of
+    ``labels`` and path prefix of one of the ``lengths``."""
+    suffixes = F.array_compact(F.array(*[
+        F.when(_n_labels("host") >= k, F.substring_index("host", ".", -k)) for k in sorted(set(labels))
+    ]).cast("array<string>"))
     wanted = F.array(*[F.lit(n) for n in sorted(set(lengths))]).cast("array<int>")
     prefixes = F.transform(
         F.filter(wanted, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
     )
     return (
         urls.where(F.col("host") != "")
-        .withColumn("labels", labels)
-        .select("host", "path", F.explode(F.array_distinct(suffixes)).alias("suffix"), prefixes.alias("prefixes"))
+        .select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
         .select("host", "path", "suffix", F.explode("prefixes").alias("prefix"))
         .select("host", "path", F.concat("suffix", "prefix").alias("expression"))
     )
@@ -94,16 +98,20 @@ def url_filter(
     host, path = url_host_path(F.col(url_col).cast("string"))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     table = prepared_rules(rules)
-    bounds = table.agg(F.count("*").alias("n"), F.collect_set("path_length").alias("lengths")).first()
+    bounds = table.agg(
+        F.count("*").alias("n"), F.collect_set("path_length").alias("lengths"), F.collect_set("labels").alias("labels")
+    ).first()
     keyed = table.select("short", "digest", "rule", "rule_verdict")
     keyed = F.broadcast(keyed) if bounds["n"] <= BROADCAST_RULES else keyed
-    tried = expressions(rows.select("host", "path").distinct(), bounds["lengths"])
+    tried = expressions(rows.select("host", "path").distinct(), bounds["lengths"], bounds["labels"])
     tried = tried.withColumn("full", _digest(F.col("expression"))).withColumn("short", _short(F.col("full")))
     fits = tried.join(keyed, "short").where(F.col("full") == F.col("digest"))
     best = fits.groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("length"), "rule_verdict", "rule")).alias("best")
     )
-    return rows.join(best, ["host", "path"], "left").select(
+    hostless = rows.where("host = ''").withColumn("best", F.lit(None).cast(best.schema["best"].dataType))
+    judged = rows.where("host <> ''").join(best, ["host", "path"], "left")
+    return judged.unionByName(hostless).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"),
     )

@@ -48,3 +48,12 @@ def test_no_rules_and_no_pages(spark):
     assert [tuple(r) for r in url_filter.url_filter(pages, none, "block").collect()] == [(1, "a.org", "/", None, "block")]
     rules = url_filter.rule_table(spark, URL_RULES)
     assert url_filter.url_filter(pages.limit(0), rules).count() == 0
+
+
+def test_hosts_of_very_many_labels(spark):
+    host = "a." * 100_000
+    urls = [f"http://{host}example.org/es/1", f"http://{host}com/de/", f"http://{host}net/", "http://.org/", "http://org./"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_filter.url_filter(pages, url_filter.rule_table(spark, URL_RULES))
+    got = sorted((r.page_id, r.rule, r.verdict) for r in out.select("page_id", "rule", "verdict").collect())
+    assert got == [(k, *expected(u, URL_RULES)[2:]) for k, u in enumerate(urls)]
