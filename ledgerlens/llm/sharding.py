@@ -14,8 +14,9 @@ or every range that a cut can meet is a single group. Ranges are split down to
 do so by chance about half the time) count as one.
 
 Row places (``slot``) come from counts per hash range plus a row number
-within it; the rows of a heavy range are dealt over ``SLICES`` slices by a
-hash of their id, so no group of copies is numbered by a single task.
+within it. A range of more than ``SLICE_ROWS`` rows is dealt over as many
+slices as its rows need, by a hash of each row's own key, so neither a group of
+copies nor a row repeated with the same id is numbered by a single task.
 
 Cases: a null text has no bytes (size 8) and groups with the empty one; a
 group larger than the mean gets a shard of its own size; rows repeated with
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlens.session import materialize
 
 BITS = 12  # of the hash, by which ranges are split at each level
-SLICES = 256
+SLICE_ROWS = 250_000  # about, that one task numbers at once
 LEVELS = 5
 EXTRA = 8  # bytes a row takes besides its text
 
@@ -141,7 +142,7 @@ def plan_cuts(
 
 
 def shard_rows(
-    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law ('bytes'),
     shard, slot, grown_shard (null: more shards mean a new partition)."""
@@ -152,6 +153,7 @@ def shard_rows(
         (F.octet_length(text) + F.lit(EXTRA)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         _key(text).alias("key"),
+        F.monotonically_increasing_id().alias("row"),  # written once, so it stays
     )
     rows = materialize(rows, "shard_rows")
 
@@ -179,18 +181,16 @@ def shard_rows(
     for k, first in firsts:
         shard = F.when(flipped >= F.lit(first - (1 << 63)), F.lit(k)).otherwise(shard)
 
-    per_range = {}
-    for depth, r, s, _ in items:
-        top = r >> (depth - BITS)
-        per_range[top] = per_range.get(top, 0) + s
-    mean = sum(per_range.values()) / max(1, 1 << BITS)
-    heavy = spark.createDataFrame([(r,) for r, s in per_range.items() if s > 4 * mean], "range long")
     placed = rows.withColumn("shard", shard).withColumn("range", _range_of(F.col("key"), BITS))
-    placed = placed.join(F.broadcast(heavy.withColumn("heavy", F.lit(True))), "range", "left")
-    slice_ = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc_id", "key"), F.lit(SLICES))).otherwise(F.lit(0))
+    # At most 1 << BITS rows, whatever the input.
+    heavy = placed.groupBy("range").count().where(F.col("count") > slice_rows).select(
+        "range", F.ceil(F.col("count") / slice_rows).alias("slices")
+    )
+    placed = placed.join(F.broadcast(heavy), "range", "left")
+    slice_ = F.when(F.col("slices").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("slices")))
     placed = placed.withColumn("slice", slice_.cast("int"))
     counts = placed.groupBy("shard", "range", "slice").agg(F.count("*").alias("n"))
-    # At most (1 << BITS) * SLICES rows, whatever the input.
+    # One row per shard, range and slice of SLICE_ROWS rows.
     in_range = Window.partitionBy("shard", "range").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     in_shard = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy("shard", "range").agg(F.sum("n").alias("n"))
@@ -199,7 +199,7 @@ def shard_rows(
         "shard", "range", "slice", F.coalesce(F.sum("n").over(in_range), F.lit(0)).alias("skip")
     )
     base = inner.join(begins, ["shard", "range"])
-    number = F.row_number().over(Window.partitionBy("shard", "range", "slice").orderBy("key", "doc_id"))
+    number = F.row_number().over(Window.partitionBy("shard", "range", "slice").orderBy("key", "doc_id", "row"))
     return (
         placed.withColumn("number", number)
         .join(base, ["shard", "range", "slice"])

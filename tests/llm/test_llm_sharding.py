@@ -93,6 +93,12 @@ def test_rows_of_a_table(frame, odd_rows):
     check(rows, sharding.shard_rows(frame(rows), 24).collect(), 24)
 
 
+def test_hot_range_of_short_texts_is_sliced(frame):
+    """Copies of a short text, by rows a third of all; one id repeated."""
+    rows = [(k, "") for k in range(900)] + [(5, "same")] * 700 + [(2000 + k, f"text {k} " * 50) for k in range(1400)]
+    check(rows, sharding.shard_rows(frame(rows), 5, slice_rows=40).collect(), 5)
+
+
 def test_sizes_are_near_equal(frame):
     rows = [(k, f"text {k} " * 10) for k in range(2000)]
     out = sharding.shard_rows(frame(rows), 8).toPandas()
