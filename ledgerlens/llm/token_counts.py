@@ -9,7 +9,8 @@ documents ended before a block and where its first document began, which
 stitches documents that span blocks.
 
 Files are opened by workers with ``pyarrow.fs`` from their URI, so they may lie
-in any store that has one (a local path only where every worker sees it). Only
+in any store that has one, the object stores of Hadoop's schemes (``s3a`` and the
+like) included (a local path only where every worker sees it). Only
 the part of a file that makes up a block is read at a time.
 
 Cases: an empty file has no documents; two separators in a row make an empty
@@ -41,8 +42,18 @@ BLOCK_BYTES = 4 << 20
 DTYPE = "<u2"
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+# Scheme of a Hadoop path -> that of the same store for pyarrow.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _uri(path: str) -> str:
+    """The URI that pyarrow knows a path of the cluster by."""
+    scheme, sep, rest = path.partition(":/")
+    return f"{_SCHEMES.get(scheme, scheme)}:/{rest}" if sep else f"file://{path}"
+
+
+def _open(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(_uri(path))
 
 
 def write_token_files(

@@ -57,3 +57,10 @@ def test_counts_of_a_table(frame, odd_rows, word_file):
 
 def test_empty_table(frame, word_file):
     assert token_counts.document_token_counts(frame([]), word_file, END_OF_TEXT).count() == 0
+
+
+def test_paths_of_object_stores():
+    assert token_counts._uri("s3a://bucket/a/b.bin") == "s3://bucket/a/b.bin"
+    assert token_counts._uri("hdfs://host:9000/a") == "hdfs://host:9000/a"
+    assert token_counts._uri("file:/tmp/x") == "file:/tmp/x"
+    assert token_counts._uri("/tmp/x") == "file:///tmp/x"
