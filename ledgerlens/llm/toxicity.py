@@ -43,6 +43,8 @@ from ledgerlens.llm.ship import ship
 from ledgerlens.llm.words import LOWER, ByteHash, Spans, spans, text_chunks
 
 MAX_DOCS = 2000
+MAX_BYTES = 8 << 20  # of the texts of a class's sample
+UNMARKED = 4  # training chains without a marked token for each with one
 BUCKETS = 1 << 18
 WINDOW = 64  # tokens of a training chain
 EPOCHS = 4
@@ -189,14 +191,18 @@ def _chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.minimum(end - begin, WINDOW)
 
 
-def _fit_field(features: np.ndarray, label: np.ndarray, first: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions by AdaGrad on the conditional likelihood."""
+def _fit_field(
+    features: np.ndarray, label: np.ndarray, first: np.ndarray, unmarked: int = UNMARKED, seed: int = 7
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions by AdaGrad on the conditional likelihood, over
+    all chains that hold a marked token and a random ``unmarked`` times as
+    many of the others (of at least 50)."""
     rng = np.random.default_rng(seed)
     begin, length = _chains(first)
     total = np.concatenate(([0], np.cumsum(label)))
     marked = total[begin + length] > total[begin]
     plain = np.flatnonzero(~marked)
-    plain = rng.permutation(plain)[: 4 * max(int(marked.sum()), 50)]
+    plain = rng.permutation(plain)[: unmarked * max(int(marked.sum()), 50)]
     chosen = np.concatenate((np.flatnonzero(marked), plain))
     weights, step = np.zeros(BUCKETS), np.array([-2.0, 1.0, 0.0])
     seen_w, seen_s = np.full(BUCKETS, 1e-2), np.full(3, 1e-2)
@@ -242,7 +248,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarra
     return beta
 
 
-def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray, unmarked: int = UNMARKED) -> Model:
     """A model from labelled documents; ``weight`` is how many documents of
     the corpus each stands for. Three of four fit the field, the rest the
     document model (all of them, where that would leave a class empty)."""
@@ -268,7 +274,7 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Model:
     label = np.zeros(used.stop)
     for k in range(N_OWN):
         label[marker[features[used, k]] & toxic[row[used]]] = 1.0
-    weights, step = _fit_field(features[used], label, first[: n_field + 1])
+    weights, step = _fit_field(features[used], label, first[: n_field + 1], unmarked)
     model = Model(weights, step, np.zeros(3))
     x = document_features(marginals(model.emissions(features), first, step), first)
     model.document = _fit_logistic(x[scored], toxic[scored].astype(float), weight[scored])
@@ -281,16 +287,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(key, F.lit(FOLDS)) == HELD_OUT, F.lit(True))
 
 
+def _within(rows: list, budget: int) -> list:
+    """Whole documents in the given order as long as their bytes fit; the
+    smallest one where none does."""
+    taken, used = [], 0
+    for r in rows:
+        if used + r["bytes"] <= budget:
+            taken.append(r)
+            used += r["bytes"]
+    return taken or sorted(rows, key=lambda r: r["bytes"])[:1]
+
+
 def train(
-    docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text",
+    max_bytes: int = MAX_BYTES, unmarked: int = UNMARKED,
 ) -> Model:
-    """Fit on at most ``max_docs`` documents of each class that are not held out."""
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    """Fit on a sample of the documents that are not held out: of each class
+    the first ``max_docs`` by a hash of the id, whole ones as long as they
+    fit into ``max_bytes``; ``unmarked`` as in ``_fit_field``."""
+    size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), size.alias("bytes"))
     usable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
         .where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .join(ids.distinct(), "doc_id", "left_semi")
+        .join(ids.groupBy("doc_id").agg(F.max("bytes").alias("bytes")), "doc_id")
     )
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
@@ -301,7 +322,7 @@ def train(
     order = F.xxhash64("doc_id", F.lit("sample"))
     sample = [
         r for flag in (True, False)
-        for r in usable.where(F.col("toxic") == flag).orderBy(order, "doc_id").limit(max_docs).collect()
+        for r in _within(usable.where(F.col("toxic") == flag).orderBy(order, "doc_id").limit(max_docs).collect(), max_bytes)
     ]  # 2 * max_docs rows at most
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in sample], "doc_id long, toxic boolean")
@@ -313,7 +334,7 @@ def train(
     )
     toxic = np.array([r["toxic"] for r in rows], dtype=bool)
     weight = np.where(toxic, counts[True] / max(toxic.sum(), 1), counts[False] / max((~toxic).sum(), 1))
-    return fit([r["text"] for r in rows], toxic, weight)
+    return fit([r["text"] for r in rows], toxic, weight, unmarked)
 
 
 # ------------------------------------------------------------------ scoring

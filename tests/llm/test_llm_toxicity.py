@@ -106,3 +106,14 @@ def test_clean_rows_stay_with_their_columns(spark, frame):
     kept = {r.doc_id for r in out.collect()}
     assert np.mean([(k in kept) != v for k, v in toxic.items()]) > 0.97
     assert toxicity.keep_clean(frame([]), model).count() == 0
+
+
+def test_sample_is_bounded_in_bytes(spark, frame):
+    sized = lambda *sizes: [{"doc_id": k, "bytes": n} for k, n in enumerate(sizes)]
+    assert [r["doc_id"] for r in toxicity._within(sized(5, 90, 4, 1), 10)] == [0, 2, 3]
+    assert [r["doc_id"] for r in toxicity._within(sized(50, 30, 40), 10)] == [1]
+    assert toxicity._within([], 10) == []
+    rows, toxic = corpus(200)
+    labels = [(k, int(v)) for k, v in toxic.items()]
+    model = toxicity.train(frame(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), max_bytes=2000)
+    assert toxicity.score(frame(rows), model).count() == len(rows)
