@@ -19,7 +19,7 @@ from ledgerlens import schemas
 from ledgerlens.config import DAILY_PRICES, FINANCIALS, PREVIOUS_RUN_DATE, PROFILE, RUN_DATE, VALUATION
 from ledgerlens.functions import expressions as E
 from ledgerlens.operators import clean, flatten, metrics, paging, prices, quality, scoring
-from ledgerlens.plans import calendar_dim, catalog, ingest, quality_state, warehouse, weekly_run
+from ledgerlens.plans import bucketed, calendar_dim, catalog, ingest, quality_state, warehouse, weekly_run
 from ledgerlens.plans.metric_sql import metric_sql
 from ledgerlens.plans import screening as scr
 from ledgerlens.session import concurrently, materialize, scratch_path
@@ -261,6 +261,17 @@ def q_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scr.screening_from_tables(spark, sf_dir, RUN_DATE, dirty=True, duplicates=True)
 
 
+@register("screening_bucketed", o.with_ctes(o.metric_ctes(), "SELECT * FROM fact"))
+def q_screening_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The screening over silver in buckets by ticker: no shuffle after the
+    tables are written."""
+    database = f"ledgerlens_{uuid.uuid4().hex[:12]}"
+    silver = dict(zip((FINANCIALS, PROFILE, VALUATION), _silver(spark, sf_dir)))
+    bucketed.publish_silver(spark, scratch_path(spark, "silver"), silver, database=database, buckets=8)
+    with bucketed.in_place(spark):
+        return materialize(bucketed.screening_of(spark, database=database), "fact")
+
+
 # ------------------------------------------------------- flatten (F, S5) --
 def _landed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
     path = raw.land(docs, scratch_path(spark, "landing", name))
