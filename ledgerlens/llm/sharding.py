@@ -14,8 +14,9 @@ or every range that a cut can meet is a single group. Ranges are split down to
 do so by chance about half the time) count as one.
 
 Row places (``slot``) come from counts per hash range plus a row number
-within it. A range of more than ``SLICE_ROWS`` rows is dealt over as many
-slices as its rows need, by a hash of each row's own key, so neither a group of
+within it. A range of more than ``SLICE_ROWS`` rows, or of more than four times
+the mean, is dealt over as many slices as its rows need, by a hash of each row's
+own key, so neither a group of
 copies nor a row repeated with the same id is numbered by a single task.
 
 Cases: a null text has no bytes (size 8) and groups with the empty one; a
@@ -183,14 +184,14 @@ def shard_rows(
 
     placed = rows.withColumn("shard", shard).withColumn("range", _range_of(F.col("key"), BITS))
     # At most 1 << BITS rows, whatever the input.
-    heavy = placed.groupBy("range").count().where(F.col("count") > slice_rows).select(
-        "range", F.ceil(F.col("count") / slice_rows).alias("slices")
-    )
+    in_ranges = [(r["range"], r["count"]) for r in placed.groupBy("range").count().collect()]
+    most = max(1, min(slice_rows, 4 * sum(n for _, n in in_ranges) >> BITS))
+    heavy = spark.createDataFrame([(r, -(-n // most)) for r, n in in_ranges if n > most], "range long, slices long")
     placed = placed.join(F.broadcast(heavy), "range", "left")
     slice_ = F.when(F.col("slices").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("slices")))
     placed = placed.withColumn("slice", slice_.cast("int"))
     counts = placed.groupBy("shard", "range", "slice").agg(F.count("*").alias("n"))
-    # One row per shard, range and slice of SLICE_ROWS rows.
+    # One row per shard, range and slice.
     in_range = Window.partitionBy("shard", "range").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     in_shard = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy("shard", "range").agg(F.sum("n").alias("n"))
