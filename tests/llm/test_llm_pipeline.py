@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_stages_and_queries():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "exact_dedup", "near_duplicates", "packing"]
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
