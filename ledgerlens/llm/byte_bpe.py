@@ -6,13 +6,18 @@ segment tree over its byte positions whose leaves hold the rank of the pair
 that starts there (and its place, so that the leftmost of equal ranks is the
 smallest). The root names the next merge; a merge changes the leaves of the
 merged place, of its live left neighbour and of the place that vanishes, each
-a walk of logarithmic length to the root. The finished ids are kept in a
-bounded cache of the worker; decoding goes back from the ids alone.
+a walk of logarithmic length to the root. In a long piece all places of the
+lowest rank are found by walking down from the root and merged from left to
+right in one numpy step, up to the first merge that makes a pair of lower rank
+(which the next step then takes, as one merge at a time would): the steps are
+bounded by the ranks that occur, not by the length. The finished ids are kept in
+a bounded cache of the worker; decoding goes back from the ids alone.
 
 Cases: a null or empty text has no tokens (digests of the empty string);
 equal rows give equal results; an empty table gives an empty result; a null
 doc_id stays null; other columns are never looked at. A text is handled in
-runs of pieces, so its memory beyond the text itself is bounded.
+runs of pieces, so its memory beyond the text itself is bounded by its longest
+piece: one piece takes some 100 bytes of trees and links a byte.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from ledgerlens.llm.words import text_chunks
 CACHE_PIECES = 800_000
 RUN_PIECES = 200_000  # of a long text at once
 TREE_CELLS = 1 << 21  # cells of the trees of one batch of pieces
+LONG_PIECE = 512  # bytes of a piece whose equal ranks are merged in one step
 _NONE = np.int64(1) << np.int64(62)
 
 
@@ -121,6 +127,35 @@ class ByteBPE:
             pair = self.pairs.of(token[place], token[np.maximum(follow, 0)])
             return np.where((follow >= 0) & (pair < _NONE), pair * shift + place % width, _NONE)
 
+        def of_rank(piece: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Places (ascending) whose pair has the lowest rank of its piece,
+            and that rank: from the roots down."""
+            node = np.ones(len(piece), dtype=np.int64)
+            while node[0] < width:
+                piece, rank, node = np.repeat(piece, 2), np.repeat(rank, 2), np.repeat(2 * node, 2)
+                node[1::2] += 1
+                has = flat[piece * step + node] // shift == rank
+                piece, rank, node = piece[has], rank[has], node[has]
+            return piece * width + node - width, rank
+
+        def at_once(place: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Those of ``of_rank``'s places that merges of one at a time, the
+            leftmost first, would take one after the other."""
+            index = np.arange(len(place))
+            joined = np.concatenate(([False], after[place[:-1]] == place[1:]))
+            run = np.maximum.accumulate(np.where(joined, 0, index))
+            taken = (index - run) % 2 == 0  # of pairs that share a token, every other one
+            place, rank = place[taken], rank[taken]
+            left, right = before[place], after[after[place]]
+            beside = np.concatenate(([False], right[:-1] == place[1:]))  # what is left of it was merged just before
+            with_left = self.pairs.of(np.where(beside, rank, token[np.maximum(left, 0)]), rank)
+            with_right = self.pairs.of(rank, token[np.maximum(right, 0)])
+            lower = ((left >= 0) & (with_left < rank)) | ((right >= 0) & (with_right < rank))
+            earlier = np.cumsum(lower) - lower
+            piece = place // width
+            taken = earlier == earlier[np.searchsorted(piece, piece)]
+            return place[taken], rank[taken]
+
         active = np.arange(n)
         while True:
             top = flat[active * step + 1] if width > 1 else np.full(len(active), _NONE)
@@ -128,21 +163,24 @@ class ByteBPE:
             active, top = active[going], top[going]
             if not len(active):
                 break
-            place = active * width + top % shift
-            token[place] = top // shift
+            place, rank = active * width + top % shift, top // shift
+            if width >= LONG_PIECE:
+                place, rank = at_once(*of_rank(active, rank))
+            piece = place // width
+            token[place] = rank
             gone = after[place]
             follow = after[gone]
             after[place] = follow
             linked = follow >= 0
             before[follow[linked]] = place[linked]
             live[gone] = False
-            put(active, gone % width, np.full(len(active), _NONE))
-            put(active, place % width, leaf(place))
+            put(piece, gone % width, np.full(len(piece), _NONE))
+            put(piece, place % width, leaf(place))
             left = before[place]
             has_left = left >= 0
             if has_left.any():
                 left = left[has_left]
-                put(active[has_left], left % width, leaf(left))
+                put(piece[has_left], left % width, leaf(left))
         counts = live.reshape(n, width).sum(axis=1)
         ids = token[live].tolist()
         out, at0 = [], 0

@@ -1,4 +1,7 @@
+import base64
 import hashlib
+import random
+import time
 
 import public_tokenizers
 import pytest
@@ -44,6 +47,46 @@ def test_long_pieces_and_long_texts(ours, theirs, monkeypatch):
     assert told(ours, texts) == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from("abetnis"), min_size=1, max_size=300), st.integers(1, 4))
+def test_equal_ranks_at_once(ours, theirs, word, times):
+    before, byte_bpe.LONG_PIECE = byte_bpe.LONG_PIECE, 2
+    try:
+        ours.known.clear()
+        assert told(ours, [word * times]) == [" ".join(map(str, theirs.encode_ordinary(word * times)))]
+    finally:
+        byte_bpe.LONG_PIECE = before
+
+
+def test_a_merge_that_makes_a_lower_rank_comes_first(tmp_path):
+    """Ranks that no training gives: "aba" is lower than "ab"."""
+    tokens = [bytes([b]) for b in range(256)] + [b"aba", b"bab", b"ab", b"aab", b"abab", b"ba"]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % k for k, t in enumerate(tokens)))
+    bpe = byte_bpe.ByteBPE(str(path), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    for size in (600, 700, 1500):
+        piece = "".join(rng.choices("ab", k=size))
+        want = [t.encode() for t in piece]
+        while True:
+            pairs = [(bpe.ranks.get(x + y, 1 << 30), k) for k, (x, y) in enumerate(zip(want, want[1:]))]
+            rank, k = min(pairs)
+            if rank == 1 << 30:
+                break
+            want[k : k + 2] = [want[k] + want[k + 1]]
+        assert told(bpe, [piece]) == [" ".join(str(bpe.ranks[t]) for t in want)]
+
+
+def test_a_piece_of_a_megabyte(ours, theirs):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshr", k=rng.randint(2, 9))) for _ in range(2000)]
+    piece = "".join(rng.choices(words, k=180_000))[: 1 << 20]
+    begin = time.monotonic()
+    got = told(ours, [piece])
+    assert time.monotonic() - begin < 120
+    assert got == [" ".join(map(str, theirs.encode_ordinary(piece)))]
+
+
 def test_digests_of_a_table(frame, odd_rows, rank_file, theirs):
     out = byte_bpe.token_digests(frame(odd_rows), rank_file, public_tokenizers.PATTERN).collect()
     want = []
