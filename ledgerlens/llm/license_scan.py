@@ -12,7 +12,8 @@ score, 1 - product of (1 - weight) over the labels.
 Besides the rules, a few base phrases are counted at all their places.
 
 All of it is an expression over one row: nothing is shuffled, and a text of
-any length is scanned whole.
+any length is scanned whole, in time linear in its words and detections (but
+for sorting the detections).
 
 Cases: a null, empty or wordless text has no words, places or labels (empty
 strings, score 0, null places); repeated rows give equal rows; a null doc_id
@@ -22,7 +23,7 @@ looked at.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -35,7 +36,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Phrase -> label; fixed values.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+MARK = "\x01"  # normalised texts hold no control characters
 _DETECTION = "struct<start:int,tail:int,priority:int,label:string,weight:double>"
+_SURE = "array<struct<label:string,weight:double>>"
 
 
 def normalised(text: Column) -> Column:
@@ -85,46 +88,63 @@ def _rule_table(table: Sequence[Rule]) -> Column:
 
 
 def _matches(norm: Column, rule: Column) -> Column:
-    """The detections of one rule. The pieces between the matches and the
-    matches themselves give the places."""
-    hits = F.regexp_extract_all(norm, rule["pattern"], F.lit(0))
-    gaps = F.transform(F.split(norm, rule["pattern"], -1), F.length)
-    steps = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(F.length(h).alias("h"), g.alias("g")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_DETECTION}>").alias("found"))
-
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["g"]
-        found = F.struct(
-            start.alias("start"), (-(start + step["h"])).alias("tail"), rule["priority"].alias("priority"),
+    """The detections of one rule, as intervals of words. Its matches are
+    marked in the text; the marked words give the places in one pass."""
+    marked = F.regexp_replace(norm, rule["pattern"], F.lit(f"{MARK}$0{MARK}"))
+
+    def places(words: Column, edge: Callable[[Column, str], Column]) -> Column:
+        return F.filter(F.transform(words, lambda w, k: F.when(edge(w, MARK), k)), lambda k: k.isNotNull())
+
+    def intervals(words: Column) -> Column:
+        return F.zip_with(places(words, Column.startswith), places(words, Column.endswith), lambda first, last: F.struct(
+            first.alias("start"), (-(last + 1)).alias("tail"), rule["priority"].alias("priority"),
             rule["label"].alias("label"), rule["weight"].alias("weight"),
-        )
-        return F.struct((start + step["h"]).alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+        ))
+
+    def of(text: Column) -> Column:
+        found = F.flatten(F.transform(F.array(F.split(text, " ")), intervals))
+        return F.when(F.contains(text, F.lit(MARK)), found).otherwise(F.array().cast(f"array<{_DETECTION}>"))
 
-    return F.aggregate(steps, begin, add, lambda s: s["found"])
+    return F.flatten(F.transform(F.array(marked), of))  # a lambda variable, so that it is marked once
 
 
 def _resolved(found: Column) -> Column:
-    """Detections without the suppressed ones; ``tail`` is minus the end, so
-    the natural order has the longer of equal starts first. ``cover`` is
-    the one kept that reaches furthest."""
+    """What the detections that are not suppressed amount to: their distinct
+    (label, weight) and their number. ``tail`` is minus the end, so the
+    natural order has the longer of equal starts first. ``cover`` is the one
+    kept that reaches furthest, the only one that can still go; ``last`` is
+    the one kept last. The state holds no list of detections, so the work is
+    linear in them after the sort."""
+    nothing = F.lit(None).cast(_DETECTION)
     begin = F.struct(
-        F.array().cast(f"array<{_DETECTION}>").alias("kept"), F.lit(None).cast(_DETECTION).alias("cover")
+        F.array().cast(_SURE).alias("sure"), F.lit(0).alias("n"), nothing.alias("last"), nothing.alias("cover")
     )
 
+    def told(d: Column) -> Column:
+        return F.array(F.struct(d["label"].alias("label"), d["weight"].alias("weight")))
+
+    def settled(state: Column, d: Column, last: Column, cover: Column) -> Column:
+        """The next state, with ``d`` among those that stay (if any)."""
+        return F.struct(
+            F.when(d.isNull(), state["sure"]).otherwise(F.array_union(state["sure"], told(d))).alias("sure"),
+            (state["n"] + F.when(d.isNull(), 0).otherwise(1)).alias("n"), last.alias("last"), cover.alias("cover"),
+        )
+
     def add(state: Column, d: Column) -> Column:
-        kept, cover = state["kept"], state["cover"]
-        last = F.try_element_at(kept, F.lit(-1))
-        more = F.concat(kept, F.array(d))
+        last, cover = state["last"], state["cover"]
         stronger = d["priority"] < cover["priority"]
         inside = d["tail"] >= cover["tail"]
         free = (d["start"] >= -last["tail"]) | (d["priority"] < last["priority"])
-        instead = F.concat(F.filter(kept, lambda k: k != cover), F.array(d))
-        new = F.when(cover.isNull() | (d["start"] >= -cover["tail"]), F.struct(more.alias("kept"), d.alias("cover")))
-        new = new.when(inside & stronger & free, F.struct(more.alias("kept"), cover.alias("cover")))
-        new = new.when(~inside & stronger, F.struct(instead.alias("kept"), d.alias("cover")))
+        new = F.when(cover.isNull() | (d["start"] >= -cover["tail"]), settled(state, cover, d, d))
+        new = new.when(inside & stronger & free, settled(state, d, d, cover))
+        new = new.when(~inside & stronger, settled(state, nothing, d, d))
         return new.otherwise(state)
 
-    return F.aggregate(F.array_sort(found), begin, add, lambda s: s["kept"])
+    return F.aggregate(
+        F.array_sort(found), begin, add,
+        lambda s: F.struct(settled(s, s["cover"], nothing, nothing)["sure"].alias("sure"),
+                           settled(s, s["cover"], nothing, nothing)["n"].alias("n")),
+    )
 
 
 def license_scan(
@@ -144,7 +164,7 @@ def license_scan(
     )
     gate = reduce(or_, [F.contains(norm, F.lit(f" {k}")) for k in sorted({r.keyword for r in table})], F.lit(False))
     wanted = F.filter(_rule_table(table), lambda r: F.contains(norm, r["keyword"])) if table else None
-    none = F.array().cast(f"array<{_DETECTION}>")
+    none = F.struct(F.array().cast(_SURE).alias("sure"), F.lit(0).alias("n"))
     found = F.when(gate, _resolved(F.flatten(F.transform(wanted, lambda r: _matches(norm, r))))) if table else none
     rows = rows.select(
         "doc_id",
@@ -155,16 +175,17 @@ def license_scan(
         base.alias("base"),
         F.coalesce(found, none).alias("found"),
     )
+    told = F.array_sort(F.array_distinct(F.transform("found.sure", lambda d: d["label"])))
     by_label = F.transform(
-        F.array_distinct(F.transform("found", lambda d: d["label"])),
-        lambda name: F.array_max(F.transform(F.filter("found", lambda d: d["label"] == name), lambda d: d["weight"])),
+        told,
+        lambda name: F.array_max(F.transform(F.filter("found.sure", lambda d: d["label"] == name), lambda d: d["weight"])),
     )
     score = F.lit(1.0) - F.aggregate(by_label, F.lit(1.0), lambda p, w: p * (1 - w))
-    labels = F.array_union("base", F.transform("found", lambda d: d["label"]))
+    labels = F.array_union("base", told)
     return rows.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort("base"), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("labels"),
+        F.array_join(F.array_sort(labels), ",").alias("labels"),
         score.alias("score"),
-        F.size("found").cast("long").alias("n_detections"),
+        F.col("found.n").cast("long").alias("n_detections"),
     )

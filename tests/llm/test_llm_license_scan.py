@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from ledgerlens.llm import license_scan
 from ledgerlens.llm.license_rules import Rule, rules
@@ -61,6 +63,30 @@ def test_scan_matches_brute_force(frame, odd_rows):
     assert got == sorted(str((i, *expected(t, rules()))) for i, t in rows)
 
 
+def test_many_detections_of_one_text(frame):
+    """100,000 places in one text, many of them overlapping."""
+    text = " ".join(["licensed under cc by nc sa 4 0 released under the mit license gplv3 or later"] * 25_000)
+    begin = time.monotonic()
+    got = license_scan.license_scan(frame([(1, text)])).collect()[0]
+    assert time.monotonic() - begin < 60
+    few = license_scan.license_scan(frame([(1, text[: len(text) // 1000])])).collect()[0]
+    assert (got.labels, round(got.score, 9)) == expected(text[: len(text) // 1000], rules())[5:7]
+    assert got.n_detections == 1000 * few.n_detections and got.n_detections >= 50_000
+
+
+def test_random_overlaps(frame):
+    rng = random.Random(11)
+    letters = "abcd"
+    table = tuple(
+        Rule(rng.randint(1, 4), f"l{k % 7}", p.split()[0], p, rng.choice((0.25, 0.5, 0.75)))
+        for k, p in enumerate(" ".join(rng.choices(letters, k=rng.randint(1, 4))) for _ in range(20))
+    )
+    rows = [(k, " ".join(rng.choices(letters + "e", k=rng.randint(0, 40)))) for k in range(200)]
+    out = license_scan.license_scan(frame(rows), table).collect()
+    got = {r.doc_id: (r.labels, round(r.score, 9), r.n_detections) for r in out}
+    assert got == {k: expected(t, table)[5:] for k, t in rows}
+
+
 def test_priority_and_containment(frame):
     table = (
         Rule(1, "strong", "core", r"core", 0.5), Rule(2, "long", "wide", r"wide core wide", 0.5),
