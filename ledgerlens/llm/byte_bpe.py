@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.caches import kept
-from ledgerlens.llm.ship import ship
+from ledgerlens.llm.ship import ship, ship_file, shipped
 from ledgerlens.llm.word_tokens import utf8_rows
 from ledgerlens.llm.words import text_chunks
 
@@ -244,8 +244,9 @@ class ByteBPE:
 
 
 def coder(path: str, pattern: str) -> ByteBPE:
-    """The coder of this Python worker, kept between tasks."""
-    return kept(("pieces", path, pattern), lambda: ByteBPE(path, pattern))
+    """The coder of this Python worker, kept between tasks; ``path`` is the
+    name of a file that was handed out."""
+    return kept(("pieces", path, pattern), lambda: ByteBPE(shipped(path), pattern))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -256,8 +257,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, ids (array of int)."""
 
+    ranks = ship_file(docs.sparkSession, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
+        bpe = coder(ranks, pattern)
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
                 texts = [t.decode("utf-8", "replace") for t in utf8_rows(data, offsets)]
@@ -275,8 +278,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     ship(encoded.sparkSession)
     picked = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
+    ranks = ship_file(encoded.sparkSession, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
+        bpe = coder(ranks, pattern)
         for batch in batches:
             texts = [
                 None if ids is None else bpe.decode_ids(ids).decode("utf-8", "replace")
@@ -293,8 +298,10 @@ def token_digests(
     """One row per row of ``docs``: doc_id, n_tokens, and the SHA-256 of the
     ids (decimal, joined by one space) and of the decoded bytes."""
 
+    ranks = ship_file(docs.sparkSession, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(path, pattern)
+        bpe = coder(ranks, pattern)
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
                 n, ids_digest, text_digest = [], [], []

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.ship import ship
+from ledgerlens.llm.ship import ship, ship_file, shipped
 from ledgerlens.llm.word_tokens import CACHE_WORDS, utf8_rows, word_encoder
 from ledgerlens.llm.words import text_chunks
 from ledgerlens.session import materialize
@@ -53,11 +53,12 @@ def pieces(
     """One row per piece; ``number`` counts the pieces of a length within a
     task (``part``), from 0."""
     ship(docs.sparkSession)
+    vocabulary = ship_file(docs.sparkSession, tokenizer)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer, limit=cache_words)
+        encoder = word_encoder(shipped(vocabulary), limit=cache_words)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         step = 4 * capacity

@@ -1,8 +1,10 @@
-"""Makes this package importable in Python workers.
+"""Makes this package importable, and files readable, in Python workers.
 
 ``spark-submit`` users ship it themselves; in other sessions (a notebook, a
 test) the workers may lack it. ``SparkContext.addPyFile`` hands a zip of the
-package to every executor, once per context.
+package to every executor, once per context; ``SparkContext.addFile`` does the
+same for a vocabulary file, so that only the driver need have it (or any store
+that Spark reads: the path may be a URI).
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -27,3 +30,14 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(PACKAGE.parent))
     sc.addPyFile(str(target))
     _shipped.add(sc.applicationId)
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Hand a file to every executor; the name that ``shipped`` takes."""
+    spark.sparkContext.addFile(path)
+    return path.rstrip("/").rpartition("/")[2]
+
+
+def shipped(name: str) -> str:
+    """Path, on this executor, of a file that ``ship_file`` handed out."""
+    return SparkFiles.get(name)

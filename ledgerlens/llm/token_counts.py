@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.ship import ship
+from ledgerlens.llm.ship import ship, ship_file, shipped
 from ledgerlens.llm.word_tokens import utf8_rows, word_encoder
 from ledgerlens.llm.words import text_chunks
 from ledgerlens.session import materialize, scratch_path
@@ -66,12 +66,13 @@ def write_token_files(
     repeated or lost task leaves no wrong file in the list."""
     spark = docs.sparkSession
     ship(spark)
+    vocabulary = ship_file(spark, tokenizer)
     folder = folder or scratch_path(spark, "token_files")
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     end = np.array([end_id], dtype=dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer, dtype, False)
+        encoder = word_encoder(shipped(vocabulary), dtype, False)
         task = TaskContext.get()
         path = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}.bin"
         out, size, document = None, 0, 0

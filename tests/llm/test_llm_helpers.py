@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlens.llm import graph, idset, words
+from ledgerlens.llm import graph, idset, ship, words
 
 
 @pytest.mark.parametrize("most_bits", [1 << 8, 1 << 10, idset.MOST_BITS])
@@ -67,3 +67,17 @@ def test_byte_hash_depends_on_the_bytes_alone():
     data = np.frombuffer(b"abcabcab", np.uint8)
     h = words.ByteHash(data).of(np.array([0, 3, 0, 1]), np.array([3, 6, 2, 3]))
     assert h[0] == h[1] and len(set(h.tolist())) == 3
+
+
+def test_a_file_is_read_by_the_name_it_was_handed_out_under(spark, tmp_path):
+    (tmp_path / "words-of-a-test.txt").write_text("one two")
+    name = ship.ship_file(spark, str(tmp_path / "words-of-a-test.txt"))
+    ship.ship(spark)
+
+    def run(batches):
+        for batch in batches:
+            with open(ship.shipped(name)) as f:
+                yield pa.RecordBatch.from_arrays([pa.array([f.read()] * len(batch))], names=["body"])
+
+    out = spark.range(0, 6, 1, 3).mapInArrow(run, "body string").collect()
+    assert [r.body for r in out] == ["one two"] * 6
