@@ -1,14 +1,14 @@
 """What a Python worker keeps between tasks.
 
 Workers are reused by later stages, so only the cache of the operator at work
-is kept: asking for another one, or ``release``, lets the old one go, and gives
-the memory that is free in the process back to the system.
+is kept: asking for another one, or a ``released`` function, lets the old one
+go, and gives the memory that is free in the process back to the system.
 """
 
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
@@ -35,3 +35,15 @@ def kept(key: Hashable, make: Callable[[], T]) -> T:
 
 def release() -> None:
     _let_go()
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, without the cache of another
+    operator, and without leaving its own scratch to an idle worker."""
+
+    def task(batches: Iterator) -> Iterator:
+        release()
+        yield from run(batches)
+        release()
+
+    return task

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.caches import release
+from ledgerlens.llm.caches import released
 from ledgerlens.llm.graph import components
 from ledgerlens.llm.idset import likely_in, without
 from ledgerlens.llm.ship import ship
@@ -107,8 +107,8 @@ def _class_rows(texts: DataFrame, n: int) -> DataFrame:
     """Rows (doc_id, n, class), and per task the counters of its shingles
     (block, counts, salt)."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         names = ["doc_id", "n", "class", "block", "salt", "counts"]
         seen, any_row = np.zeros(COUNTERS, dtype=np.int64), False
         for batch in batches:
@@ -160,8 +160,8 @@ def _prefixes(texts: DataFrame, counters: np.ndarray, n: int, t: Fraction) -> Da
     """class, n, ranges, prefix: one row per class and chunk of texts."""
     shared = texts.sparkSession.sparkContext.broadcast(counters)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         count = shared.value
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(1)):
@@ -277,8 +277,8 @@ def _verified(
     taking = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = materialize(classes.join(taking, "class").select("class", F.col("min_id").alias("doc_id")), "wanted")
 
+    @released
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(1)):
                 shingles, first = shingle_sets(data, offsets, n)
@@ -294,8 +294,8 @@ def _verified(
         found.withColumnsRenamed({"class": "b", "set": "set_b"}), "b"
     )
 
+    @released
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             good = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):

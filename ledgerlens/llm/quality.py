@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.caches import release
+from ledgerlens.llm.caches import released
 from ledgerlens.llm.ship import ship
 from ledgerlens.llm.words import SPACE, ByteHash, gram_hashes, mix, repeated, row_sums, spans, text_chunks
 
@@ -128,8 +128,8 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in names) + ", base_failed boolean, kept boolean"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             ids = batch.column("doc_id")
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
@@ -146,8 +146,8 @@ def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text") -
     ship(docs.sparkSession)
     at = docs.columns.index(text_col)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch.column(at)):
                 yield batch.slice(lo, hi - lo).filter(pa.array(measure(data, offsets, rules)["kept"]))

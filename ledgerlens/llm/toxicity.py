@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.caches import release
+from ledgerlens.llm.caches import released
 from ledgerlens.llm.ship import ship
 from ledgerlens.llm.words import LOWER, ByteHash, Spans, spans, text_chunks
 
@@ -338,29 +338,34 @@ def train(
 
 
 # ------------------------------------------------------------------ scoring
-def _scored(model: Model, column) -> Iterator[tuple[int, int, np.ndarray, list]]:
+def _scored(model: Model, column, with_spans: bool = True) -> Iterator[tuple[int, int, np.ndarray, list]]:
     """(first row, end row, scores, toxic spans as character offsets) for
-    runs of the texts of a column."""
+    runs of the texts of a column; without spans, their list is empty."""
     held: list[tuple[np.ndarray, ...]] = []
     begin, tokens = 0, 0
 
     def run() -> tuple[np.ndarray, list]:
-        emission, lengths, starts, ends = (np.concatenate(x) for x in zip(*held))
+        emission, lengths, *places = (np.concatenate(x) for x in zip(*held))
         first = np.concatenate(([0], np.cumsum(lengths)))
         p = marginals(emission, first, model.step)
         x = document_features(p, first)
         score = 1 / (1 + np.exp(-np.clip(x @ model.document, -30, 30)))
+        if not with_spans:
+            return score, []
         hit = np.flatnonzero(p >= 0.5)
-        start, end = starts[hit].tolist(), ends[hit].tolist()
+        start, end = (x[hit].tolist() for x in places)
         cut = np.searchsorted(hit, first).tolist()
         return score, [[{"start": s, "end": e} for s, e in zip(start[a:b], end[a:b])] for a, b in zip(cut, cut[1:])]
 
     for lo, hi, data, offsets in text_chunks(column):
         t, features = token_features(data, offsets)
-        point = np.zeros(len(data) + 1, dtype=np.int32)
-        np.cumsum((data & 0xC0) != 0x80, dtype=np.int32, out=point[1:])
-        base = point[offsets[:-1]][t.row]
-        held.append((model.emissions(features), np.diff(t.first), point[t.start] - base, point[t.end] - base))
+        places = ()
+        if with_spans:
+            point = np.zeros(len(data) + 1, dtype=np.int32)
+            np.cumsum((data & 0xC0) != 0x80, dtype=np.int32, out=point[1:])
+            base = point[offsets[:-1]][t.row]
+            places = point[t.start] - base, point[t.end] - base
+        held.append((model.emissions(features), np.diff(t.first), *places))
         tokens += len(t.start)
         if tokens >= RUN_TOKENS:
             yield begin, hi, *run()
@@ -378,8 +383,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             for lo, hi, s, found in _scored(shared.value, batch.column("text")):
                 yield pa.RecordBatch.from_arrays(
@@ -409,10 +414,10 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     shared = spark.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
-            for lo, hi, s, _ in _scored(shared.value, batch.column(at)):
+            for lo, hi, s, _ in _scored(shared.value, batch.column(at), with_spans=False):
                 yield batch.slice(lo, hi - lo).filter(pa.array(s < 0.5, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,6 +11,8 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 4 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -77,6 +79,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "ledgerlens", uuid.uuid4().hex, *parts])
 
 
+def bound_arrow_batches(spark: SparkSession, most: int = ARROW_BYTES) -> None:
+    """Hand rows to Python in batches of about ``most`` bytes (one row at
+    least). Both the executor and its worker hold a batch outside the heap,
+    the executor in a buffer that doubles as it grows. A limit that the
+    session already has stays."""
+    if spark.conf.get(ARROW_LIMIT, None) is None:
+        spark.conf.set(ARROW_LIMIT, str(most))
+
+
 def concurrently(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs at the same time from driver threads and
     return their results in order. All of them end before the first error,

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgerlens.llm import graph, idset, ship, words
+from ledgerlens.llm import caches, graph, idset, ship, words
 
 
 @pytest.mark.parametrize("most_bits", [1 << 8, 1 << 10, idset.MOST_BITS])
@@ -81,3 +81,9 @@ def test_a_file_is_read_by_the_name_it_was_handed_out_under(spark, tmp_path):
 
     out = spark.range(0, 6, 1, 3).mapInArrow(run, "body string").collect()
     assert [r.body for r in out] == ["one two"] * 6
+
+
+def test_a_released_task_leaves_nothing_behind():
+    caches.kept("another operator's", list)
+    run = caches.released(lambda batches: (caches.kept("own", lambda: b) for b in batches))
+    assert list(run(iter([1, 2]))) == [1, 1] and not caches._kept

@@ -1,7 +1,9 @@
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from ledgerlens.llm.queries import ORACLE, QUERIES
+from ledgerlens.session import ARROW_BYTES, ARROW_LIMIT
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +55,29 @@ def test_run_gives_the_rows_of_the_stages(spark, stages):
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, SF).select(cols)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[-1][1].select(cols).collect()))
+
+
+def largest_batch(df):
+    """(rows, bytes) of the largest batch that a worker gets."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+
+    return max(df.mapInArrow(run, "rows long, bytes long").collect(), key=lambda r: r["bytes"])
+
+
+@pytest.mark.parametrize("name", ["quality", "toxicity", "near_duplicates", "packing"])
+def test_python_stages_get_batches_of_bounded_bytes(spark, name):
+    own = spark.newSession()
+    docs = own.read.parquet(f"{SF}/documents.parquet")
+    dict(corpus_pipeline.STAGES)[name](own, docs, SF)
+    long = own.range(0, 300, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 20000) AS text")  # 30 MB
+    assert largest_batch(long)["bytes"] < ARROW_BYTES + 200_000
+
+
+def test_a_limit_of_the_session_stays(spark):
+    own = spark.newSession()
+    own.conf.set(ARROW_LIMIT, "1m")
+    corpus_pipeline.quality_stage(own, own.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert own.conf.get(ARROW_LIMIT) == "1m"
