@@ -19,7 +19,7 @@ Cases: a null or empty text is the end id alone; equal rows are packed each;
 a null doc_id stays null; an empty table gives an empty result; other
 columns are never looked at. Memory is bounded by one Arrow batch, or by
 one text if that is longer, and by the words whose ids a worker keeps
-(``cache_words``, some 400 bytes each): more of them save time.
+(``cache_words``, less than 400 bytes each): more of them save time.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.ship import ship, ship_file, shipped
-from ledgerlens.llm.word_tokens import CACHE_WORDS, utf8_rows, word_encoder
+from ledgerlens.llm.word_tokens import CACHE_WORDS, word_encoder
 from ledgerlens.llm.words import text_chunks
 from ledgerlens.session import materialize
 
@@ -66,7 +66,7 @@ def pieces(
             ids = batch.column("doc_id")
             for lo, hi, data, offsets in text_chunks(batch.column("text")):
                 at, piece, start, length, crc, number = [], [], [], [], [], []
-                for r, body in enumerate(encoder.encode(utf8_rows(data, offsets))):
+                for r, body in enumerate(encoder.encode_rows(data, offsets)):
                     body += end
                     for p, a in enumerate(range(0, len(body), step)):
                         part_ids = body[a : a + step]

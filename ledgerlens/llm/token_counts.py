@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.ship import ship, ship_file, shipped
-from ledgerlens.llm.word_tokens import utf8_rows, word_encoder
+from ledgerlens.llm.word_tokens import word_encoder
 from ledgerlens.llm.words import text_chunks
 from ledgerlens.session import materialize, scratch_path
 
@@ -83,7 +83,7 @@ def write_token_files(
                         fs, inner = _open(path)
                         fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                         out = fs.open_output_stream(inner)
-                    for ids in encoder.encode(utf8_rows(data, offsets)):
+                    for ids in encoder.encode_rows(data, offsets):
                         out.write(ids)
                         out.write(end)
                     n = hi - lo

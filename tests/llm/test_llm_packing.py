@@ -1,12 +1,14 @@
 import itertools
+import string
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerlens.llm import packing
+from ledgerlens.llm import packing, word_tokens
 from ledgerlens.llm.word_tokens import WordEncoder
 
 
@@ -56,6 +58,50 @@ def test_word_encoder_matches_whole_texts(word_file):
                 assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.fixture(scope="module")
+def encoders(word_file):
+    """Whether strings of special tokens count -> (tokenizers' encoder, ours)."""
+    both = {}
+    for special in (True, False):
+        whole = Tokenizer.from_file(word_file)
+        whole.encode_special_tokens = not special
+        both[special] = whole, WordEncoder(word_file, "<u4", special, 500)
+    return both
+
+
+_PARTS = ["a", "Word", "naïve", "É", "×", "…", "’", "'s", "'T", "don't", ".", ",;", "&&&", "|", "<", "_", "-", "3", "½", "İ", "Σ",
+          "\u0301", "\u0338", "\u0307", "日", "<|endoftext|>", "<|EndOfText|>", "\x1c", "\x85", "\u00a0", " ", "\n", "\t "]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_PARTS), max_size=12).map("".join), max_size=8), st.booleans())
+def test_units_of_odd_texts_give_the_ids_of_whole_texts(encoders, texts, special):
+    whole, ours = encoders[special]
+    got = [np.frombuffer(x, "<u4").tolist() for x in ours.encode([t.encode() for t in texts])]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_share_units_whatever_their_case_and_punctuation(word_file):
+    enc = WordEncoder(word_file)
+    enc.encode([" ".join(w + p for w in ("word", "Word", "WORD", "naïve", "Naïve") for p in string.punctuation if p not in "<|>").encode()])
+    assert {u for u in enc.numbers if u[:1].isalpha()} == {b"word", "naïve".encode()}
+    assert len(enc.numbers) <= 2 + len(string.punctuation)
+
+
+def test_texts_longer_than_a_block_of_units(word_file, monkeypatch):
+    texts = ["One two, three! " * 20, "", "four " * 7]
+    want = WordEncoder(word_file).encode([t.encode() for t in texts])
+    monkeypatch.setattr(word_tokens, "_BLOCK", 3)
+    assert WordEncoder(word_file, limit=2).encode([t.encode() for t in texts]) == want
+
+
+def test_bytes_that_are_no_utf8(word_file):
+    whole = Tokenizer.from_file(word_file)
+    texts = [b"a\xc3", b"\xa9. b", b"\xa9", b".", b"\xff, C\xc3\xa9!"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in WordEncoder(word_file).encode(texts)]
+    assert got == [whole.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_of_a_table(frame, odd_rows, word_file):
     rows = [(k, t) for k, (_, t) in enumerate(odd_rows)] + [(100 + k, "a b c " * (k * 9)) for k in range(60)]
     out = packing.pack(frame(rows), word_file).toPandas()
